@@ -218,3 +218,140 @@ def q_split_stratified(spark, sf_dir):
 @register("split_report", _STRAT_SQL + "\nSELECT split, count(*) AS n FROM ss_out GROUP BY split")
 def q_split_report(spark, sf_dir):
     return sp.split_report(_stratified_docs(spark, sf_dir))
+
+
+# --- A: aggregation of judge samples ------------------------------------------------------
+from corpusforge.operators import aggregate as ag  # noqa: E402
+
+JS = f"js AS ({S.judge_samples()})"
+JF = f"jf AS ({S.judge_sample_fields()})"
+_JKEYS = ["row_id", "judge_no", "label"]
+
+
+def _js(spark, sf_dir):
+    return tb.judge_samples(spark, sf_dir)
+
+
+@register("agg_mean", f"""WITH {JS} SELECT row_id, judge_no, label,
+    round_even(greatest(least(avg(prob), 1.0), 0.0), 9) AS value FROM js GROUP BY ALL HAVING avg(prob) IS NOT NULL""")
+def q_agg_mean(spark, sf_dir):
+    r = ag.aggregate_numeric(_js(spark, sf_dir), _JKEYS, "prob", how="mean", minimum=0, maximum=1)
+    return r.select(*_JKEYS, F.bround("value", 9).alias("value"))
+
+
+@register("agg_median_clamped", f"""WITH {JS} SELECT row_id, judge_no, label,
+    round_even(greatest(least(median(prob), 1.0), 0.0), 9) AS value FROM js GROUP BY ALL HAVING median(prob) IS NOT NULL""")
+def q_agg_median_clamped(spark, sf_dir):
+    r = ag.aggregate_numeric(_js(spark, sf_dir), _JKEYS, "prob", how="median", minimum=0, maximum=1)
+    return r.select(*_JKEYS, F.bround("value", 9).alias("value"))
+
+
+@register("agg_integer", f"""WITH {JF} SELECT row_id, judge_no,
+    round_even(greatest(least(avg(count), 20.0), 0.0), 0)::BIGINT AS value FROM jf GROUP BY ALL""")
+def q_agg_integer(spark, sf_dir):
+    return ag.aggregate_numeric(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"], "count",
+                                minimum=0, maximum=20, integer=True)
+
+
+@register("agg_array_union", f"""WITH {JF},
+it0 AS (SELECT row_id, judge_no, sample_no, unnest(list_transform(range(1, len(reasons) + 1), lambda i: {{'item': reasons[i], 'pos': i}})) AS z FROM jf),
+it AS (SELECT row_id, judge_no, sample_no, z.item AS item, z.pos AS pos FROM it0),
+fi AS (SELECT row_id, judge_no, item, min(sample_no * 100000 + pos) AS f FROM it GROUP BY ALL)
+SELECT row_id, judge_no, array_to_string((list(item ORDER BY f))[1:4], '|') AS items FROM fi GROUP BY ALL""")
+def q_agg_array_union(spark, sf_dir):
+    r = ag.aggregate_array_union(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"], "reasons",
+                                 "sample_no", max_items=4)
+    return r.select("row_id", "judge_no", F.array_join("items", "|").alias("items"))
+
+
+@register("agg_bool_majority", f"""WITH {JF} SELECT row_id, judge_no,
+    sum(flag::INTEGER) >= count(flag) / 2.0 AS value FROM jf GROUP BY ALL""")
+def q_agg_bool_majority(spark, sf_dir):
+    return ag.aggregate_bool_majority(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"], "flag")
+
+
+@register("agg_last_nonempty", f"""WITH {JF} SELECT row_id, judge_no,
+    coalesce(arg_max(rationale, sample_no) FILTER (WHERE rationale <> ''), arg_max(rationale, sample_no)) AS value
+    FROM jf GROUP BY ALL""")
+def q_agg_last_nonempty(spark, sf_dir):
+    return ag.aggregate_last_nonempty(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"],
+                                      "rationale", "sample_no")
+
+
+@register("agg_key_union", f"""WITH {JS} SELECT row_id, judge_no, count(DISTINCT label) AS n_keys
+    FROM js WHERE prob IS NOT NULL GROUP BY ALL""")
+def q_agg_key_union(spark, sf_dir):
+    r = ag.aggregate_numeric(_js(spark, sf_dir), _JKEYS, "prob")
+    return r.groupBy("row_id", "judge_no").agg(F.count(F.lit(1)).alias("n_keys"))
+
+
+# judge-level values (each judge's own clamped mean), the input of the ensemble operators
+_JV_SQL = f"""{JS}, jv AS (SELECT row_id, judge_no, label, greatest(least(avg(prob), 1.0), 0.0) AS value
+    FROM js GROUP BY ALL HAVING avg(prob) IS NOT NULL)"""
+
+
+def _jv(spark, sf_dir):
+    return ag.aggregate_numeric(_js(spark, sf_dir), _JKEYS, "prob", minimum=0, maximum=1)
+
+
+@register("ensemble_mean", f"""WITH {_JV_SQL} SELECT row_id, label, round_even(avg(value), 9) AS value
+    FROM jv GROUP BY ALL""")
+def q_ensemble_mean(spark, sf_dir):
+    r = ag.ensemble_mean(_jv(spark, sf_dir), ["row_id", "label"], "judge_no", "value")
+    return r.select("row_id", "label", F.bround("value", 9).alias("value"))
+
+
+@register("ensemble_median", f"""WITH {_JV_SQL},
+fj AS (SELECT row_id, min(judge_no) AS fj FROM jv GROUP BY row_id),
+fk AS (SELECT DISTINCT jv.row_id, label FROM jv JOIN fj ON jv.row_id = fj.row_id AND jv.judge_no = fj.fj),
+v AS (SELECT jv.* FROM jv SEMI JOIN fk ON jv.row_id = fk.row_id AND jv.label = fk.label)
+SELECT row_id, label, round_even(median(value), 9) AS value FROM v WHERE label = 'overall' GROUP BY ALL
+UNION ALL
+SELECT row_id, label, round_even((list(value ORDER BY judge_no))[floor(count(*) / 2)::BIGINT + 1], 9) AS value
+FROM v WHERE label <> 'overall' GROUP BY ALL""")
+def q_ensemble_median(spark, sf_dir):
+    jv = _jv(spark, sf_dir)
+    top = ag.ensemble_median(jv, ["row_id"], "label", "judge_no", "value", nested="median") \
+        .filter(F.col("label") == "overall")
+    nested = ag.ensemble_median(jv, ["row_id"], "label", "judge_no", "value", nested="pick") \
+        .filter(F.col("label") != "overall")
+    return top.unionByName(nested).select("row_id", "label", F.bround("value", 9).alias("value"))
+
+
+@register("ensemble_vote", f"""WITH {_JV_SQL} SELECT row_id, label,
+    CASE WHEN count(*) FILTER (WHERE value >= 0.5) > count(value) / 2.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+    FROM jv GROUP BY ALL""")
+def q_ensemble_vote(spark, sf_dir):
+    return ag.ensemble_vote(_jv(spark, sf_dir), ["row_id", "label"], "value")
+
+
+@register("ensemble_mode", f"""WITH {JF},
+jr AS (SELECT row_id, judge_no, coalesce(arg_max(rationale, sample_no) FILTER (WHERE rationale <> ''),
+                                     arg_max(rationale, sample_no)) AS r FROM jf GROUP BY ALL),
+c AS (SELECT row_id, r, count(*) AS n, min(judge_no) AS f FROM jr GROUP BY ALL)
+SELECT row_id, r AS value FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY n DESC, f) AS k FROM c)
+WHERE k = 1""")
+def q_ensemble_mode(spark, sf_dir):
+    jr = ag.aggregate_last_nonempty(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"],
+                                    "rationale", "sample_no", out="r")
+    return ag.ensemble_mode(jr, ["row_id"], "judge_no", "r")
+
+
+@register("ensemble_first", f"""WITH {JF},
+jr AS (SELECT row_id, judge_no, coalesce(arg_max(rationale, sample_no) FILTER (WHERE rationale <> ''),
+                                     arg_max(rationale, sample_no)) AS r FROM jf GROUP BY ALL)
+SELECT row_id, arg_min(r, judge_no) AS value FROM jr GROUP BY row_id""")
+def q_ensemble_first(spark, sf_dir):
+    jr = ag.aggregate_last_nonempty(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"],
+                                    "rationale", "sample_no", out="r")
+    return ag.ensemble_first(jr, ["row_id"], "judge_no", "r")
+
+
+@register("judge_meta", f"""WITH {JS} SELECT row_id, judge_no, 'judge-model' AS model, 0.2::DOUBLE AS temperature,
+    count(DISTINCT sample_no) AS num_samples, 7::BIGINT AS seed, 'median' AS aggregation
+    FROM js WHERE prob IS NOT NULL GROUP BY ALL""")
+def q_judge_meta(spark, sf_dir):
+    valid = _js(spark, sf_dir).filter(F.col("prob").isNotNull())
+    m = ag.judge_meta(valid, ["row_id", "judge_no"], "sample_no", model="judge-model", temperature=0.2,
+                      seed=7, aggregation="median")
+    return m.select("row_id", "judge_no", "judge_meta.*")

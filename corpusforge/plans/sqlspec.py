@@ -202,3 +202,29 @@ def stratified_split_ctes(rows_cte: str, probs_cte: str, labels=LABELS, val_rati
 {prefix}_out AS (SELECT r.row_id, CASE WHEN r.row_id IN (SELECT row_id FROM {prefix}_test) THEN 'test'
                                        WHEN r.row_id IN (SELECT row_id FROM {prefix}_val) THEN 'val'
                                        ELSE 'train' END AS split FROM {prefix}_rows r)"""
+
+
+# derived judge answers ---------------------------------------------------------------
+def judge_samples() -> str:
+    from corpusforge.sources.tables import JUDGES, SAMPLES
+    u_miss = unit_sql("row_id", "label", "judge_no", "sample_no", "'miss'")
+    u_val = unit_sql("row_id", "label", "judge_no", "sample_no")
+    return f"""SELECT row_id, judge_no::INTEGER AS judge_no, sample_no::INTEGER AS sample_no, label,
+       CASE WHEN {u_miss} < 0.1 THEN NULL ELSE round_even(p + 0.3::DOUBLE * ({u_val} - 0.5::DOUBLE), 6) END AS prob
+FROM (SELECT row_id, label, p FROM ({label_probs()})
+      UNION ALL SELECT DISTINCT row_id, 'overall', round_even({unit_sql('row_id', "'overall'")}, 6) FROM ({label_probs()})) b,
+     range({JUDGES}) j(judge_no), range({SAMPLES}) s(sample_no)"""
+
+
+def judge_sample_fields() -> str:
+    from corpusforge.sources.tables import JUDGES, SAMPLES
+    key = ["row_id", "judge_no", "sample_no"]
+    u = lambda tag: unit_sql(*key, tag)
+    md5 = "substr(md5(concat_ws(':', CAST(row_id AS VARCHAR), CAST(judge_no AS VARCHAR), CAST(sample_no AS VARCHAR))), 1, 6)"
+    return f"""SELECT row_id, judge_no::INTEGER AS judge_no, sample_no::INTEGER AS sample_no,
+       ({word_tokens('text')})[sample_no + 1:sample_no + 3] AS reasons,
+       CASE WHEN {u("'r'")} < 0.5 THEN '' ELSE 'r' || CAST(sample_no AS VARCHAR) || '-' || {md5} END AS rationale,
+       floor({u("'c'")} * 25)::BIGINT AS count,
+       {u("'f'")} >= 0.5 AS flag
+FROM (SELECT l.doc_id AS row_id, d.text FROM labels l JOIN documents d ON l.doc_id = d.doc_id) b,
+     range({JUDGES}) j(judge_no), range({SAMPLES}) s(sample_no)"""

@@ -63,3 +63,53 @@ def label_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = label_truth(spark, sf_dir)
     return t.withColumn("p", F.bround(F.lit(0.6) * unit(F.col("row_id"), F.col("label"))
                                       + F.lit(0.4) * F.col("y"), 6))
+
+
+# Derived judge answers -----------------------------------------------------------------
+JUDGES = 3          # judges per row (judge_no 0..2)
+SAMPLES = 3         # samples per judge (sample_no 0..2)
+SAMPLE_KEYS = LABELS + ["overall"]
+
+
+def _grid(df: DataFrame) -> DataFrame:
+    return (df.withColumn("judge_no", F.explode(F.sequence(F.lit(0), F.lit(JUDGES - 1))))
+            .withColumn("sample_no", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES - 1)))))
+
+
+def judge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric judge samples ``(row_id, judge_no, sample_no, label, prob)``.
+
+    ``prob = round(p + 0.3*(u - 0.5), 6)`` around the derived probability (``overall`` uses
+    ``u(row,'overall')`` as its base); about 10% of the values are NULL = key absent.
+    """
+    probs = label_probs(spark, sf_dir).select("row_id", "label", "p")
+    overall = probs.select("row_id").distinct().select(
+        "row_id", F.lit("overall").alias("label"), F.bround(unit(F.col("row_id"), F.lit("overall")), 6).alias("p"))
+    g = _grid(probs.unionByName(overall))
+    u_miss = unit(F.col("row_id"), F.col("label"), F.col("judge_no"), F.col("sample_no"), F.lit("miss"))
+    u_val = unit(F.col("row_id"), F.col("label"), F.col("judge_no"), F.col("sample_no"))
+    prob = F.when(u_miss < 0.1, F.lit(None).cast("double")).otherwise(
+        F.bround(F.col("p") + F.lit(0.3) * (u_val - F.lit(0.5)), 6))
+    return g.select("row_id", F.col("judge_no").cast("int"), F.col("sample_no").cast("int"), "label",
+                    prob.alias("prob"))
+
+
+def judge_sample_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-numeric sample fields per ``(row_id, judge_no, sample_no)``:
+    ``reasons`` (3 words of the document from position sample_no+1), ``rationale`` (empty
+    for about half the samples), ``count`` (integer 0..24) and ``flag`` (prob of quality >= .5).
+    """
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    rows = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id")).join(docs, "row_id")
+    g = _grid(rows)
+    key = [F.col("row_id"), F.col("judge_no"), F.col("sample_no")]
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), 0)
+    rationale = F.when(unit(*key, F.lit("r")) < 0.5, F.lit("")).otherwise(
+        F.concat(F.lit("r"), F.col("sample_no").cast("string"), F.lit("-"),
+                 F.substring(F.md5(F.concat_ws(":", *[k.cast("string") for k in key])), 1, 6)))
+    return g.select(
+        "row_id", F.col("judge_no").cast("int"), F.col("sample_no").cast("int"),
+        F.slice(tokens, F.col("sample_no") + 1, 3).alias("reasons"),
+        rationale.alias("rationale"),
+        F.floor(unit(*key, F.lit("c")) * 25).cast("bigint").alias("count"),
+        (unit(*key, F.lit("f")) >= 0.5).alias("flag"))
