@@ -355,3 +355,116 @@ def q_judge_meta(spark, sf_dir):
     m = ag.judge_meta(valid, ["row_id", "judge_no"], "sample_no", model="judge-model", temperature=0.2,
                       seed=7, aggregation="median")
     return m.select("row_id", "judge_no", "judge_meta.*")
+
+
+# --- K: calibration -----------------------------------------------------------------------
+from corpusforge.operators import calibrate as cb  # noqa: E402
+
+PROBS = f"probs AS ({S.label_probs()})"
+CALIB_KEYS = tb.LABELS + ["unlabelled"]   # the last key has no truth pairs -> identity
+
+
+def _pairs(spark, sf_dir):
+    probs = tb.label_probs(spark, sf_dir)
+    return cb.pair_with_truth(probs.select("row_id", "label", "p"), tb.label_truth(spark, sf_dir),
+                              ["row_id", "label"])
+
+
+@register("calib_pairs", f"WITH {PROBS} SELECT row_id, label, p, y FROM probs")
+def q_calib_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("row_id", "label", "p", "y")
+
+
+@register("calib_truth", """SELECT doc_id AS row_id, round_even(quality::DOUBLE, 0)::INTEGER AS overall,
+    round_even(toxic::DOUBLE, 0)::INTEGER AS toxic_truth FROM labels""")
+def q_calib_truth(spark, sf_dir):
+    lab = tb.load(spark, sf_dir, "labels")
+    truth = lab.select(F.col("doc_id").alias("row_id"), F.col("quality").cast("double").alias("label"),
+                       F.create_map(F.lit("quality"), F.col("quality"), F.lit("toxic"), F.col("toxic")).alias("truth"),
+                       F.create_map().cast("map<string,int>").alias("labels"))
+    per_label = cb.label_truth_long(truth, "row_id").filter(F.col("label") == "toxic") \
+        .select("row_id", F.col("y").alias("toxic_truth"))
+    return truth.select("row_id", cb.overall_truth(truth).alias("overall")).join(per_label, "row_id")
+
+
+_ISO_SQL = f"""WITH {PROBS},
+pts AS (SELECT label, p AS x, avg(y) AS yb, count(*) AS w FROM probs GROUP BY label, p),
+idx AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY x) AS i,
+               sum(w * yb) OVER (PARTITION BY label ORDER BY x) AS cs, sum(w) OVER (PARTITION BY label ORDER BY x) AS cw
+        FROM pts),
+jk AS (SELECT a.label, a.i AS j, b.i AS k, (b.cs - a.cs + a.w * a.yb) / (b.cw - a.cw + a.w) AS m
+       FROM idx a JOIN idx b ON a.label = b.label AND a.i <= b.i),
+fit AS (SELECT label, i, max(mn) AS fx FROM (
+          SELECT c.label, c.i, p.j, min(p.m) AS mn FROM jk p JOIN idx c
+          ON p.label = c.label AND p.j <= c.i AND p.k >= c.i GROUP BY c.label, c.i, p.j) GROUP BY label, i),
+cal AS (SELECT idx.label, idx.x, fit.fx FROM idx JOIN fit ON idx.label = fit.label AND idx.i = fit.i)"""
+
+
+@register("calib_isotonic_apply", _ISO_SQL + """
+SELECT probs.row_id, probs.label, round_even(cal.fx, 9) AS p_cal FROM probs JOIN cal
+    ON probs.label = cal.label AND probs.p = cal.x""")
+def q_calib_isotonic_apply(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    params = cb.fit(pairs, CALIB_KEYS, method="isotonic")
+    out = cb.apply(tb.label_probs(spark, sf_dir).select("row_id", "label", "p"), params, out="p_cal")
+    return out.select("row_id", "label", F.bround("p_cal", 9).alias("p_cal"))
+
+
+@register("calib_isotonic_fit")
+def q_calib_isotonic_fit(spark, sf_dir):
+    """Knots per key (boundaries / fitted values); checked against the SQL fit by _apply."""
+    params = cb.fit(_pairs(spark, sf_dir), CALIB_KEYS, method="isotonic")
+    return params.select("key", "method", F.posexplode_outer(F.arrays_zip("x", "y")).alias("knot", "xy")) \
+        .select("key", "method", "knot", F.col("xy.x").alias("x"), F.col("xy.y").alias("y"))
+
+
+_PLATT_SQL = f"""WITH RECURSIVE {PROBS},
+it(k, label, w, b) AS (
+  SELECT 0, label, 0.0::DOUBLE, 0.0::DOUBLE FROM (SELECT DISTINCT label FROM probs)
+  UNION ALL
+  SELECT k + 1, label, w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb),
+                       b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb)
+  FROM (SELECT it.k, it.label, it.w, it.b,
+               sum((s - y) * p) + it.w AS gw, sum(s - y) AS gb,
+               sum(s * (1 - s) * p * p) + 1 AS hww, sum(s * (1 - s) * p) AS hwb, sum(s * (1 - s)) AS hbb
+        FROM it JOIN (SELECT label, p, y FROM probs) d ON it.label = d.label,
+             LATERAL (SELECT 1.0 / (1.0 + exp(-(it.w * d.p + it.b))) AS s)
+        WHERE it.k < 40 GROUP BY it.k, it.label, it.w, it.b)),
+platt AS (SELECT label, w, b FROM it WHERE k = 40)"""
+
+
+@register("calib_platt_fit", _PLATT_SQL + """
+SELECT label AS key, round_even(w, 4) AS coef, round_even(b, 4) AS intercept FROM platt""")
+def q_calib_platt_fit(spark, sf_dir):
+    params = cb.fit(_pairs(spark, sf_dir), tb.LABELS, method="platt")
+    return params.select("key", F.bround("coef", 4).alias("coef"), F.bround("intercept", 4).alias("intercept"))
+
+
+@register("calib_platt_apply", _PLATT_SQL + """
+SELECT probs.row_id, probs.label, round_even(greatest(0.0, least(1.0, 1.0 / (1.0 + exp(-(w * p + b))))), 6) AS p_cal
+FROM probs JOIN platt ON probs.label = platt.label""")
+def q_calib_platt_apply(spark, sf_dir):
+    params = cb.fit(_pairs(spark, sf_dir), CALIB_KEYS, method="platt")
+    out = cb.apply(tb.label_probs(spark, sf_dir).select("row_id", "label", "p"), params, out="p_cal")
+    return out.select("row_id", "label", F.bround("p_cal", 6).alias("p_cal"))
+
+
+@register("calib_identity", f"""WITH {PROBS},
+k AS (SELECT * FROM (VALUES {', '.join(f"('{k}')" for k in CALIB_KEYS)}) t(key)),
+c AS (SELECT label, count(DISTINCT y) AS classes FROM probs GROUP BY label)
+SELECT k.key, CASE WHEN coalesce(c.classes, 0) < 2 THEN 'identity' ELSE 'isotonic' END AS method
+FROM k LEFT JOIN c ON k.key = c.label""")
+def q_calib_identity(spark, sf_dir):
+    return cb.fit(_pairs(spark, sf_dir), CALIB_KEYS, method="isotonic").select("key", "method")
+
+
+@register("calibrate_job", _ISO_SQL + """
+SELECT probs.row_id, probs.label, round_even(cal.fx, 9) AS p, TRUE AS calibration_applied,
+       'isotonic' AS calibration_version
+FROM probs JOIN cal ON probs.label = cal.label AND probs.p = cal.x""")
+def q_calibrate_job(spark, sf_dir):
+    probs = tb.label_probs(spark, sf_dir)
+    cal, params = cb.calibrate(probs.select("row_id", "label", "p"), tb.label_truth(spark, sf_dir), CALIB_KEYS,
+                               on=["row_id"], method="isotonic")
+    applied, version = cb.calibration_mark(True, "params/isotonic.json", True, method="isotonic")
+    return cb.mark(cal.select("row_id", "label", F.bround("p", 9).alias("p")), applied, version)
