@@ -468,3 +468,56 @@ def q_calibrate_job(spark, sf_dir):
                                on=["row_id"], method="isotonic")
     applied, version = cb.calibration_mark(True, "params/isotonic.json", True, method="isotonic")
     return cb.mark(cal.select("row_id", "label", F.bround("p", 9).alias("p")), applied, version)
+
+
+# --- T: label triage ----------------------------------------------------------------------
+from corpusforge.operators import triage as tr  # noqa: E402
+
+GIVEN = f"given AS ({S.given_labels()})"
+
+
+@register("triage_hard_labels", f"""WITH {PROBS} SELECT row_id, label, (p >= 0.5)::INTEGER AS y FROM probs""")
+def q_triage_hard_labels(spark, sf_dir):
+    return tr.hard_labels(tb.label_probs(spark, sf_dir), tb.LABELS).select("row_id", "label", "y")
+
+
+def _issues(spark, sf_dir):
+    return tr.find_label_issues(tb.given_labels(spark, sf_dir), tb.label_probs(spark, sf_dir))
+
+
+@register("triage_issues", f"""WITH {PROBS}, {GIVEN}, {S.label_issues_ctes('given', 'probs').strip()}
+SELECT row_id, label FROM cl_issues""")
+def q_triage_issues(spark, sf_dir):
+    return _issues(spark, sf_dir)
+
+
+@register("triage_self_labelled_none", f"""WITH {PROBS},
+hard AS (SELECT row_id, label, (p >= 0.5)::INTEGER AS y FROM probs),
+{S.label_issues_ctes('hard', 'probs').strip()}
+SELECT row_id, label FROM cl_issues""")
+def q_triage_self_labelled_none(spark, sf_dir):
+    """The original's setting: given labels derived from the same probabilities (never flags)."""
+    probs = tb.label_probs(spark, sf_dir)
+    return tr.find_label_issues(tr.hard_labels(probs, tb.LABELS), probs)
+
+
+@register("triage_filter", f"""WITH {PROBS}, {GIVEN}, {S.label_issues_ctes('given', 'probs').strip()}
+SELECT doc_id AS row_id FROM labels WHERE doc_id NOT IN (SELECT row_id FROM cl_issues)""")
+def q_triage_filter(spark, sf_dir):
+    rows = tb.load(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"))
+    return tr.filter_issues(rows, _issues(spark, sf_dir))
+
+
+@register("triage_stats", f"""WITH {PROBS}, {GIVEN}, {S.label_issues_ctes('given', 'probs').strip()}
+SELECT count(*) AS total, count(*) FILTER (WHERE doc_id IN (SELECT row_id FROM cl_issues)) AS flagged FROM labels""")
+def q_triage_stats(spark, sf_dir):
+    rows = tb.load(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"))
+    return tr.triage_stats(rows, _issues(spark, sf_dir))
+
+
+@register("triage_detect_labels", f"""WITH {PROBS} SELECT DISTINCT label FROM probs
+    WHERE row_id = (SELECT min(row_id) FROM probs)""")
+def q_triage_detect_labels(spark, sf_dir):
+    probs = tb.label_probs(spark, sf_dir)
+    labels = tr.detect_labels(probs)
+    return probs.filter(F.col("label").isin(labels)).select("label").distinct()

@@ -228,3 +228,31 @@ def judge_sample_fields() -> str:
        {u("'f'")} >= 0.5 AS flag
 FROM (SELECT l.doc_id AS row_id, d.text FROM labels l JOIN documents d ON l.doc_id = d.doc_id) b,
      range({JUDGES}) j(judge_no), range({SAMPLES}) s(sample_no)"""
+
+
+def given_labels(flip_rate: float = 0.05) -> str:
+    return (f"SELECT row_id, label, CASE WHEN {unit_sql('row_id', 'label', chr(39) + 'flip' + chr(39))} < {flip_rate!r} "
+            f"THEN 1 - y ELSE y END AS y FROM ({label_probs()})")
+
+
+def label_issues_ctes(given_cte: str, probs_cte: str, prefix: str = "cl") -> str:
+    """CTE ``{prefix}_issues(row_id, label)``: confident learning, prune by noise rate."""
+    return f"""
+{prefix}_d AS (SELECT g.row_id, g.label, g.y AS s, p.p AS p1, 1.0 - p.p AS p0
+               FROM {given_cte} g JOIN {probs_cte} p ON g.row_id = p.row_id AND g.label = p.label),
+{prefix}_t AS (SELECT label, avg(p1) FILTER (WHERE s = 1) AS t1, avg(p0) FILTER (WHERE s = 0) AS t0
+               FROM {prefix}_d GROUP BY label),
+{prefix}_c AS (SELECT d.*, CASE WHEN p1 >= t1 AND p0 >= t0 THEN (CASE WHEN p1 > p0 THEN 1 ELSE 0 END)
+                                WHEN p1 >= t1 THEN 1 WHEN p0 >= t0 THEN 0 END AS c
+               FROM {prefix}_d d JOIN {prefix}_t t ON d.label = t.label),
+{prefix}_j AS (SELECT label, s, c, count(*) AS n FROM {prefix}_c WHERE c IS NOT NULL GROUP BY ALL),
+{prefix}_k AS (SELECT j.label, j.s, round_even(j.n * g.n_given / r.n_row, 0)::BIGINT AS k
+               FROM {prefix}_j j
+               JOIN (SELECT label, s, sum(n) AS n_row FROM {prefix}_j GROUP BY ALL) r ON j.label = r.label AND j.s = r.s
+               JOIN (SELECT label, s, count(*) AS n_given FROM {prefix}_d GROUP BY ALL) g ON j.label = g.label AND j.s = g.s
+               WHERE j.s <> j.c),
+{prefix}_r AS (SELECT row_id, label, s, row_number() OVER (PARTITION BY label, s ORDER BY
+                 floor((1.0 - CASE WHEN s = 1 THEN p0 - p1 ELSE p1 - p0 END) * {float(2 ** 46)!r})::BIGINT, row_id) AS rk
+               FROM {prefix}_d),
+{prefix}_issues AS (SELECT r.row_id, r.label FROM {prefix}_r r JOIN {prefix}_k k ON r.label = k.label AND r.s = k.s
+                    WHERE r.rk <= k.k)"""

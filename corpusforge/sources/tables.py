@@ -113,3 +113,11 @@ def judge_sample_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         rationale.alias("rationale"),
         F.floor(unit(*key, F.lit("c")) * 25).cast("bigint").alias("count"),
         (unit(*key, F.lit("f")) >= 0.5).alias("flag"))
+
+
+def given_labels(spark: SparkSession, sf_dir: str, flip_rate: float = 0.05) -> DataFrame:
+    """Independent given labels ``(row_id, label, y)``: the truth with ~5% of labels flipped
+    (by the portable hash), i.e. known label errors for triage to find."""
+    t = label_truth(spark, sf_dir)
+    flip = unit(F.col("row_id"), F.col("label"), F.lit("flip")) < flip_rate
+    return t.select("row_id", "label", F.when(flip, 1 - F.col("y")).otherwise(F.col("y")).alias("y"))
