@@ -521,3 +521,246 @@ def q_triage_detect_labels(spark, sf_dir):
     probs = tb.label_probs(spark, sf_dir)
     labels = tr.detect_labels(probs)
     return probs.filter(F.col("label").isin(labels)).select("label").distinct()
+
+
+# --- P: pairwise resolution -----------------------------------------------------------------
+from corpusforge.operators import pairwise as pw  # noqa: E402
+
+TRIGGERS = ["overall", "quality", "toxic"]
+SCORES = f"scores AS ({S.judgment_scores()})"
+# closed-form configuration (margin >= 2 * window) and the general queue configuration
+P2_OPTS = dict(center=0.5, window=0.05, margin=0.1, max_pending=4)
+P3_OPTS = dict(center=0.5, window=0.1, margin=0.06, max_pending=4)
+_TRIG_SQL = ", ".join(f"'{x}'" for x in TRIGGERS)
+_PAIRS_SQL = f"""{SCORES},
+cands AS (SELECT * FROM scores WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.05),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS r FROM cands),
+pairs AS (SELECT label, min(row_id) AS id_a, max(row_id) AS id_b FROM rk GROUP BY label, (r - 1) // 2 HAVING count(*) = 2),
+ans AS ({S.comparison_answers('pairs')}),
+vd AS (SELECT label, id_a, id_b, preferred, coalesce(TRY_CAST(confidence_raw AS DOUBLE), 0.5) AS confidence, reason FROM ans)"""
+
+
+def _scores(spark, sf_dir):
+    return tb.judgment_scores(spark, sf_dir)
+
+
+def _verdicts(spark, sf_dir):
+    pairs = pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS)
+    return pw.verdicts(pairs, tb.comparison_answers(pairs.select("label", "id_a", "id_b")))
+
+
+@register("pair_candidates", f"""WITH {SCORES} SELECT row_id, label, p FROM scores
+    WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.1""")
+def q_pair_candidates(spark, sf_dir):
+    return pw.candidates(_scores(spark, sf_dir), TRIGGERS, center=0.5, window=0.1)
+
+
+@register("pair_consecutive", f"WITH {_PAIRS_SQL} SELECT label, id_a, id_b FROM pairs")
+def q_pair_consecutive(spark, sf_dir):
+    return pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS).select("label", "id_a", "id_b")
+
+
+@register("pair_queue")
+def q_pair_queue(spark, sf_dir):
+    """General bounded queue (margin < 2 * window): ordered fold per label, rows-only check."""
+    return pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P3_OPTS)
+
+
+@register("pair_verdicts", f"WITH {_PAIRS_SQL} SELECT label, id_a, id_b, preferred, confidence, reason FROM vd")
+def q_pair_verdicts(spark, sf_dir):
+    return _verdicts(spark, sf_dir).drop("ev")
+
+
+@register("pair_shift", f"""WITH {_PAIRS_SQL},
+ev AS (SELECT label, id_b AS ev, list_position([{_TRIG_SQL}], label) - 1 AS lp, id_a AS row_id,
+              CASE WHEN preferred = 'A' THEN 0.15 * confidence ELSE -0.15 * confidence END AS d FROM vd WHERE preferred IN ('A', 'B')
+       UNION ALL
+       SELECT label, id_b, list_position([{_TRIG_SQL}], label) - 1, id_b,
+              CASE WHEN preferred = 'B' THEN 0.15 * confidence ELSE -0.15 * confidence END FROM vd WHERE preferred IN ('A', 'B')),
+tg AS (SELECT row_id, ev, lp, 'overall' AS key, d FROM ev WHERE label = 'overall'
+       UNION ALL SELECT e.row_id, e.ev, e.lp, s.label, e.d * 0.5 FROM ev e JOIN scores s ON e.row_id = s.row_id
+                 WHERE e.label = 'overall' AND s.label <> 'overall'
+       UNION ALL SELECT row_id, ev, lp, label, d * 0.5 FROM ev WHERE label <> 'overall'),
+sq AS (SELECT row_id, key, list(d ORDER BY ev, lp) AS ds FROM tg GROUP BY ALL)
+SELECT s.row_id, s.label, round_even(CASE WHEN sq.ds IS NULL THEN s.p ELSE
+       list_reduce(list_prepend(s.p, sq.ds), lambda acc, x: greatest(0.0, least(1.0, acc + x))) END, 9) AS p
+FROM scores s LEFT JOIN sq ON s.row_id = sq.row_id AND s.label = sq.key""")
+def q_pair_shift(spark, sf_dir):
+    out = pw.shift_probabilities(_scores(spark, sf_dir), _verdicts(spark, sf_dir), TRIGGERS)
+    return out.select("row_id", "label", F.bround("p", 9).alias("p"))
+
+
+@register("pair_audit", f"""WITH {_PAIRS_SQL}
+SELECT id_a AS row_id, 'A' AS role, preferred, confidence, reason, id_b AS partner_id, label FROM vd
+UNION ALL SELECT id_b, 'B', preferred, confidence, reason, id_a, label FROM vd""")
+def q_pair_audit(spark, sf_dir):
+    return pw.audit_entries(_verdicts(spark, sf_dir).drop("ev"))
+
+
+@register("pair_prompts", f"""WITH {_PAIRS_SQL}, docs AS (SELECT doc_id, text FROM documents)
+SELECT p.label, p.id_a, p.id_b, 'Which text shows more ' || p.label || E'?\\nA: ' || a.text || E'\\nB: ' || b.text AS prompt
+FROM pairs p JOIN docs a ON p.id_a = a.doc_id JOIN docs b ON p.id_b = b.doc_id""")
+def q_pair_prompts(spark, sf_dir):
+    from corpusforge.operators import prompts as pr
+    pairs = pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS).drop("ev")
+    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text")
+    j = (pairs.join(docs.select(F.col("doc_id").alias("id_a"), F.col("text").alias("candidate_a")), "id_a")
+         .join(docs.select(F.col("doc_id").alias("id_b"), F.col("text").alias("candidate_b")), "id_b"))
+    tpl = "Which text shows more {label}?\nA: {candidate_a}\nB: {candidate_b}"
+    return j.select("label", "id_a", "id_b", pr.render(tpl, j.columns).alias("prompt"))
+
+
+# --- G: generation planning and prompts -------------------------------------------------------
+from corpusforge.operators import planning as pl  # noqa: E402
+from corpusforge.operators import prompts as pr  # noqa: E402
+
+# A sampler configuration in the shape of the original TOML tables (test fixture).
+PLAN_CONFIG = {
+    "response_schema_version": "v2",
+    "industries": {"values": ["Retail", "Finance", "Health"]},
+    "roles": ["Analyst", "Manager"],
+    "length_buckets": {"short": {"min_chars": 100, "max_chars": 400, "weight": 1.0},
+                       "long": {"min_chars": 800, "max_chars": 2000, "weight": 3.0}},
+    "styles": {"story": {"weight": 2.0, "cta_present": True, "emoji_count": 2},
+               "listicle": {"style_id": "list-v1", "buzzword_count": 5, "length_bucket": "long"},
+               "humble": {"style_id": " ", "has_explicit_humility_phrase": True, "length_bucket": "tiny"}},
+    "hashtags": {"default": {"values": [["#Growth", "Leadership", " "], "#AI", []]}},
+}
+PLAN_OVERRIDES = {"industry": "Finance", "role": "Chief", "length_bucket": "short", "hashtags": ["##Scale", "Ops"],
+                  "emoji_count": 9, "prompt_id": "", "seed": 0, "opening_hook_constraint": "start with a question"}
+PLAN_COLS = ["id", "prompt_id", "style_id", "industry", "role", "language", "length_bucket", "hashtags", "seed",
+             "cta_present", "emoji_count", "cliche_count", "buzzword_count", "has_explicit_humility_phrase",
+             "story_claims_verifiable", "response_schema_version", "opening_hook_constraint"]
+_IDS_SQL = "SELECT doc_id AS id FROM documents"
+
+
+def _cfg(**sampling):
+    c = dict(PLAN_CONFIG)
+    c["sampling"] = sampling
+    return pl.parse_config(c)
+
+
+def _plan(spark, sf_dir, cfg, overrides=None):
+    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    p = pl.plan(ids, cfg, overrides=overrides)
+    return p.withColumn("hashtags", pr.json_string_array("hashtags"))
+
+
+def _plan_sql(cfg, overrides=None):
+    sql = S.plan_sql(cfg, _IDS_SQL, overrides=overrides)
+    cols = ", ".join(f"{S.json_string_array('hashtags')} AS hashtags" if c == "hashtags" else c for c in PLAN_COLS)
+    return f"SELECT {cols} FROM ({sql})"
+
+
+@register("plan_rows", _plan_sql(_cfg()))
+def q_plan_rows(spark, sf_dir):
+    return _plan(spark, sf_dir, _cfg())
+
+
+@register("plan_coverage", _plan_sql(_cfg(ensure_label_coverage=True, shuffle_styles=True)))
+def q_plan_coverage(spark, sf_dir):
+    return _plan(spark, sf_dir, _cfg(ensure_label_coverage=True, shuffle_styles=True))
+
+
+@register("plan_cycle", _plan_sql(_cfg(shuffle_styles=True)))
+def q_plan_cycle(spark, sf_dir):
+    return _plan(spark, sf_dir, _cfg(shuffle_styles=True))
+
+
+@register("plan_overrides", _plan_sql(_cfg(), PLAN_OVERRIDES))
+def q_plan_overrides(spark, sf_dir):
+    return _plan(spark, sf_dir, _cfg(), PLAN_OVERRIDES)
+
+
+@register("plan_weighted", f"""SELECT style_id, length_bucket, count(*) AS n FROM ({_plan_sql(_cfg())}) GROUP BY ALL""")
+def q_plan_weighted(spark, sf_dir):
+    return _plan(spark, sf_dir, _cfg()).groupBy("style_id", "length_bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+PROMPT_TEMPLATE = ('Write a {length_bucket} post as a {role} in {industry}. Emojis: {emoji_count}. '
+                   'CTA: {cta_present}. Humble: {has_explicit_humility_phrase}. Tags: {hashtags}. '
+                   'Hook: {opening_hook_constraint}. Reply as {"text": "...", "seed": {seed}}')
+
+
+def _render_sql(template: str) -> str:
+    import re as _re
+    out, pos = [], 0
+    for m in _re.finditer(r"\{([A-Za-z_][A-Za-z0-9_]*)\}", template):
+        if m.start() > pos:
+            out.append(S.q(template[pos:m.start()]))
+        out.append(f"coalesce(CAST({m.group(1)} AS VARCHAR), '')")
+        pos = m.end()
+    if pos < len(template):
+        out.append(S.q(template[pos:]))
+    return " || ".join(out)
+
+
+_VALUES_SQL = f"""SELECT id, prompt_id, style_id, industry, role, language, length_bucket,
+    {S.json_string_array('hashtags')} AS hashtags, seed,
+    CASE WHEN cta_present THEN 'true' ELSE 'false' END AS cta_present, emoji_count, cliche_count, buzzword_count,
+    CASE WHEN has_explicit_humility_phrase THEN 'true' ELSE 'false' END AS has_explicit_humility_phrase,
+    CASE WHEN story_claims_verifiable THEN 'true' ELSE 'false' END AS story_claims_verifiable,
+    response_schema_version, coalesce(opening_hook_constraint, '') AS opening_hook_constraint
+FROM ({S.plan_sql(_cfg(), _IDS_SQL, overrides=PLAN_OVERRIDES)})"""
+
+
+def _prompt_values(spark, sf_dir):
+    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return pr.prompt_values(pl.plan(ids, _cfg(), overrides=PLAN_OVERRIDES))
+
+
+@register("prompt_values", _VALUES_SQL)
+def q_prompt_values(spark, sf_dir):
+    return _prompt_values(spark, sf_dir)
+
+
+@register("prompt_render", f"SELECT id, {_render_sql(PROMPT_TEMPLATE)} AS prompt FROM ({_VALUES_SQL})")
+def q_prompt_render(spark, sf_dir):
+    v = _prompt_values(spark, sf_dir)
+    return v.select("id", pr.render(PROMPT_TEMPLATE, v.columns).alias("prompt"))
+
+
+@register("judge_prompt", f"""SELECT doc_id, {S.q(pr.JUDGE_PREAMBLE)} || text AS prompt FROM documents""")
+def q_judge_prompt(spark, sf_dir):
+    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", pr.judge_prompt(docs).alias("prompt"))
+
+
+JUDGE_TEMPLATE = "Rate this {lang} text from {source}:\n{text}\n---"
+
+
+@register("judge_prompt_template", f"""SELECT doc_id, {_render_sql(JUDGE_TEMPLATE)} AS prompt FROM documents""")
+def q_judge_prompt_template(spark, sf_dir):
+    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return docs.select("doc_id", pr.judge_prompt(docs, JUDGE_TEMPLATE).alias("prompt"))
+
+
+MIX_RATIO = 0.1
+
+
+@register("mix_real", f"""WITH n AS (SELECT count(*) AS n, least(count(*), round_even(count(*) * {MIX_RATIO!r}::DOUBLE, 0))::BIGINT AS k FROM documents),
+syn AS (SELECT doc_id AS id, 'synthetic' AS source FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents), n WHERE r <= n.n - n.k),
+real AS (SELECT item_id AS id, 'real' AS source FROM (SELECT item_id, row_number() OVER (ORDER BY {S.hash48_sql('item_id', "'real'", '42')}, item_id) AS r FROM benchmark), n WHERE r <= n.k)
+SELECT * FROM syn UNION ALL SELECT * FROM real""")
+def q_mix_real(spark, sf_dir):
+    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    real = tb.load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"))
+    return pl.mix_real(ids, real, ids.count(), MIX_RATIO).select("id", "source")
+
+
+@register("lineage_metadata", f"""WITH p AS ({S.plan_sql(_cfg(), _IDS_SQL)})
+SELECT p.id, coalesce(CASE WHEN p.id % 3 = 0 THEN 'gen-' || CAST(p.id AS VARCHAR) END, p.prompt_id) AS prompt_id,
+       p.style_id, CAST(p.seed AS VARCHAR) AS seed, p.response_schema_version,
+       CASE WHEN p.cta_present THEN 'true' ELSE 'false' END AS cta_present, CAST(p.emoji_count AS VARCHAR) AS emoji_count,
+       p.length_bucket FROM p""")
+def q_lineage_metadata(spark, sf_dir):
+    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    plan_df = pl.plan(ids, _cfg())
+    gen = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.struct(
+        "text", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("gen-"), F.col("doc_id").cast("string"))).alias("prompt_id"),
+        F.lit(99).alias("emoji_count")).alias("generated"))
+    rows = gen.join(plan_df.select("id", F.struct(*[c for c in plan_df.columns if c != "id"]).alias("plan")), "id")
+    meta = pl.lineage_metadata(rows)
+    return rows.select("id", meta.alias("m")).select(
+        "id", "m.prompt.prompt_id", "m.prompt.style_id", "m.prompt.seed", "m.prompt.response_schema_version",
+        "m.style_controls.cta_present", "m.style_controls.emoji_count", "m.style_controls.length_bucket")

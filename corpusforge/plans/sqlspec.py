@@ -256,3 +256,106 @@ def label_issues_ctes(given_cte: str, probs_cte: str, prefix: str = "cl") -> str
                FROM {prefix}_d),
 {prefix}_issues AS (SELECT r.row_id, r.label FROM {prefix}_r r JOIN {prefix}_k k ON r.label = k.label AND r.s = k.s
                     WHERE r.rk <= k.k)"""
+
+
+def judgment_scores() -> str:
+    return (f"SELECT DISTINCT row_id, 'overall' AS label, round_even({unit_sql('row_id', chr(39) + 'overall' + chr(39))}, 6) AS p "
+            f"FROM ({label_probs()}) UNION ALL SELECT row_id, label, p FROM ({label_probs()})")
+
+
+def comparison_answers(pairs_cte: str) -> str:
+    key = ["id_a", "id_b", "label"]
+    u = lambda tag: unit_sql(*key, "'" + tag + "'")
+    return f"""SELECT label, id_a, id_b,
+    CASE WHEN {u('pref')} < 0.45 THEN 'A' WHEN {u('pref')} < 0.9 THEN 'B' ELSE 'tie' END AS preferred,
+    CASE WHEN {u('conf')} < 0.1 THEN 'unsure' ELSE '0.' || lpad(CAST(floor({u('c2')} * 100)::BIGINT AS VARCHAR), 2, '0') END AS confidence_raw,
+    'pair ' || CAST(id_a AS VARCHAR) || '-' || CAST(id_b AS VARCHAR) AS reason FROM {pairs_cte}"""
+
+
+# generation plan ---------------------------------------------------------------------
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return q(str(v))
+
+
+def _pick(values, idx: str) -> str:
+    return f"[{', '.join(_sql_lit(v) for v in values)}][({idx}) + 1]"
+
+
+def weighted_index(u: str, weights) -> str:
+    total = sum(weights)
+    cum, whens = 0.0, []
+    for i, w in enumerate(weights):
+        cum += w
+        whens.append(f"WHEN {u} * {float(total)!r} <= {cum!r} THEN {i}")
+    return f"(CASE {' '.join(whens)} ELSE {len(weights) - 1} END)"
+
+
+def plan_sql(cfg, ids_sql: str, seed: int = 42, overrides: dict | None = None) -> str:
+    """SQL twin of :func:`corpusforge.operators.planning.plan` over ``ids_sql(id)``."""
+    from corpusforge.operators.planning import KNOB_DEFAULTS, SEED_MAX, cycle_order, normalize_hashtags
+    ov = dict(overrides or {})
+    u = lambda t: unit_sql("id", q(t), str(seed))
+    names = [s[0] for s in cfg.styles]
+    n = len(names)
+    if cfg.ensure_label_coverage:
+        items = ", ".join(f"{{'h': {hash48_sql('id // ' + str(n), q('epoch-style'), q(nm), str(seed))}, 'i': {i}}}"
+                          for i, nm in enumerate(names))
+        si = f"(list_sort([{items}])[(id % {n}) + 1]).i"
+    elif cfg.shuffle_styles:
+        si = f"[{', '.join(str(i) for i in cycle_order(names, seed))}][(id % {n}) + 1]"
+    else:
+        si = weighted_index(u("style"), [s[2] for s in cfg.styles])
+
+    def preset(k):
+        vals = [s[1].get(k) for s in cfg.styles]
+        return _pick(vals, si) if any(v is not None for v in vals) else "NULL"
+
+    def choose(items, key, fallback):
+        o = ov.get(key)
+        if o and o in items:
+            return q(o)
+        if items:
+            return _pick(items, f"floor({u(key)} * {len(items)})::BIGINT")
+        return q(o or fallback)
+
+    bnames = [b[0] for b in cfg.buckets]
+    wanted = q(ov["length_bucket"]) if ov.get("length_bucket") else preset("length_bucket")
+    drawn = _pick(bnames, weighted_index(u("length_bucket"), [b[3] for b in cfg.buckets]))
+    blist = ", ".join(q(b) for b in bnames)
+    bucket = f"CASE WHEN ({wanted}) IN ({blist}) THEN ({wanted}) ELSE {drawn} END"
+    if ov.get("hashtags"):
+        hashtags = "[" + ", ".join(q(t) for t in normalize_hashtags(ov["hashtags"])) + "]::VARCHAR[]"
+    else:
+        sets = ", ".join("[" + ", ".join(q(t) for t in s) + "]::VARCHAR[]" for s in cfg.hashtag_sets)
+        hashtags = f"[{sets}][floor({u('hashtags')} * {len(cfg.hashtag_sets)})::BIGINT + 1]"
+    style_id = _pick(names, si)
+    prompt_id = q(ov["prompt_id"]) if ov.get("prompt_id") else f"printf('prompt-%s-%06d', {style_id}, id)"
+    seed_col = str(int(ov["seed"])) if ov.get("seed") else \
+        f"(1 + {hash48_sql('id', q('seed'), str(seed))} % {SEED_MAX})"
+
+    def knob(k, cast):
+        if k in ov:
+            return f"CAST({_sql_lit(ov[k])} AS {cast})"
+        return f"coalesce(CAST({preset(k)} AS {cast}), CAST({_sql_lit(KNOB_DEFAULTS[k])} AS {cast}))"
+
+    return f"""SELECT id::BIGINT AS id, {prompt_id} AS prompt_id, {style_id} AS style_id,
+    {choose(cfg.industries, 'industry', 'General')} AS industry, {choose(cfg.roles, 'role', 'Professional')} AS role,
+    {q(ov.get('language', 'en'))} AS language, {bucket} AS length_bucket, {hashtags} AS hashtags,
+    {seed_col}::BIGINT AS seed, {knob('cta_present', 'BOOLEAN')} AS cta_present,
+    {knob('emoji_count', 'INTEGER')} AS emoji_count, {knob('cliche_count', 'INTEGER')} AS cliche_count,
+    {knob('buzzword_count', 'INTEGER')} AS buzzword_count,
+    {knob('has_explicit_humility_phrase', 'BOOLEAN')} AS has_explicit_humility_phrase,
+    {knob('story_claims_verifiable', 'BOOLEAN')} AS story_claims_verifiable,
+    {q(cfg.response_schema_version)} AS response_schema_version,
+    {_sql_lit(ov.get('opening_hook_constraint'))}::VARCHAR AS opening_hook_constraint FROM ({ids_sql})"""
+
+
+def json_string_array(e: str) -> str:
+    esc = "lambda x: '\"' || replace(replace(x, '\\', '\\\\'), '\"', '\\\"') || '\"'"
+    return f"('[' || array_to_string(list_transform({e}, {esc}), ', ') || ']')"

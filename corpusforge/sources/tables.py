@@ -121,3 +121,24 @@ def given_labels(spark: SparkSession, sf_dir: str, flip_rate: float = 0.05) -> D
     t = label_truth(spark, sf_dir)
     flip = unit(F.col("row_id"), F.col("label"), F.lit("flip")) < flip_rate
     return t.select("row_id", "label", F.when(flip, 1 - F.col("y")).otherwise(F.col("y")).alias("y"))
+
+
+def judgment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, label, p)``: the label probabilities plus an ``overall`` score per judged row."""
+    probs = label_probs(spark, sf_dir).select("row_id", "label", "p")
+    overall = probs.select("row_id").distinct().select(
+        "row_id", F.lit("overall").alias("label"), F.bround(unit(F.col("row_id"), F.lit("overall")), 6).alias("p"))
+    return overall.unionByName(probs)
+
+
+def comparison_answers(pairs: DataFrame) -> DataFrame:
+    """Deterministic stand-in for the comparison model's answers on a pairs table:
+    preferred A (45%), B (45%) or tie; confidence text "0.NN" or "unsure" (10%)."""
+    key = [F.col("id_a"), F.col("id_b"), F.col("label")]
+    u = unit(*key, F.lit("pref"))
+    conf = F.when(unit(*key, F.lit("conf")) < 0.1, F.lit("unsure")).otherwise(
+        F.concat(F.lit("0."), F.lpad(F.floor(unit(*key, F.lit("c2")) * 100).cast("string"), 2, "0")))
+    return pairs.select("label", "id_a", "id_b",
+                        F.when(u < 0.45, "A").when(u < 0.9, "B").otherwise("tie").alias("preferred"),
+                        conf.alias("confidence_raw"),
+                        F.concat(F.lit("pair "), F.col("id_a").cast("string"), F.lit("-"), F.col("id_b").cast("string")).alias("reason"))
