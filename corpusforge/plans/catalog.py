@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
@@ -764,3 +764,191 @@ def q_lineage_metadata(spark, sf_dir):
     return rows.select("id", meta.alias("m")).select(
         "id", "m.prompt.prompt_id", "m.prompt.style_id", "m.prompt.seed", "m.prompt.response_schema_version",
         "m.style_controls.cta_present", "m.style_controls.emoji_count", "m.style_controls.length_bucket")
+
+
+# --- R / V: responses and validation ------------------------------------------------------------
+from corpusforge.functions import schema as sc  # noqa: E402
+from corpusforge.operators import responses as rs  # noqa: E402
+
+GEN_SCHEMA = {
+    "type": "object", "additionalProperties": False,
+    "required": ["text", "language", "emoji_count", "hashtags", "cta_present"],
+    "properties": {
+        "text": {"type": "string", "minLength": 100, "maxLength": 3000},
+        "language": {"type": "string", "enum": ["en", "de", "fr"]},
+        "emoji_count": {"type": "integer", "minimum": 0, "maximum": 20},
+        "hashtags": {"type": "array", "maxItems": 4, "items": {"type": "string", "maxLength": 10}},
+        "cta_present": {"type": "boolean"},
+    },
+}
+
+
+def generated_json(spark, sf_dir):
+    """JSON answers built from ``documents``; variant ``doc_id % 8`` breaks one rule each."""
+    d = tb.load(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 8
+    tags = F.array(F.col("source"), F.col("lang"))
+    base = dict(text=F.col("text"), language=F.col("lang"), emoji_count=F.col("n_chars") % 25, hashtags=tags,
+                cta_present=(F.col("doc_id") % 2 == 0))
+
+    def obj(**over):
+        fields = dict(base)
+        fields.update(over)
+        return F.to_json(F.struct(*[v.alias(n) for n, v in fields.items() if v is not None]),
+                         {"ignoreNullFields": "false"})
+    raw = (F.when(k == 1, obj(emoji_count=(F.col("n_chars") % 25).cast("double")))
+           .when(k == 2, obj(emoji_count=F.lit(True)))
+           .when(k == 3, obj(language=None))
+           .when(k == 4, obj(extra=F.lit(1)))
+           .when(k == 5, obj(language=F.lit(None).cast("string")))
+           .when(k == 6, obj(hashtags=F.array(*[F.lit(x) for x in ["a", "b", "c", "d", "e"]])))
+           .when(k == 7, obj(text=F.col("n_chars")))
+           .otherwise(obj()))
+    return d.select("doc_id", raw.alias("generated_raw"))
+
+
+_GEN_SQL = """gen AS (SELECT doc_id, CASE doc_id % 8
+  WHEN 1 THEN json_object('text', text, 'language', lang, 'emoji_count', (n_chars % 25)::DOUBLE, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  WHEN 2 THEN json_object('text', text, 'language', lang, 'emoji_count', TRUE, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  WHEN 3 THEN json_object('text', text, 'emoji_count', n_chars % 25, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  WHEN 4 THEN json_object('text', text, 'language', lang, 'emoji_count', n_chars % 25, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0, 'extra', 1)
+  WHEN 5 THEN json_object('text', text, 'language', NULL, 'emoji_count', n_chars % 25, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  WHEN 6 THEN json_object('text', text, 'language', lang, 'emoji_count', n_chars % 25, 'hashtags', ['a', 'b', 'c', 'd', 'e'], 'cta_present', doc_id % 2 = 0)
+  WHEN 7 THEN json_object('text', n_chars, 'language', lang, 'emoji_count', n_chars % 25, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  ELSE json_object('text', text, 'language', lang, 'emoji_count', n_chars % 25, 'hashtags', [source, lang], 'cta_present', doc_id % 2 = 0)
+  END AS raw FROM documents),
+chk AS (SELECT doc_id, coalesce(json_valid(raw) AND json_type(raw) = 'OBJECT'
+  AND json_exists(raw, '$.text') AND json_exists(raw, '$.language') AND json_exists(raw, '$.emoji_count')
+  AND json_exists(raw, '$.hashtags') AND json_exists(raw, '$.cta_present')
+  AND len(list_filter(json_keys(raw), lambda k: k NOT IN ('text', 'language', 'emoji_count', 'hashtags', 'cta_present'))) = 0
+  AND json_type(raw, '$.text') = 'VARCHAR' AND length(json_extract_string(raw, '$.text')) BETWEEN 100 AND 3000
+  AND json_type(raw, '$.language') = 'VARCHAR' AND json_extract_string(raw, '$.language') IN ('en', 'de', 'fr')
+  AND json_type(raw, '$.emoji_count') IN ('BIGINT', 'UBIGINT', 'DOUBLE')
+  AND json_extract(raw, '$.emoji_count')::DOUBLE = floor(json_extract(raw, '$.emoji_count')::DOUBLE)
+  AND json_extract(raw, '$.emoji_count')::DOUBLE BETWEEN 0 AND 20
+  AND json_type(raw, '$.hashtags') = 'ARRAY' AND json_array_length(raw, '$.hashtags') <= 4
+  AND list_bool_and(list_transform(json_extract(raw, '$.hashtags[*]'),
+        lambda x: json_type(x) = 'VARCHAR' AND length(json_extract_string(x, '$')) <= 10))
+  AND json_type(raw, '$.cta_present') = 'BOOLEAN', FALSE) AS valid FROM gen)"""
+
+
+def _gen_valid(spark, sf_dir):
+    g = generated_json(spark, sf_dir)
+    return g.select("doc_id", rs.row_valid(F.col("generated_raw"), None, GEN_SCHEMA, None).alias("valid"))
+
+
+@register("validate_rows", f"WITH {_GEN_SQL} SELECT doc_id, valid FROM chk")
+def q_validate_rows(spark, sf_dir):
+    return _gen_valid(spark, sf_dir)
+
+
+@register("validate_report", f"""WITH {_GEN_SQL} SELECT count(*) AS total, count(*) FILTER (WHERE valid) AS valid,
+    count(*) FILTER (WHERE NOT valid) AS invalid FROM chk""")
+def q_validate_report(spark, sf_dir):
+    v = _gen_valid(spark, sf_dir)
+    return rs.validation_report(v, F.col("valid"))
+
+
+@register("validate_filter", f"WITH {_GEN_SQL} SELECT doc_id FROM chk WHERE valid")
+def q_validate_filter(spark, sf_dir):
+    g = generated_json(spark, sf_dir)
+    return g.filter(rs.row_valid(F.col("generated_raw"), None, GEN_SCHEMA, None)).select("doc_id")
+
+
+_RAW_EVENTS = """raw_ev AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN props
+    WHEN 1 THEN 'Sure! Here it is: ' || props || ' Hope it helps.'
+    WHEN 2 THEN E'```json\\n' || props || E'\\n```'
+    ELSE 'no json here {broken' END AS raw FROM events)"""
+
+
+def _raw_events(spark, sf_dir):
+    e = tb.load(spark, sf_dir, "events")
+    k = F.col("event_id") % 4
+    raw = (F.when(k == 0, F.col("props"))
+           .when(k == 1, F.concat(F.lit("Sure! Here it is: "), F.col("props"), F.lit(" Hope it helps.")))
+           .when(k == 2, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```")))
+           .otherwise(F.lit("no json here {broken")))
+    return e.select("event_id", raw.alias("raw"))
+
+
+@register("json_extract", f"""WITH {_RAW_EVENTS},
+t AS (SELECT event_id, {S.strip_ws('raw')} AS t FROM raw_ev),
+x AS (SELECT event_id, CASE WHEN json_valid(t) THEN t
+        WHEN regexp_extract(t, '(?s)\\{{.*\\}}', 0) <> '' AND json_valid(regexp_extract(t, '(?s)\\{{.*\\}}', 0))
+        THEN regexp_extract(t, '(?s)\\{{.*\\}}', 0) END AS json FROM t)
+SELECT event_id, json, json_extract(json, '$.k')::BIGINT AS k FROM x""")
+def q_json_extract(spark, sf_dir):
+    j = _raw_events(spark, sf_dir).select("event_id", rs.extract_json(F.col("raw")).alias("json"))
+    return j.select("event_id", "json", F.try_variant_get(F.try_parse_json("json"), "$.k", "bigint").alias("k"))
+
+
+_CONV_RESP = """resp AS (SELECT conv_id AS request_id, turn, text AS raw,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS attempt_no FROM conversations WHERE role = 'assistant')"""
+
+
+def _assistant_responses(spark, sf_dir):
+    c = tb.load(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return c.select(F.col("conv_id").alias("request_id"), "turn", F.col("text").alias("raw"),
+                    F.row_number().over(w).alias("attempt_no"))
+
+
+@register("k_valid_samples", f"""WITH {_CONV_RESP}
+SELECT request_id AS conv_id, sample_no, turn FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY attempt_no) - 1 AS sample_no FROM resp
+  WHERE attempt_no <= 4 AND length(raw) BETWEEN 100 AND 1500) WHERE sample_no < 2""")
+def q_k_valid_samples(spark, sf_dir):
+    r = _assistant_responses(spark, sf_dir)
+    valid = F.length("raw").between(100, 1500)
+    return rs.k_valid_samples(r, valid, k=2, max_retries=2).select(
+        F.col("request_id").alias("conv_id"), F.col("sample_no").cast("int").alias("sample_no"), "turn")
+
+
+_BACKUP_RESP = """resp AS (SELECT conv_id AS request_id, turn, text AS raw,
+    CASE WHEN role = 'assistant' THEN 'primary' ELSE 'backup' END AS variant,
+    CASE WHEN role = 'assistant' THEN 0 ELSE 1 END AS variant_priority,
+    row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS attempt_no
+    FROM conversations WHERE role IN ('assistant', 'user')),
+chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY variant_priority, attempt_no) AS rn
+    FROM resp WHERE attempt_no <= 2 AND length(raw) >= 600) WHERE rn = 1)"""
+
+
+def _backup_responses(spark, sf_dir):
+    c = tb.load(spark, sf_dir, "conversations").filter(F.col("role").isin("assistant", "user"))
+    w = Window.partitionBy("conv_id", "role").orderBy("turn")
+    prim = F.col("role") == "assistant"
+    return c.select(F.col("conv_id").alias("request_id"), "turn", F.col("text").alias("raw"),
+                    F.when(prim, "primary").otherwise("backup").alias("variant"),
+                    F.when(prim, 0).otherwise(1).alias("variant_priority"),
+                    F.row_number().over(w).alias("attempt_no"))
+
+
+def _chosen(spark, sf_dir):
+    return rs.first_valid_with_backup(_backup_responses(spark, sf_dir), F.length("raw") >= 600, retry_limit=1)
+
+
+@register("first_valid_backup", f"WITH {_BACKUP_RESP} SELECT request_id AS conv_id, variant, attempt_no, turn FROM chosen")
+def q_first_valid_backup(spark, sf_dir):
+    return _chosen(spark, sf_dir).select(F.col("request_id").alias("conv_id"), "variant",
+                                         F.col("attempt_no").cast("bigint").alias("attempt_no"), "turn")
+
+
+@register("failure_policy", f"""WITH {_BACKUP_RESP}, req AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT req.conv_id, chosen.variant, chosen.turn FROM req LEFT JOIN chosen ON req.conv_id = chosen.request_id""")
+def q_failure_policy(spark, sf_dir):
+    req = tb.load(spark, sf_dir, "conversations").select("conv_id").distinct()
+    ch = _chosen(spark, sf_dir).select(F.col("request_id").alias("conv_id"), "variant", "turn")
+    return rs.apply_failure_policy(req, ch, "conv_id", policy="null")
+
+
+def _echo_model(pdf):
+    import pandas as _pd
+    return _pd.DataFrame({"request_id": pdf["conv_id"].astype("int64"), "turn": pdf["turn"].astype("int64"),
+                          "raw": ['{"chars": %d}' % len(t) for t in pdf["text"]]})
+
+
+@register("model_call_hook")
+def q_model_call_hook(spark, sf_dir):
+    """A user function over prompt batches returns a responses table (rows-only check)."""
+    prompts = tb.load(spark, sf_dir, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    return rs.call_model(prompts, _echo_model, "request_id bigint, turn bigint, raw string")

@@ -359,3 +359,7 @@ def plan_sql(cfg, ids_sql: str, seed: int = 42, overrides: dict | None = None) -
 def json_string_array(e: str) -> str:
     esc = "lambda x: '\"' || replace(replace(x, '\\', '\\\\'), '\"', '\\\"') || '\"'"
     return f"('[' || array_to_string(list_transform({e}, {esc}), ', ') || ']')"
+
+
+def strip_ws(e: str) -> str:
+    return f"regexp_replace({e}, {q('^' + tx.WHITESPACE_CLASS + '+|' + tx.WHITESPACE_CLASS + '+$')}, '', 'g')"
