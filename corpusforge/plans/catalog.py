@@ -952,3 +952,102 @@ def q_model_call_hook(spark, sf_dir):
     """A user function over prompt batches returns a responses table (rows-only check)."""
     prompts = tb.load(spark, sf_dir, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
     return rs.call_model(prompts, _echo_model, "request_id bigint, turn bigint, raw string")
+
+
+# --- S / Z: sources, sinks, streaming, composite jobs --------------------------------------------------
+from corpusforge.plans import jobs as jb  # noqa: E402
+from corpusforge.sources import jsonl as jl  # noqa: E402
+from corpusforge.streaming import rowwise as st  # noqa: E402
+
+
+@register("jsonl_roundtrip", f"WITH {NOISY} SELECT doc_id, text, lang FROM noisy")
+def q_jsonl_roundtrip(spark, sf_dir):
+    path = jl.scratch_path(spark, "generated")
+    jl.write_jsonl(_noisy(spark, sf_dir).select("doc_id", "text", "lang"), path)
+    return jl.read_jsonl(spark, path, "doc_id bigint, text string, lang string")
+
+
+@register("splits_sink", _PROCESS_SQL + "\nSELECT o.split, count(*) AS n FROM ss_out o GROUP BY o.split")
+def q_splits_sink(spark, sf_dir):
+    path = jl.scratch_path(spark, "splits")
+    jl.write_splits(process_documents_rows(spark, sf_dir).select("doc_id", "text", "split"), path)
+    back = jl.read_splits(spark, path, "doc_id bigint, text string, split string")
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("calib_params_roundtrip", f"""WITH {PROBS} SELECT label AS key, 'platt' AS method FROM probs GROUP BY label
+    HAVING count(DISTINCT y) >= 2""")
+def q_calib_params_roundtrip(spark, sf_dir):
+    params = cb.fit(_pairs(spark, sf_dir), tb.LABELS, method="platt")
+    path = jl.scratch_path(spark, "calibration")
+    cb.save_params(params, path)
+    return cb.load_params(spark, path).select("key", "method")
+
+
+@register("stream_clean", f"""WITH {NOISY} SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text,
+    {S.emoji_density(S.clean_text('text', boilerplate=True))} AS emoji_density FROM noisy""")
+def q_stream_clean(spark, sf_dir):
+    """Row-wise process stages on a Structured Streaming source (parquet files of documents)."""
+    schema = tb.load(spark, sf_dir, "documents").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    k = (F.col("doc_id") % len(tb.NOISE_PREFIXES) + 1).cast("int")
+    noisy = stream.select("doc_id", F.concat(F.element_at(F.array(*[F.lit(x) for x in tb.NOISE_PREFIXES]), k), F.col("text"),
+                                             F.element_at(F.array(*[F.lit(x) for x in tb.NOISE_SUFFIXES]), k)).alias("text"))
+    staged = st.row_stages(noisy, clean={"boilerplate": True}, emoji={})
+    return st.run_to_table(spark, staged, "stream-clean")
+
+
+_JUDGE_SQL = f"""WITH RECURSIVE {JS},
+j0 AS (SELECT row_id, label, greatest(least(avg(prob), 1.0), 0.0) AS p FROM js WHERE judge_no = 0 GROUP BY ALL
+       HAVING avg(prob) IS NOT NULL),
+cands AS (SELECT * FROM j0 WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.05),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS r FROM cands),
+pairs AS (SELECT label, min(row_id) AS id_a, max(row_id) AS id_b FROM rk GROUP BY label, (r - 1) // 2 HAVING count(*) = 2),
+ans AS ({S.comparison_answers('pairs')}),
+vd AS (SELECT label, id_a, id_b, preferred, coalesce(TRY_CAST(confidence_raw AS DOUBLE), 0.5) AS confidence FROM ans),
+ev AS (SELECT label, id_b AS ev, list_position([{_TRIG_SQL}], label) - 1 AS lp, id_a AS row_id,
+              CASE WHEN preferred = 'A' THEN 0.15 * confidence ELSE -0.15 * confidence END AS d FROM vd WHERE preferred IN ('A', 'B')
+       UNION ALL
+       SELECT label, id_b, list_position([{_TRIG_SQL}], label) - 1, id_b,
+              CASE WHEN preferred = 'B' THEN 0.15 * confidence ELSE -0.15 * confidence END FROM vd WHERE preferred IN ('A', 'B')),
+tg AS (SELECT row_id, ev, lp, 'overall' AS key, d FROM ev WHERE label = 'overall'
+       UNION ALL SELECT e.row_id, e.ev, e.lp, s.label, e.d * 0.5 FROM ev e JOIN j0 s ON e.row_id = s.row_id
+                 WHERE e.label = 'overall' AND s.label <> 'overall'
+       UNION ALL SELECT row_id, ev, lp, label, d * 0.5 FROM ev WHERE label <> 'overall'),
+sq AS (SELECT row_id, key, list(d ORDER BY ev, lp) AS ds FROM tg GROUP BY ALL)
+SELECT s.row_id, s.label, round_even(CASE WHEN sq.ds IS NULL THEN s.p ELSE
+       list_reduce(list_prepend(s.p, sq.ds), lambda acc, x: greatest(0.0, least(1.0, acc + x))) END, 9) AS p
+FROM j0 s LEFT JOIN sq ON s.row_id = sq.row_id AND s.label = sq.key"""
+
+
+@register("judge_job", _JUDGE_SQL)
+def q_judge_job(spark, sf_dir):
+    samples = _js(spark, sf_dir).filter(F.col("judge_no") == 0)
+    out = jb.judge(samples, trigger_labels=TRIGGERS, pairwise=P2_OPTS, answers_fn=tb.comparison_answers)
+    return out.select("row_id", "label", F.bround("p", 9).alias("p"))
+
+
+GEN_TEMPLATE = "Write a {length_bucket} post for a {role} in {industry} with {emoji_count} emojis."
+
+
+def _toy_generator(pdf):
+    """Stands in for a provider client: two attempts per request, the first one malformed."""
+    import json as _json
+    import pandas as _pd
+    rows = []
+    for rid, user in zip(pdf["request_id"].tolist(), pdf["user"].tolist()):
+        rows.append((rid, "primary", 0, 1, "not json"))
+        rows.append((rid, "primary", 0, 2, _json.dumps({"text": user, "language": "en"})))
+    return _pd.DataFrame(rows, columns=["request_id", "variant", "variant_priority", "attempt_no", "raw"])
+
+
+@register("generate_job")
+def q_generate_job(spark, sf_dir):
+    """Z1 over one plan row per document with a stand-in model hook (rows-only check)."""
+    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    plan_df = pl.plan(ids, _cfg())
+    out = jb.generate(plan_df, GEN_TEMPLATE, _toy_generator,
+                      response_schema="request_id bigint, variant string, variant_priority int, attempt_no int, raw string",
+                      valid=F.try_parse_json(F.col("raw")).isNotNull(), retry_limit=3)
+    return out.select("request_id", "style_id", "variant", "attempt_no", "raw")

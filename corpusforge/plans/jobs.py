@@ -51,3 +51,41 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
                                 seed=sp.get("seed", 42)).drop("_has_labels")
     return random_split(out, order_col, val_ratio=sp.get("val_ratio", 0.15),
                         test_ratio=sp.get("test_ratio", 0.15), seed=sp.get("seed", 42))
+
+
+def generate(plan_df: DataFrame, template: str, model_fn, *, response_schema: str,
+             valid: Column | None = None, retry_limit: int = 3, failure_policy: str = "drop",
+             system: str = "") -> DataFrame:
+    """Z1 ``generate``: plan rows -> prompts -> user model hook -> first valid answer (with
+    backup) -> failure policy.  ``model_fn`` maps a pandas batch of
+    ``(request_id, system, user)`` to rows of ``response_schema`` (which must contain
+    ``request_id, variant_priority, attempt_no, raw``)."""
+    from corpusforge.operators.prompts import prompt_values, render
+    from corpusforge.operators.responses import apply_failure_policy, call_model, first_valid_with_backup
+
+    values = prompt_values(plan_df)
+    prompts = values.select(F.col("id").alias("request_id"), F.lit(system).alias("system"),
+                            render(template, values.columns).alias("user"))
+    responses = call_model(prompts, model_fn, response_schema)
+    chosen = first_valid_with_backup(responses, F.lit(True) if valid is None else valid, retry_limit=retry_limit)
+    return apply_failure_policy(plan_df.withColumnRenamed("id", "request_id"), chosen, "request_id", failure_policy)
+
+
+def judge(samples: DataFrame, *, scores_key: str = "label", aggregation: str = "mean",
+          trigger_labels: list[str] | None = None, pairwise: dict | None = None, answers_fn=None) -> DataFrame:
+    """Z2 ``judge``: long judge samples ``(row_id, sample_no, label, prob)`` -> per-row scores
+    (A1, clamped to [0, 1]) -> optional pairwise resolution of borderline rows (P1-P5).
+
+    ``answers_fn(pairs) -> (label, id_a, id_b, preferred, confidence_raw, reason)`` stands for
+    the comparison model."""
+    from corpusforge.operators.aggregate import aggregate_numeric
+    from corpusforge.operators.pairwise import pair_rows, shift_probabilities, verdicts
+
+    scores = aggregate_numeric(samples, ["row_id", scores_key], "prob", how=aggregation, minimum=0, maximum=1,
+                               out="p")
+    if not pairwise or answers_fn is None:
+        return scores
+    labels = trigger_labels or ["overall"]
+    pairs = pair_rows(scores, labels, **pairwise)
+    v = verdicts(pairs, answers_fn(pairs.select("label", "id_a", "id_b")))
+    return shift_probabilities(scores, v, labels)
