@@ -20,6 +20,7 @@ Plan at scale
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusforge.functions.hashing import hash48_py
 from corpusforge.functions.text import WHITESPACE_CLASS, word_tokens
 from corpusforge.session import cut_lineage
 
@@ -94,54 +94,123 @@ def shingle_hashes(shingle_array: Column) -> Column:
 
 
 # D4 -------------------------------------------------------------------------------------
-@lru_cache(maxsize=None)
-def minhash_params(num_perm: int = 128, seed: int = 1) -> tuple[tuple[int, ...], tuple[int, ...]]:
-    """Permutation coefficients ``a_i in [1, p-1]``, ``b_i in [0, p-1]``, from the portable hash."""
-    a = tuple(1 + hash48_py("minhash-a", seed, i) % (MERSENNE31 - 1) for i in range(num_perm))
-    b = tuple(hash48_py("minhash-b", seed, i) % MERSENNE31 for i in range(num_perm))
-    return a, b
+# A shingle is identified by the rolling (Horner) hash of its token hashes,
+#   x = (((t1 * R + t2) * R + t3) ...) mod (2^31 - 1),  t = md5-derived 31-bit token hash,
+# i.e. a hash of the n-gram as a token sequence (tokens never contain blanks, so these are
+# the same sets as the joined n-gram strings).  A text shorter than n tokens is one shingle
+# of all its tokens; no tokens gives the empty shingle, hash 0.  Each of the ``num_perm``
+# hash functions is multiply-shift: ``h(x) = ((a x + b) mod 2^64) >> 32``.
+ROLL_BASE = 1_000_003
+
+
+def token_hashes(tokens: Column) -> Column:
+    """md5-derived 31-bit hash of every token (JVM, one expression per element)."""
+    return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint")
+                       % F.lit(MERSENNE31))
+
+
+def char_codes(text) -> Column:
+    """Code points (+1) of the lower-cased, whitespace-collapsed text, for char shingles."""
+    chars = F.regexp_extract_all(char_normalize(text), F.lit("(?s)."), 0)
+    return F.transform(chars, lambda c: F.ascii(c).cast("bigint") + F.lit(1))
 
 
-def _signature_block(flat: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray,
-                     budget: int = 1 << 22) -> np.ndarray:
-    """Row-wise min of ``(a x + b) mod p`` for the concatenated hash arrays of many rows."""
+@lru_cache(maxsize=None)
+def minhash_params(num_perm: int = 128, seed: int = 1) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """Multiply-shift coefficients: odd 64-bit ``a_i`` and 64-bit ``b_i`` from md5 of a tag."""
+    def h64(tag: str, i: int) -> int:
+        return int(hashlib.md5(f"{tag}:{seed}:{i}".encode()).hexdigest()[:16], 16)
+    return (tuple(h64("minhash-a", i) | 1 for i in range(num_perm)),
+            tuple(h64("minhash-b", i) for i in range(num_perm)))
+
+
+def _rolling(flat: np.ndarray, n: int) -> np.ndarray:
+    """Horner hash of every length-n window of ``flat`` (vectorised over all windows)."""
+    m = flat.shape[0] - n + 1
+    if m <= 0:
+        return np.empty(0, dtype=np.int64)
+    s = flat[:m].copy()
+    for j in range(1, n):
+        s *= ROLL_BASE
+        s += flat[j:j + m]
+        np.remainder(s, MERSENNE31, out=s)
+    return s
+
+
+def shingle_ids(tok: np.ndarray, lens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of many texts from their concatenated token hashes:
+    ``(x, starts)`` = all shingle hashes and the offset of each text's first one."""
+    offs = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
+    win = _rolling(tok, n)
+    counts = np.where(lens >= n, lens - n + 1, 1)
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+    x = np.empty(int(counts.sum()), dtype=np.int64)
+    for i in range(lens.shape[0]):     # one slice copy per text; the windows are vectorised
+        L = int(lens[i])
+        if L >= n:
+            x[starts[i]:starts[i] + L - n + 1] = win[offs[i]:offs[i] + L - n + 1]
+        else:                          # short text: one shingle of all its tokens
+            v = 0
+            for t in tok[offs[i]:offs[i] + L].tolist():
+                v = (v * ROLL_BASE + t) % MERSENNE31
+            x[starts[i]] = v
+    return x, starts
+
+
+def _minhash_block(x: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray,
+                   budget: int = 1 << 21) -> np.ndarray:
+    """Per text, the min over its shingles of ``((a x + b) mod 2^64) >> 32`` for every (a, b)."""
     k = a.shape[0]
-    out = np.empty((starts.shape[0], k), dtype=np.int64)
-    step = max(1, budget // max(1, flat.shape[0]))
+    xu = x.astype(np.uint64)
+    out = np.empty((starts.shape[0], k), dtype=np.uint64)
+    step = max(1, min(k, budget // max(1, xu.shape[0])))
+    buf = np.empty((step, xu.shape[0]), dtype=np.uint64)
+    shift = np.uint64(32)
     for lo in range(0, k, step):
         hi = min(k, lo + step)
-        hv = (a[lo:hi, None] * flat[None, :] + b[lo:hi, None]) % MERSENNE31
-        out[:, lo:hi] = np.minimum.reduceat(hv, starts, axis=1).T
-    return out
+        h = buf[:hi - lo]
+        np.multiply(a[lo:hi, None], xu[None, :], out=h)
+        h += b[lo:hi, None]
+        h >>= shift
+        out[:, lo:hi] = np.minimum.reduceat(h, starts, axis=1).T
+    return out.astype(np.int64)
 
 
-def minhash_signature(hashes: Column, num_perm: int = 128, seed: int = 1) -> Column:
-    """MinHash signature ``array<bigint>[num_perm]`` of an ``array<bigint>`` of shingle hashes."""
+def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram: int = 5) -> Column:
+    """MinHash signature ``array<bigint>[num_perm]`` of an ``array<bigint>`` of token hashes
+    (Arrow batches into NumPy; no per-shingle Python)."""
     a_t, b_t = minhash_params(num_perm, seed)
-    a = np.asarray(a_t, dtype=np.int64)
-    b = np.asarray(b_t, dtype=np.int64)
-    row_budget = 1 << 20  # hashes per NumPy block, bounds worker memory per batch
+    a = np.asarray(a_t, dtype=np.uint64)
+    b = np.asarray(b_t, dtype=np.uint64)
+    n = max(1, int(n_gram))
+    row_budget = 1 << 18  # tokens per NumPy block: bounds worker memory per batch
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def _sig(xs: pd.Series) -> pd.Series:
-        n = len(xs)
-        out = np.full((n, num_perm), MERSENNE31, dtype=np.int64)
-        lens = np.fromiter((0 if v is None else len(v) for v in xs), dtype=np.int64, count=n)
+        rows = len(xs)
+        out = np.empty((rows, num_perm), dtype=np.int64)
+        lens = np.fromiter((0 if v is None else len(v) for v in xs), dtype=np.int64, count=rows)
         lo = 0
-        while lo < n:
+        while lo < rows:
             hi, total = lo, 0
-            while hi < n and (hi == lo or total + lens[hi] <= row_budget):
+            while hi < rows and (hi == lo or total + lens[hi] <= row_budget):
                 total += lens[hi]
                 hi += 1
-            rows = [i for i in range(lo, hi) if lens[i] > 0]
-            if rows:
-                flat = np.concatenate([np.asarray(xs.iat[i], dtype=np.int64) for i in rows])
-                starts = np.concatenate([[0], np.cumsum(lens[rows])[:-1]])
-                out[rows] = _signature_block(flat, starts, a, b)
+            parts = [np.asarray(xs.iat[i], dtype=np.int64) for i in range(lo, hi) if lens[i] > 0]
+            tok = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
+            x, starts = shingle_ids(tok, lens[lo:hi], n)
+            out[lo:hi] = _minhash_block(x, starts, a, b)
             lo = hi
         return pd.Series(list(out))
 
-    return _sig(hashes)
+    return _sig(tokens)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that produced fewer partitions than the cluster has cores (a few
+    large row groups) before CPU-heavy per-row work; a scan of many files is untouched."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 # D6 -------------------------------------------------------------------------------------
@@ -185,8 +254,9 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
     """``(order_col, sig)`` for rows with non-empty text (empty text is never indexed)."""
     idx = df.select(F.col(order_col).alias(order_col), text.alias("_t")).filter(
         F.col("_t").isNotNull() & (F.length("_t") > 0))
-    sh = with_shingles(idx, F.col("_t"), "_sh", n_gram, level)
-    return sh.select(order_col, minhash_signature(shingle_hashes(F.col("_sh")), num_perm, seed).alias("sig"))
+    toks = char_codes(F.col("_t")) if level == "char" else token_hashes(word_tokens(F.col("_t")))
+    staged = spread(idx).select(order_col, toks.alias("_tok"))
+    return staged.select(order_col, minhash_signature(F.col("_tok"), num_perm, seed, n_gram).alias("sig"))
 
 
 def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from corpusforge.functions import text as tx
 from corpusforge.functions.hashing import hash48_sql, unit_sql
-from corpusforge.operators.dedup import MERSENNE31, lsh_params, minhash_params
+from corpusforge.operators.dedup import MERSENNE31, ROLL_BASE, lsh_params, minhash_params
 from corpusforge.sources.tables import LABELS, NOISE_PREFIXES, NOISE_SUFFIXES
 
 
@@ -104,24 +104,33 @@ def shingles_cte(name: str, src: str, id_col: str, text_expr: str, n: int = 5, l
 {name} AS (SELECT id, {sh} AS s FROM {name}_tok)"""
 
 
-def shingle_hash(e: str) -> str:
-    return f"(('0x' || substr(md5({e}), 1, 8))::BIGINT % {MERSENNE31})"
-
-
 def perms_table(num_perm: int = 128, seed: int = 1) -> str:
+    """Multiply-shift coefficients split into 32-bit halves so the hash stays in BIGINT:
+    ((a x + b) mod 2^64) >> 32 = ((ah x mod 2^32) + bh + ((al x + bl) >> 32)) mod 2^32."""
     a, b = minhash_params(num_perm, seed)
-    rows = ", ".join(f"({i}, {a[i]}, {b[i]})" for i in range(num_perm))
-    return f"SELECT * FROM (VALUES {rows}) AS t(perm, a, b)"
+    m = (1 << 32) - 1
+    rows = ", ".join(f"({i}, {a[i] >> 32}, {a[i] & m}, {b[i] >> 32}, {b[i] & m})" for i in range(num_perm))
+    return f"SELECT * FROM (VALUES {rows}) AS t(perm, ah, al, bh, bl)"
 
 
 def minhash_ctes(src: str, id_col: str, text_expr: str, *, num_perm: int = 128, n_gram: int = 5,
                  level: str = "word", seed: int = 1, prefix: str = "mh") -> str:
-    """CTEs ``{prefix}_sh(id, sh)``, ``{prefix}_sig(id, perm, mh)`` for non-empty texts of ``src``."""
-    return f"""{shingles_cte(prefix + '_s', src, id_col, text_expr, n_gram, level, 't IS NOT NULL AND length(t) > 0')},
-{prefix}_sh AS (SELECT id, unnest(s) AS sh FROM {prefix}_s),
-{prefix}_x AS (SELECT DISTINCT id, {shingle_hash('sh')} AS x FROM {prefix}_sh),
+    """CTE ``{prefix}_sig(id, perm, mh)`` for the non-empty texts of ``src``: token hashes,
+    Horner shingle hashes, multiply-shift min-hashes (see corpusforge.operators.dedup)."""
+    if level == "char":
+        toks = f"list_transform(regexp_extract_all({char_normalize('t')}, '(?s).'), lambda c: unicode(c)::BIGINT + 1)"
+    else:
+        toks = f"list_transform({word_tokens('t')}, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % {MERSENNE31})"
+    n = n_gram
+    horner = (f"list_reduce(list_prepend(0::BIGINT, th[i:i + {n - 1}]), "
+              f"lambda acc, v: (acc * {ROLL_BASE} + v) % {MERSENNE31})")
+    return f"""
+{prefix}_tok AS MATERIALIZED (SELECT id, {toks} AS th FROM (SELECT {id_col} AS id, {text_expr} AS t FROM {src})
+                              WHERE t IS NOT NULL AND length(t) > 0),
+{prefix}_x AS (SELECT id, unnest(list_transform(range(1, greatest(1, len(th) - {n} + 1) + 1), lambda i: {horner})) AS x
+               FROM {prefix}_tok),
 {prefix}_perm AS ({perms_table(num_perm, seed)}),
-{prefix}_sig AS (SELECT id, perm, min((a * x + b) % {MERSENNE31}) AS mh
+{prefix}_sig AS (SELECT id, perm, min((ah * x % 4294967296 + bh + ((al * x + bl) >> 32)) % 4294967296) AS mh
                  FROM {prefix}_x CROSS JOIN {prefix}_perm GROUP BY id, perm)"""
 
 
