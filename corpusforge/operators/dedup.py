@@ -206,11 +206,13 @@ def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram
     return _sig(tokens)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that produced fewer partitions than the cluster has cores (a few
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-spread a scan that produced fewer partitions than the cluster has cores (a few
     large row groups) before CPU-heavy per-row work; a scan of many files is untouched."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key) if key else df.repartition(par)
 
 
 # D6 -------------------------------------------------------------------------------------
@@ -255,7 +257,7 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
     idx = df.select(F.col(order_col).alias(order_col), text.alias("_t")).filter(
         F.col("_t").isNotNull() & (F.length("_t") > 0))
     toks = char_codes(F.col("_t")) if level == "char" else token_hashes(word_tokens(F.col("_t")))
-    staged = spread(idx).select(order_col, toks.alias("_tok"))
+    staged = spread(idx, order_col).select(order_col, toks.alias("_tok"))
     return staged.select(order_col, minhash_signature(F.col("_tok"), num_perm, seed, n_gram).alias("sig"))
 
 

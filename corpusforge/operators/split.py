@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusforge.functions.hashing import hash48
 from corpusforge.session import cut_lineage
@@ -28,6 +29,9 @@ def shuffle_key(row_id, seed: int = 42) -> Column:
 
 
 _MAX_GROUPS = 100_000
+# A group this small is ranked with one window task (a proven bound); larger groups use
+# radix selection, which never puts more than 4096 rows of a group into one task.
+SMALL_GROUP = 100_000
 
 
 def kth_keys(df: DataFrame, group_cols: list[str], k: DataFrame | int, key: str = "key",
@@ -38,48 +42,64 @@ def kth_keys(df: DataFrame, group_cols: list[str], k: DataFrame | int, key: str
     ``k <= 0`` are absent from the result; groups with fewer than ``k`` rows get
     ``key = NULL`` meaning "every row qualifies".  ``key`` must be a non-negative 48-bit
     BIGINT, ``tie`` unique within a group.  Groups are few (labels): the per-group state
-    is broadcast, and its size is checked.
+    lives on the driver (its size is checked) and is broadcast back.
     """
+    spark = df.sparkSession
     groups = list(group_cols)
     if not groups:
         df = df.withColumn(_CONST, F.lit(0))
         groups = [_CONST]
     if isinstance(k, int):
-        want = df.sparkSession.range(1).select(F.lit(0).alias(_CONST), F.lit(k).cast("bigint").alias("k")) \
+        want = spark.range(1).select(F.lit(0).alias(_CONST), F.lit(k).cast("bigint").alias("k")) \
             if not group_cols else df.select(*groups).distinct().withColumn("k", F.lit(k).cast("bigint"))
     else:
         want = k.select(*groups, F.col("k").cast("bigint"))
     want = want.filter(F.col("k") > 0)
     totals = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    state = cut_lineage(want.join(totals, groups, "left").fillna(0, ["n"]))
-    if state.count() > _MAX_GROUPS:
+    state_rows = want.join(totals, groups, "left").fillna(0, ["n"]).collect()
+    if len(state_rows) > _MAX_GROUPS:
         raise ValueError("kth_keys is meant for a small number of groups")
-    short = state.filter(F.col("k") > F.col("n")).select(
-        *groups, F.lit(None).cast("bigint").alias(key), F.lit(None).cast(df.schema[tie].dataType).alias(tie))
-    state = state.filter(F.col("k") <= F.col("n")).select(*groups, "k", F.lit(0).cast("bigint").alias("prefix"))
+    gschema = want.select(*groups).schema
+    tie_type = df.schema[tie].dataType
+    out_schema = T.StructType(gschema.fields + [T.StructField(key, T.LongType()), T.StructField(tie, tie_type)])
+    short = [tuple(r[g] for g in groups) + (None, None) for r in state_rows if r["k"] > r["n"]]
+    live = [r for r in state_rows if r["k"] <= r["n"]]
+    found = spark.createDataFrame(short, out_schema)
+    if live:
+        if max(r["n"] for r in live) <= SMALL_GROUP:
+            kdf = spark.createDataFrame([tuple(r[g] for g in groups) + (r["k"],) for r in live],
+                                        T.StructType(gschema.fields + [T.StructField("k", T.LongType())]))
+            w = Window.partitionBy(*groups).orderBy(key, tie)
+            ranked = df.join(F.broadcast(kdf), groups).withColumn("_rn", F.row_number().over(w))
+            found = found.unionByName(ranked.filter(F.col("_rn") == F.col("k")).select(*groups, key, tie))
+        else:
+            found = found.unionByName(_radix_select(df, groups, live, gschema, key, tie))
+    if not group_cols:
+        found = found.drop(_CONST)
+    return found
+
 
+def _radix_select(df, groups, live, gschema, key, tie):
+    spark = df.sparkSession
+    st_schema = T.StructType(gschema.fields + [T.StructField("k", T.LongType()), T.StructField("prefix", T.LongType())])
+    state = [tuple(r[g] for g in groups) + (r["k"], 0) for r in live]
     order = Window.partitionBy(*groups).orderBy("digit")
     for shift in _SHIFTS:
-        cand = df.join(F.broadcast(state.select(*groups, "prefix")), groups).filter(
-            F.shiftright(F.col(key), shift + _DIGIT_BITS) == F.col("prefix"))
-        hist = cand.groupBy(*groups, (F.shiftright(F.col(key), shift).bitwiseAND(_MASK)).alias("digit")) \
-            .agg(F.count(F.lit(1)).alias("c"))
+        st = F.broadcast(spark.createDataFrame(state, st_schema))
+        cand = df.join(st, groups).filter(F.shiftright(F.col(key), shift + _DIGIT_BITS) == F.col("prefix"))
+        hist = cand.groupBy(*groups, (F.shiftright(F.col(key), shift).bitwiseAND(_MASK)).alias("digit"),
+                            "k", "prefix").agg(F.count(F.lit(1)).alias("c"))
         hist = hist.withColumn("cum", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        state = cut_lineage(
-            hist.join(F.broadcast(state), groups)
-            .filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("c") < F.col("k")))
-            .select(*groups, (F.col("k") - (F.col("cum") - F.col("c"))).alias("k"),
-                    (F.shiftleft(F.col("prefix"), _DIGIT_BITS) + F.col("digit")).alias("prefix")))
+        picked = hist.filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("c") < F.col("k"))).select(
+            *groups, (F.col("k") - (F.col("cum") - F.col("c"))).alias("k"),
+            (F.shiftleft(F.col("prefix"), _DIGIT_BITS) + F.col("digit")).alias("prefix")).collect()
+        state = [tuple(r[g] for g in groups) + (r["k"], r["prefix"]) for r in picked]
+    st = F.broadcast(spark.createDataFrame(state, st_schema))
     # rows with exactly this key: tiny (48-bit hash collisions), ordered by the tie column
-    exact = df.join(F.broadcast(state.select(*groups, F.col("prefix").alias("_k"), F.col("k").alias("_r"))),
-                    groups).filter(F.col(key) == F.col("_k"))
+    exact = df.join(st, groups).filter(F.col(key) == F.col("prefix"))
     w = Window.partitionBy(*groups).orderBy(tie)
-    found = exact.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.col("_r")) \
+    return exact.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.col("k")) \
         .select(*groups, F.col(key), F.col(tie))
-    out = found.unionByName(short)
-    if not group_cols:
-        out = out.drop(_CONST)
-    return out
 
 
 def _rank_le(key_c: Column, tie_c: Column, tk: Column, tt: Column) -> Column:

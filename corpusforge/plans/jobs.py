@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import clean_text, emoji_density
-from corpusforge.operators.dedup import deduplicate
+from corpusforge.operators.dedup import deduplicate, spread
 from corpusforge.operators.split import random_split, stratified_split
 
 
@@ -23,7 +23,7 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     callables so those stages stay plain functions too.
     """
     clean = {} if clean is None else clean
-    out = df
+    out = spread(df, order_col)
     if clean.get("enabled", True):
         out = out.withColumn(text_col, clean_text(F.col(text_col),
                                                   unicode_normalize=clean.get("unicode_normalize", False),
