@@ -2,9 +2,9 @@
 
 Plan at scale
 -------------
-1. Shingles and their 31-bit hashes are JVM expressions on each row (narrow).
-2. The MinHash signature is an Arrow-batched NumPy UDF: one vectorised
-   ``(a*x + b) mod (2^31-1)`` matrix per batch, min-reduced per row (narrow, no shuffle).
+1. Word tokens are a JVM regex projection on each row (narrow).
+2. Signatures are computed by ``mapInPandas`` on Arrow batches: token hashes, rolling
+   shingle hashes and 128 multiply-shift hashes, all vectorised NumPy (narrow, no shuffle).
 3. LSH: every row emits ``b`` band keys; a single aggregation on ``(band, key)`` finds the
    buckets with two or more members (partial aggregation makes hot buckets cheap).
    A bucket is a clique of the duplicate graph, so the graph is kept as a *membership*
@@ -86,13 +86,6 @@ def with_shingles(df: DataFrame, text: Column, out: str = "shingles", n: int = 5
     return staged.withColumn(out, word_shingles_from_tokens(F.col("_tok"), n)).drop("_tok")
 
 
-def shingle_hashes(shingle_array: Column) -> Column:
-    """31-bit hash of each shingle: first 8 hex digits of md5, mod 2^31-1."""
-    return F.transform(
-        shingle_array,
-        lambda s: F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") % F.lit(MERSENNE31))
-
-
 # D4 -------------------------------------------------------------------------------------
 # A shingle is identified by the rolling (Horner) hash of its token hashes,
 #   x = (((t1 * R + t2) * R + t3) ...) mod (2^31 - 1),  t = md5-derived 31-bit token hash,
@@ -103,16 +96,23 @@ def shingle_hashes(shingle_array: Column) -> Column:
 ROLL_BASE = 1_000_003
 
 
-def token_hashes(tokens: Column) -> Column:
-    """md5-derived 31-bit hash of every token (JVM, one expression per element)."""
-    return F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint")
-                       % F.lit(MERSENNE31))
+def char_tokens(text) -> Column:
+    """The code points of the lower-cased, whitespace-collapsed text, one string each."""
+    return F.regexp_extract_all(char_normalize(text), F.lit("(?s)."), 0)
 
 
-def char_codes(text) -> Column:
-    """Code points (+1) of the lower-cased, whitespace-collapsed text, for char shingles."""
-    chars = F.regexp_extract_all(char_normalize(text), F.lit("(?s)."), 0)
-    return F.transform(chars, lambda c: F.ascii(c).cast("bigint") + F.lit(1))
+def hash_tokens(tokens: np.ndarray, level: str = "word") -> np.ndarray:
+    """Token hash of an object array of strings: md5-derived 31 bits (word) or the code
+    point + 1 (char).  Each distinct token is hashed once (pandas factorize)."""
+    if tokens.shape[0] == 0:
+        return np.empty(0, dtype=np.int64)
+    codes, uniq = pd.factorize(tokens)
+    if level == "char":
+        vals = np.fromiter((ord(c) + 1 for c in uniq), dtype=np.int64, count=len(uniq))
+    else:
+        vals = np.fromiter((int.from_bytes(hashlib.md5(t.encode("utf-8")).digest()[:4], "big") % MERSENNE31
+                            for t in uniq), dtype=np.int64, count=len(uniq))
+    return vals[codes]
 
 
 @lru_cache(maxsize=None)
@@ -176,9 +176,10 @@ def _minhash_block(x: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarr
     return out.astype(np.int64)
 
 
-def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram: int = 5) -> Column:
-    """MinHash signature ``array<bigint>[num_perm]`` of an ``array<bigint>`` of token hashes
-    (Arrow batches into NumPy; no per-shingle Python)."""
+def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram: int = 5,
+                      level: str = "word") -> Column:
+    """MinHash signature ``array<bigint>[num_perm]`` of an ``array<string>`` of tokens
+    (Arrow batches into NumPy/pandas; no per-shingle Python).  NULL tokens -> NULL."""
     a_t, b_t = minhash_params(num_perm, seed)
     a = np.asarray(a_t, dtype=np.uint64)
     b = np.asarray(b_t, dtype=np.uint64)
@@ -187,25 +188,34 @@ def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def _sig(xs: pd.Series) -> pd.Series:
-        rows = len(xs)
-        out = np.empty((rows, num_perm), dtype=np.int64)
-        lens = np.fromiter((0 if v is None else len(v) for v in xs), dtype=np.int64, count=rows)
-        lo = 0
-        while lo < rows:
-            hi, total = lo, 0
-            while hi < rows and (hi == lo or total + lens[hi] <= row_budget):
-                total += lens[hi]
-                hi += 1
-            parts = [np.asarray(xs.iat[i], dtype=np.int64) for i in range(lo, hi) if lens[i] > 0]
-            tok = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-            x, starts = shingle_ids(tok, lens[lo:hi], n)
-            out[lo:hi] = _minhash_block(x, starts, a, b)
-            lo = hi
-        return pd.Series(list(out))
+        return _signature_batch(xs, a, b, n, level, row_budget)
 
     return _sig(tokens)
 
 
+def _signature_batch(xs: pd.Series, a: np.ndarray, b: np.ndarray, n: int, level: str,
+                     row_budget: int = 1 << 18) -> pd.Series:
+    """Signatures of a batch of token lists (NULL list -> NULL signature)."""
+    rows = len(xs)
+    out = np.empty((rows, a.shape[0]), dtype=np.int64)
+    missing = xs.isna().to_numpy()
+    lens = np.fromiter((0 if m else len(v) for v, m in zip(xs, missing)), dtype=np.int64, count=rows)
+    lo = 0
+    while lo < rows:
+        hi, total = lo, 0
+        while hi < rows and (hi == lo or total + lens[hi] <= row_budget):
+            total += lens[hi]
+            hi += 1
+        parts = [np.asarray(xs.iat[i], dtype=object) for i in range(lo, hi) if lens[i] > 0]
+        tok = hash_tokens(np.concatenate(parts) if parts else np.empty(0, dtype=object), level)
+        x, starts = shingle_ids(tok, lens[lo:hi], n)
+        out[lo:hi] = _minhash_block(x, starts, a, b)
+        lo = hi
+    res = pd.Series(list(out), dtype=object)
+    res[missing] = None
+    return res
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-spread a scan that produced fewer partitions than the cluster has cores (a few
     large row groups) before CPU-heavy per-row work; a scan of many files is untouched."""
@@ -252,13 +262,32 @@ def band_keys(sig: Column, bands: int, rows: int) -> Column:
 
 
 def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 128,
-               n_gram: int = 5, level: str = "word", seed: int = 1) -> DataFrame:
-    """``(order_col, sig)`` for rows with non-empty text (empty text is never indexed)."""
-    idx = df.select(F.col(order_col).alias(order_col), text.alias("_t")).filter(
-        F.col("_t").isNotNull() & (F.length("_t") > 0))
-    toks = char_codes(F.col("_t")) if level == "char" else token_hashes(word_tokens(F.col("_t")))
-    staged = spread(idx, order_col).select(order_col, toks.alias("_tok"))
-    return staged.select(order_col, minhash_signature(F.col("_tok"), num_perm, seed, n_gram).alias("sig"))
+                n_gram: int = 5, level: str = "word", seed: int = 1) -> DataFrame:
+    """``(order_col, sig)`` for rows with non-empty text (empty text is never indexed).
+
+    Tokens are a codegen'd JVM projection; ``mapInPandas`` consumes that projection's rows
+    as they are (a pandas UDF would pull the whole text expression into its own, slower
+    input evaluation), and it drops the rows without text, so no filter on the text
+    expression is pushed down and evaluated twice.
+    """
+    a_t, b_t = minhash_params(num_perm, seed)
+    a = np.asarray(a_t, dtype=np.uint64)
+    b = np.asarray(b_t, dtype=np.uint64)
+    n = max(1, int(n_gram))
+    idx = spread(df.select(F.col(order_col).cast("bigint").alias(order_col), text.alias("_t")), order_col)
+    toks = char_tokens(F.col("_t")) if level == "char" else word_tokens(F.col("_t"))
+    staged = idx.select(order_col, F.when(F.length("_t") > 0, toks).alias("_tok"))
+
+    def run(batches):
+        for pdf in batches:
+            keep = pdf["_tok"].notna().to_numpy()
+            if not keep.any():
+                continue
+            sub = pdf[keep]
+            sig = _signature_batch(sub["_tok"].reset_index(drop=True), a, b, n, level)
+            yield pd.DataFrame({order_col: sub[order_col].to_numpy(), "sig": sig})
+
+    return staged.mapInPandas(run, f"{order_col} bigint, sig array<bigint>")
 
 
 def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> DataFrame:
