@@ -296,9 +296,11 @@ def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> Da
     ``first`` (the smallest order value in the bucket) names the bucket; within one band
     every row is in exactly one bucket, so ``(band, first)`` is a unique bucket id.
     """
-    keyed = sigs.select(F.col(order_col).alias("node"),
-                        F.explode_outer(band_keys(F.col("sig"), bands, rows)).alias("bk")
-                        ).select("node", "bk.band", "bk.k1", "bk.k2")
+    # used twice below (bucket sizes, members): materialise the small band-key table once
+    # instead of recomputing the signatures
+    keyed = cut_lineage(sigs.select(F.col(order_col).alias("node"),
+                                    F.explode_outer(band_keys(F.col("sig"), bands, rows)).alias("bk")
+                                    ).select("node", "bk.band", "bk.k1", "bk.k2"))
     buckets = (keyed.groupBy("band", "k1", "k2")
                .agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
                .filter(F.col("n") >= 2))

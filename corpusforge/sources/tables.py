@@ -43,7 +43,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def noisy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with the fixed noise added: ``(doc_id, text, lang, source)``."""
-    docs = load(spark, sf_dir, "documents")
+    from corpusforge.operators.dedup import spread
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
     k = (F.col("doc_id") % len(NOISE_PREFIXES) + 1).cast("int")
     pre = F.element_at(F.array(*[F.lit(x) for x in NOISE_PREFIXES]), k)
     suf = F.element_at(F.array(*[F.lit(x) for x in NOISE_SUFFIXES]), k)
