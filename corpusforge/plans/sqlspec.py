@@ -146,19 +146,21 @@ def lsh_member_ctes(threshold: float = 0.9, num_perm: int = 128, prefix: str = "
 
 
 def keep_first_ctes(prefix: str = "mh") -> str:
-    """CTE ``{prefix}_dropped(node)``: sequential walk in order with the kept list as state."""
+    """CTE ``{prefix}_dropped(node)``: a sequential walk over the bucket members in order.
+    State: the buckets already holding a kept row; a row is dropped iff one of its buckets
+    is in that list, else it is kept and closes all of its buckets (no pairs are built)."""
     return f"""
 {prefix}_nodes AS (SELECT node, row_number() OVER (ORDER BY node) AS rn FROM (SELECT DISTINCT node FROM {prefix}_mem)),
-{prefix}_nb AS (SELECT m1.node, list(DISTINCT m2.node) AS earlier FROM {prefix}_mem m1 JOIN {prefix}_mem m2
-                ON m1.band = m2.band AND m1.first = m2.first AND m2.node < m1.node GROUP BY m1.node),
+{prefix}_nb AS (SELECT node, list(band::BIGINT * 1099511627776 + first) AS bks FROM {prefix}_mem GROUP BY node),
 {prefix}_walk AS (
-  SELECT 0::BIGINT AS rn, []::BIGINT[] AS kept
+  SELECT 0::BIGINT AS rn, []::BIGINT[] AS closed, []::BIGINT[] AS dropped
   UNION ALL
-  SELECT w.rn + 1, CASE WHEN list_has_any(w.kept, coalesce(nb.earlier, []::BIGINT[])) THEN w.kept
-                        ELSE list_append(w.kept, n.node) END
-  FROM {prefix}_walk w JOIN {prefix}_nodes n ON n.rn = w.rn + 1 LEFT JOIN {prefix}_nb nb ON nb.node = n.node),
-{prefix}_final AS (SELECT kept FROM {prefix}_walk ORDER BY rn DESC LIMIT 1),
-{prefix}_dropped AS (SELECT n.node FROM {prefix}_nodes n, {prefix}_final f WHERE NOT list_contains(f.kept, n.node))"""
+  SELECT w.rn + 1,
+         CASE WHEN list_has_any(w.closed, nb.bks) THEN w.closed ELSE list_concat(w.closed, nb.bks) END,
+         CASE WHEN list_has_any(w.closed, nb.bks) THEN list_append(w.dropped, n.node) ELSE w.dropped END
+  FROM {prefix}_walk w JOIN {prefix}_nodes n ON n.rn = w.rn + 1 JOIN {prefix}_nb nb ON nb.node = n.node),
+{prefix}_final AS (SELECT dropped FROM {prefix}_walk ORDER BY rn DESC LIMIT 1),
+{prefix}_dropped AS (SELECT unnest(dropped) AS node FROM {prefix}_final)"""
 
 
 # labels / splits -------------------------------------------------------------------------
