@@ -99,7 +99,7 @@ def q_clean_nfkc(spark, sf_dir):
 # --- E: features --------------------------------------------------------------------------
 @register("emoji_count", f"WITH {NOISY} SELECT doc_id, {S.emoji_count('text')} AS emoji_count FROM noisy")
 def q_emoji_count(spark, sf_dir):
-    return _noisy(spark, sf_dir).select("doc_id", tx.emoji_count(F.col("text")).alias("emoji_count"))
+    return _noisy(spark, sf_dir).select("doc_id", tx.emoji_count(F.col("text")).cast("bigint").alias("emoji_count"))
 
 
 @register("emoji_density_word",
@@ -119,7 +119,7 @@ def q_emoji_density_char(spark, sf_dir):
 def q_word_tokens(spark, sf_dir):
     w = tx.word_tokens(F.col("text"))
     return tb.load(spark, sf_dir, "documents").select(
-        "doc_id", F.size(w).alias("n_tokens"), F.size(F.array_distinct(w)).alias("n_distinct"))
+        "doc_id", F.size(w).cast("bigint").alias("n_tokens"), F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"))
 
 
 # --- D: dedup -----------------------------------------------------------------------------
@@ -135,12 +135,12 @@ SELECT id AS doc_id, len(s) AS n_shingles, list_min(s) AS first_shingle, list_ma
 def q_shingles_char(spark, sf_dir):
     docs = tb.load(spark, sf_dir, "documents")
     return dd.with_shingles(docs, F.col("text"), "s", 5, "char").select(
-        "doc_id", F.size("s").alias("n_shingles"), F.array_min("s").alias("first_shingle"),
+        "doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.array_min("s").alias("first_shingle"),
         F.array_max("s").alias("last_shingle"))
 
 
 @register("minhash_signature", f"""WITH {S.minhash_ctes('documents', 'doc_id', 'text').strip()}
-SELECT id AS doc_id, perm, mh AS minhash FROM mh_sig""")
+SELECT id AS doc_id, perm::BIGINT AS perm, mh AS minhash FROM mh_sig""")
 def q_minhash_signature(spark, sf_dir):
     docs = tb.load(spark, sf_dir, "documents")
     sig = dd.signatures(docs, "doc_id", F.col("text"))
@@ -150,7 +150,7 @@ def q_minhash_signature(spark, sf_dir):
 
 @register("lsh_buckets", f"""WITH {S.minhash_ctes('documents', 'doc_id', 'text').strip()},
 {S.lsh_member_ctes().strip()}
-SELECT band, first, node FROM mh_mem""")
+SELECT band::BIGINT AS band, first, node FROM mh_mem""")
 def q_lsh_buckets(spark, sf_dir):
     docs = tb.load(spark, sf_dir, "documents")
     b, r = dd.lsh_params(0.9, 128)
@@ -697,7 +697,8 @@ def _render_sql(template: str) -> str:
 
 _VALUES_SQL = f"""SELECT id, prompt_id, style_id, industry, role, language, length_bucket,
     {S.json_string_array('hashtags')} AS hashtags, seed,
-    CASE WHEN cta_present THEN 'true' ELSE 'false' END AS cta_present, emoji_count, cliche_count, buzzword_count,
+    CASE WHEN cta_present THEN 'true' ELSE 'false' END AS cta_present, emoji_count::BIGINT AS emoji_count,
+    cliche_count::BIGINT AS cliche_count, buzzword_count::BIGINT AS buzzword_count,
     CASE WHEN has_explicit_humility_phrase THEN 'true' ELSE 'false' END AS has_explicit_humility_phrase,
     CASE WHEN story_claims_verifiable THEN 'true' ELSE 'false' END AS story_claims_verifiable,
     response_schema_version, coalesce(opening_hook_constraint, '') AS opening_hook_constraint
@@ -901,7 +902,7 @@ def q_k_valid_samples(spark, sf_dir):
     r = _assistant_responses(spark, sf_dir)
     valid = F.length("raw").between(100, 1500)
     return rs.k_valid_samples(r, valid, k=2, max_retries=2).select(
-        F.col("request_id").alias("conv_id"), F.col("sample_no").cast("int").alias("sample_no"), "turn")
+        F.col("request_id").alias("conv_id"), F.col("sample_no").cast("bigint").alias("sample_no"), "turn")
 
 
 _BACKUP_RESP = """resp AS (SELECT conv_id AS request_id, turn, text AS raw,
