@@ -85,7 +85,14 @@ _text_query("clean_boilerplate", lambda c: tx.remove_boilerplate(tx.collapse_whi
 _text_query("clean_text", lambda c: tx.clean_text(c, boilerplate=True), lambda e: S.clean_text(e, boilerplate=True))
 
 
-@register("clean_boilerplate_lines")
+_LINES_SQL = (f"WITH {NOISY} SELECT doc_id, "
+              + S.strip_ws("array_to_string(list_filter(string_split_regex(text, " + S.q(tx.LINE_BREAK)
+                           + "), lambda l: NOT regexp_matches(" + S.strip_ws("l") + ", "
+                           + S.q(r"^(thanks for reading.*|#hiring([^\p{L}\p{N}_].*)?)$") + ", 'i')), chr(10))")
+              + " AS text FROM noisy")
+
+
+@register("clean_boilerplate_lines", _LINES_SQL)
 def q_clean_boilerplate_lines(spark, sf_dir):
     """C6 on raw multi-line text (line-wise removal without the whitespace collapse)."""
     return _noisy(spark, sf_dir).select("doc_id", tx.remove_boilerplate(F.col("text")).alias("text"))
@@ -560,10 +567,29 @@ def q_pair_consecutive(spark, sf_dir):
     return pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS).select("label", "id_a", "id_b")
 
 
-@register("pair_queue")
+_QUEUE_SQL = f"""WITH RECURSIVE {SCORES},
+cands AS (SELECT label, row_id, p, row_number() OVER (PARTITION BY label ORDER BY row_id) AS rn FROM scores
+          WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.1),
+walk AS (
+  SELECT label, 0::BIGINT AS rn, []::STRUCT(id BIGINT, p DOUBLE)[] AS q, NULL::BIGINT AS id_a, NULL::BIGINT AS id_b
+  FROM (SELECT DISTINCT label FROM cands)
+  UNION ALL
+  SELECT w.label, w.rn + 1,
+    CASE WHEN len(t.q) < 2 THEN t.q
+         WHEN abs(t.q[1].p - t.q[2].p) <= 0.06 THEN t.q[3:]
+         ELSE list_concat(list_concat([t.q[1]], t.q[3:]), [t.q[2]]) END,
+    CASE WHEN len(t.q) >= 2 AND abs(t.q[1].p - t.q[2].p) <= 0.06 THEN t.q[1].id END,
+    CASE WHEN len(t.q) >= 2 AND abs(t.q[1].p - t.q[2].p) <= 0.06 THEN t.q[2].id END
+  FROM walk w JOIN cands c ON c.label = w.label AND c.rn = w.rn + 1,
+       LATERAL (SELECT list_slice(list_append(w.q, {{'id': c.row_id, 'p': c.p}}),
+                                  greatest(1, len(w.q) + 1 - 4 + 1), len(w.q) + 1) AS q) t)
+SELECT label, id_a, id_b FROM walk WHERE id_a IS NOT NULL"""
+
+
+@register("pair_queue", _QUEUE_SQL)
 def q_pair_queue(spark, sf_dir):
-    """General bounded queue (margin < 2 * window): ordered fold per label, rows-only check."""
-    return pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P3_OPTS)
+    """General bounded queue (margin < 2 * window): ordered fold per label."""
+    return pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P3_OPTS).select("label", "id_a", "id_b")
 
 
 @register("pair_verdicts", f"WITH {_PAIRS_SQL} SELECT label, id_a, id_b, preferred, confidence, reason FROM vd")
