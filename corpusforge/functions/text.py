@@ -144,3 +144,26 @@ def emoji_density(col, normalization: str = "per_word") -> Column:
     c = _c(col)
     denom = F.length(c) if normalization == "per_char" else word_count(c)
     return F.bround(emoji_count(c) / F.greatest(F.lit(1), denom), 6)
+
+
+# C7 -------------------------------------------------------------------------------------
+NESTED_TEXT_FIELDS = ("text", "opening_hook")
+
+
+def clean_rows(df, enabled: bool = True, **opts):
+    """Clean a top-level ``text`` column and ``generated.text`` / ``generated.opening_hook``
+    inside the ``generated`` struct (fields that are absent are left alone)."""
+    if not enabled:
+        return df
+    from pyspark.sql import types as _T
+    out = df
+    if "text" in df.columns and isinstance(df.schema["text"].dataType, _T.StringType):
+        out = out.withColumn("text", clean_text(F.col("text"), **opts))
+    if "generated" in df.columns and isinstance(df.schema["generated"].dataType, _T.StructType):
+        names = df.schema["generated"].dataType.fieldNames()
+        g = F.col("generated")
+        for f in NESTED_TEXT_FIELDS:
+            if f in names:
+                g = g.withField(f, clean_text(F.col(f"generated.{f}"), **opts))
+        out = out.withColumn("generated", g)
+    return out

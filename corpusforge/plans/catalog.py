@@ -1078,3 +1078,27 @@ def q_generate_job(spark, sf_dir):
                       response_schema="request_id bigint, variant string, variant_priority int, attempt_no int, raw string",
                       valid=F.try_parse_json(F.col("raw")).isNotNull(), retry_limit=3)
     return out.select("request_id", "style_id", "variant", "attempt_no", "raw")
+
+
+@register("clean_nested", f"""WITH {NOISY} SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text,
+    {S.clean_text("substring(text, 1, 60) || ' — ' || lang", boilerplate=True)} AS opening_hook FROM noisy""")
+def q_clean_nested(spark, sf_dir):
+    """The cleaner applied inside a ``generated`` struct (text and opening hook)."""
+    d = _noisy(spark, sf_dir)
+    rows = d.select("doc_id", F.struct(F.col("text"), F.concat(F.substring("text", 1, 60), F.lit(" — "),
+                                                               F.col("lang")).alias("opening_hook")).alias("generated"))
+    out = tx.clean_rows(rows, boilerplate=True)
+    return out.select("doc_id", F.col("generated.text").alias("text"), F.col("generated.opening_hook").alias("opening_hook"))
+
+
+@register("ensemble_failure_tolerance", f"""WITH {_JV_SQL},
+ok AS (SELECT * FROM jv WHERE {S.unit_sql('row_id', 'judge_no', "'fail'")} >= 0.2)
+SELECT row_id, label, round_even(avg(value), 9) AS value FROM ok GROUP BY ALL""")
+def q_ensemble_failure_tolerance(spark, sf_dir):
+    """A10: judges that failed on a row are skipped; a row whose judges all failed is
+    dropped here (``on_all_failed="drop"``; the default raises)."""
+    from corpusforge.functions.hashing import unit
+    jv = _jv(spark, sf_dir).withColumn("ok", unit(F.col("row_id"), F.col("judge_no"), F.lit("fail")) >= 0.2)
+    ok = ag.successful_judges(jv, "row_id", "judge_no", ok_col="ok", on_all_failed="drop")
+    r = ag.ensemble_mean(ok, ["row_id", "label"], "judge_no", "value")
+    return r.select("row_id", "label", F.bround("value", 9).alias("value"))
