@@ -89,3 +89,42 @@ def judge(samples: DataFrame, *, scores_key: str = "label", aggregation: str = "
     pairs = pair_rows(scores, labels, **pairwise)
     v = verdicts(pairs, answers_fn(pairs.select("label", "id_a", "id_b")))
     return shift_probabilities(scores, v, labels)
+
+
+def run(plan_df: DataFrame, template: str, generator_fn, judge_fn, *, generator_schema: str,
+        judge_schema: str, labels: list[str], stage_dir: str | None = None, num_samples: int = 3,
+        max_retries: int = 2, valid_generated: Column | None = None, valid_judgment: Column | None = None,
+        aggregation: str = "mean", process_opts: dict | None = None) -> DataFrame:
+    """Z5 ``run``: generate -> judge -> process, with the stage tables persisted.
+
+    ``generator_fn``: pandas batch ``(request_id, system, user)`` -> rows of
+    ``generator_schema`` (``request_id, variant_priority, attempt_no, raw`` at least).
+    ``judge_fn``: pandas batch ``(request_id, prompt)`` -> rows of ``judge_schema``
+    (``request_id, attempt_no, label, prob`` - one row per attempt and key, NULL prob =
+    key absent).  With ``stage_dir`` the generated and judged tables are written as JSON
+    lines and read back, so a failed later stage restarts from them.
+    """
+    from corpusforge.operators.prompts import judge_prompt
+    from corpusforge.operators.responses import call_model, extract_json, k_valid_samples
+    from corpusforge.sources.jsonl import read_jsonl, write_jsonl
+
+    gen = generate(plan_df, template, generator_fn, response_schema=generator_schema, valid=valid_generated)
+    gen = gen.select(F.col("request_id").alias("row_id"), extract_json(F.col("raw")).alias("generated_raw"),
+                     F.get_json_object(extract_json(F.col("raw")), "$.text").alias("text"))
+    if stage_dir:
+        write_jsonl(gen, f"{stage_dir}/generated")
+        gen = read_jsonl(gen.sparkSession, f"{stage_dir}/generated", gen.schema)
+    prompts = gen.select(F.col("row_id").alias("request_id"), judge_prompt(gen.select("text"), None).alias("prompt"))
+    answers = call_model(prompts, judge_fn, judge_schema)
+    attempts = answers.select("request_id", "attempt_no").distinct()
+    ok = attempts if valid_judgment is None else answers.filter(valid_judgment).select("request_id", "attempt_no").distinct()
+    kept = k_valid_samples(ok, F.lit(True), k=num_samples, max_retries=max_retries)
+    samples = answers.join(kept, ["request_id", "attempt_no"]).select(
+        F.col("request_id").alias("row_id"), "sample_no", "label", "prob")
+    scores = judge(samples, aggregation=aggregation)
+    if stage_dir:
+        write_jsonl(scores, f"{stage_dir}/judged")
+        scores = read_jsonl(scores.sparkSession, f"{stage_dir}/judged", scores.schema)
+    opts = dict(process_opts or {})
+    return process(gen.select("row_id", "text"), order_col="row_id", probs=scores.withColumnRenamed("p", "p"),
+                   labels=labels, **opts)
