@@ -36,9 +36,31 @@ def get_spark(master: str | None = None, app: str = "corpusforge",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusforge`` importable by the Python workers (Arrow UDFs, mapInPandas pickle
+    module-level functions by reference): zip the package once and ``addPyFile`` it."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    os.environ["PYTHONPATH"] = os.pathsep.join(
+        [root] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and p != root])
+    out = tempfile.mkdtemp(prefix="corpusforge-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "corpusforge"), "zip", root, "corpusforge")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only local sessions get a scratch dir.
 
