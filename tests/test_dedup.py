@@ -105,3 +105,17 @@ def test_dedup_partition_invariant(spark):
     b = {r[0] for r in dd.deduplicate(docs.repartition(7).sortWithinPartitions(F.rand(5)), "doc_id")
          .select("doc_id").collect()}
     assert a == b
+
+
+def test_hot_copy_group_and_token_free_texts(spark):
+    """A third of all rows are copies of one text and several texts have no tokens: every
+    copy after the first and every token-free text after the first is dropped."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    first = docs.orderBy("doc_id").first()
+    n = docs.count()
+    copies = spark.range(n // 2).select((F.col("id") + 10_000).alias("doc_id"), F.lit(first["text"]).alias("text"))
+    junk = spark.range(5).select((F.col("id") + 20_000).alias("doc_id"), F.lit("!!! ???").alias("text"))
+    allrows = docs.unionByName(copies).unionByName(junk)
+    kept = {r[0] for r in dd.deduplicate(allrows, "doc_id").select("doc_id").collect()}
+    base = {r[0] for r in dd.deduplicate(docs, "doc_id").select("doc_id").collect()}
+    assert kept == base | {20_000}
