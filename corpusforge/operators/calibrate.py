@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusforge.session import cut_lineage
+
 PARAMS_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("method", T.StringType()),
@@ -69,6 +71,8 @@ def fit(pairs: DataFrame, keys: list[str], *, key_col: str = "label", p_col: str
         method: str = "isotonic") -> DataFrame:
     """Fit one calibrator per key; identity when a key has no pairs or a single class."""
     spark = pairs.sparkSession
+    # one pass per key below: materialise the (small) training pairs once
+    pairs = cut_lineage(pairs.select(key_col, p_col, y_col))
     stats = {r[key_col]: (r["n"], r["classes"]) for r in pairs.groupBy(key_col).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct(y_col).alias("classes")).collect()}
     rows = []

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.operators.split import within_first_k
+from corpusforge.session import cut_lineage
 
 _SCALE = float(2 ** 46)
 
@@ -54,7 +55,8 @@ def find_label_issues(given: DataFrame, probs: DataFrame, *, id_col: str = "row_
         return given.sparkSession.createDataFrame([], f"{id_col} bigint, label string")
     d = given.select(id_col, "label", F.col("y").cast("int").alias("s")).join(
         probs.select(id_col, "label", F.col("p").cast("double").alias("p1")), [id_col, "label"])
-    d = d.withColumn("p0", 1.0 - F.col("p1"))
+    # used four times below (thresholds, joint, class sizes, candidates): materialise once
+    d = cut_lineage(d.withColumn("p0", 1.0 - F.col("p1")))
     thr = d.groupBy("label").agg(
         F.avg(F.when(F.col("s") == 1, F.col("p1"))).alias("t1"),
         F.avg(F.when(F.col("s") == 0, F.col("p0"))).alias("t0"))
