@@ -128,3 +128,49 @@ def run(plan_df: DataFrame, template: str, generator_fn, judge_fn, *, generator_
     opts = dict(process_opts or {})
     return process(gen.select("row_id", "text"), order_col="row_id", probs=scores.withColumnRenamed("p", "p"),
                    labels=labels, **opts)
+
+
+def calibrate_files(spark, predictions_path: str, truth_path: str, labels: list[str], *,
+                    id_field: str = "id", overall_key: str = "overall", method: str = "isotonic",
+                    truth_keys: list[str] | None = None, output_path: str | None = None,
+                    params_path: str | None = None):
+    """Z4 ``calibrate`` over JSON-lines files (S2 -> K1-K7 -> S3/S5).
+
+    Each line is parsed once into a VARIANT, so booleans, numbers and nested maps keep
+    their JSON types.  Predictions: ``{id, judgment?: {<overall_key>, labels: {...}}}``
+    (a flat object works too); truths: ``{id, <one of truth_keys>, labels | truth: {...}}``.
+    Rows are paired by ``id_field`` (DataFrames have no line order).  Returns
+    ``(calibrated long table, parameters)`` and writes them when paths are given.
+    """
+    from corpusforge.operators import calibrate as cb
+    from corpusforge.sources.jsonl import write_jsonl
+
+    keys = truth_keys or cb.OVERALL_TRUTH_KEYS
+    path = lambda k: "$['" + k + "']"
+    pv = spark.read.text(predictions_path).select(F.parse_json("value").alias("v"))
+    j = F.coalesce(F.try_variant_get("v", "$.judgment", "variant"), F.col("v"))
+    preds = pv.select(F.try_variant_get("v", path(id_field), "bigint").alias("row_id"), j.alias("j"))
+    p_over = preds.select("row_id", F.lit(overall_key).alias("label"),
+                          F.try_variant_get("j", path(overall_key), "double").alias("p"))
+    p_lab = preds.select("row_id", F.explode_outer(F.try_variant_get("j", "$.labels", "map<string,double>"))
+                         .alias("label", "p"))
+    p_long = p_over.unionByName(p_lab).filter(F.col("p").isNotNull() & F.col("label").isNotNull())
+
+    tv = spark.read.text(truth_path).select(F.parse_json("value").alias("v"))
+    t_over = tv.select(F.try_variant_get("v", path(id_field), "bigint").alias("row_id"), F.lit(overall_key).alias("label"),
+                       F.coalesce(*[cb.truth_value(F.try_variant_get("v", path(k), "double")) for k in keys]).alias("y"))
+    lab = F.try_variant_get("v", "$.labels", "map<string,double>")
+    alt = F.try_variant_get("v", "$.truth", "map<string,double>")
+    t_map = F.when(lab.isNull() | (F.size(lab) == 0), alt).otherwise(lab)
+    t_lab = tv.select(F.try_variant_get("v", path(id_field), "bigint").alias("row_id"),
+                      F.explode_outer(t_map).alias("label", "_v")).select("row_id", "label", cb.truth_value(F.col("_v")).alias("y"))
+    t_long = t_over.unionByName(t_lab).filter(F.col("y").isNotNull() & F.col("label").isNotNull())
+
+    pairs = p_long.join(t_long, ["row_id", "label"])
+    params = cb.fit(pairs, [overall_key] + list(labels), method=method)
+    calibrated = cb.apply(p_long, params)
+    if output_path:
+        write_jsonl(calibrated, output_path)
+    if params_path:
+        cb.save_params(params, params_path)
+    return calibrated, params

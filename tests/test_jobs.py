@@ -43,3 +43,20 @@ def test_run_end_to_end(spark, tmp_path):
     assert 0 < len(rows) <= ids.count()
     assert {r["split"] for r in rows} <= {"train", "val", "test"}
     assert len({r["row_id"] for r in rows}) == len(rows)
+
+
+def test_calibrate_files(spark, tmp_path):
+    import json
+    preds, truth = [], []
+    for i in range(40):
+        p = (i % 10) / 10 + 0.05
+        preds.append({"id": i, "judgment": {"overall": p, "labels": {"a": 1 - p}}})
+        truth.append({"id": i, "label": bool(i % 10 >= 5), "labels": {"a": 1.0 if i % 10 < 5 else 0.0}})
+    (tmp_path / "p.jsonl").write_text("\n".join(json.dumps(r) for r in preds))
+    (tmp_path / "t.jsonl").write_text("\n".join(json.dumps(r) for r in truth))
+    cal, params = jobs.calibrate_files(spark, str(tmp_path / "p.jsonl"), str(tmp_path / "t.jsonl"), ["a"],
+                                       params_path=str(tmp_path / "params"))
+    got = {(r["row_id"], r["label"]): r["p"] for r in cal.collect()}
+    assert got[(0, "overall")] == 0.0 and got[(9, "overall")] == 1.0     # perfectly separable
+    assert got[(0, "a")] == 1.0 and got[(9, "a")] == 0.0
+    assert {r["key"]: r["method"] for r in params.collect()} == {"overall": "isotonic", "a": "isotonic"}
