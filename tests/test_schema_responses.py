@@ -55,3 +55,20 @@ def test_k_valid_and_backup(spark):
     assert ks == [(1, 0, "ok"), (1, 1, "ok2")]
     chosen = {r["request_id"]: r["raw"] for r in rs.first_valid_with_backup(resp, valid, retry_limit=1).collect()}
     assert chosen == {1: "ok", 2: "bk"}
+
+
+def test_failure_policies(spark):
+    req = spark.createDataFrame([(1,), (2,)], "request_id bigint")
+    chosen = spark.createDataFrame([(1, "ok")], "request_id bigint, raw string")
+    assert rs.apply_failure_policy(req, chosen, "request_id", "drop").count() == 1
+    assert rs.apply_failure_policy(req, chosen, "request_id", "null").count() == 2
+    with pytest.raises(RuntimeError):
+        rs.apply_failure_policy(req, chosen, "request_id", "fail")
+
+
+def test_all_judges_failed_raises(spark):
+    from corpusforge.operators import aggregate as ag
+    j = spark.createDataFrame([(1, 0, True), (1, 1, False), (2, 0, False)], "row_id bigint, judge_no int, ok boolean")
+    assert ag.successful_judges(j, "row_id", "judge_no", ok_col="ok", on_all_failed="drop").count() == 1
+    with pytest.raises(ValueError):
+        ag.successful_judges(j, "row_id", "judge_no", ok_col="ok")
