@@ -15,7 +15,10 @@ documents of their own; an empty table gives no pieces; extra columns are ignore
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,10 @@ from pyspark.sql import functions as F
 from corpusforge.llm.common import materialise
 
 WINDOW, END_ID = 4096, 2
-_CACHE_WORDS = 400_000       # distinct words a Python worker remembers before it starts anew
+_MEMORY = 600_000            # words, and word stems, a Python worker remembers before it starts anew
+# a word of plain Latin letters with ASCII marks behind it falls apart between the two
+_LETTERS = "".join(chr(c) for c in [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)])
+_STEM = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -34,34 +40,74 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Encoder:
+class Encoder:
     """Ids of whole texts from a memory of ids by word.
 
-    Valid for tokenizers that split at white space before the model runs, as the vocabulary
-    used here does: the ids of a text are those of its space-separated parts in turn.
+    Valid for tokenizers that split at white space and between letters and marks before the
+    model runs and that ignore case, as the vocabulary used here does: the ids of a text are
+    those of its space-separated words in turn.  Words that are no plain letters and marks are
+    encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.wide = self.tok.get_vocab_size() > 65536
+        self.kind, self.code = ("<u4", "I") if self.wide else ("<u2", "H")
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+        # letters as the model sees them, where it can be asked directly (checked on all of them)
+        self.letters = str.maketrans({c: self._shown(c) for c in _LETTERS})
+        self.direct = all(self._ask(w) == self._whole([w])[0] for w in [*_LETTERS, _LETTERS, "there", "été", "über"])
+
+    def _shown(self, letter: str) -> str:
+        pre = self.tok.pre_tokenizer
+        out = pre.pre_tokenize_str(letter) if pre is not None else []
+        return out[0][0] if len(out) == 1 else letter
+
+    def _ask(self, stem: str) -> bytes:
+        return array(self.code, [t.id for t in self.tok.model.tokenize(stem.translate(self.letters))]).tobytes()
+
+    def _whole(self, new: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > _CACHE_WORDS:
-            self.known, new = {}, list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            self.learn(set(words))
-            return b"".join([self.known[w] for w in words])
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > _MEMORY:
+            self.words, new = {}, words
+        if len(self.parts) > _MEMORY:
+            self.parts = {}
+        split = [(w, m[1].lower(), m[2], True) if (m := _STEM.fullmatch(w)) else (w, w, "", False) for w in new]
+        ask, whole = set(), {""}
+        for w, stem, marks, plain in split:
+            if stem not in self.parts:
+                (ask if self.direct and plain else whole).add(stem)
+            if marks not in self.parts:
+                whole.add(marks)
+        for stem in ask:
+            self.parts[stem] = self._ask(stem)
+        rest = sorted(whole)
+        self.parts.update(zip(rest, self._whole(rest)))
+        for w, stem, marks, _ in split:
+            self.words[w] = self.parts[stem] + self.parts[marks] if marks else self.parts[stem]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text; learns the unknown words of all of them at once."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(set().union(*split))
+        return [b"".join([self.words[w] for w in words]) for words in split]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a vocabulary; it outlives the task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local", pa.int64()),
@@ -73,19 +119,16 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     where the vocabulary allows, else 32-bit; ``local`` counts inside partition ``part``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
         from pyspark import TaskContext
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = _Encoder(path)
-        wide = encode.tok.get_vocab_size() > 65536 or end_id > 65535
-        end = np.array([end_id], "<u4").tobytes()
+
+        from corpusforge.llm import packing              # the worker's own module keeps the memory
+        encode = packing.encoder(path)
+        end = np.array([end_id], encode.kind).tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids, n = [], np.empty(b.num_rows, np.int64)
-            for i, text in enumerate(b.column(1)):
-                raw = (encode(text.as_py() or "") if text.is_valid else b"") + end
-                n[i] = len(raw) // 4
-                ids.append(raw if wide else np.frombuffer(raw, "<u4").astype("<u2").tobytes())
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            ids = [x + end for s in range(0, len(texts), 256) for x in encode(texts[s:s + 256])]
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // len(end)
             local = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.RecordBatch.from_arrays(
