@@ -5,7 +5,8 @@ value (``try_parse_json`` of the raw JSON text), so validation is a plain ``filt
 Missing keys and JSON nulls stay distinguishable: ``variant_get`` yields SQL NULL for an
 absent key, and a JSON null is a variant whose type is ``VOID``.
 Supported keywords: type, required, properties, additionalProperties (false), minLength,
-maxLength, minimum, maximum, enum, maxItems, minItems, items.
+maxLength, minimum, maximum, exclusiveMinimum, exclusiveMaximum, enum, const, pattern,
+maxItems, minItems, items; annotations are skipped and any other keyword raises at plan time.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_KEYWORDS = frozenset("type required properties additionalProperties minLength maxLength minimum maximum "
+                      "exclusiveMinimum exclusiveMaximum enum const pattern maxItems minItems items".split())
+_ANNOTATIONS = frozenset("$schema $id $comment title description default examples".split())
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL")
 
 
@@ -32,12 +36,31 @@ def _vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _type_ok(t: str, v: Column) -> Column:
+def _is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def _equals(v: Column, x) -> Column:
+    """Whether a variant equals a JSON scalar; numbers compare by value, true is not 1."""
     ty = _vtype(v)
+    if x is None:
+        return ty == "VOID"
+    if isinstance(x, bool):
+        return (ty == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == x)
+    if isinstance(x, str):
+        return (ty == "STRING") & (F.try_variant_get(v, "$", "string") == x)
+    if isinstance(x, (int, float)):
+        return reduce(lambda a, b: a | b, [ty.startswith(n) for n in _NUMERIC]) & (
+            F.try_variant_get(v, "$", "double") == float(x))
+    raise ValueError("enum and const support scalars only")
+
+
+def _type_ok(t: str, v: Column) -> Column:
     if t == "object":
-        return ty.startswith("OBJECT")
+        return _is_object(v)
     if t == "array":
-        return ty.startswith("ARRAY")
+        return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+    ty = _vtype(v)
     if t == "string":
         return ty == "STRING"
     if t == "boolean":
@@ -59,22 +82,30 @@ def _key_path(k: str) -> str:
 
 def compile_value(schema: dict, v: Column) -> Column:
     """Validity of a present (non-SQL-NULL) variant value against ``schema``."""
+    unknown = set(schema) - _KEYWORDS - _ANNOTATIONS
+    if unknown or schema.get("additionalProperties") not in (None, True, False):
+        raise ValueError(f"unsupported schema keywords: {sorted(unknown) or ['additionalProperties']}")
     conds: list[Column] = []
     t = schema.get("type")
     if t is not None:
         types = t if isinstance(t, list) else [t]
         conds.append(reduce(lambda a, b: a | b, [_type_ok(x, v) for x in types]))
     if "enum" in schema:
-        vals = schema["enum"]
-        strs = [x for x in vals if isinstance(x, str)]
-        conds.append(F.try_variant_get(v, "$", "string").isin(strs) & (_vtype(v) == "STRING")
-                     if strs else F.lit(False))
+        conds.append(reduce(lambda a, b: a | b, [_equals(v, x) for x in schema["enum"]], F.lit(False)))
+    if "const" in schema:
+        conds.append(_equals(v, schema["const"]))
     s = F.try_variant_get(v, "$", "string")
     if "minLength" in schema:
         conds.append((_vtype(v) != "STRING") | (F.length(s) >= schema["minLength"]))
     if "maxLength" in schema:
         conds.append((_vtype(v) != "STRING") | (F.length(s) <= schema["maxLength"]))
+    if "pattern" in schema:
+        conds.append((_vtype(v) != "STRING") | s.rlike(schema["pattern"]))
     d = F.try_variant_get(v, "$", "double")
+    if "exclusiveMinimum" in schema:
+        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d > F.lit(float(schema["exclusiveMinimum"]))))
+    if "exclusiveMaximum" in schema:
+        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d < F.lit(float(schema["exclusiveMaximum"]))))
     if "minimum" in schema:
         conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d >= F.lit(float(schema["minimum"]))))
     if "maximum" in schema:
@@ -88,7 +119,7 @@ def compile_value(schema: dict, v: Column) -> Column:
         item_schema = schema["items"]
         conds.append(arr.isNull() | F.forall(arr, lambda x: compile_value(item_schema, x)))
     props = schema.get("properties")
-    is_obj = _vtype(v).startswith("OBJECT")
+    is_obj = _is_object(v)
     if isinstance(props, dict) or "required" in schema or schema.get("additionalProperties") is False:
         obj_conds = []
         for k in schema.get("required", []):
@@ -97,7 +128,7 @@ def compile_value(schema: dict, v: Column) -> Column:
             child = F.try_variant_get(v, _key_path(k), "variant")
             obj_conds.append(child.isNull() | compile_value(sub, child))
         if schema.get("additionalProperties") is False:
-            keys = F.json_object_keys(F.to_json(v))
+            keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
             obj_conds.append(F.size(F.array_except(keys, F.array(*[F.lit(k) for k in (props or {})]))) == 0)
         conds.append(~is_obj | _all(obj_conds))
     return _all(conds)

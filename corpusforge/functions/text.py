@@ -30,8 +30,6 @@ MOJIBAKE_REPLACEMENTS = [
 ZERO_WIDTH_CHARS = "\u200b\u200c\u200d\ufeff"
 # Characters rewritten to a plain double quote.
 QUOTE_CHARS = "\"'`\u00b4"
-# Boilerplate lines (matched case-insensitively at the start of a stripped line).
-BOILERPLATE_PATTERNS = [r"^thanks for reading.*$", r"^#hiring\b.*$"]
 # Emoji code point ranges.
 EMOJI_RANGES = [(0x1F300, 0x1F6FF), (0x1F900, 0x1F9FF), (0x1FA70, 0x1FAFF), (0x2600, 0x27BF)]
 # ---------------------------------------------------------------------------------------

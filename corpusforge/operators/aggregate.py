@@ -37,7 +37,9 @@ def aggregate_numeric(samples: DataFrame, keys: list[str], value: str, *, how: s
 # A3 -------------------------------------------------------------------------------------
 def aggregate_array_union(samples: DataFrame, keys: list[str], array_col: str, order_col: str,
                           max_items: int | None = None, out: str = "items") -> DataFrame:
-    """Union of the sample arrays in first-seen order (sample order, then position)."""
+    """Union of the sample arrays in first-seen order (sample order, then position); samples
+    whose arrays are all empty give an empty list, a key without any array gives no row."""
+    groups = samples.filter(F.col(array_col).isNotNull()).select(*keys).distinct()
     items = samples.select(*keys, order_col, F.posexplode_outer(array_col).alias("_pos", "_item")) \
         .filter(F.col("_item").isNotNull())
     first = items.groupBy(*keys, "_item").agg(F.min(F.struct(order_col, "_pos")).alias("_first"))
@@ -46,7 +48,9 @@ def aggregate_array_union(samples: DataFrame, keys: list[str], array_col: str, o
     res = F.transform("_l", lambda s: s["_item"])
     if max_items is not None:
         res = F.slice(res, 1, int(max_items))
-    return merged.select(*keys, res.alias(out))
+    same = [groups[k].eqNullSafe(merged[k]) for k in keys]
+    none = F.array().cast(samples.schema[array_col].dataType)
+    return groups.join(merged, same, "left").select(*[groups[k] for k in keys], F.coalesce(res, none).alias(out))
 
 
 # A4 -------------------------------------------------------------------------------------
@@ -93,18 +97,24 @@ def ensemble_first(values: DataFrame, keys: list[str], judge_no: str, value: str
         F.min_by(value, judge_no).alias(out))
 
 
+def first_judge_keys(values: DataFrame, row_keys: list[str], key_col: str, judge_no: str) -> DataFrame:
+    """The values of the keys that a row's first judge has."""
+    first = values.groupBy(*row_keys).agg(F.min(judge_no).alias("_fj"))
+    keys = values.join(first, row_keys).filter(F.col(judge_no) == F.col("_fj")).select(*row_keys, key_col).distinct()
+    return values.join(keys, row_keys + [key_col], "left_semi")
+
+
 def ensemble_median(values: DataFrame, row_keys: list[str], key_col: str, judge_no: str, value: str,
-                    nested: str = "median", out: str = "value") -> DataFrame:
+                    nested: str = "median", out: str = "value", first_keys: bool = True) -> DataFrame:
     """Keys of the first judge only; numeric -> median over judges.
 
     ``nested="pick"`` reproduces the original treatment of the ``labels`` dict: it is not
     medianed but taken whole from the judge at index ``n // 2`` of the judges having it.
+    ``first_keys=False`` takes ``values`` as restricted to the first judge's keys already.
     """
     v = values.filter(F.col(value).isNotNull())
-    first_judge = v.groupBy(*row_keys).agg(F.min(judge_no).alias("_fj"))
-    first_keys = v.join(first_judge, row_keys).filter(F.col(judge_no) == F.col("_fj")) \
-        .select(*row_keys, key_col).distinct()
-    v = v.join(first_keys, row_keys + [key_col], "left_semi")
+    if first_keys:
+        v = first_judge_keys(v, row_keys, key_col, judge_no)
     if nested == "pick":
         # index n//2 (0-based) among judges having the key, in judge order
         ranked = v.groupBy(*row_keys, key_col).agg(
@@ -114,18 +124,22 @@ def ensemble_median(values: DataFrame, row_keys: list[str], key_col: str, judge_
     return v.groupBy(*row_keys, key_col).agg(F.median(value).alias(out))
 
 
-def ensemble_vote(values: DataFrame, keys: list[str], value: str, out: str = "value") -> DataFrame:
-    """A9 numeric: 1.0 iff strictly more than half of the judges say >= 0.5, else 0.0."""
-    v = F.col(value)
-    return values.filter(v.isNotNull()).groupBy(*keys).agg(
-        F.when(F.count_if(v >= 0.5) > F.count(v) / F.lit(2.0), F.lit(1.0)).otherwise(F.lit(0.0)).alias(out))
+def ensemble_vote(values: DataFrame, row_keys: list[str], key_col: str, judge_no: str, value: str,
+                  out: str = "value") -> DataFrame:
+    """A9 numeric, for the first judge's keys: 1.0 iff strictly more than half of the judges that
+    have the key say >= 0.5, else 0.0."""
+    v = first_judge_keys(values.filter(F.col(value).isNotNull()), row_keys, key_col, judge_no)
+    yes = F.count_if(F.col(value) >= 0.5) > F.count(value) / F.lit(2.0)
+    return v.groupBy(*row_keys, key_col).agg(F.when(yes, F.lit(1.0)).otherwise(F.lit(0.0)).alias(out))
 
 
-def ensemble_mode(values: DataFrame, keys: list[str], judge_no: str, value: str,
+def ensemble_mode(values: DataFrame, row_keys: list[str], key_col: str, judge_no: str, value: str,
                   out: str = "value") -> DataFrame:
-    """A9 non-numeric: most common value; ties go to the value seen first (judge order)."""
-    counts = values.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(judge_no).alias("_first"))
+    """A9 non-numeric, for the first judge's keys: most common value; ties go to the value seen
+    first (judge order)."""
+    keys = [*row_keys, key_col]
+    counts = first_judge_keys(values.filter(F.col(value).isNotNull()), row_keys, key_col, judge_no) \
+        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), F.min(judge_no).alias("_first"))
     best = counts.groupBy(*keys).agg(
         F.max(F.struct(F.col("_n"), (-F.col("_first")).alias("_neg"), F.col(value).alias("_v"))).alias("_b"))
     return best.select(*keys, F.col("_b._v").alias(out))
@@ -140,3 +154,19 @@ def judge_meta(samples: DataFrame, row_keys: list[str], sample_no: str, *, model
                             F.col("num_samples").cast("bigint").alias("num_samples"),
                             F.lit(seed).cast("bigint").alias("seed"),
                             F.lit(aggregation).alias("aggregation")).alias("judge_meta"))
+
+
+# Keys copied from the generated part onto a judgment that lacks them.
+_COPIED = ("prompt_id", "style_id", "seed", "response_schema_version")
+
+
+def enrich_judgment(judgment: Column, fields: list[str], generated: Column, generated_fields: list[str]) -> Column:
+    """The judgment struct with the prompt keys it lacks taken from the generated part and the
+    calibration marks set to "not applied" where absent."""
+    for name in _COPIED:
+        given = generated.getField(name) if name in generated_fields else F.lit(None)
+        own = judgment.getField(name) if name in fields else F.lit(None)
+        if name in fields or name in generated_fields:
+            judgment = judgment.withField(name, F.coalesce(own, given))
+    applied = judgment.getField("calibration_applied") if "calibration_applied" in fields else F.lit(None).cast("boolean")
+    return judgment.withField("calibration_applied", F.coalesce(applied, F.lit(False)))

@@ -1,17 +1,19 @@
 """Probability calibration against human truth (K1-K9).
 
-Fitting is MLlib's job (isotonic: parallel pool-adjacent-violators; Platt: logistic
-regression on the raw probability).  Parameters are a small table
-``(key, method, x, y, coef, intercept)`` - one row per label - that is broadcast and
-applied with column expressions only (no UDF): Platt is a sigmoid, isotonic is a linear
-interpolation between knots, constant outside them.
+Training pairs are first pooled by equal probability.  Platt parameters of all labels are
+found together, one aggregation per Newton step.  Isotonic levels are pooled (pool adjacent
+violators) in ranges of probability in parallel and then once more over what is left per
+label; pooling in pieces gives the same levels.  Parameters are a small table
+``(key, method, x, y, coef, intercept)`` - one row per label - applied with column
+expressions only: Platt is a sigmoid, isotonic a linear interpolation between knots found by
+binary search, constant outside them.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,9 +29,6 @@ PARAMS_SCHEMA = T.StructType([
     T.StructField("intercept", T.DoubleType()),
 ])
 
-# Keys looked up, in this order, for the overall truth of a row.
-OVERALL_TRUTH_KEYS = ["cringe", "cringe_prob", "label", "overall"]
-
 
 # K1 -------------------------------------------------------------------------------------
 def pair_with_truth(preds: DataFrame, truth: DataFrame, on: list[str], check: bool = True) -> DataFrame:
@@ -46,79 +45,154 @@ def pair_with_truth(preds: DataFrame, truth: DataFrame, on: list[str], check: bo
 
 # K2 / K3 --------------------------------------------------------------------------------
 def truth_value(c: Column) -> Column:
-    """bool -> 0/1, number -> round half-to-even, anything else -> NULL."""
+    """Number or boolean -> 0/1-like integer, rounded half-to-even."""
     return F.bround(c.cast("double"), 0).cast("int")
 
 
-def overall_truth(truth: DataFrame, keys: list[str] = OVERALL_TRUTH_KEYS) -> Column:
-    """K2: the first of ``keys`` present (non-NULL) as a column of the truth rows."""
-    cols = [truth_value(F.col(k)) for k in keys if k in truth.columns]
+def _is_number(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType))
+
+
+def overall_truth(truth: DataFrame, keys: list[str]) -> Column:
+    """K2: the first of ``keys`` that is a number or boolean and not NULL; columns of any other
+    type (texts above all) are no truths."""
+    cols = [truth_value(F.col(k)) for k in keys if k in truth.columns and _is_number(truth.schema[k].dataType)]
     return F.coalesce(*cols) if cols else F.lit(None).cast("int")
 
 
+def variant_number(v: Column) -> Column:
+    """A JSON number or boolean of a variant as a double; texts and everything else are NULL."""
+    kind = F.schema_of_variant(v)
+    return F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).when(
+        kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), F.try_variant_get(v, "$", "double"))
+
+
 def label_truth_long(truth: DataFrame, id_col: str, labels_col: str = "labels",
                      fallback_col: str = "truth") -> DataFrame:
     """K3: ``labels`` map, or ``truth`` map when ``labels`` is empty/absent -> ``(id, label, y)``."""
     m = F.col(labels_col) if labels_col in truth.columns else F.lit(None)
     if fallback_col in truth.columns:
         m = F.when(m.isNull() | (F.size(m) == 0), F.col(fallback_col)).otherwise(m)
-    return truth.select(id_col, F.explode_outer(m).alias("label", "_v")).filter(F.col("label").isNotNull()) \
-        .select(id_col, "label", truth_value(F.col("_v")).alias("y")).filter(F.col("y").isNotNull())
+    long = truth.select(id_col, F.explode_outer(m).alias("label", "_v")).filter(F.col("label").isNotNull())
+    kind = long.schema["_v"].dataType
+    y = truth_value(variant_number(F.col("_v"))) if isinstance(kind, T.VariantType) else (
+        truth_value(F.col("_v")) if _is_number(kind) else F.lit(None).cast("int"))
+    return long.select(id_col, "label", y.alias("y")).filter(F.col("y").isNotNull())
 
 
 # K4-K6 ----------------------------------------------------------------------------------
 def fit(pairs: DataFrame, keys: list[str], *, key_col: str = "label", p_col: str = "p", y_col: str = "y",
         method: str = "isotonic") -> DataFrame:
-    """Fit one calibrator per key; identity when a key has no pairs or a single class."""
+    """Fit one calibrator per key of ``keys``; identity when a key has no pairs or a single class.
+
+    ``y`` is 0 or 1.  The number of jobs does not depend on the number of keys.
+    """
     spark = pairs.sparkSession
-    # one pass per key below: materialise the (small) training pairs once
-    pairs = cut_lineage(pairs.select(key_col, p_col, y_col))
-    stats = {r[key_col]: (r["n"], r["classes"]) for r in pairs.groupBy(key_col).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct(y_col).alias("classes")).collect()}
-    rows = []
-    for key in keys:
-        n, classes = stats.get(key, (0, 0))
-        data = pairs.filter(F.col(key_col) == key).select(F.col(p_col).cast("double").alias("p"),
-                                                          F.col(y_col).cast("double").alias("y"))
-        if n == 0 or classes < 2:
-            rows.append((key, "identity", None, None, None, None))
-        elif method == "platt":
-            vec = VectorAssembler(inputCols=["p"], outputCol="features").transform(data)
-            # C=1 L2 logistic regression: mean loss + 1/(2n) w^2, intercept not penalised
-            lr = LogisticRegression(featuresCol="features", labelCol="y", regParam=1.0 / n,
-                                    elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-10)
-            m = lr.fit(vec)
-            rows.append((key, "platt", None, None, float(m.coefficients[0]), float(m.intercept)))
-        else:
-            m = IsotonicRegression(featuresCol="p", labelCol="y", isotonic=True).fit(data)
-            rows.append((key, "isotonic", [float(v) for v in m.boundaries.toArray()],
-                         [float(v) for v in m.predictions.toArray()], None, None))
-    return spark.createDataFrame(rows, PARAMS_SCHEMA)
+    wanted = F.broadcast(spark.createDataFrame([(k,) for k in dict.fromkeys(keys)], "key string"))
+    pooled = cut_lineage(pairs.select(F.col(key_col).alias("key"), F.col(p_col).cast("double").alias("x"),
+                                      F.col(y_col).cast("double").alias("y")).dropna().join(wanted, "key")
+                         .groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")))
+    usable = pooled.groupBy("key").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).filter("s > 0 and s < n")
+    fitted = _fit_platt(pooled, usable) if method == "platt" else _fit_isotonic(pooled, usable)
+    rest = wanted.join(fitted.select("key"), "key", "left_anti").select("key", F.lit("identity").alias("method"))
+    shape = spark.createDataFrame([], PARAMS_SCHEMA)
+    return cut_lineage(shape.unionByName(fitted, allowMissingColumns=True).unionByName(rest, allowMissingColumns=True))
+
+
+def _fit_platt(pooled: DataFrame, usable: DataFrame, rounds: int = 100, tol: float = 1e-11) -> DataFrame:
+    """Logistic regression on the raw probability with an L2 penalty (C = 1) on the slope only:
+    Newton steps for all keys at once, one aggregation a step."""
+    spark = pooled.sparkSession
+    at = {r["key"]: (0.0, 0.0) for r in usable.select("key").collect()}       # at most the asked keys
+    for _ in range(rounds if at else 0):
+        state = F.broadcast(spark.createDataFrame([(k, w, b) for k, (w, b) in at.items()], "key string, w double, b double"))
+        q = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("w") * F.col("x") + F.col("b"))))
+        d = pooled.join(state, "key").withColumn("q", q).withColumn("g", F.col("n") * F.col("q") - F.col("s")) \
+            .withColumn("h", F.col("n") * F.col("q") * (1 - F.col("q")))
+        moved = 0.0
+        for r in d.groupBy("key").agg(F.sum(F.col("g") * F.col("x")).alias("gw"), F.sum("g").alias("gb"),
+                                      F.sum(F.col("h") * F.col("x") * F.col("x")).alias("ww"),
+                                      F.sum(F.col("h") * F.col("x")).alias("wb"), F.sum("h").alias("bb")).collect():
+            w, b = at[r["key"]]
+            gw, ww = r["gw"] + w, r["ww"] + 1.0
+            det = ww * r["bb"] - r["wb"] ** 2
+            dw, db = (r["bb"] * gw - r["wb"] * r["gb"]) / det, (ww * r["gb"] - r["wb"] * gw) / det
+            at[r["key"]] = (w - dw, b - db)
+            moved = max(moved, abs(dw), abs(db))
+        if not moved > tol:
+            break
+    bad = [k for k, (w, b) in at.items() if not (math.isfinite(w) and math.isfinite(b))]
+    if bad:
+        raise ValueError(f"the Platt fit does not converge for {bad}")
+    return spark.createDataFrame([(k, "platt", w, b) for k, (w, b) in at.items()],
+                                 "key string, method string, coef double, intercept double")
+
+
+def _pool(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pool adjacent violators over levels ``(lo, hi, n, s)``; equal means are pooled too.  Counts
+    are whole numbers, so means are compared exactly."""
+    out: list[list] = []
+    for lo, hi, n, s in pdf.sort_values("lo")[["lo", "hi", "n", "s"]].itertuples(index=False):
+        level = [lo, hi, int(n), int(s)]
+        while out and out[-1][3] * level[2] >= level[3] * out[-1][2]:
+            before = out.pop()
+            level = [before[0], level[1], before[2] + level[2], before[3] + level[3]]
+        out.append(level)
+    return pd.DataFrame(out, columns=["lo", "hi", "n", "s"])
+
+
+def _fit_isotonic(pooled: DataFrame, usable: DataFrame) -> DataFrame:
+    levels = pooled.join(usable.select("key"), "key").select(
+        "key", F.col("x").alias("lo"), F.col("x").alias("hi"), F.col("n").cast("double"), "s")
+    schema = "key string, lo double, hi double, n double, s double"
+
+    def pieces(batches):
+        # a range partition may hold several keys, and a key may come in several batches
+        for pdf in batches:
+            for key, part in pdf.groupby("key", sort=False):
+                yield _pool(part).assign(key=key)[["key", "lo", "hi", "n", "s"]]
+
+    ranged = levels.repartitionByRange("key", "lo").sortWithinPartitions("key", "lo").mapInPandas(pieces, schema)
+
+    def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        done = _pool(pdf)
+        x, y = [], []
+        for lo, hi, n, s in done.itertuples(index=False):
+            x += [lo] if lo == hi else [lo, hi]
+            y += [s / n] if lo == hi else [s / n, s / n]
+        return pd.DataFrame({"key": [key[0]], "method": ["isotonic"], "x": [x], "y": [y]})
+
+    return ranged.groupBy("key").applyInPandas(whole, "key string, method string, x array<double>, y array<double>")
 
 
 # K7 -------------------------------------------------------------------------------------
 def _interp(v: Column, xs: Column, ys: Column) -> Column:
-    """np.interp with clipping: linear between knots, end values outside."""
-    knots = F.arrays_zip(xs.alias("x"), ys.alias("y"))
-    below = F.filter(knots, lambda k: k["x"] <= v)
-    above = F.filter(knots, lambda k: k["x"] >= v)
-    lo = F.element_at(below, -1)
-    hi = F.element_at(above, 1)
-    inner = F.when(hi["x"] == lo["x"], hi["y"]).otherwise(
-        lo["y"] + (v - lo["x"]) * (hi["y"] - lo["y"]) / (hi["x"] - lo["x"]))
-    return (F.when(F.size(below) == 0, F.element_at(ys, 1))
-            .when(F.size(above) == 0, F.element_at(ys, -1))
-            .otherwise(inner))
+    """Linear between knots, end values outside; the knot at or below ``v`` is found by bisection."""
+    size = F.size(xs)
+    begin = F.struct(F.lit(1).alias("lo"), size.alias("hi"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.ceil((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go = F.element_at(xs, mid) <= v
+        return F.struct(F.when(go, mid).otherwise(acc["lo"]).alias("lo"),
+                        F.when(go, acc["hi"]).otherwise(F.greatest(acc["lo"], mid - 1)).alias("hi"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size.cast("double") + 1)).cast("int"))
+    at = F.aggregate(steps, begin, halve)["lo"]
+    x0, y0 = F.element_at(xs, at), F.element_at(ys, at)
+    x1, y1 = F.element_at(xs, F.least(at + 1, size)), F.element_at(ys, F.least(at + 1, size))
+    return (F.when(v <= F.element_at(xs, 1), F.element_at(ys, 1)).when(v >= F.element_at(xs, -1), F.element_at(ys, -1))
+            .when(x0 == v, y0).otherwise(y0 + (v - x0) * (y1 - y0) / (x1 - x0)))
 
 
 def apply(probs: DataFrame, params: DataFrame, *, key_col: str = "label", p_col: str = "p",
           out: str | None = None) -> DataFrame:
     """Calibrate a long ``(…, key, p)`` table; keys without a model pass through unchanged.
 
-    ``params`` has one row per key, so it is broadcast (its size is the label count).
+    ``params`` has one row per key; whether it is small enough to broadcast is left to its
+    measured size.
     """
     out = out or p_col
-    j = probs.join(F.broadcast(params.withColumnRenamed("key", key_col)), key_col, "left")
+    j = probs.join(params.withColumnRenamed("key", key_col), key_col, "left")
     v = F.col(p_col).cast("double")
     platt = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("coef") * v + F.col("intercept"))))
     iso = _interp(v, F.col("x"), F.col("y"))
@@ -166,6 +240,6 @@ def load_params(spark, path: str) -> DataFrame:
 def calibrate(preds: DataFrame, truth: DataFrame, keys: list[str], *, on: list[str], method: str = "isotonic",
               key_col: str = "label", p_col: str = "p", y_col: str = "y") -> tuple[DataFrame, DataFrame]:
     """Fit on (predictions x truth) and calibrate the predictions: ``(calibrated, params)``."""
-    pairs = preds.join(truth, on + [key_col])
+    pairs = pair_with_truth(preds, truth, on + [key_col])
     params = fit(pairs, keys, key_col=key_col, p_col=p_col, y_col=y_col, method=method)
     return apply(preds, params, key_col=key_col, p_col=p_col), params

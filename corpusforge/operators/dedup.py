@@ -176,23 +176,6 @@ def _minhash_block(x: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarr
     return out.astype(np.int64)
 
 
-def minhash_signature(tokens: Column, num_perm: int = 128, seed: int = 1, n_gram: int = 5,
-                      level: str = "word") -> Column:
-    """MinHash signature ``array<bigint>[num_perm]`` of an ``array<string>`` of tokens
-    (Arrow batches into NumPy/pandas; no per-shingle Python).  NULL tokens -> NULL."""
-    a_t, b_t = minhash_params(num_perm, seed)
-    a = np.asarray(a_t, dtype=np.uint64)
-    b = np.asarray(b_t, dtype=np.uint64)
-    n = max(1, int(n_gram))
-    row_budget = 1 << 18  # tokens per NumPy block: bounds worker memory per batch
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def _sig(xs: pd.Series) -> pd.Series:
-        return _signature_batch(xs, a, b, n, level, row_budget)
-
-    return _sig(tokens)
-
-
 def _signature_batch(xs: pd.Series, a: np.ndarray, b: np.ndarray, n: int, level: str,
                      row_budget: int = 1 << 18) -> pd.Series:
     """Signatures of a batch of token lists (NULL list -> NULL signature)."""
@@ -216,13 +199,13 @@ def _signature_batch(xs: pd.Series, a: np.ndarray, b: np.ndarray, n: int, level:
     return res
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-spread a scan that produced fewer partitions than the cluster has cores (a few
-    large row groups) before CPU-heavy per-row work; a scan of many files is untouched."""
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a freshly read table of fewer files than the cluster has cores (a few large row
+    groups) before CPU-heavy per-row work.  For readers only: it looks at the table's file
+    names and runs no job; a table of many files stays as it is."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    return df.repartition(par, key) if key else df.repartition(par)
+    files = df.inputFiles()
+    return df.repartition(par, key) if 0 < len(files) < par else df
 
 
 # D6 -------------------------------------------------------------------------------------
@@ -274,7 +257,8 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
     a = np.asarray(a_t, dtype=np.uint64)
     b = np.asarray(b_t, dtype=np.uint64)
     n = max(1, int(n_gram))
-    idx = spread(df.select(F.col(order_col).cast("bigint").alias(order_col), text.alias("_t")), order_col)
+    idx = df.select(F.col(order_col), text.alias("_t"))
+    kind = df.schema[order_col].dataType.simpleString()
     toks = char_tokens(F.col("_t")) if level == "char" else word_tokens(F.col("_t"))
     staged = idx.select(order_col, F.when(F.length("_t") > 0, toks).alias("_tok"))
 
@@ -287,7 +271,7 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
             sig = _signature_batch(sub["_tok"].reset_index(drop=True), a, b, n, level)
             yield pd.DataFrame({order_col: sub[order_col].to_numpy(), "sig": sig})
 
-    return staged.mapInPandas(run, f"{order_col} bigint, sig array<bigint>")
+    return staged.mapInPandas(run, f"{order_col} {kind}, sig array<bigint>")
 
 
 def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> DataFrame:
@@ -301,12 +285,28 @@ def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> Da
     keyed = cut_lineage(sigs.select(F.col(order_col).alias("node"),
                                     F.explode_outer(band_keys(F.col("sig"), bands, rows)).alias("bk")
                                     ).select("node", "bk.band", "bk.k1", "bk.k2"))
-    buckets = (keyed.groupBy("band", "k1", "k2")
-               .agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
-               .filter(F.col("n") >= 2))
+    return _members(keyed)
+
+
+def _members(keyed: DataFrame) -> DataFrame:
+    # the bucket table is materialised so that the join's other side is no aggregate over the
+    # same exchange: adaptive execution can then split a hot bucket
+    buckets = cut_lineage(keyed.groupBy("band", "k1", "k2")
+                          .agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
+                          .filter(F.col("n") >= 2))
     return keyed.join(buckets, ["band", "k1", "k2"]).select("band", "first", "node")
 
 
+def collapse_equal(sigs: DataFrame, order_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(sigs of the first row of every signature, nodes of the others)``.  Rows of one signature
+    share every bucket, so all but the first are dropped whatever becomes of the first."""
+    named = cut_lineage(sigs.withColumn("_h1", F.xxhash64("sig")).withColumn("_h2", F.xxhash64(F.lit("sig"), "sig")))
+    first = cut_lineage(named.groupBy("_h1", "_h2").agg(F.min(order_col).alias("_lead")))
+    tagged = named.join(first, ["_h1", "_h2"])
+    return (tagged.filter(F.col(order_col) == F.col("_lead")).select(order_col, "sig"),
+            tagged.filter(F.col(order_col) != F.col("_lead")).select(F.col(order_col).alias("node")))
+
+
 # D7 -------------------------------------------------------------------------------------
 def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """Nodes dropped by keep-first over a clique-membership table ``(band, first, node)``.
@@ -314,7 +314,6 @@ def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFram
     A node is kept iff it has no earlier kept neighbour.  Terminates because the smallest
     undecided node is always kept; raises instead of returning a partial answer.
     """
-    spark = members.sparkSession
     bucket = ["band", "first"]
     alive = cut_lineage(members.select(*bucket, "node"))
     dropped_parts: list[DataFrame] = []
@@ -323,7 +322,7 @@ def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFram
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"keep-first did not converge in {max_rounds} rounds")
-        first_alive = alive.groupBy(*bucket).agg(F.min("node").alias("lead"))
+        first_alive = cut_lineage(alive.groupBy(*bucket).agg(F.min("node").alias("lead")))
         tagged = alive.join(first_alive, bucket)
         kept_now = (tagged.groupBy("node")
                     .agg(F.bool_and(F.col("node") == F.col("lead")).alias("ok"))
@@ -335,7 +334,7 @@ def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFram
         alive = cut_lineage(alive.join(kept_now, "node", "left_anti")
                             .join(dropped_now, "node", "left_anti"))
     if not dropped_parts:
-        return spark.createDataFrame([], "node bigint")
+        return members.select("node").limit(0)
     out = dropped_parts[0]
     for part in dropped_parts[1:]:
         out = out.unionByName(part)
@@ -348,14 +347,19 @@ def deduplicate(df: DataFrame, order_col: str, *, text: Column | None = None,
                 return_dropped: bool = False):
     """Keep-first MinHash-LSH near-duplicate removal.
 
-    ``order_col`` must be unique; it stands for the position of the row in the input.
-    Rows with null or empty text are kept and never indexed.
+    ``order_col`` stands for the position of the row in the input; it may be of any orderable
+    type and must be non-null and unique (else this raises).  Rows with null or empty text are
+    kept and never indexed.
     """
+    ids = df.groupBy(order_col).agg(F.count(F.lit(1)).alias("n"))
+    if not ids.filter((F.col("n") > 1) | F.col(order_col).isNull()).isEmpty():
+        raise ValueError(f"{order_col} must be unique and not null")
     text = dedup_text(df) if text is None else text
     bands, rows = lsh_params(threshold, num_perm)
     sigs = signatures(df, order_col, text, num_perm=num_perm, n_gram=n_gram,
                       level=shingle_level, seed=seed)
-    dropped = keep_first_dropped(lsh_membership(sigs, order_col, bands, rows))
+    sigs, equal = collapse_equal(sigs, order_col)
+    dropped = keep_first_dropped(lsh_membership(sigs, order_col, bands, rows)).unionByName(equal)
     kept = df.join(dropped.withColumnRenamed("node", order_col), order_col, "left_anti")
     return (kept, dropped) if return_dropped else kept
 

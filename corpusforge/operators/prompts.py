@@ -49,11 +49,24 @@ def render(template: str, columns: list[str], values: dict[str, Column] | None =
     return F.concat(*parts) if parts else F.lit("")
 
 
+def _ascii_json(text: Column) -> Column:
+    """JSON string literal in ASCII: characters beyond it (and DEL) as ``\\uXXXX`` code units."""
+    def shown(c: Column) -> Column:
+        units = F.hex(F.encode(c, "UTF-16BE"))
+        wide = F.concat(F.lit("\\u"), F.lower(F.substring(units, 1, 4)),
+                        F.when(F.length(units) > 4, F.concat(F.lit("\\u"), F.lower(F.substring(units, 5, 4))))
+                        .otherwise(F.lit("")))
+        return F.when(c.rlike(r"^[ -~]$"), c).otherwise(wide)
+    # to_json escapes quotes, backslashes and control characters; its list brackets are cut off
+    quoted = F.to_json(F.array(text))
+    inner = F.substring(quoted, 2, 1 << 30)
+    inner = F.substring(inner, F.lit(1), F.length(inner) - 1)
+    return F.array_join(F.transform(F.split(inner, ""), shown), "")
+
+
 def json_string_array(arr: Column) -> Column:
-    """Python ``json.dumps(list_of_str)`` text: ``["a", "b"]`` (", " separator)."""
-    esc = F.transform(arr, lambda x: F.concat(F.lit('"'), F.regexp_replace(
-        F.regexp_replace(x, r"\\", r"\\\\"), '"', '\\\\"'), F.lit('"')))
-    return F.concat(F.lit("["), F.array_join(esc, ", "), F.lit("]"))
+    """Python ``json.dumps(list_of_str)`` text: ``["a", "b"]`` (ASCII, ", " separator)."""
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, _ascii_json), ", "), F.lit("]"))
 
 
 def prompt_values(plan: DataFrame) -> DataFrame:

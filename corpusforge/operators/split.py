@@ -3,9 +3,9 @@
 The original shuffles a list with a seeded RNG and then slices it.  Here the shuffle order
 is the portable hash ``(h(row_id, seed), row_id)``.  "The first k rows of the shuffle" is
 answered without a global sort or an unpartitioned window: :func:`kth_keys` finds the
-k-th smallest key per group by radix selection (four rounds over 12-bit digits of the
-48-bit hash).  Each round is one aggregation whose per-group output is at most 4096 rows,
-so no task ever holds a whole group, whatever the skew.
+k-th smallest key per group by radix selection (rounds over 12-bit digits of the key, four
+for the 48-bit hash).  Each round is one aggregation whose per-group output is at most 4096
+rows, so no task ever holds a whole group, whatever the skew; every size takes this path.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from corpusforge.functions.hashing import hash48
 from corpusforge.session import cut_lineage
 
 _DIGIT_BITS = 12
-_SHIFTS = (36, 24, 12, 0)
 _MASK = (1 << _DIGIT_BITS) - 1
 _CONST = "_grp"
 
@@ -29,20 +28,18 @@ def shuffle_key(row_id, seed: int = 42) -> Column:
 
 
 _MAX_GROUPS = 100_000
-# A group this small is ranked with one window task (a proven bound); larger groups use
-# radix selection, which never puts more than 4096 rows of a group into one task.
-SMALL_GROUP = 100_000
 
 
 def kth_keys(df: DataFrame, group_cols: list[str], k: DataFrame | int, key: str = "key",
-             tie: str = "row_id") -> DataFrame:
+             tie: str = "row_id", key_bits: int = 48) -> DataFrame:
     """Per group, the ``(key, tie)`` of the k-th smallest row (1-based).
 
     ``k`` is an int (same for all groups) or a DataFrame ``(group_cols..., k)``.  Groups with
     ``k <= 0`` are absent from the result; groups with fewer than ``k`` rows get
-    ``key = NULL`` meaning "every row qualifies".  ``key`` must be a non-negative 48-bit
-    BIGINT, ``tie`` unique within a group.  Groups are few (labels): the per-group state
-    lives on the driver (its size is checked) and is broadcast back.
+    ``key = NULL`` meaning "every row qualifies".  ``key`` must be a non-null, non-negative
+    BIGINT below ``2**key_bits`` (anything else raises), ``tie`` unique within a group.
+    Groups are few (labels): the per-group state lives on the driver (its size is checked)
+    and is broadcast back.
     """
     spark = df.sparkSession
     groups = list(group_cols)
@@ -54,48 +51,50 @@ def kth_keys(df: DataFrame, group_cols: list[str], k: DataFrame | int, key: str
             if not group_cols else df.select(*groups).distinct().withColumn("k", F.lit(k).cast("bigint"))
     else:
         want = k.select(*groups, F.col("k").cast("bigint"))
-    want = want.filter(F.col("k") > 0)
-    totals = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    state_rows = want.join(totals, groups, "left").fillna(0, ["n"]).collect()
+    totals = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keys"),
+                                     F.min(key).alias("lo"), F.max(key).alias("hi"))
+    state_rows = want.filter(F.col("k") > 0).join(totals, groups, "left").fillna(0, ["n", "keys"]) \
+        .limit(_MAX_GROUPS + 1).collect()
     if len(state_rows) > _MAX_GROUPS:
         raise ValueError("kth_keys is meant for a small number of groups")
+    for r in state_rows:
+        if r["keys"] != r["n"] or (r["n"] and (r["lo"] < 0 or r["hi"] >= 1 << key_bits)):
+            raise ValueError(f"keys must be non-null and lie in [0, 2**{key_bits})")
     gschema = want.select(*groups).schema
-    tie_type = df.schema[tie].dataType
-    out_schema = T.StructType(gschema.fields + [T.StructField(key, T.LongType()), T.StructField(tie, tie_type)])
+    out_schema = T.StructType(gschema.fields + [T.StructField(key, T.LongType()),
+                                                T.StructField(tie, df.schema[tie].dataType)])
     short = [tuple(r[g] for g in groups) + (None, None) for r in state_rows if r["k"] > r["n"]]
     live = [r for r in state_rows if r["k"] <= r["n"]]
     found = spark.createDataFrame(short, out_schema)
     if live:
-        if max(r["n"] for r in live) <= SMALL_GROUP:
-            kdf = spark.createDataFrame([tuple(r[g] for g in groups) + (r["k"],) for r in live],
-                                        T.StructType(gschema.fields + [T.StructField("k", T.LongType())]))
-            w = Window.partitionBy(*groups).orderBy(key, tie)
-            ranked = df.join(F.broadcast(kdf), groups).withColumn("_rn", F.row_number().over(w))
-            found = found.unionByName(ranked.filter(F.col("_rn") == F.col("k")).select(*groups, key, tie))
-        else:
-            found = found.unionByName(_radix_select(df, groups, live, gschema, key, tie))
+        found = found.unionByName(_radix_select(df, groups, live, gschema, key, tie, key_bits))
     if not group_cols:
         found = found.drop(_CONST)
     return found
 
 
-def _radix_select(df, groups, live, gschema, key, tie):
+def _radix_select(df, groups, live, gschema, key, tie, key_bits):
     spark = df.sparkSession
     st_schema = T.StructType(gschema.fields + [T.StructField("k", T.LongType()), T.StructField("prefix", T.LongType())])
     state = [tuple(r[g] for g in groups) + (r["k"], 0) for r in live]
     order = Window.partitionBy(*groups).orderBy("digit")
-    for shift in _SHIFTS:
-        st = F.broadcast(spark.createDataFrame(state, st_schema))
-        cand = df.join(st, groups).filter(F.shiftright(F.col(key), shift + _DIGIT_BITS) == F.col("prefix"))
+    digits = -(-key_bits // _DIGIT_BITS)
+    for level in range(digits):
+        shift = _DIGIT_BITS * (digits - 1 - level)
+        cand = df.join(F.broadcast(spark.createDataFrame(state, st_schema)), groups)
+        if level:            # the first digit has nothing above it
+            cand = cand.filter(F.shiftright(F.col(key), shift + _DIGIT_BITS) == F.col("prefix"))
         hist = cand.groupBy(*groups, (F.shiftright(F.col(key), shift).bitwiseAND(_MASK)).alias("digit"),
                             "k", "prefix").agg(F.count(F.lit(1)).alias("c"))
         hist = hist.withColumn("cum", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         picked = hist.filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("c") < F.col("k"))).select(
             *groups, (F.col("k") - (F.col("cum") - F.col("c"))).alias("k"),
             (F.shiftleft(F.col("prefix"), _DIGIT_BITS) + F.col("digit")).alias("prefix")).collect()
+        if len(picked) != len(state):
+            raise RuntimeError("the input changed between the rounds of a selection")
         state = [tuple(r[g] for g in groups) + (r["k"], r["prefix"]) for r in picked]
     st = F.broadcast(spark.createDataFrame(state, st_schema))
-    # rows with exactly this key: tiny (48-bit hash collisions), ordered by the tie column
+    # rows with exactly this key: tiny (hash collisions), ordered by the tie column
     exact = df.join(st, groups).filter(F.col(key) == F.col("prefix"))
     w = Window.partitionBy(*groups).orderBy(tie)
     return exact.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.col("k")) \
@@ -106,13 +105,15 @@ def _rank_le(key_c: Column, tie_c: Column, tk: Column, tt: Column) -> Column:
     return tk.isNull() | (key_c < tk) | ((key_c == tk) & (tie_c <= tt))
 
 
-def first_k_threshold(df: DataFrame, k: int, key: str = "key", tie: str = "row_id"):
+def first_k_threshold(df: DataFrame, k: int, key: str = "key", tie: str = "row_id", key_bits: int = 48):
     """Group-less :func:`kth_keys` fetched as one driver-side row: ``None`` if k <= 0,
     ``(None, None)`` if there are fewer than k rows, else the k-th ``(key, tie)``."""
     if k <= 0:
         return None
-    row = kth_keys(df, [], k, key, tie).first()
-    return (row[key], row[tie]) if row is not None else None
+    row = kth_keys(df, [], k, key, tie, key_bits).first()
+    if row is None:
+        raise RuntimeError("the k-th row was not found")
+    return row[key], row[tie]
 
 
 def rank_within(thr, key_c: Column, tie_c: Column) -> Column:
@@ -125,11 +126,11 @@ def rank_within(thr, key_c: Column, tie_c: Column) -> Column:
 
 
 def within_first_k(df: DataFrame, group_cols: list[str], k, key: str = "key",
-                   tie: str = "row_id") -> DataFrame:
+                   tie: str = "row_id", key_bits: int = 48) -> DataFrame:
     """Rows of ``df`` whose rank in ``(key, tie)`` order within their group is <= k."""
     if not group_cols:
-        return df.filter(rank_within(first_k_threshold(df, int(k), key, tie), F.col(key), F.col(tie)))
-    thr = kth_keys(df, group_cols, k, key, tie).withColumnRenamed(key, "_tk").withColumnRenamed(tie, "_tt")
+        return df.filter(rank_within(first_k_threshold(df, int(k), key, tie, key_bits), F.col(key), F.col(tie)))
+    thr = kth_keys(df, group_cols, k, key, tie, key_bits).withColumnRenamed(key, "_tk").withColumnRenamed(tie, "_tt")
     j = df.join(F.broadcast(thr), group_cols)
     return j.filter(_rank_le(F.col(key), F.col(tie), F.col("_tk"), F.col("_tt"))).drop("_tk", "_tt")
 
@@ -188,11 +189,11 @@ def stratified_split(rows: DataFrame, probs: DataFrame, labels: list[str], *, ro
     Test takes the first int(n*test) such rows; val repeats the rule over the remaining
     rows.  Rows without label probabilities (``has_labels`` false) stay in train.
     """
-    n = rows.count()
-    n_test, n_val = int(n * test_ratio), int(n * val_ratio)
     keyed = rows.select(F.col(row_id).alias("row_id"),
                         *([F.col(has_labels).alias("_has")] if has_labels else [F.lit(True).alias("_has")]))
     keyed = cut_lineage(keyed.withColumn("key", shuffle_key(F.col("row_id"), seed)))
+    n = keyed.count()
+    n_test, n_val = int(n * test_ratio), int(n * val_ratio)
     eligible = keyed.filter("_has").select("row_id", "key")
     pos = cut_lineage(positives_long(probs, labels, threshold).join(eligible, "row_id"))
     targets = F.broadcast(cut_lineage(
@@ -200,7 +201,7 @@ def stratified_split(rows: DataFrame, probs: DataFrame, labels: list[str], *, ro
 
     def assign(pos_df: DataFrame, target_col: str, cap: int) -> DataFrame:
         if cap <= 0:
-            return pos_df.sparkSession.createDataFrame([], "row_id bigint")
+            return pos_df.select("row_id").limit(0)
         k = targets.select("label", F.col(target_col).alias("k"))
         need = cut_lineage(within_first_k(pos_df, ["label"], k).select("row_id", "key").distinct())
         return within_first_k(need, [], cap).select("row_id")

@@ -66,6 +66,44 @@ def q_process_documents(spark, sf_dir):
         F.sum(F.bround(F.col("emoji_density") * 1_000_000, 0)).cast("bigint").alias("emoji_micro"))
 
 
+_ROWS_SQL = f"""
+WITH RECURSIVE {NOISY},
+cleaned AS (SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text, lang FROM noisy),
+checked AS (SELECT * FROM cleaned WHERE length(text) BETWEEN 40 AND 20000),
+{S.minhash_ctes('checked', 'doc_id', 'text').strip()},
+{S.lsh_member_ctes().strip()},
+{S.keep_first_ctes().strip()},
+unique_rows AS (SELECT * FROM checked WHERE doc_id NOT IN (SELECT node FROM mh_dropped)),
+probs AS ({S.label_probs()}),
+{{ISO}},
+probs1 AS (SELECT * FROM probs WHERE row_id IN (SELECT doc_id FROM unique_rows)),
+given1 AS (SELECT * FROM ({S.given_labels()}) WHERE row_id IN (SELECT doc_id FROM unique_rows)),
+{S.label_issues_ctes('given1', 'probs1').strip()},
+kept AS (SELECT * FROM unique_rows WHERE doc_id NOT IN (SELECT row_id FROM cl_issues)),
+probs2 AS (SELECT p.row_id, p.label, greatest(0.0, least(1.0, c.fx)) AS p FROM probs1 p
+           JOIN cal c ON p.label = c.label AND p.p = c.x WHERE p.row_id NOT IN (SELECT row_id FROM cl_issues)),
+rows_in AS (SELECT doc_id AS row_id, doc_id IN (SELECT row_id FROM probs2) AS has_labels FROM kept),
+{S.stratified_split_ctes('rows_in', 'probs2').strip()}
+SELECT k.doc_id, k.lang, o.split, md5(k.text) AS text_md5, {S.emoji_count('k.text')}::INTEGER AS emoji_count,
+       round_even({S.emoji_density('k.text')}, 9) AS emoji_density, round_even(q.p, 9) AS quality_p, round_even(t.p, 9) AS toxic_p
+FROM kept k JOIN ss_out o ON k.doc_id = o.row_id
+LEFT JOIN probs2 q ON q.row_id = k.doc_id AND q.label = 'quality'
+LEFT JOIN probs2 t ON t.row_id = k.doc_id AND t.label = 'toxic'"""
+
+
+def q_process_rows(spark, sf_dir):
+    """The whole job row by row: validation, dedup, triage, calibration and split all take effect."""
+    pairs = _pairs(spark, sf_dir)
+    out = process(tb.noisy_documents(spark, sf_dir), order_col="doc_id", probs=tb.label_probs(spark, sf_dir).select("row_id", "label", "p"),
+                  labels=tb.LABELS, validate=F.length("text").between(40, 20000),
+                  triage={"given": tb.given_labels(spark, sf_dir)}, calibrate=cb.fit(pairs, tb.LABELS, method="isotonic"),
+                  attach="judgment", **PROCESS_OPTS)
+    return out.select("doc_id", "lang", "split", F.md5("text").alias("text_md5"), "emoji_count",
+                      F.bround("emoji_density", 9).alias("emoji_density"),
+                      F.bround(F.col("judgment")["quality"], 9).alias("quality_p"),
+                      F.bround(F.col("judgment")["toxic"], 9).alias("toxic_p"))
+
+
 # --- C: cleaning --------------------------------------------------------------------------
 def _noisy(spark, sf_dir):
     return tb.noisy_documents(spark, sf_dir)
@@ -98,7 +136,17 @@ def q_clean_boilerplate_lines(spark, sf_dir):
     return _noisy(spark, sf_dir).select("doc_id", tx.remove_boilerplate(F.col("text")).alias("text"))
 
 
-@register("clean_nfkc")
+# the compatibility characters that the noise injects, one by one (documents hold no others)
+_NFKC = {"\u3000": " ", "\u00a0": " ", "\u2122": "TM", "\ufb01": "fi", "\u00b4": " \u0301"}
+
+
+def _nfkc_sql(e):
+    for old, new in _NFKC.items():
+        e = f"replace({e}, {S.q(old)}, {S.q(new)})"
+    return e
+
+
+@register("clean_nfkc", f"WITH {NOISY} SELECT doc_id, {_nfkc_sql('text')} AS text FROM noisy")
 def q_clean_nfkc(spark, sf_dir):
     return _noisy(spark, sf_dir).select("doc_id", tx.nfkc(F.col("text")).alias("text"))
 
@@ -318,30 +366,49 @@ SELECT row_id, label, round_even((list(value ORDER BY judge_no))[floor(count(*)
 FROM v WHERE label <> 'overall' GROUP BY ALL""")
 def q_ensemble_median(spark, sf_dir):
     jv = _jv(spark, sf_dir)
-    top = ag.ensemble_median(jv, ["row_id"], "label", "judge_no", "value", nested="median") \
-        .filter(F.col("label") == "overall")
-    nested = ag.ensemble_median(jv, ["row_id"], "label", "judge_no", "value", nested="pick") \
-        .filter(F.col("label") != "overall")
+    keys = ag.first_judge_keys(jv, ["row_id"], "label", "judge_no")
+    top = ag.ensemble_median(keys.filter("label = 'overall'"), ["row_id"], "label", "judge_no", "value",
+                             nested="median", first_keys=False)
+    nested = ag.ensemble_median(keys.filter("label <> 'overall'"), ["row_id"], "label", "judge_no", "value",
+                                nested="pick", first_keys=False)
     return top.unionByName(nested).select("row_id", "label", F.bround("value", 9).alias("value"))
 
 
-@register("ensemble_vote", f"""WITH {_JV_SQL} SELECT row_id, label,
+_FIRST_KEYS = """fj AS (SELECT row_id, min(judge_no) AS fj FROM jv GROUP BY row_id),
+fk AS (SELECT DISTINCT jv.row_id, label FROM jv JOIN fj ON jv.row_id = fj.row_id AND jv.judge_no = fj.fj),
+v AS (SELECT jv.* FROM jv SEMI JOIN fk ON jv.row_id = fk.row_id AND jv.label = fk.label)"""
+
+
+@register("ensemble_vote", f"""WITH {_JV_SQL}, {_FIRST_KEYS} SELECT row_id, label,
     CASE WHEN count(*) FILTER (WHERE value >= 0.5) > count(value) / 2.0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
-    FROM jv GROUP BY ALL""")
+    FROM v GROUP BY ALL""")
 def q_ensemble_vote(spark, sf_dir):
-    return ag.ensemble_vote(_jv(spark, sf_dir), ["row_id", "label"], "value")
+    return ag.ensemble_vote(_jv(spark, sf_dir), ["row_id"], "label", "judge_no", "value")
 
 
-@register("ensemble_mode", f"""WITH {JF},
-jr AS (SELECT row_id, judge_no, coalesce(arg_max(rationale, sample_no) FILTER (WHERE rationale <> ''),
-                                     arg_max(rationale, sample_no)) AS r FROM jf GROUP BY ALL),
-c AS (SELECT row_id, r, count(*) AS n, min(judge_no) AS f FROM jr GROUP BY ALL)
-SELECT row_id, r AS value FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY n DESC, f) AS k FROM c)
-WHERE k = 1""")
+# textual keys per judge: its rationale, and a verdict that a judge leaves out now and then
+_JT_SQL = f"""{JF},
+jv AS (SELECT row_id, judge_no, 'rationale' AS label, coalesce(arg_max(rationale, sample_no) FILTER (WHERE rationale <> ''),
+                                     arg_max(rationale, sample_no)) AS value FROM jf GROUP BY ALL
+       UNION ALL
+       SELECT row_id, judge_no, 'verdict', CASE WHEN count < 12 THEN 'low' ELSE 'high' END FROM jf
+       WHERE sample_no = 0 AND count % 5 <> 0)"""
+
+
+def _judge_texts(spark, sf_dir):
+    fields = tb.judge_sample_fields(spark, sf_dir)
+    reason = ag.aggregate_last_nonempty(fields, ["row_id", "judge_no"], "rationale", "sample_no")
+    verdict = fields.filter("sample_no = 0 and count % 5 <> 0").select(
+        "row_id", "judge_no", F.lit("verdict").alias("label"), F.when(F.col("count") < 12, "low").otherwise("high").alias("value"))
+    return reason.select("row_id", "judge_no", F.lit("rationale").alias("label"), "value").unionByName(verdict)
+
+
+@register("ensemble_mode", f"""WITH {_JT_SQL}, {_FIRST_KEYS},
+c AS (SELECT row_id, label, value, count(*) AS n, min(judge_no) AS f FROM v WHERE value IS NOT NULL GROUP BY ALL)
+SELECT row_id, label, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY row_id, label ORDER BY n DESC, f) AS k FROM c) WHERE k = 1""")
 def q_ensemble_mode(spark, sf_dir):
-    jr = ag.aggregate_last_nonempty(tb.judge_sample_fields(spark, sf_dir), ["row_id", "judge_no"],
-                                    "rationale", "sample_no", out="r")
-    return ag.ensemble_mode(jr, ["row_id"], "judge_no", "r")
+    return ag.ensemble_mode(_judge_texts(spark, sf_dir), ["row_id"], "label", "judge_no", "value")
 
 
 @register("ensemble_first", f"""WITH {JF},
@@ -386,12 +453,12 @@ def q_calib_pairs(spark, sf_dir):
     round_even(toxic::DOUBLE, 0)::INTEGER AS toxic_truth FROM labels""")
 def q_calib_truth(spark, sf_dir):
     lab = tb.load(spark, sf_dir, "labels")
-    truth = lab.select(F.col("doc_id").alias("row_id"), F.col("quality").cast("double").alias("label"),
+    truth = lab.select(F.col("doc_id").alias("row_id"), F.lit("1").alias("text"), F.col("quality").cast("double").alias("label"),
                        F.create_map(F.lit("quality"), F.col("quality"), F.lit("toxic"), F.col("toxic")).alias("truth"),
                        F.create_map().cast("map<string,int>").alias("labels"))
     per_label = cb.label_truth_long(truth, "row_id").filter(F.col("label") == "toxic") \
         .select("row_id", F.col("y").alias("toxic_truth"))
-    return truth.select("row_id", cb.overall_truth(truth).alias("overall")).join(per_label, "row_id")
+    return truth.select("row_id", cb.overall_truth(truth, ["text", "label", "overall"]).alias("overall")).join(per_label, "row_id")
 
 
 _ISO_SQL = f"""WITH {PROBS},
@@ -417,12 +484,29 @@ def q_calib_isotonic_apply(spark, sf_dir):
     return out.select("row_id", "label", F.bround("p_cal", 9).alias("p_cal"))
 
 
-@register("calib_isotonic_fit")
+# level sets of the SQL fit; equal levels are one, as in the pooling
+_KNOTS_SQL = """ix AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY x) AS i,
+              sum(sy) OVER (PARTITION BY label ORDER BY x) AS cs, sum(w) OVER (PARTITION BY label ORDER BY x) AS cw FROM pts),
+mm AS (SELECT a.label, a.i AS j, b.i AS k, (b.cs - a.cs + a.sy)::DOUBLE / (b.cw - a.cw + a.w)::DOUBLE AS m
+       FROM ix a JOIN ix b ON a.label = b.label AND a.i <= b.i),
+ft AS (SELECT label, i, max(mn) AS fx FROM (
+         SELECT c.label, c.i, p.j, min(p.m) AS mn FROM mm p JOIN ix c
+         ON p.label = c.label AND p.j <= c.i AND p.k >= c.i GROUP BY c.label, c.i, p.j) GROUP BY label, i),
+lv AS (SELECT ix.label, ft.fx, min(ix.x) AS lo, max(ix.x) AS hi FROM ix JOIN ft ON ix.label = ft.label AND ix.i = ft.i GROUP BY ALL),
+kn AS (SELECT label, lo AS x, fx AS y FROM lv UNION ALL SELECT label, hi, fx FROM lv WHERE hi > lo),
+knots AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY x) - 1 AS knot, x, y FROM kn)"""
+
+
+@register("calib_isotonic_fit", f"""WITH {PROBS},
+pts AS (SELECT label, p AS x, sum(y) AS sy, count(*) AS w FROM probs GROUP BY label, p),
+{_KNOTS_SQL}
+SELECT label AS key, 'isotonic' AS method, knot::INTEGER AS knot, x, round_even(y, 9) AS y FROM knots
+UNION ALL SELECT 'unlabelled', 'identity', NULL, NULL, NULL""")
 def q_calib_isotonic_fit(spark, sf_dir):
-    """Knots per key (boundaries / fitted values); checked against the SQL fit by _apply."""
+    """Knots per key; the last key has no pairs and stays identity."""
     params = cb.fit(_pairs(spark, sf_dir), CALIB_KEYS, method="isotonic")
     return params.select("key", "method", F.posexplode_outer(F.arrays_zip("x", "y")).alias("knot", "xy")) \
-        .select("key", "method", "knot", F.col("xy.x").alias("x"), F.col("xy.y").alias("y"))
+        .select("key", "method", "knot", F.col("xy.x").alias("x"), F.bround("xy.y", 9).alias("y"))
 
 
 _PLATT_SQL = f"""WITH RECURSIVE {PROBS},
@@ -663,7 +747,7 @@ _IDS_SQL = "SELECT doc_id AS id FROM documents"
 def _cfg(**sampling):
     c = dict(PLAN_CONFIG)
     c["sampling"] = sampling
-    return pl.parse_config(c)
+    return pl.read_config(c)
 
 
 def _plan(spark, sf_dir, cfg, overrides=None):
@@ -765,16 +849,29 @@ def q_judge_prompt_template(spark, sf_dir):
 MIX_RATIO = 0.1
 
 
-@register("mix_real", f"""WITH n AS (SELECT count(*) AS n, least(count(*), round_even(count(*) * {MIX_RATIO!r}::DOUBLE, 0))::BIGINT AS k FROM documents),
+@register("mix_real", f"""WITH c AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM benchmark) AS m),
+n AS (SELECT n, least(n, m, round_even(n * {MIX_RATIO!r}::DOUBLE, 0))::BIGINT AS k FROM c),
 syn AS (SELECT doc_id AS id, 'synthetic' AS source FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents), n WHERE r <= n.n - n.k),
 real AS (SELECT item_id AS id, 'real' AS source FROM (SELECT item_id, row_number() OVER (ORDER BY {S.hash48_sql('item_id', "'real'", '42')}, item_id) AS r FROM benchmark), n WHERE r <= n.k)
 SELECT * FROM syn UNION ALL SELECT * FROM real""")
 def q_mix_real(spark, sf_dir):
+    """The real table is shorter than its share: planned rows fill up to exactly n."""
     ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
     real = tb.load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"))
     return pl.mix_real(ids, real, ids.count(), MIX_RATIO).select("id", "source")
 
 
+@register("mix_real_wide_ids", f"""WITH n AS (SELECT count(*) AS n, round_even(count(*) * {MIX_RATIO!r}::DOUBLE, 0)::BIGINT AS k FROM documents),
+d AS (SELECT doc_id + 2251799813685248 AS id FROM documents),
+syn AS (SELECT id, 'synthetic' AS source FROM (SELECT id, row_number() OVER (ORDER BY id) AS r FROM d), n WHERE r <= n.n - n.k),
+real AS (SELECT id, 'real' AS source FROM (SELECT id, row_number() OVER (ORDER BY {S.hash48_sql('id', "'real'", '42')}, id) AS r FROM d), n WHERE r <= n.k)
+SELECT * FROM syn UNION ALL SELECT * FROM real""")
+def q_mix_real_wide_ids(spark, sf_dir):
+    """Ids above 2**48 on either side."""
+    ids = tb.load(spark, sf_dir, "documents").select((F.col("doc_id") + 2 ** 51).alias("id"))
+    return pl.mix_real(ids, ids, ids.count(), MIX_RATIO).select("id", "source")
+
+
 @register("lineage_metadata", f"""WITH p AS ({S.plan_sql(_cfg(), _IDS_SQL)})
 SELECT p.id, coalesce(CASE WHEN p.id % 3 = 0 THEN 'gen-' || CAST(p.id AS VARCHAR) END, p.prompt_id) AS prompt_id,
        p.style_id, CAST(p.seed AS VARCHAR) AS seed, p.response_schema_version,
@@ -968,17 +1065,25 @@ def q_failure_policy(spark, sf_dir):
     return rs.apply_failure_policy(req, ch, "conv_id", policy="null")
 
 
-def _echo_model(pdf):
-    import pandas as _pd
-    return _pd.DataFrame({"request_id": pdf["conv_id"].astype("int64"), "turn": pdf["turn"].astype("int64"),
-                          "raw": ['{"chars": %d}' % len(t) for t in pdf["text"]]})
+def _given_answers(spark, sf_dir):
+    """The assistant turns of ``conversations`` as the answers of a model: one per user turn."""
+    c = tb.load(spark, sf_dir, "conversations")
+    return c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("raw"))
 
 
-@register("model_call_hook")
+def _answer_columns(pdf):
+    """R5 hook: the answers travel with their prompts; rows without one answer nothing."""
+    out = pdf[pdf["answer"].notna()]
+    return out[["conv_id", "turn", "answer"]].rename(columns={"conv_id": "request_id", "answer": "raw"})
+
+
+@register("model_call_hook", """SELECT u.conv_id AS request_id, u.turn, a.text AS raw FROM conversations u
+JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'""")
 def q_model_call_hook(spark, sf_dir):
-    """A user function over prompt batches returns a responses table (rows-only check)."""
-    prompts = tb.load(spark, sf_dir, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
-    return rs.call_model(prompts, _echo_model, "request_id bigint, turn bigint, raw string")
+    """R5 over given data: the hook hands out the recorded answer to every user turn."""
+    prompts = tb.load(spark, sf_dir, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+    held = prompts.join(_given_answers(spark, sf_dir).withColumnRenamed("raw", "answer"), ["conv_id", "turn"], "left")
+    return rs.call_model(held, _answer_columns, "request_id bigint, turn bigint, raw string")
 
 
 # --- S / Z: sources, sinks, streaming, composite jobs --------------------------------------------------
@@ -1002,13 +1107,23 @@ def q_splits_sink(spark, sf_dir):
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("calib_params_roundtrip", f"""WITH {PROBS} SELECT label AS key, 'platt' AS method FROM probs GROUP BY label
-    HAVING count(DISTINCT y) >= 2""")
+@register("calib_params_roundtrip", _PLATT_SQL + f""",
+pts AS (SELECT label, p AS x, sum(y) AS sy, count(*) AS w FROM probs GROUP BY label, p),
+{{ISO_KNOTS}}
+SELECT label AS key, 'platt' AS method, 0::BIGINT AS knot, NULL::DOUBLE AS x, NULL::DOUBLE AS y, round_even(w, 4) AS coef,
+       round_even(b, 4) AS intercept FROM platt
+UNION ALL
+SELECT label, 'isotonic', knot, x, round_even(y, 9), NULL, NULL FROM knots""".replace("{ISO_KNOTS}", _KNOTS_SQL))
 def q_calib_params_roundtrip(spark, sf_dir):
-    params = cb.fit(_pairs(spark, sf_dir), tb.LABELS, method="platt")
+    """Both kinds of parameters written and read back: every knot and coefficient."""
+    pairs = _pairs(spark, sf_dir)
+    params = cb.fit(pairs, tb.LABELS, method="platt").unionByName(cb.fit(pairs, tb.LABELS, method="isotonic"))
     path = jl.scratch_path(spark, "calibration")
     cb.save_params(params, path)
-    return cb.load_params(spark, path).select("key", "method")
+    back = cb.load_params(spark, path)
+    return back.select("key", "method", "coef", "intercept", F.posexplode_outer(F.arrays_zip("x", "y")).alias("knot", "xy")) \
+        .select("key", "method", F.coalesce("knot", F.lit(0)).cast("bigint").alias("knot"), F.col("xy.x").alias("x"),
+                F.bround("xy.y", 9).alias("y"), F.bround("coef", 4).alias("coef"), F.bround("intercept", 4).alias("intercept"))
 
 
 @register("stream_clean", f"""WITH {NOISY} SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text,
@@ -1026,8 +1141,9 @@ def q_stream_clean(spark, sf_dir):
 
 
 _JUDGE_SQL = f"""WITH RECURSIVE {JS},
-j0 AS (SELECT row_id, label, greatest(least(avg(prob), 1.0), 0.0) AS p FROM js WHERE judge_no = 0 GROUP BY ALL
+jd AS (SELECT row_id, judge_no, label, greatest(least(avg(prob), 1.0), 0.0) AS p FROM js GROUP BY ALL
        HAVING avg(prob) IS NOT NULL),
+j0 AS (SELECT row_id, label, avg(p) AS p FROM jd GROUP BY ALL),
 cands AS (SELECT * FROM j0 WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.05),
 rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS r FROM cands),
 pairs AS (SELECT label, min(row_id) AS id_a, max(row_id) AS id_b FROM rk GROUP BY label, (r - 1) // 2 HAVING count(*) = 2),
@@ -1050,34 +1166,53 @@ FROM j0 s LEFT JOIN sq ON s.row_id = sq.row_id AND s.label = sq.key"""
 
 @register("judge_job", _JUDGE_SQL)
 def q_judge_job(spark, sf_dir):
-    samples = _js(spark, sf_dir).filter(F.col("judge_no") == 0)
-    out = jb.judge(samples, trigger_labels=TRIGGERS, pairwise=P2_OPTS, answers_fn=tb.comparison_answers)
+    out = jb.judge(_js(spark, sf_dir), judge_col="judge_no", trigger_labels=TRIGGERS, pairwise=P2_OPTS, answers_fn=tb.comparison_answers)
     return out.select("row_id", "label", F.bround("p", 9).alias("p"))
 
 
 GEN_TEMPLATE = "Write a {length_bucket} post for a {role} in {industry} with {emoji_count} emojis."
 
 
-def _toy_generator(pdf):
-    """Stands in for a provider client: two attempts per request, the first one malformed."""
-    import json as _json
+def _recorded_generator(pdf):
+    """Generator hook over recorded answers (see ``q_generate_job``): malformed attempts included."""
     import pandas as _pd
-    rows = []
-    for rid, user in zip(pdf["request_id"].tolist(), pdf["user"].tolist()):
-        rows.append((rid, "primary", 0, 1, "not json"))
-        rows.append((rid, "primary", 0, 2, _json.dumps({"text": user, "language": "en"})))
+    rows = [(r.request_id, a["variant"], int(a["priority"]), int(a["attempt"]), a["raw"])
+            for r in pdf.itertuples() for a in r.recorded]
     return _pd.DataFrame(rows, columns=["request_id", "variant", "variant_priority", "attempt_no", "raw"])
 
 
-@register("generate_job")
+_GENERATE_SQL = f"""p AS ({S.plan_sql(_cfg(), "SELECT DISTINCT conv_id AS id FROM conversations")}),
+att AS (SELECT conv_id AS id, CASE WHEN role = 'assistant' THEN 'primary' ELSE 'backup' END AS variant,
+               CASE WHEN role = 'assistant' THEN 0 ELSE 1 END AS pr,
+               row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS attempt_no, text
+        FROM conversations WHERE role IN ('assistant', 'user')),
+ok AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pr, attempt_no) AS rn FROM att
+       WHERE attempt_no <= 2 AND length(text) >= 600)"""
+
+
+def _recorded_plan(spark, sf_dir):
+    """Plan rows of all conversations, and per conversation its recorded answers as attempts."""
+    r = _backup_responses(spark, sf_dir)
+    raw = F.to_json(F.struct(F.col("raw").alias("text")))
+    recorded = r.groupBy(F.col("request_id").alias("id")).agg(F.collect_list(F.struct(
+        "variant", F.col("variant_priority").alias("priority"), F.col("attempt_no").alias("attempt"), raw.alias("raw")))
+        .alias("recorded"))
+    ids = tb.load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")).distinct()
+    return pl.plan(ids, _cfg()), recorded
+
+
+@register("generate_job", f"""WITH {_GENERATE_SQL}
+SELECT p.id AS request_id, p.style_id, ok.variant, ok.attempt_no, json_object('text', ok.text)::VARCHAR AS raw, p.prompt_id AS meta_prompt_id
+FROM p JOIN ok ON p.id = ok.id AND ok.rn = 1""")
 def q_generate_job(spark, sf_dir):
-    """Z1 over one plan row per document with a stand-in model hook (rows-only check)."""
-    ids = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    plan_df = pl.plan(ids, _cfg())
-    out = jb.generate(plan_df, GEN_TEMPLATE, _toy_generator,
+    """Z1 over the conversations: one plan row each, its recorded turns are the model's attempts
+    (assistant turns the primary's, user turns the backup's); texts under 600 characters are invalid."""
+    plan_df, recorded = _recorded_plan(spark, sf_dir)
+    out = jb.generate(plan_df, GEN_TEMPLATE, _recorded_generator, extra=recorded, retry_limit=1,
                       response_schema="request_id bigint, variant string, variant_priority int, attempt_no int, raw string",
-                      valid=F.try_parse_json(F.col("raw")).isNotNull(), retry_limit=3)
-    return out.select("request_id", "style_id", "variant", "attempt_no", "raw")
+                      valid=F.length(F.get_json_object("raw", "$.text")) >= 600)
+    return out.select("request_id", "style_id", "variant", F.col("attempt_no").cast("bigint").alias("attempt_no"), "raw",
+                      F.col("metadata.prompt.prompt_id").alias("meta_prompt_id"))
 
 
 @register("clean_nested", f"""WITH {NOISY} SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text,
@@ -1102,3 +1237,56 @@ def q_ensemble_failure_tolerance(spark, sf_dir):
     ok = ag.successful_judges(jv, "row_id", "judge_no", ok_col="ok", on_all_failed="drop")
     r = ag.ensemble_mean(ok, ["row_id", "label"], "judge_no", "value")
     return r.select("row_id", "label", F.bround("value", 9).alias("value"))
+
+
+register("process_rows", _ROWS_SQL.replace("{ISO}", _ISO_SQL.split(f"{PROBS},", 1)[1].strip()))(q_process_rows)
+
+
+@register("calibrate_files", _ISO_SQL + """
+SELECT row_id, label, round_even(p_cal, 9) AS p FROM (
+  SELECT probs.row_id, probs.label, cal.fx AS p_cal FROM probs JOIN cal ON probs.label = cal.label AND probs.p = cal.x)""")
+def q_calibrate_files(spark, sf_dir):
+    """Predictions and truths as JSON lines, calibrated and written; texts are no truths."""
+    by_row = tb.label_probs(spark, sf_dir).groupBy("row_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "p"))).alias("labels"),
+        F.map_from_entries(F.collect_list(F.struct("label", "y"))).alias("truth"))
+    preds, truth = jl.scratch_path(spark, "predictions"), jl.scratch_path(spark, "truths")
+    jl.write_jsonl(by_row.select(F.col("row_id").alias("id"), F.struct("labels").alias("judgment")), preds)
+    jl.write_jsonl(by_row.select(F.col("row_id").alias("id"), F.lit("0.7").alias("label"), "truth"), truth)
+    done = jl.scratch_path(spark, "calibrated")
+    jb.calibrate_files(spark, preds, truth, tb.LABELS, output_path=done)
+    back = jl.read_jsonl(spark, done, "row_id bigint, label string, p double")
+    return back.select("row_id", "label", F.bround("p", 9).alias("p"))
+
+
+@register("run_job", f"""WITH {_GENERATE_SQL},
+g AS (SELECT p.id, ok.text FROM p JOIN ok ON p.id = ok.id AND ok.rn = 1),
+s AS (SELECT id, 1.0 / (1 + length(text) % 7) AS quality, 1.0 / (1 + length(text) % 5) AS toxic FROM g),
+rows_in AS (SELECT id AS row_id, TRUE AS has_labels FROM g),
+probs AS (SELECT id AS row_id, 'quality' AS label, quality AS p FROM s UNION ALL SELECT id, 'toxic', toxic FROM s),
+{S.stratified_split_ctes('rows_in', 'probs').strip()}
+SELECT g.id AS row_id, o.split, json_object('text', g.text)::VARCHAR AS generated_raw, round_even(s.quality, 9) AS quality, round_even(s.toxic, 9) AS toxic
+FROM g JOIN s ON g.id = s.id JOIN ss_out o ON o.row_id = g.id""")
+def q_run_job(spark, sf_dir):
+    """Z5 over the conversations' recorded answers; the judge scores by text length (a fixed rule)."""
+    plan_df, recorded = _recorded_plan(spark, sf_dir)
+    attempts = "request_id bigint, variant string, variant_priority int, attempt_no int, raw string"
+    out = jb.run(plan_df.join(recorded.select("id"), "id", "left_semi"), GEN_TEMPLATE, _recorded_generator, _length_judge,
+                 generator_schema=attempts, judge_schema="request_id bigint, attempt_no int, label string, prob double",
+                 labels=tb.LABELS, stage_dir=jl.scratch_path(spark, "run"), num_samples=2, retry_limit=1, extra=recorded,
+                 valid_generated=F.length(F.get_json_object("raw", "$.text")) >= 600,
+                 process_opts={"clean": {"enabled": False}, "dedup": {"threshold": 0.99}})
+    return out.select("row_id", "split", "generated_raw", F.bround(F.col("judgment")["quality"], 9).alias("quality"),
+                      F.bround(F.col("judgment")["toxic"], 9).alias("toxic"))
+
+
+def _length_judge(pdf):
+    """Judge hook: two equal samples a row, scores from the length of the text under the preamble."""
+    import pandas as _pd
+    from corpusforge.operators.prompts import JUDGE_PREAMBLE
+    rows = []
+    for r in pdf.itertuples():
+        n = len(r.prompt) - len(JUDGE_PREAMBLE)
+        for attempt in (1, 2):
+            rows += [(r.request_id, attempt, "quality", 1 / (1 + n % 7)), (r.request_id, attempt, "toxic", 1 / (1 + n % 5))]
+    return _pd.DataFrame(rows, columns=["request_id", "attempt_no", "label", "prob"])

@@ -307,9 +307,13 @@ def weighted_index(u: str, weights) -> str:
     return f"(CASE {' '.join(whens)} ELSE {len(weights) - 1} END)"
 
 
+def clean_tags(e: str) -> str:
+    return f"list_transform(list_filter({e}, lambda t: trim(t) <> ''), lambda t: lower(ltrim(t, '#')))"
+
+
 def plan_sql(cfg, ids_sql: str, seed: int = 42, overrides: dict | None = None) -> str:
     """SQL twin of :func:`corpusforge.operators.planning.plan` over ``ids_sql(id)``."""
-    from corpusforge.operators.planning import KNOB_DEFAULTS, SEED_MAX, cycle_order, normalize_hashtags
+    from corpusforge.operators.planning import KNOB_DEFAULTS, SEED_MAX, cycle_order
     ov = dict(overrides or {})
     u = lambda t: unit_sql("id", q(t), str(seed))
     names = [s[0] for s in cfg.styles]
@@ -341,10 +345,11 @@ def plan_sql(cfg, ids_sql: str, seed: int = 42, overrides: dict | None = None) -
     blist = ", ".join(q(b) for b in bnames)
     bucket = f"CASE WHEN ({wanted}) IN ({blist}) THEN ({wanted}) ELSE {drawn} END"
     if ov.get("hashtags"):
-        hashtags = "[" + ", ".join(q(t) for t in normalize_hashtags(ov["hashtags"])) + "]::VARCHAR[]"
+        given = [ov["hashtags"]] if isinstance(ov["hashtags"], str) else ov["hashtags"]
+        hashtags = clean_tags("[" + ", ".join(q(t) for t in given) + "]::VARCHAR[]")
     else:
         sets = ", ".join("[" + ", ".join(q(t) for t in s) + "]::VARCHAR[]" for s in cfg.hashtag_sets)
-        hashtags = f"[{sets}][floor({u('hashtags')} * {len(cfg.hashtag_sets)})::BIGINT + 1]"
+        hashtags = clean_tags(f"[{sets}][floor({u('hashtags')} * {len(cfg.hashtag_sets)})::BIGINT + 1]")
     style_id = _pick(names, si)
     prompt_id = q(ov["prompt_id"]) if ov.get("prompt_id") else f"printf('prompt-%s-%06d', {style_id}, id)"
     seed_col = str(int(ov["seed"])) if ov.get("seed") else \
@@ -368,8 +373,16 @@ def plan_sql(cfg, ids_sql: str, seed: int = 42, overrides: dict | None = None) -
 
 
 def json_string_array(e: str) -> str:
-    esc = "lambda x: '\"' || replace(replace(x, '\\', '\\\\'), '\"', '\\\"') || '\"'"
-    return f"('[' || array_to_string(list_transform({e}, {esc}), ', ') || ']')"
+    """``json.dumps`` text of a list of strings: escapes, ``\\uXXXX`` beyond ASCII (surrogate pairs
+    beyond the BMP), ``", "`` between the items."""
+    u4 = "'\\u' || lower(lpad(to_hex({}), 4, '0'))"
+    char = ("CASE WHEN c = '\"' THEN '\\\"' WHEN c = '\\' THEN '\\\\' WHEN ord(c) = 10 THEN '\\n' "
+            "WHEN ord(c) = 13 THEN '\\r' WHEN ord(c) = 9 THEN '\\t' WHEN ord(c) = 8 THEN '\\b' "
+            "WHEN ord(c) = 12 THEN '\\f' WHEN ord(c) BETWEEN 32 AND 126 THEN c "
+            "WHEN ord(c) < 65536 THEN " + u4.format("ord(c)") + " ELSE "
+            + u4.format("55296 + (ord(c) - 65536) // 1024") + " || " + u4.format("56320 + (ord(c) - 65536) % 1024") + " END")
+    text = f"CASE WHEN x = '' THEN '' ELSE array_to_string(list_transform(string_split(x, ''), lambda c: {char}), '') END"
+    return f"('[' || array_to_string(list_transform({e}, lambda x: '\"' || ({text}) || '\"'), ', ') || ']')"
 
 
 def strip_ws(e: str) -> str:

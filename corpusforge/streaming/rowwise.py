@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import clean_text, emoji_density
-from corpusforge.operators.calibrate import apply as apply_calibration
 from corpusforge.sources.jsonl import scratch_path
 
 
@@ -31,11 +30,6 @@ def row_stages(df: DataFrame, *, text_col: str = "text", clean: dict | None = No
     return out
 
 
-def calibrate_stream(probs_stream: DataFrame, params: DataFrame, **kw) -> DataFrame:
-    """Apply fitted calibration parameters (a small static table) to a stream of probabilities."""
-    return apply_calibration(probs_stream, params, **kw)
-
-
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Drain an append-mode stream into a parquet folder and return it as a batch table.
 

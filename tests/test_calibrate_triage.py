@@ -37,10 +37,10 @@ def test_single_class_is_identity(spark):
 
 
 def test_truth_extraction(spark):
-    truth = spark.createDataFrame([(1, None, 0.6, {"a": 1.0}, {}), (2, True, None, {}, {"a": 0.4}),
-                                   (3, None, 2.5, {}, {})],
-                                  "row_id bigint, label boolean, overall double, truth map<string,double>, labels map<string,double>")
-    o = {r[0]: r[1] for r in truth.select("row_id", cb.overall_truth(truth)).collect()}
+    truth = spark.createDataFrame([(1, None, 0.6, {"a": 1.0}, {}, "yes"), (2, True, None, {}, {"a": 0.4}, "1"),
+                                   (3, None, 2.5, {}, {}, None)],
+                                  "row_id bigint, label boolean, overall double, truth map<string,double>, labels map<string,double>, text string")
+    o = {r[0]: r[1] for r in truth.select("row_id", cb.overall_truth(truth, ["text", "label", "overall"])).collect()}
     assert o == {1: 1, 2: 1, 3: 2}        # half-to-even: 2.5 -> 2
     lt = sorted(tuple(r) for r in cb.label_truth_long(truth, "row_id").collect())
     assert lt == [(1, "a", 1), (2, "a", 0)]
@@ -67,3 +67,22 @@ def test_triage_self_labelled_flags_nothing_and_flips_are_found(spark):
     flagged = {r[0] for r in tr.find_label_issues(given, probs).collect()}
     assert flagged and len(flagged & {i for i in range(300) if i % 37 == 0}) >= len(flagged) // 2
     assert tr.find_label_issues(given, probs, engine="other").count() == 0
+
+
+def test_calibrate_checks_the_pairing(spark):
+    preds = spark.createDataFrame([(1, "k", 0.2), (2, "k", 0.7)], "row_id bigint, label string, p double")
+    truth = spark.createDataFrame([(1, "k", 0)], "row_id bigint, label string, y int")
+    twice = spark.createDataFrame([(1, "k", 0), (2, "k", 1), (2, "k", 1)], "row_id bigint, label string, y int")
+    for wrong in (truth, twice):
+        with pytest.raises(ValueError):
+            cb.calibrate(preds, wrong, ["k"], on=["row_id"])
+
+
+def test_isotonic_does_not_depend_on_pieces(spark):
+    rows = [(i, "k", ((i * 37) % 200) / 200, int(((i * 37) % 200 + (i * 61) % 90) > 150)) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id bigint, label string, p double, y int")
+    one = cb.fit(df.coalesce(1), ["k"]).first()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    many = cb.fit(df.repartition(9), ["k"]).first()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert one["x"] == many["x"] and one["y"] == many["y"] and one["y"] == sorted(one["y"])

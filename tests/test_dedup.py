@@ -119,3 +119,12 @@ def test_hot_copy_group_and_token_free_texts(spark):
     kept = {r[0] for r in dd.deduplicate(allrows, "doc_id").select("doc_id").collect()}
     base = {r[0] for r in dd.deduplicate(docs, "doc_id").select("doc_id").collect()}
     assert kept == base | {20_000}
+
+
+def test_ids_must_be_unique_and_may_be_text(spark):
+    rows = [("x1", "one two three four five six"), ("x2", "one two three four five six"), ("x3", "entirely other words are in here now")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert sorted(r["id"] for r in dd.deduplicate(df, "id").collect()) == ["x1", "x3"]
+    for wrong in (rows + [("x1", "another text")], rows + [(None, "z")]):
+        with pytest.raises(ValueError):
+            dd.deduplicate(spark.createDataFrame(wrong, "id string, text string"), "id")

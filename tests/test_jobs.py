@@ -1,5 +1,6 @@
 """Z1/Z2/Z3/Z5 composition with stand-in model hooks (the model call is the user's code)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusforge.operators import planning as pl
@@ -33,12 +34,15 @@ def test_run_end_to_end(spark, tmp_path):
         return pd.DataFrame(rows, columns=["request_id", "attempt_no", "label", "prob"])
 
     ids = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"))
-    plan = pl.plan(ids, pl.parse_config(CFG))
+    plan = pl.plan(ids, pl.read_config(CFG))
     out = jobs.run(plan, "Write for {role} in {industry}", gen_fn, judge_fn,
                    generator_schema="request_id bigint, variant string, variant_priority int, attempt_no int, raw string",
                    judge_schema="request_id bigint, attempt_no int, label string, prob double",
                    labels=["quality", "toxic"], stage_dir=str(tmp_path / "stages"), num_samples=2,
                    valid_generated=F.col("raw").contains("{"))
+    assert {"generated_raw", "metadata", "judgment"} <= set(out.columns)
+    whole = out.first()
+    assert set(whole["judgment"]) == {"quality", "toxic"} and whole["metadata"]["prompt"]["prompt_id"].startswith("prompt-")
     rows = out.select("row_id", "split").collect()
     assert 0 < len(rows) <= ids.count()
     assert {r["split"] for r in rows} <= {"train", "val", "test"}
@@ -60,3 +64,58 @@ def test_calibrate_files(spark, tmp_path):
     assert got[(0, "overall")] == 0.0 and got[(9, "overall")] == 1.0     # perfectly separable
     assert got[(0, "a")] == 1.0 and got[(9, "a")] == 0.0
     assert {r["key"]: r["method"] for r in params.collect()} == {"overall": "isotonic", "a": "isotonic"}
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_every_hook_sees_every_request_once(spark, tmp_path, staged):
+    seen = {k: spark.sparkContext.accumulator(0) for k in ("generate", "judge", "compare")}
+    gen_calls, judge_calls, pair_calls = seen["generate"], seen["judge"], seen["compare"]
+
+    def gen_fn(pdf):
+        import pandas as pd
+        gen_calls.add(len(pdf))
+        return pd.DataFrame([(r, 0, 1, '{"text": "words number %d and some more words"}' % r) for r in pdf["request_id"]],
+                            columns=["request_id", "variant_priority", "attempt_no", "raw"])
+
+    def judge_fn(pdf):
+        import pandas as pd
+        judge_calls.add(len(pdf))
+        return pd.DataFrame([(r, 1, k, 0.5) for r in pdf["request_id"] for k in ("quality", "toxic")],
+                            columns=["request_id", "attempt_no", "label", "prob"])
+
+    out = jobs.run(pl.plan(spark.range(20), pl.read_config(CFG)), "For {role}", gen_fn, judge_fn, num_samples=1,
+                   generator_schema="request_id bigint, variant_priority int, attempt_no int, raw string",
+                   judge_schema="request_id bigint, attempt_no int, label string, prob double", labels=["quality", "toxic"],
+                   stage_dir=str(tmp_path / "s") if staged else None, process_opts={"dedup": {"threshold": 0.99}})
+    out.collect()
+    assert (gen_calls.value, judge_calls.value) == (20, 20)
+
+    def compare(pairs):
+        def ask(batches):
+            for pdf in batches:
+                pair_calls.add(len(pdf))
+                yield pdf.assign(preferred="A", confidence_raw="0.5", reason="r")
+        return pairs.mapInPandas(ask, "label string, id_a bigint, id_b bigint, preferred string, confidence_raw string, reason string")
+
+    samples = spark.createDataFrame([(i, 0, "overall", 0.5) for i in range(40)], "row_id bigint, sample_no int, label string, prob double")
+    shifted, audit = jobs.judge(samples, trigger_labels=["overall"], pairwise=dict(window=0.05, margin=0.2), answers_fn=compare,
+                                with_audit=True)
+    assert shifted.count() == 40 and audit.count() == 40
+    assert pair_calls.value == 20
+
+
+def test_process_options(spark):
+    rows = spark.createDataFrame([(i, f"text number {i} has its own words {i * 7}", 5 if i == 3 else None) for i in range(30)],
+                                 "id bigint, text string, emoji_count int")
+    probs = spark.createDataFrame([(i, "a", i / 30) for i in range(30)], "row_id bigint, label string, p double")
+    out = {r["id"]: r for r in jobs.process(rows, order_col="id", probs=probs, labels=["a"], validate=F.length("text") > 10, emoji={},
+                                            dedup={"threshold": 0.99}, triage={}, attach="judgment").collect()}
+    assert len(out) == 30 and out[3]["emoji_count"] == 5 and out[4]["emoji_count"] == 0
+    assert out[29]["judgment"] == {"a": 29 / 30}
+
+
+def test_calibrate_files_rejects_unpaired_ids(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"id": 1, "overall": 0.2}\n{"id": 2, "overall": 0.4}')
+    (tmp_path / "t.jsonl").write_text('{"id": 1, "label": true}')
+    with pytest.raises(ValueError):
+        jobs.calibrate_files(spark, str(tmp_path / "p.jsonl"), str(tmp_path / "t.jsonl"), ["a"])

@@ -31,14 +31,24 @@ def test_schema_keywords(spark, raw, ok):
     assert df.select(compile_schema(SCHEMA, F.col("raw"))).first()[0] is ok
 
 
-def test_reference_mini_schema(spark):
-    mini = {"type": "object", "properties": {"text": {"type": "string"}}}
-    df = spark.createDataFrame([('{"text": "test"}',), ('{"text": 123}',)], "raw string")
-    assert [r[0] for r in df.select(compile_schema(mini, F.col("raw"))).collect()] == [True, False]
+def test_check_schema_needs_properties():
     with pytest.raises(ValueError):
         check_schema({"type": "object"})
 
 
+def test_enum_const_pattern_and_unknown_keywords(spark):
+    rules = {"type": "object", "properties": {"n": {"enum": [1, 2.5, "x", None, True]}, "c": {"const": 3},
+                                              "p": {"type": "string", "pattern": "^a.c$"}, "e": {"exclusiveMinimum": 0}}}
+    rows = [('{"n": 1}', True), ('{"n": 1.0}', True), ('{"n": 2.5}', True), ('{"n": "x"}', True), ('{"n": null}', True),
+            ('{"n": true}', True), ('{"n": false}', False), ('{"n": "1"}', False), ('{"n": 3}', False), ('{"c": 3.0}', True),
+            ('{"c": true}', False), ('{"p": "abc"}', True), ('{"p": "abcd"}', False), ('{"e": 0}', False), ('{"e": 0.1}', True)]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(rows)], "i int, raw string")
+    got = [r[1] for r in df.select("i", compile_schema(rules, F.col("raw"))).orderBy("i").collect()]
+    assert got == [ok for _, ok in rows]
+    with pytest.raises(ValueError):
+        compile_schema({"type": "object", "properties": {"a": {"anyOf": []}}}, F.col("raw"))
+
+
 def test_extract_json(spark):
     df = spark.createDataFrame([("  {\"a\": 1} ",), ("Sure: {\"a\": {\"b\": 2}} ok",), ("{broken",), ("x {1} y",)], "raw string")
     got = [r[0] for r in df.select(rs.extract_json(F.col("raw"))).collect()]

@@ -1,7 +1,6 @@
-"""X1-X5 against the sequential assignment; radix selection against a plain window."""
+"""What the stratified split must and must not move; radix selection."""
 
 import random
-from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,39 +9,27 @@ from corpusforge.functions.hashing import hash48_py
 from corpusforge.operators import split as sp
 
 
-def _sequential(rows, labels, val=0.15, test=0.15, seed=42):
-    """The original loop, over rows in the hash shuffle order."""
+def _check_split(got, rows, labels, ratio=0.15, seed=42):
+    """Which rows may and must be in test and val, stated per row over the rows before it."""
     order = sorted(rows, key=lambda r: (hash48_py(r["id"], "split", seed), r["id"]))
-    n = len(order)
-    n_test, n_val = int(n * test), int(n * val)
-    tv, tt = {}, {}
-    for lab in labels:
-        pos = sum(1 for r in order if r["labels"] is not None and r["labels"].get(lab, 0) >= 0.5)
-        tv[lab], tt[lab] = max(1, int(pos * val)), max(1, int(pos * test))
-    vc, tc = defaultdict(int), defaultdict(int)
-    out, n_t, n_v = {}, 0, 0
-    for r in order:
-        if r["labels"] is None:
-            out[r["id"]] = "train"
-            continue
-        positive = [k for k, v in r["labels"].items() if v >= 0.5]
-        if any(tc[k] < tt[k] for k in positive) and n_t < n_test:
-            out[r["id"]] = "test"
-            n_t += 1
-            for k in positive:
-                tc[k] += 1
-        elif any(vc[k] < tv[k] for k in positive) and n_v < n_val:
-            out[r["id"]] = "val"
-            n_v += 1
-            for k in positive:
-                vc[k] += 1
-        else:
-            out[r["id"]] = "train"
-    return out
+    positive = {r["id"]: {k for k, v in (r["labels"] or {}).items() if v >= 0.5} for r in rows}
+    target = {k: max(1, int(sum(k in p for p in positive.values()) * ratio)) for k in labels}
+    cap = int(len(rows) * ratio)
+    pool = [r["id"] for r in order]
+    for part in ("test", "val"):
+        chosen = [i for i in pool if got[i] == part]
+        assert len(chosen) <= cap
+        for at, i in enumerate(pool):
+            before = [j for j in pool[:at] if got[j] == part]
+            wanted = any(sum(k in positive[j] for j in before) < target[k] for k in positive[i])
+            assert (got[i] == part) == (wanted and len(before) < cap), (part, i)
+        pool = [i for i in pool if got[i] != part]
+    assert {got[i] for i in pool} <= {"train"}
+    assert all(got[r["id"]] == "train" for r in rows if r["labels"] is None)
 
 
 @pytest.mark.parametrize("seed", [0, 1, 2, 3])
-def test_stratified_closed_form_equals_sequential(spark, seed):
+def test_stratified_split_moves_what_is_wanted_and_nothing_else(spark, seed):
     rng = random.Random(seed)
     labels = ["a", "b", "c"]
     rows = []
@@ -56,7 +43,7 @@ def test_stratified_closed_form_equals_sequential(spark, seed):
     probs = spark.createDataFrame([(r["id"], k, float(v)) for r in rows if r["labels"] for k, v in r["labels"].items()],
                                   "row_id bigint, label string, p double")
     got = {r["row_id"]: r["split"] for r in sp.stratified_split(df, probs, labels, has_labels="has").collect()}
-    assert got == _sequential(rows, labels)
+    _check_split(got, rows, labels)
 
 
 def test_random_split_counts_and_order(spark):
@@ -66,15 +53,25 @@ def test_random_split_counts_and_order(spark):
     assert [got[i] for i in order] == ["test"] * 15 + ["val"] * 15 + ["train"] * 71
 
 
-def test_radix_selection_equals_window(spark, monkeypatch):
-    df = spark.range(0, 3000).select(F.col("id").alias("row_id"),
-                                     (F.col("id") % 3).cast("string").alias("g"))
+def test_radix_selection_finds_the_kth_key_of_a_large_group(spark):
+    df = spark.range(0, 130_000).select(F.col("id").alias("row_id"), F.when(F.col("id") < 120_000, "big").otherwise("small").alias("g"))
     df = df.withColumn("key", sp.shuffle_key(F.col("row_id"), 7))
-    k = spark.createDataFrame([("0", 1), ("1", 500), ("2", 2000)], "g string, k bigint")
-    window = sorted((tuple(r) for r in sp.kth_keys(df, ["g"], k).collect()), key=str)
-    monkeypatch.setattr(sp, "SMALL_GROUP", 0)
-    radix = sorted((tuple(r) for r in sp.kth_keys(df, ["g"], k).collect()), key=str)
-    assert radix == window
-    by_group = {r[0]: r[1] for r in radix}
-    assert by_group["2"] is None                     # 1000 rows < k: every row qualifies
-    assert by_group["0"] is not None and by_group["1"] is not None
+    k = spark.createDataFrame([("big", 77_777), ("small", 20_000), ("none", 0)], "g string, k bigint")
+    got = {r["g"]: (r["key"], r["row_id"]) for r in sp.kth_keys(df, ["g"], k).collect()}
+    order = sorted((hash48_py(i, "split", 7), i) for i in range(120_000))
+    assert got == {"big": order[77_776], "small": (None, None)}      # 10,000 rows: every row qualifies
+
+
+def test_wide_keys_and_keys_out_of_range(spark):
+    df = spark.range(2 ** 61, 2 ** 61 + 50).select(F.col("id").alias("row_id"), F.col("id").alias("key"))
+    assert sorted(r["row_id"] - 2 ** 61 for r in sp.within_first_k(df, [], 3, key_bits=63).collect()) == [0, 1, 2]
+    with pytest.raises(ValueError):
+        sp.within_first_k(df, [], 3).collect()
+    with pytest.raises(ValueError):
+        sp.within_first_k(df.withColumn("key", F.lit(None).cast("bigint")), [], 3).collect()
+
+
+def test_split_of_text_ids(spark):
+    df = spark.createDataFrame([(f"r{i}",) for i in range(4)], "row_id string")
+    probs = spark.createDataFrame([(f"r{i}", "a", 0.9) for i in range(4)], "row_id string, label string, p double")
+    assert {r["split"] for r in sp.stratified_split(df, probs, ["a"]).collect()} == {"train"}
