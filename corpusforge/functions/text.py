@@ -108,9 +108,13 @@ def remove_boilerplate(col, single_line: bool = False) -> Column:
 
 # C1-C6 composition ----------------------------------------------------------------------
 def clean_text(col, unicode_normalize: bool = False, boilerplate: bool = False,
-               keep_apostrophes: bool = False) -> Column:
-    """The fixed cleaning order: NFKC, whitespace, mojibake, zero-width, quotes, boilerplate."""
+               keep_apostrophes: bool = False, repair_first: bool = False) -> Column:
+    """The fixed cleaning order: NFKC, whitespace, mojibake, zero-width, quotes, boilerplate.
+
+    ``repair_first`` repairs mojibake before NFKC, which otherwise breaks some of its sequences."""
     c = _c(col)
+    if repair_first:
+        c = repair_mojibake(c)
     if unicode_normalize:
         c = nfkc(c)
     c = collapse_whitespace(c)

@@ -8,6 +8,7 @@ an identifier that names no column is an error at plan time, not at run time.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -69,6 +70,31 @@ def json_string_array(arr: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(arr, _ascii_json), ", "), F.lit("]"))
 
 
+def _json_literal(text: Column) -> Column:
+    """A string as a JSON literal, characters beyond ASCII as they are."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def spaced_json(value: Column, kind: T.DataType) -> Column:
+    """JSON text of a column with ``", "`` and ``": "`` between the items, nulls kept."""
+    if isinstance(kind, T.StructType):
+        fields = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ": "), spaced_json(value.getField(f.name), f.dataType))
+                  for f in kind.fields]
+        text = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+    elif isinstance(kind, T.ArrayType):
+        text = F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: spaced_json(x, kind.elementType)), ", "), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.concat(
+            _json_literal(e["key"].cast("string")), F.lit(": "), spaced_json(e["value"], kind.valueType)))
+        text = F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+    elif isinstance(kind, T.StringType):
+        text = _json_literal(value)
+    else:
+        text = value.cast("string")
+    return F.when(value.isNull(), F.lit("null")).otherwise(text)
+
+
 def prompt_values(plan: DataFrame) -> DataFrame:
     """Booleans -> "true"/"false", counters -> integers, hashtags -> JSON text, NULL -> ""."""
     cols = []
@@ -89,14 +115,26 @@ def prompt_values(plan: DataFrame) -> DataFrame:
 def judge_prompt(df: DataFrame, template: str | None = None, text_col: str = "text") -> Column:
     """Template over text / example / json / every field, or the default preamble +
     text (the row as JSON when the text is empty)."""
-    row_json = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    row_json = spaced_json(F.struct(*[F.col(c) for c in df.columns]), df.schema)
     if template:
         values = {"text": F.coalesce(F.col(text_col), F.lit("")) if text_col in df.columns else F.lit(""),
                   "example": row_json, "json": row_json}
         for f in df.schema.fields:
             if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-                values[f.name] = F.to_json(F.col(f.name))
+                values[f.name] = spaced_json(F.col(f.name), f.dataType)
         return render(template, df.columns, values)
     text = F.col(text_col) if text_col in df.columns else F.lit(None).cast("string")
     body = F.when(text.isNotNull() & (text != ""), text).otherwise(row_json)
     return F.concat(F.lit(JUDGE_PREAMBLE), body)
+
+
+def pair_prompt(pairs: DataFrame, template: str | None = None, context: list[str] = ()) -> Column:
+    """G12 for a comparison: candidates, label and the named columns as ``context_<name>``, rendered
+    by the template or as the payload's JSON under the default preamble."""
+    payload = pairs.select("candidate_a", "candidate_b", "label", *[F.col(c).alias(f"context_{c}") for c in context])
+    if template:
+        return render(template, payload.columns, {f"context_{c}": F.col(c) for c in context} | {
+            c: spaced_json(F.col(c), payload.schema[c].dataType) for c in ("candidate_a", "candidate_b")
+            if not isinstance(payload.schema[c].dataType, T.StringType)})
+    whole = F.struct("candidate_a", "candidate_b", "label", *[F.col(c).alias(f"context_{c}") for c in context])
+    return F.concat(F.lit(JUDGE_PREAMBLE), spaced_json(whole, payload.schema))

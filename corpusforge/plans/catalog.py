@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
 from corpusforge.operators import dedup as dd
+from corpusforge.operators import prompts as pr
 from corpusforge.operators import split as sp
 from corpusforge.plans import sqlspec as S
 from corpusforge.plans.jobs import process
@@ -707,22 +708,22 @@ def q_pair_audit(spark, sf_dir):
     return pw.audit_entries(_verdicts(spark, sf_dir).drop("ev"))
 
 
-@register("pair_prompts", f"""WITH {_PAIRS_SQL}, docs AS (SELECT doc_id, text FROM documents)
-SELECT p.label, p.id_a, p.id_b, 'Which text shows more ' || p.label || E'?\\nA: ' || a.text || E'\\nB: ' || b.text AS prompt
-FROM pairs p JOIN docs a ON p.id_a = a.doc_id JOIN docs b ON p.id_b = b.doc_id""")
+@register("pair_prompts", f"""WITH {_PAIRS_SQL}, docs AS (SELECT doc_id, text, lang FROM documents)
+SELECT p.label, p.id_a, p.id_b, 'Which text shows more ' || p.label || E'?\nA: ' || a.text || E'\nB: ' || b.text AS prompt,
+       {{PREAMBLE}} || '{{"candidate_a": ' || to_json(a.text) || ', "candidate_b": ' || to_json(b.text) || ', "label": ' || to_json(p.label)
+       || ', "context_lang": ' || to_json(a.lang) || '}}' AS payload
+FROM pairs p JOIN docs a ON p.id_a = a.doc_id JOIN docs b ON p.id_b = b.doc_id""".replace("{PREAMBLE}", S.q(pr.JUDGE_PREAMBLE)))
 def q_pair_prompts(spark, sf_dir):
-    from corpusforge.operators import prompts as pr
     pairs = pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS).drop("ev")
-    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text")
-    j = (pairs.join(docs.select(F.col("doc_id").alias("id_a"), F.col("text").alias("candidate_a")), "id_a")
+    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    j = (pairs.join(docs.select(F.col("doc_id").alias("id_a"), F.col("text").alias("candidate_a"), "lang"), "id_a")
          .join(docs.select(F.col("doc_id").alias("id_b"), F.col("text").alias("candidate_b")), "id_b"))
     tpl = "Which text shows more {label}?\nA: {candidate_a}\nB: {candidate_b}"
-    return j.select("label", "id_a", "id_b", pr.render(tpl, j.columns).alias("prompt"))
+    return j.select("label", "id_a", "id_b", pr.pair_prompt(j, tpl).alias("prompt"), pr.pair_prompt(j, context=["lang"]).alias("payload"))
 
 
 # --- G: generation planning and prompts -------------------------------------------------------
 from corpusforge.operators import planning as pl  # noqa: E402
-from corpusforge.operators import prompts as pr  # noqa: E402
 
 # A sampler configuration in the shape of the original TOML tables (test fixture).
 PLAN_CONFIG = {
@@ -837,12 +838,15 @@ def q_judge_prompt(spark, sf_dir):
     return docs.select("doc_id", pr.judge_prompt(docs).alias("prompt"))
 
 
-JUDGE_TEMPLATE = "Rate this {lang} text from {source}:\n{text}\n---"
+JUDGE_TEMPLATE = "Rate this {lang} text from {source}:\n{text}\n{json}\n---"
 
 
-@register("judge_prompt_template", f"""SELECT doc_id, {_render_sql(JUDGE_TEMPLATE)} AS prompt FROM documents""")
+@register("judge_prompt_template", f"""SELECT doc_id, {_render_sql(JUDGE_TEMPLATE)} AS prompt FROM (SELECT *,
+    '{{"doc_id": ' || doc_id || ', "text": ' || to_json(text) || ', "lang": ' || to_json(lang) || ', "source": ' || to_json(source)
+    || ', "score": ' || CASE WHEN doc_id % 2 = 0 THEN 'null' ELSE 'true' END || '}}' AS json FROM documents)""")
 def q_judge_prompt_template(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = tb.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source",
+                                                      F.when(F.col("doc_id") % 2 == 1, F.lit(True)).alias("score"))
     return docs.select("doc_id", pr.judge_prompt(docs, JUDGE_TEMPLATE).alias("prompt"))
 
 

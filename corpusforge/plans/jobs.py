@@ -27,7 +27,8 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     ``(row_id, label, p)`` table of label probabilities (rows absent from it have no
     judgment and go to train).  ``validate`` is a boolean column of the cleaned rows;
     ``triage`` holds ``given`` (``(row_id, label, y)``; the thresholded probabilities where
-    absent) and ``engine``; ``calibrate`` is a table of fitted parameters.  Output: the
+    absent) and ``engine``; ``calibrate`` is a table of fitted parameters; ``split`` may name a
+    ``holdout_source``: rows of any other ``source`` go to train.  Output: the
     surviving rows plus ``emoji_count`` (set where missing), ``emoji_density``, ``split`` and,
     under the name ``attach``, the map of their calibrated probabilities.
 
@@ -39,6 +40,7 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     if clean.get("enabled", True):
         out = out.withColumn(text_col, clean_text(F.col(text_col),
                                                   unicode_normalize=clean.get("unicode_normalize", False),
+                                                  repair_first=clean.get("repair_first", False),
                                                   boilerplate=clean.get("boilerplate", False)))
     if emoji is not None and emoji.get("compute", True):
         n = emoji_count(F.col(text_col)).cast("int")
@@ -69,13 +71,19 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     ids = cut_lineage(ids)
     sp = {} if split is None else split
     ratios = dict(val_ratio=sp.get("val_ratio", 0.15), test_ratio=sp.get("test_ratio", 0.15), seed=sp.get("seed", 42))
+    held = sp.get("holdout_source")
+    if held is not None:
+        mine = cut_lineage(df.where(F.col("source") == held).select(order_col).join(ids, order_col, "left_semi"))
     if probs is not None and labels and sp.get("stratify", True):
         probs = cut_lineage(probs)
         has = probs.select(F.col("row_id").alias(order_col)).distinct().withColumn("_has_labels", F.lit(True))
+        has = has if held is None else has.join(mine, order_col, "left_semi")
         tagged = stratified_split(ids.join(has, order_col, "left").fillna(False, ["_has_labels"]), probs, labels,
                                   row_id=order_col, has_labels="_has_labels", **ratios).drop("_has_labels")
     else:
-        tagged = random_split(ids, order_col, **ratios)
+        tagged = random_split(ids if held is None else mine, order_col, **ratios)
+        if held is not None:
+            tagged = ids.join(tagged, order_col, "left").fillna("train", ["split"])
     out = out.join(tagged, order_col)
     if attach and probs is not None:              # the labels of one row: a bounded list
         own = probs.groupBy(F.col("row_id").alias(order_col)).agg(
