@@ -95,8 +95,9 @@ def span_table(docs: DataFrame) -> DataFrame:
 def repeated_places(places: DataFrame) -> DataFrame:
     """``(doc_id, th, runs)``: the runs of every document that are not their hash's first place."""
     place = F.struct("doc_id", "th", "a")
-    firsts = (places.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("other"))
-              .where("first < other").select("h", "first"))          # pre-aggregated; unique per hash
+    # pre-aggregated, unique per hash, and a written table: a hot hash's places can then be split
+    firsts = materialise(places.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("other"))
+                         .where("first < other").select("h", "first"))
     later = places.join(firsts, "h").where(place > F.col("first")).select("doc_id", "th", "a", "b")
     # one document's own runs: bounded by its text
     return later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
