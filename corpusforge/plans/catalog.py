@@ -171,11 +171,13 @@ def q_emoji_density_char(spark, sf_dir):
 
 
 @register("word_tokens", f"""SELECT doc_id, len({S.word_tokens('text')}) AS n_tokens,
-    len(list_distinct({S.word_tokens('text')})) AS n_distinct FROM documents""")
+    len(list_distinct({S.word_tokens('text')})) AS n_distinct, md5(array_to_string({S.word_tokens('text')}, ' ')) AS tokens_md5
+    FROM documents""")
 def q_word_tokens(spark, sf_dir):
     w = tx.word_tokens(F.col("text"))
     return tb.load(spark, sf_dir, "documents").select(
-        "doc_id", F.size(w).cast("bigint").alias("n_tokens"), F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"))
+        "doc_id", F.size(w).cast("bigint").alias("n_tokens"), F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"),
+        F.md5(F.array_join(w, " ")).alias("tokens_md5"))
 
 
 # --- D: dedup -----------------------------------------------------------------------------
@@ -187,12 +189,13 @@ def q_shingles_word(spark, sf_dir):
 
 
 @register("shingles_char", f"""WITH {S.shingles_cte('sc', 'documents', 'doc_id', 'text', level='char').strip()}
-SELECT id AS doc_id, len(s) AS n_shingles, list_min(s) AS first_shingle, list_max(s) AS last_shingle FROM sc""")
+SELECT id AS doc_id, len(s) AS n_shingles, list_min(s) AS first_shingle, list_max(s) AS last_shingle,
+       md5(array_to_string(list_sort(s), '|')) AS shingles_md5 FROM sc""")
 def q_shingles_char(spark, sf_dir):
     docs = tb.load(spark, sf_dir, "documents")
     return dd.with_shingles(docs, F.col("text"), "s", 5, "char").select(
         "doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.array_min("s").alias("first_shingle"),
-        F.array_max("s").alias("last_shingle"))
+        F.array_max("s").alias("last_shingle"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("shingles_md5"))
 
 
 @register("minhash_signature", f"""WITH {S.minhash_ctes('documents', 'doc_id', 'text').strip()}
@@ -1294,3 +1297,26 @@ def _length_judge(pdf):
         for attempt in (1, 2):
             rows += [(r.request_id, attempt, "quality", 1 / (1 + n % 7)), (r.request_id, attempt, "toxic", 1 / (1 + n % 5))]
     return _pd.DataFrame(rows, columns=["request_id", "attempt_no", "label", "prob"])
+
+
+JUDGMENT_SCHEMA = {"type": "object", "required": ["quality_prob", "labels"],
+                   "properties": {"quality_prob": {"type": "number", "minimum": 0, "maximum": 1},
+                                  "labels": {"type": "object", "additionalProperties": False,
+                                             "properties": {"toxic": {"type": "number", "exclusiveMinimum": 0.1}}},
+                                  "verdict": {"enum": ["good", 2, None]}}}
+
+
+@register("validate_judgment", f"""WITH {PROBS},
+j AS (SELECT q.row_id, q.p AS q, t.p AS t FROM probs q JOIN probs t ON q.row_id = t.row_id AND q.label = 'quality' AND t.label = 'toxic')
+SELECT row_id, CASE row_id % 5 WHEN 1 THEN FALSE WHEN 2 THEN FALSE WHEN 4 THEN TRUE ELSE t > 0.1 AND (row_id % 7 <> 3) END AS valid FROM j""")
+def q_validate_judgment(spark, sf_dir):
+    """V1, the judgment half: scores out of range, unknown labels and verdicts; a row without a judgment is valid."""
+    p = tb.label_probs(spark, sf_dir).groupBy("row_id").pivot("label", ["quality", "toxic"]).agg(F.first("p"))
+    k = F.col("row_id") % 5
+    raw = F.to_json(F.struct(
+        F.when(k == 1, F.col("quality") + 2).otherwise(F.col("quality")).alias("quality_prob"),
+        F.when(k == 2, F.struct(F.col("toxic"), F.lit(0.5).alias("rude")))
+        .otherwise(F.struct(F.col("toxic"), F.lit(None).cast("double").alias("rude"))).alias("labels"),
+        F.when(F.col("row_id") % 7 == 3, "bad").otherwise("good").alias("verdict")))
+    judged = p.select("row_id", F.when(k != 4, raw).alias("judgment_raw"))
+    return judged.select("row_id", rs.row_valid(None, F.col("judgment_raw"), None, JUDGMENT_SCHEMA).alias("valid"))
