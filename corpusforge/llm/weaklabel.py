@@ -195,7 +195,7 @@ def train(docs: DataFrame, train_rows: int = 4000, seed: int = 11):
     rows = (texts.join(F.broadcast(picked), "h").dropDuplicates(["h"]).select("y", "text")
             .mapInArrow(run, "y double, x binary").collect())
     rows.sort(key=lambda r: (r.x, r.y))
-    x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), 1 << FEATURE_BITS)
     w, b = fit_scorer(x, np.array([r.y for r in rows]))
     return w, b, model
 
