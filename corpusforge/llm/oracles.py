@@ -20,3 +20,42 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+ORACLES["op1_tool_calls"] = r"""
+WITH c AS (
+  SELECT *, len(list_filter(string_split_regex(coalesce(text, ''), '[ \n]'), lambda w: w <> '')) AS words,
+         CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN conv_id::VARCHAR || '-' || turn::VARCHAR END AS here,
+         CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN conv_id::VARCHAR || '-' || (turn - 1)::VARCHAR END AS above
+  FROM conversations
+), call0 AS (
+  SELECT conv_id, here AS call_id, turn, CASE WHEN words <= 20 THEN 'lookup' WHEN words <= 40 THEN 'search' ELSE 'compose' END AS name,
+         '{' || CASE WHEN text IS NULL THEN '' ELSE '"text":' || to_json(text) || ',' END || '"turn":' || turn || ',"words":' || words || '}' AS args,
+         text IS NOT NULL AND CASE WHEN words <= 20 THEN words >= 1 AND length(text) <= 120
+                                   WHEN words <= 40 THEN length(text) >= 20 ELSE words <= 60 END AS valid
+  FROM c WHERE role = 'user'
+), call1 AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, name, args) AS k,
+         count(*) OVER (PARTITION BY conv_id, call_id) AS copies FROM call0
+), res AS (
+  SELECT conv_id, above AS call_id, turn, text AS content,
+         row_number() OVER (PARTITION BY conv_id, above ORDER BY turn, text NULLS FIRST) AS k,
+         count(*) OVER (PARTITION BY conv_id, above) AS n FROM c WHERE role NOT IN ('user', 'system')
+), call AS (
+  SELECT c1.*, row_number() OVER (PARTITION BY c1.conv_id ORDER BY c1.turn, c1.call_id) - 1 AS seq, r.turn AS rturn, r.content,
+         coalesce(r.n, 0) AS n_results
+  FROM call1 c1 LEFT JOIN res r ON r.conv_id = c1.conv_id AND r.call_id = c1.call_id AND r.k = 1
+  WHERE c1.k = 1 AND c1.call_id IS NOT NULL
+)
+SELECT 'call' AS kind, conv_id, call_id, turn, seq, name, valid, n_results,
+       '{"arguments":' || args || ',"call_id":' || to_json(call_id) || ',"name":"' || name || '"'
+       || CASE WHEN n_results = 0 THEN '' ELSE ',"result":{' || CASE WHEN content IS NULL THEN '' ELSE '"content":' || to_json(content) || ',' END
+               || '"turn":' || rturn || '}' END
+       || ',"seq":' || seq || ',"turn":' || turn || ',"valid":' || valid || '}' AS json
+FROM call
+UNION ALL
+SELECT 'duplicate_call', conv_id, call_id, turn, seq, name, valid, copies - 1, NULL FROM call WHERE copies > 1
+UNION ALL
+SELECT 'orphan_result', r.conv_id, r.call_id, r.turn, NULL, NULL, FALSE, 0,
+       '{"call_id":' || to_json(r.call_id) || CASE WHEN r.content IS NULL THEN '' ELSE ',"content":' || to_json(r.content) END || ',"turn":' || r.turn || '}'
+FROM res r WHERE NOT EXISTS (SELECT 1 FROM call c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+"""

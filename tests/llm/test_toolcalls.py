@@ -20,11 +20,11 @@ def test_links_levels_and_json(spark):
     results = [(1, "a", 1, "3"), (1, "a", 3, "later"), (1, "zz", 5, "orphan"), (2, "a", 1, "é\n\"q\"")]
     got, rows = _run(spark, calls, results)
     assert len(rows) == 6
-    assert [got["call", 1, c]["level"] for c in "abcd"] == [0, 1, 2, 3]
+    assert [got["call", 1, c]["seq"] for c in "abcd"] == [0, 1, 2, 3]
     assert [got["call", 1, c]["valid"] for c in "abcd"] == [True, False, False, False]
     assert got["call", 1, "a"]["n_results"] == 2
-    assert got["call", 1, "a"]["json"] == ('{"arguments":{"x":1,"y":2},"call_id":"a","level":0,"name":"add",'
-                                           '"result":{"content":"3","turn":1},"turn":0,"valid":true}')
+    assert got["call", 1, "a"]["json"] == ('{"arguments":{"x":1,"y":2},"call_id":"a","name":"add",'
+                                           '"result":{"content":"3","turn":1},"seq":0,"turn":0,"valid":true}')
     assert "result" not in json.loads(got["call", 1, "b"]["json"])
     assert json.loads(got["call", 2, "a"]["json"])["result"]["content"] == "é\n\"q\""
     assert "arguments" not in json.loads(got["call", 2, "a"]["json"]) and not got["call", 2, "a"]["valid"]
@@ -37,12 +37,21 @@ def test_cycles_duplicates_and_nulls(spark):
              (1, "free", 9, "add", '{"x":2}', []), (1, "free", 9, "add", '{"x":2}', []),
              (None, "a", 0, "add", '{"x":1}', []), (1, None, 0, None, None, None)]
     got, rows = _run(spark, calls, [(None, "a", 1, "x"), (1, None, 1, None)])
-    assert [got["call", 1, c]["level"] for c in ("a", "b", "c", "self", "free")] == [None, None, None, None, 0]
+    # the free call comes first, those on and behind cycles follow by turn
+    assert [got["call", 1, c]["seq"] for c in ("free", "a", "b", "c", "self")] == [0, 1, 2, 3, 4]
     assert got["call", 1, "free"]["turn"] == 4 and got["duplicate_call", 1, "free"]["n_results"] == 2
     assert sum(r["kind"] == "orphan_result" for r in rows) == 2
     assert got["call", None, "a"]["n_results"] == 0 and got["call", 1, None]["valid"] is False
 
 
+def test_order_against_the_turns_and_long_chains(spark):
+    chain = [(1, f"c{i:03}", 200 - i, "add", '{"x":1}', [f"c{i - 1:03}"] if i else []) for i in range(12)]
+    straight = [(2, f"s{i:05}", i, "add", '{"x":1}', [f"s{i - 1:05}", "s00000"] if i else []) for i in range(3000)]
+    got, _ = _run(spark, chain + straight, [])
+    assert [got["call", 1, f"c{i:03}"]["seq"] for i in range(12)] == list(range(12))
+    assert [got["call", 2, f"s{i:05}"]["seq"] for i in range(3000)] == list(range(3000))
+
+
 def test_empty_tables(spark):
     assert _run(spark, [], [])[1] == []
     assert [r["kind"] for r in _run(spark, [], [(1, "a", 0, "x")])[1]] == ["orphan_result"]
