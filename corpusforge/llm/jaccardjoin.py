@@ -8,13 +8,13 @@ Documents are sets of distinct word shingles; two documents link when
 2. A set of size n has the prefixes of ``n - ceil(t n) + l`` shingles in that order; two linked
    sets share at least l shingles of their l-prefixes.  Every set picks the l (1 to 8) whose
    estimated cost - postings to scan, plus candidates to verify, which must share l of them -
-   is least.  A longer prefix contains the shorter ones, so a pair needs ``min(l_a, l_b)``
-   shared prefix shingles.
-3. Round one checks every class against one pivot only (the least class it shares a prefix
-   shingle with and that passes the size and parity filters), which puts large groups of near
-   copies into one component in linear work.  Round two takes the pairs that share prefix
-   shingles across different components, counts their matches, filters and verifies them.
-   Pairs inside a component need no check: the result is the components.
+   is least; a longer prefix contains the shorter ones.  Against sets that are no smaller a
+   set of size n needs only the first ``n - ceil(2t/(1+t) n) + l`` of them.
+3. Round one checks every class against one pivot only: of the classes with the most common
+   prefix in each of its postings lists the one it meets most often.  That puts large groups
+   of near copies into one component in linear work.  Round two takes the pairs that share
+   prefix shingles across different components, counts their matches, filters and verifies
+   them.  Pairs inside a component need no check: the result is the components.
 4. Verification is exact, on the whole sets of the candidates.  The components are found by
    star contraction (``common.connected_components``).
 
@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -39,13 +40,17 @@ from pyspark.sql import functions as F
 from corpusforge.llm.common import connected_components, discard, materialise
 from corpusforge.llm.shingles import word_shingles
 
-SKETCH_BITS, SLICE = 18, 4096
+SKETCH_BITS, SLICE = 21, 4096
 PARITY_BITS = 512
 MOST_MATCHES = 8
 VERIFY_COST = 8.0           # work of verifying a candidate, in postings scanned
 
 
+_PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
+
+
 def _parity(u: np.ndarray) -> bytes:
+    """Per bit whether an odd number of elements falls on it."""
     slots = np.bincount((u >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
     return np.packbits(slots & 1).tobytes()
 
@@ -53,7 +58,8 @@ def _parity(u: np.ndarray) -> bytes:
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """Rows ``kind 0``: a document's set figures; ``kind 1``: a slice of the partition's sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        names = ["kind", "doc_id", "th", "n", "sid", "data", *_PARITY]
         for b in batches:
             n, sid, par = [], [], []
             for t in b.column(2):
@@ -62,32 +68,43 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 sid.append(xxhash.xxh3_128_digest(u.tobytes()))
                 par.append(_parity(u))
                 np.add.at(sketch, (u & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
+            words = np.frombuffer(b"".join(par), "<i8").reshape(len(n), -1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * len(n), pa.int32()), b.column(0), b.column(1), pa.array(n, pa.int32()),
-                 pa.array(sid, pa.binary()), pa.array(par, pa.binary())],
-                names=["kind", "doc_id", "th", "n", "sid", "data"])
+                 pa.array(sid, pa.binary()), pa.nulls(len(n), pa.binary()), *map(pa.array, words.T)], names=names)
         rows = [(i, sketch[i * SLICE:(i + 1) * SLICE]) for i in range(len(sketch) // SLICE)]
-        rows = [(i, x.astype("<i8").tobytes()) for i, x in rows if x.any()]
+        rows = [(i, _small(x)) for i, x in rows if x.any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([1] * len(rows), pa.int32()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
              pa.array([i for i, _ in rows], pa.int32()), pa.nulls(len(rows), pa.binary()),
-             pa.array([x for _, x in rows], pa.binary())], names=["kind", "doc_id", "th", "n", "sid", "data"])
+             pa.array([x for _, x in rows], pa.binary()), *[pa.nulls(len(rows), pa.int64()) for _ in _PARITY]], names=names)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-            .mapInArrow(run, "kind int, doc_id long, th long, n int, sid binary, data binary"))
+            .mapInArrow(run, "kind int, doc_id long, th long, n int, sid binary, data binary, "
+                        + ", ".join(f"{c} long" for c in _PARITY)))
+
+
+def _small(x: np.ndarray) -> bytes:
+    """Counts in the narrowest unsigned type that holds them."""
+    return x.astype(f"<u{next(w for w in (1, 2, 4, 8) if int(x.max()) < 1 << (8 * w))}").tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // SLICE}").astype(np.uint64)
 
 
 def _sketch(table: DataFrame) -> np.ndarray:
-    """The partitions' sketches added up, in two steps; 2 MB whatever the data."""
-    def add(key, pdf):
-        import pandas as pd
-        total = np.sum([np.frombuffer(x, "<i8") for x in pdf["data"]], axis=0)
-        return pd.DataFrame({"n": [int(pdf["n"].iloc[0])], "data": [total.astype("<i8").tobytes()]})
+    """The partitions' sketches added up, in two steps; 16 MB whatever the data."""
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(SLICE, np.uint64)
+        for x in pdf["data"]:
+            total += _counts(x)
+        return pd.DataFrame({"n": [int(pdf["n"].iloc[0])], "data": [_small(total)]})
     part = (table.where("kind = 1").withColumn("g", F.spark_partition_id())
             .groupBy("n", "g").applyInPandas(add, "n int, data binary"))
     out = np.zeros(1 << SKETCH_BITS, np.int64)
     for r in part.groupBy("n").applyInPandas(add, "n int, data binary").collect():
-        out[r.n * SLICE:(r.n + 1) * SLICE] = np.frombuffer(r.data, "<i8")
+        out[r.n * SLICE:(r.n + 1) * SLICE] = _counts(r.data)
     return out
 
 
@@ -114,13 +131,13 @@ def choose_prefix(u: np.ndarray, sketch: np.ndarray, mean: float, percent: int)
 
 def _postings(docs: DataFrame, k: int, percent: int, sketch: np.ndarray) -> DataFrame:
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(sketch)                                 # bounded: 2 MB
+    shared = sc.broadcast(sketch.astype(np.uint32) if sketch.max() < 1 << 32 else sketch)   # bounded: 8 or 16 MB
     mean = float(sketch.mean())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for b in batches:
-            toks, sids, ns, ells, reps, known = [], [], [], [], [], set()
+            toks, sids, ns, shorts, longs, known = [], [], [], [], [], set()
             for t in b.column(0):
                 u = word_shingles(t.as_py(), k)
                 sid = xxhash.xxh3_128_digest(u.tobytes())
@@ -128,35 +145,38 @@ def _postings(docs: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Data
                     continue
                 known.add(sid)
                 prefix, ell = choose_prefix(u, table, mean, percent)
-                toks.append(prefix), sids.append(sid), ns.append(len(u)), ells.append(ell), reps.append(len(prefix))
-            at = np.repeat(np.arange(len(reps)), reps)
+                toks.append(prefix), sids.append(sid), ns.append(len(u)), longs.append(len(prefix))
+                shorts.append(len(u) - least_overlap(len(u), len(u), percent) + ell)
+            at = np.repeat(np.arange(len(longs)), longs)
             tok = np.concatenate(toks).view(np.int64) if toks else np.empty(0, np.int64)
+            pos = np.arange(len(at)) - np.repeat(np.cumsum([0, *longs[:-1]]), longs) if longs else at
+            of = lambda x: pa.array(np.array(x, np.int32)[at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tok), pa.array(sids, pa.binary()).take(pa.array(at)),
-                 pa.array(np.array(ns, np.int32)[at]), pa.array(np.array(ells, np.int32)[at])],
-                names=["tok", "sid", "n", "ell"])
+                [pa.array(tok), pa.array(sids, pa.binary()).take(pa.array(at)), of(ns), of(shorts), of(longs),
+                 pa.array(pos < np.array(shorts, np.int64)[at])], names=["tok", "sid", "n", "short", "long", "early"])
+
+    return docs.select("text").mapInArrow(run, "tok long, sid binary, n int, short int, long int, early boolean")
 
-    return docs.select("text").mapInArrow(run, "tok long, sid binary, n int, ell int")
+
+def least_overlap(a: int, b: int, percent: int) -> int:
+    """Least intersection of linked sets of sizes a and b."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
 def _size_filter(a: str, b: str, percent: int) -> Column:
     return ((F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent))
 
 
-def _parity_filter(a: str, b: str, na: str, nb: str, percent: int):
-    """Rows whose parity sketches differ in no more bits than a link allows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                    for c in (a, b))
-            total = (batch.column(na).to_numpy().astype(np.int64) + batch.column(nb).to_numpy())
-            # |a| + |b| - 2 |a & b| with the least allowed intersection
-            allowed = total - 2 * -(-percent * total // (100 + percent))
-            yield batch.filter(pa.array(ones[x ^ y].sum(1) <= allowed))
-    return run
+def _parity_filter(percent: int) -> Column:
+    """Whether the parity sketches of ``a`` and ``b`` differ in no more bits than a link allows."""
+    total = F.col("na") + F.col("nb")
+    differ = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in _PARITY), F.lit(0))
+    return differ <= total - 2 * _least_overlap(percent)
+
+
+def _least_overlap(percent: int) -> Column:
+    """:func:`least_overlap` of the sizes ``na`` and ``nb`` (whole numbers throughout)."""
+    return F.expr(f"({percent} * (cast(na as bigint) + nb) + {99 + percent}) div {100 + percent}")
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -206,36 +226,49 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     sketch = _sketch(table)
     rows = table.where("kind = 0").drop("kind")
     classes = materialise(rows.where("n > 0").groupBy("sid").agg(
-        F.min("n").alias("n"), F.min("data").alias("par"), F.min(F.struct("doc_id", "th")).alias("rep")))
+        F.min("n").alias("n"), *[F.min(c).alias(c) for c in _PARITY], F.min(F.struct("doc_id", "th")).alias("rep")))
     post = materialise(_postings(docs, k, percent, sketch))
-    multi = (post.groupBy("tok").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
-             .select("tok", F.col("lo").alias("pivot")))
+    multi = materialise(post.groupBy("tok").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("df"),
+                                                F.max("early").alias("any"))
+                        .where("lo < hi and any").select("tok", "df"))
     shared = materialise(post.join(multi, "tok").dropDuplicates(["tok", "sid"]))
-    discard(post)
-    side = lambda x: classes.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("par").alias(f"p{x}"))
-    schema = "a binary, b binary, na int, pa binary, nb int, pb binary"
-
-    def filtered(pairs: DataFrame) -> DataFrame:
-        full = (pairs.join(side("a"), "a").join(side("b"), "b")
-                .select("a", "b", "na", "pa", "nb", "pb").where(_size_filter("na", "nb", percent)))
-        return full.mapInArrow(_parity_filter("pa", "pb", "na", "nb", percent), schema).select("a", "b")
-
-    stars = filtered(shared.where("sid != pivot").select(F.col("sid").alias("b"), F.col("pivot").alias("a")).distinct())
-    first = materialise(stars.groupBy("b").agg(F.min("a").alias("a")))
+    discard(post), discard(multi)
+
+    def side(x: str) -> DataFrame:
+        return classes.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), *[F.col(c).alias(c + x) for c in _PARITY])
+
+    # round one: one pivot a class
+    fame = shared.groupBy("sid").agg((F.sum("df") / F.max("long")).alias("fame"))
+    pivot = materialise(shared.select("tok", "sid").join(fame, "sid").groupBy("tok").agg(
+        F.max(F.struct("fame", "sid")).alias("p")).select("tok", F.col("p.sid").alias("a")))
+    met = (shared.select("tok", F.col("sid").alias("b")).join(pivot, "tok").where("a != b")
+           .groupBy("a", "b").agg(F.count("*").alias("w")))
+    near = met.join(side("a"), "a").join(side("b"), "b").where(_size_filter("na", "nb", percent) & _parity_filter(percent))
+    first = materialise(near.groupBy("b").agg(F.max(F.struct("w", "a")).alias("p")).select(F.col("p.a").alias("a"), "b"))
     links = _verify(first, classes, docs, k, percent)
-    comp = materialise(connected_components(links))
-    cur = materialise(shared.join(comp.withColumnsRenamed({"node": "sid", "component": "c"}), "sid", "left")
-                      .select("tok", "sid", "n", "ell", F.coalesce("c", "sid").alias("c")))
-    discard(shared)
-    mixed = cur.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("tok")
-    open_ = materialise(cur.join(mixed, "tok"))
+    comp = connected_components(links)
+    cur = materialise(shared.drop("df").join(comp.withColumnsRenamed({"node": "sid", "component": "c"}), "sid", "left")
+                      .withColumn("c", F.coalesce("c", "sid")))
+    discard(shared), discard(pivot)
+    # round two: pairs of different components, the smaller set by its early shingles
+    mixed = cur.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("early").alias("any")).where(
+        "lo < hi and any").select("tok")
+    open_ = cur.join(mixed, "tok")
+    parity = classes.select("sid", *_PARITY)
+    open_ = materialise(open_.join(parity, "sid"))
+    small = open_.where("early").select("tok", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("short").alias("sa"),
+                                        F.col("c").alias("ca"), *[F.col(c).alias(c + "a") for c in _PARITY])
+    large = open_.select("tok", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("long").alias("lb"),
+                         F.col("c").alias("cb"), *[F.col(c).alias(c + "b") for c in _PARITY])
+    need = F.greatest(F.lit(1), _least_overlap(percent) - F.greatest(F.col("na") - F.col("sa"), F.col("nb") - F.col("lb")))
+    pair = ((F.col("ca") != F.col("cb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+            & _size_filter("na", "nb", percent) & _parity_filter(percent))
+    met = (small.join(large, (small["tok"] == large["tok"]) & pair).groupBy("a", "b", need.alias("need"))
+           .agg(F.count("*").alias("w")).where("w >= need").select("a", "b"))
+    done = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    second = materialise(met.join(done, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti")
+                         .select("a", "b"))
     discard(cur)
-    l, r = (open_.select("tok", *[F.col(x).alias(x + s) for x in ("sid", "n", "ell", "c")]) for s in "ab")
-    met = (l.join(r, "tok").where("sida < sidb and ca != cb").where(_size_filter("na", "nb", percent))
-           .groupBy(F.col("sida").alias("a"), F.col("sidb").alias("b"))
-           .agg(F.count("*").alias("m"), F.min(F.least("ella", "ellb")).alias("need"))
-           .where("m >= need").select("a", "b"))
-    second = materialise(filtered(met).join(first.select("a", "b"), ["a", "b"], "left_anti"))
     links = links.unionByName(_verify(second, classes, docs, k, percent))
     comp = materialise(connected_components(links))
     member = classes.select("sid").join(comp.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
