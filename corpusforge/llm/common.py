@@ -98,6 +98,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not converge in {max_rounds} rounds")
 
 
+def merge_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``comp(node, component)`` and further ``links(a, b)`` together.  Only the distinct
+    pairs of components that the links join are contracted, however many links there are."""
+    loose = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct().join(
+        comp, "node", "left_anti").select("node", F.col("node").alias("component"))
+    base = materialise(comp.unionByName(loose))
+    side = {x: base.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"}
+    joined = links.join(side["a"], "a").join(side["b"], "b").where("ca != cb").select(
+        F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
+    up = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return base.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+
+
 def _are_stars(links: DataFrame) -> bool:
     """Whether every ``u`` hangs on one ``v`` that hangs on nothing itself; ``v < u`` throughout."""
     ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(

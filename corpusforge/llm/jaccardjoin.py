@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import connected_components, discard, materialise
+from corpusforge.llm.common import connected_components, discard, materialise, merge_components
 from corpusforge.llm.shingles import word_shingles
 
 SKETCH_BITS, SLICE = 21, 4096
@@ -245,8 +245,7 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
            .groupBy("a", "b").agg(F.count("*").alias("w")))
     near = met.join(side("a"), "a").join(side("b"), "b").where(_size_filter("na", "nb", percent) & _parity_filter(percent))
     first = materialise(near.groupBy("b").agg(F.max(F.struct("w", "a")).alias("p")).select(F.col("p.a").alias("a"), "b"))
-    links = _verify(first, classes, docs, k, percent)
-    comp = connected_components(links)
+    comp = materialise(connected_components(_verify(first, classes, docs, k, percent)))
     cur = materialise(shared.drop("df").join(comp.withColumnsRenamed({"node": "sid", "component": "c"}), "sid", "left")
                       .withColumn("c", F.coalesce("c", "sid")))
     discard(shared), discard(pivot)
@@ -269,8 +268,7 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     second = materialise(met.join(done, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti")
                          .select("a", "b"))
     discard(cur)
-    links = links.unionByName(_verify(second, classes, docs, k, percent))
-    comp = materialise(connected_components(links))
+    comp = materialise(merge_components(comp, _verify(second, classes, docs, k, percent)))
     member = classes.select("sid").join(comp.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "sid", F.coalesce("component", "sid").alias("component"))
     least = (rows.groupBy("sid").agg(F.min("doc_id").alias("d")).join(member, "sid")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from corpusforge.llm.common import connected_components, discard, materialise
+from corpusforge.llm.common import connected_components, discard, materialise, merge_components
 from tests.llm.helpers import components
 
 
@@ -28,3 +28,12 @@ def test_tables_can_be_discarded(spark):
     discard(spark.range(1))          # not ours: nothing happens
     with pytest.raises(Exception):
         spark.read.parquet(df._llm_path)
+
+
+def test_merged_components(spark):
+    first, more = [(1, 2), (2, 3), (10, 11)], [(3, 11), (2, 10), (20, 21), (20, 1), (30, 31), (1, 3)]
+    comp = connected_components(spark.createDataFrame(first, "a bigint, b bigint"))
+    got = {r["node"]: r["component"] for r in merge_components(comp, spark.createDataFrame(more, "a bigint, b bigint")).collect()}
+    assert got == components({n for x in first + more for n in x}, first + more)
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert {r["node"]: r["component"] for r in merge_components(comp, none).collect()} == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10}
