@@ -220,8 +220,9 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perce
     return links
 
 
-def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row a row of ``docs(doc_id, text)``."""
+def _members(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, th, n, sid)`` of every row of ``docs(doc_id, text)``; ``(sid, component)`` of every
+    class of equal sets, the empty set left out."""
     table = materialise(_sets(docs, k))
     sketch = _sketch(table)
     rows = table.where("kind = 0").drop("kind")
@@ -269,11 +270,26 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
                          .select("a", "b"))
     discard(cur)
     comp = materialise(merge_components(comp, _verify(second, classes, docs, k, percent)))
-    member = classes.select("sid").join(comp.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
+    return rows, classes.select("sid").join(comp.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "sid", F.coalesce("component", "sid").alias("component"))
+
+
+def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row a row of ``docs(doc_id, text)``."""
+    rows, member = _members(docs, k, percent)
     least = (rows.groupBy("sid").agg(F.min("doc_id").alias("d")).join(member, "sid")
              .groupBy("component").agg(F.min("d").alias("component_id")))
     named = materialise(member.join(least, "component").select("sid", "component_id"))
     return rows.join(named, "sid", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def first_rows(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """``(doc_id, th)`` of the first document of every component: the least id, null ids last, then
+    the least text hash.  Documents with an empty set link with nothing and are all named."""
+    rows, member = _members(docs, k, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = (rows.groupBy("sid").agg(F.min(order).alias("p")).join(member, "sid")
+             .groupBy("component").agg(F.min("p").alias("p")).select("p.doc_id", "p.th"))
+    return first.unionByName(rows.where("n = 0").select("doc_id", "th").distinct())

@@ -72,3 +72,23 @@ def test_run_gives_the_last_stage(tables, spark):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, tables["packing"].select(*key).collect()))
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_dedup_keeps_one_row_of_repeated_null_and_colliding_ids(spark):
+    from tests.llm.helpers import docs_of
+    text = [" ".join(f"w{t}x{i}" for i in range(40)) for t in range(8)]
+    near = text[2] + " more"                                      # 36 of 37 shingles
+    rows = [(1, text[0], "s"), (1, text[0], "s"), (1, text[0], "r"),             # a file read twice
+            (None, text[1], "s"), (None, text[1], "s"),                         # null ids only
+            (4, text[2], "s"), (None, near, "s"),                               # a null copy of a numbered one
+            (5, text[3], "s"), (9, text[3] + " more", "s"), (9, text[4], "s"),     # 9 names a copy and a clean text
+            (7, text[5], "s"), (7, text[5] + " more", "s"),                       # near texts of one id
+            (None, text[6], "s"), (None, text[6] + " more", "s"),
+            (11, "", "s"), (12, "", "s"), (12, "", "s"), (13, None, "s"), (None, None, "s")]
+    docs = docs_of(spark, rows, ", source string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    least = lambda t: min([t, t + " more"], key=lambda x: spark.sql("select xxhash64(?)", args=[x]).head()[0])
+    want = [(1, text[0], "r"), (None, text[1], "s"), (4, text[2], "s"), (5, text[3], "s"), (9, text[4], "s"),
+            (7, least(text[5]), "s"), (None, least(text[6]), "s"),
+            (11, "", "s"), (12, "", "s"), (13, None, "s"), (None, None, "s")]
+    assert sorted(got, key=str) == sorted(want, key=str)
