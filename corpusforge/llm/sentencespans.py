@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans (operator 3).
 
-A text is cut into sentences (at line ends, and behind ``. ! ?`` before white space; a
-sentence of more than ``MAX_WORDS`` words is cut every ``MAX_WORDS`` words, so a long passage
-always holds several).  From every sentence on and up to every sentence the shortest run of at
+A text is cut into sentences (at line ends, and behind ``. ! ?`` before white space).  A
+sentence of more than ``MAX_WORDS`` words is cut behind the word of least hash of every
+``MAX_WORDS / 2`` words in a row (the hash of a word and the one before it): equal passages are
+cut alike but for their first and last few words, whatever stands around them, and a piece has
+half of ``MAX_WORDS`` words at most.  From every sentence on and up to every sentence the shortest run of at
 least ``SPAN`` sentences and ``MIN_WORDS`` words is hashed (128 bits over the lower-cased
 words).  The runs are joined globally by hash: the first occurrence is the one with the least
 (doc_id, text hash, position), and every sentence that lies in a run which is not its hash's
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,21 @@ _BREAK = re.compile(r"\n\s*|(?<=[.!?…。！？])\s+")
 _WORD = re.compile(r"\S+\s*")
 
 
+def _cuts(words: list[str]) -> list[int]:
+    """Numbers of words before every cut of a long sentence: behind the least word (the last of equal
+    ones) of each ``MAX_WORDS // 2`` words in a row."""
+    h = [crc32(f"{a} {b}".encode()) for a, b in zip(["", *words], words)]
+    width, least, out = MAX_WORDS // 2, -1, []
+    for end in range(width, len(words) + 1):
+        if least < end - width:
+            least = min(range(end - width, end), key=lambda p: (h[p], -p))
+        elif h[end - 1] <= h[least]:
+            least = end - 1
+        if least + 1 < len(words) and (not out or out[-1] <= least):
+            out.append(least + 1)
+    return out
+
+
 def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
     """End offset, matching key (lower-cased words) and word count of every sentence."""
     ends, keys, counts, begin = [], [], [], 0
@@ -44,14 +62,15 @@ def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
         if not words:
             continue
         if len(words) <= MAX_WORDS:
-            ends.append(stop)
+            cuts = []
         else:
             at = [begin + m.end() for m in _WORD.finditer(text[begin:stop].lstrip())]
             shift = len(text[begin:stop]) - len(text[begin:stop].lstrip())
-            cuts = list(range(MAX_WORDS, len(words), MAX_WORDS))
-            ends += [at[c - 1] + shift for c in cuts] + [stop]
-        for i in range(0, len(words), MAX_WORDS):
-            part = words[i:i + MAX_WORDS]
+            cuts = _cuts(" ".join(words).lower().split(" "))
+            ends += [at[c - 1] + shift for c in cuts]
+        ends.append(stop)
+        for i, j in zip([0, *cuts], [*cuts, len(words)]):
+            part = words[i:j]
             keys.append(" ".join(part).lower().encode())
             counts.append(len(part))
         begin = stop

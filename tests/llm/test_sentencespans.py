@@ -69,3 +69,23 @@ def test_repeated_rows_nulls_and_empty(spark):
     got = ss.dedup_spans(docs_of(spark, [(1, t), (1, t), (None, t), (None, None)])).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in got if r["text"] is not None) == [("1", ""), ("1", ""), ("None", t)]
     assert ss.dedup_spans(docs_of(spark, [])).count() == 0
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(n)]
+
+
+def test_passage_at_every_offset_of_long_sentences(spark):
+    rng = random.Random(31)
+    rows = []
+    for stops in (False, True):                                  # unpunctuated; a full stop every 30 words
+        passage = [w + "." if stops and i in (20, 50) else w for i, w in enumerate(_words(rng, 51))]
+        for offset in range(40):
+            before, after = _words(rng, offset), _words(rng, 30)
+            rows.append((len(rows), " ".join(before + passage + after)))
+    got = {r["doc_id"]: r for r in ss.dedup_spans(docs_of(spark, rows)).collect()}
+    for i, t in rows:
+        lost = len(t.split()) - len(got[i]["text"].split())
+        assert lost == 0 if i % 40 == 0 else 20 <= lost <= 51, (i, lost)
+        offset = i % 40                                          # nothing but repeated words goes
+        assert got[i]["text"].split()[:offset] == t.split()[:offset] and got[i]["text"].split()[-30:] == t.split()[-30:]
