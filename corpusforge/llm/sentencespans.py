@@ -1,6 +1,8 @@
 """Substring dedup by sliding sentence spans (operator 3).
 
-A text is cut into sentences (at line ends, and behind ``. ! ?`` before white space).  A
+A text is cut into sentences (at line ends, behind ``. ! ?`` before white space, and behind
+ideographic full stops with their closing marks).  Words are white-space runs; in the scripts that
+write no spaces (Thai, Lao, Myanmar, Khmer, Chinese, Japanese) every character is a word.  A
 sentence of more than ``MAX_WORDS`` words is cut behind the word of least hash of every
 ``MAX_WORDS / 2`` words in a row (the hash of a word and the one before it): equal passages are
 cut alike but for their first and last few words, whatever stands around them, and a piece has
@@ -35,18 +37,22 @@ from pyspark.sql.types import IntegerType, StructType
 from corpusforge.llm.common import materialise
 
 SPAN, MIN_WORDS, MAX_WORDS = 3, 12, 16
-_BREAK = re.compile(r"\n\s*|(?<=[.!?…。！？])\s+")
-_WORD = re.compile(r"\S+\s*")
+_BREAK = re.compile(r"\n\s*|(?<=[.!?…])\s+|(?<=[。！？｡])(?![。！？｡」』）”’])\s*|(?<=[。！？｡][」』）”’])(?![」』）”’])\s*")
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\ua000-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_SPACELESS = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(rf"(?:(?!\s)[{_UNSPACED}]|[^\s{_UNSPACED}]+)\s*")
+_PLAIN_WORD = re.compile(r"\S+\s*")
 
 
-def _cuts(words: list[str]) -> list[int]:
+def _cuts(words: list[bytes]) -> list[int]:
     """Numbers of words before every cut of a long sentence: behind the least word (the last of equal
     ones) of each ``MAX_WORDS // 2`` words in a row."""
-    h = [crc32(f"{a} {b}".encode()) for a, b in zip(["", *words], words)]
+    h = list(map(crc32, words, [0, *map(crc32, words)]))         # of a word, begun with the one before it
     width, least, out = MAX_WORDS // 2, -1, []
     for end in range(width, len(words) + 1):
         if least < end - width:
-            least = min(range(end - width, end), key=lambda p: (h[p], -p))
+            last = h[end - width:end][::-1]
+            least = end - 1 - last.index(min(last))
         elif h[end - 1] <= h[least]:
             least = end - 1
         if least + 1 < len(words) and (not out or out[-1] <= least):
@@ -57,22 +63,25 @@ def _cuts(words: list[str]) -> list[int]:
 def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
     """End offset, matching key (lower-cased words) and word count of every sentence."""
     ends, keys, counts, begin = [], [], [], 0
+    word = _PLAIN_WORD if text.isascii() or not _SPACELESS.search(text) else _WORD
     for stop in [m.end() for m in _BREAK.finditer(text)] + [len(text)]:
-        words = text[begin:stop].split()
+        words = text[begin:stop].split() if word is _PLAIN_WORD else [w.rstrip() for w in _WORD.findall(text[begin:stop])]
         if not words:
             continue
+        low = " ".join(words).lower().encode()
         if len(words) <= MAX_WORDS:
-            cuts = []
+            keys.append(low)
+            counts.append(len(words))
         else:
-            at = [begin + m.end() for m in _WORD.finditer(text[begin:stop].lstrip())]
+            at = [begin + m.end() for m in word.finditer(text[begin:stop].lstrip())]
             shift = len(text[begin:stop]) - len(text[begin:stop].lstrip())
-            cuts = _cuts(" ".join(words).lower().split(" "))
+            words = low.split(b" ")
+            cuts = _cuts(words)
             ends += [at[c - 1] + shift for c in cuts]
+            for i, j in zip([0, *cuts], [*cuts, len(words)]):
+                keys.append(b" ".join(words[i:j]))
+                counts.append(j - i)
         ends.append(stop)
-        for i, j in zip([0, *cuts], [*cuts, len(words)]):
-            part = words[i:j]
-            keys.append(" ".join(part).lower().encode())
-            counts.append(len(part))
         begin = stop
     return ends, keys, counts
 

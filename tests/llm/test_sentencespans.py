@@ -89,3 +89,30 @@ def test_passage_at_every_offset_of_long_sentences(spark):
         assert lost == 0 if i % 40 == 0 else 20 <= lost <= 51, (i, lost)
         offset = i % 40                                          # nothing but repeated words goes
         assert got[i]["text"].split()[:offset] == t.split()[:offset] and got[i]["text"].split()[-30:] == t.split()[-30:]
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(33)
+    some = lambda lo, n: "".join(chr(lo + rng.randrange(40)) for _ in range(n))
+    texts, planted = [], []
+    for lo, stop in ((0x4e00, ""), (0x4e00, "。"), (0x3042, "！"), (0x0e01, "")):
+        passage = stop.join(some(lo, 25) for _ in range(6)) + stop
+        for offset in (0, 1, 5, 16, 23, 40):
+            before, after = some(lo + 8, offset), some(lo + 8, 60)
+            texts.append(before + passage + after), planted.append((len(passage), offset))
+    texts += [some(0x4e00, 40) + "。"] * 2 + ["「" + some(0x4e00, 9) + "。」" + some(0x4e00, 9) + "。短い。"] * 2
+    got = {r["doc_id"]: r for r in ss.dedup_spans(docs_of(spark, list(enumerate(texts)))).collect()}
+    for i, (size, offset) in enumerate(planted):
+        lost = len(texts[i]) - len(got[i]["text"])
+        assert lost == 0 if i % 6 == 0 else size - 32 <= lost <= size, (i, lost)
+        assert got[i]["text"][:offset] == texts[i][:offset] and got[i]["text"][-60:] == texts[i][-60:]
+    n = len(planted)
+    assert [got[n + i]["text"] for i in range(4)] == [texts[n], "", texts[n + 2], ""]
+    assert got[n + 2]["n_sentences"] == 3
+
+
+def test_breaks_and_pieces_give_the_text_back():
+    for text in ("One. Two!  Three…\nfour", "第一。」第二！？ 第三。\n\n第四", "\u3000第一\u3000二三 x\u3000" * 9, " a日本b ไทย c. " * 9, "", "\n。"):
+        ends, keys, counts = ss.sentences(text)
+        assert len(ends) == len(keys) == len(counts) and ends == sorted(set(ends))
+        assert not text.strip() or not text[ends[-1]:].strip()
