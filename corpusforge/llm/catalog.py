@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import (jaccardjoin, linededup, mincut, mixing, packing, sentencespans, toolcalls, topk,
-                             vectorgraph, weaklabel)
+from corpusforge.llm import (decisionlist, dialogrepair, jaccardjoin, linededup, merkle, mincut, mixing, packing,
+                             sentencespans, toolcalls, topk, vectorgraph, weaklabel)
 from corpusforge.llm.common import load, prepare
 from corpusforge.llm.oracles import ORACLES
 
@@ -68,6 +68,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weaklabel.classify(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    judged, _ = decisionlist.judge(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *decisionlist.BASE, "base_failed", "kept")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    proof = F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256")
+    return merkle.document_manifest(load(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def op13_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return dialogrepair.repair_report(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_packing, op3_sentence_spans, op4_jaccard_join, op5_main_text, op6_maxscore_topk, op7_mixing,
-    op8_vector_graph, op9_line_dedup, op10_quality)}
+    op8_vector_graph, op9_line_dedup, op10_quality, op11_decision_list, op12_merkle_manifest, op13_dialog_repair)}

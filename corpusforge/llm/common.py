@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from corpusforge.session import ensure_checkpoint_dir, ship_package
 
@@ -66,6 +72,56 @@ def null_last(c: Column | str) -> list[Column]:
     return [c.isNull(), c]
 
 
+def positions(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+    """``df`` and ``pos``: the row's place (from 0) in its group by ``order``, nulls first.
+
+    Rows are dealt by ranges of (group, order), so one group may span many partitions; places are
+    counted inside the sorted partitions and moved on by the counts of the partitions before, a
+    table of at most one row a partition.  Rows equal in group and order may be cut anywhere and
+    stand in any order among themselves.  The sorted table is written before it is used.
+    """
+    keys = [F.col(f"`{g}`").asc_nulls_first() for g in group] + list(order) + [F.col("_salt").asc()]
+    dealt = df.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(
+        *keys).drop("_salt")
+    at = [df.columns.index(g) for g in group]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, held = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            begins = np.zeros(n, bool)
+            for i in at:
+                c = batch.column(i)
+                same = pc.fill_null(pc.equal(c.slice(1), c.slice(0, n - 1)), False)
+                both = pc.and_(c.slice(1).is_null(), c.slice(0, n - 1).is_null())
+                begins[1:] |= ~pc.or_(same, both).to_numpy(zero_copy_only=False)
+            first = tuple(batch.column(i)[0].as_py() for i in at)
+            begins[0] = last is None or first != last
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(begins, idx, -1))
+            place = np.where(start < 0, idx + held, idx - start)
+            last, held = tuple(batch.column(i)[n - 1].as_py() for i in at), int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(place.astype(np.int64))],
+                names=[*batch.schema.names, "_part", "_place"])
+
+    schema = StructType([*df.schema.fields]).add("_part", IntegerType()).add("_place", LongType())
+    placed = materialise(dealt.mapInArrow(run, schema))
+    before = Window.partitionBy(*[F.col(f"`{g}`") for g in group]).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*[F.col(f"`{g}`") for g in group], "_part").agg(F.count("*").alias("_n"))
+    moved = materialise(counts.select(*[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(group)],
+                                      F.col("_part").alias("_p"), F.sum("_n").over(before).alias("_before"))
+                        .where("_before > 0"))                       # at most one row a partition
+    on = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group):
+        on = on & F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}"))
+    return placed.join(F.broadcast(moved), on, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_place") + F.coalesce("_before", F.lit(0))).alias("pos"))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``: the smallest node reachable.
 
