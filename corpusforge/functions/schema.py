@@ -1,4 +1,4 @@
-"""JSON-Schema -> one boolean Column (V1, V2, V4).
+"""JSON-Schema -> one boolean Column (V1, V2, V4), or the list of broken rules (V3).
 
 The schema is compiled on the driver into a tree of Spark expressions over a VARIANT
 value (``try_parse_json`` of the raw JSON text), so validation is a plain ``filter``.
@@ -80,60 +80,122 @@ def _key_path(k: str) -> str:
     return "$['" + k.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
 
-def compile_value(schema: dict, v: Column) -> Column:
-    """Validity of a present (non-SQL-NULL) variant value against ``schema``."""
+def _check_keywords(schema: dict) -> None:
     unknown = set(schema) - _KEYWORDS - _ANNOTATIONS
     if unknown or schema.get("additionalProperties") not in (None, True, False):
         raise ValueError(f"unsupported schema keywords: {sorted(unknown) or ['additionalProperties']}")
-    conds: list[Column] = []
+
+
+def _own_rules(schema: dict, v: Column) -> list[tuple[str, Column]]:
+    """``(keyword, holds)`` for the keywords that concern a value itself, not its parts."""
+    _check_keywords(schema)
+    rules: list[tuple[str, Column]] = []
     t = schema.get("type")
     if t is not None:
         types = t if isinstance(t, list) else [t]
-        conds.append(reduce(lambda a, b: a | b, [_type_ok(x, v) for x in types]))
+        rules.append(("type", reduce(lambda a, b: a | b, [_type_ok(x, v) for x in types])))
     if "enum" in schema:
-        conds.append(reduce(lambda a, b: a | b, [_equals(v, x) for x in schema["enum"]], F.lit(False)))
+        rules.append(("enum", reduce(lambda a, b: a | b, [_equals(v, x) for x in schema["enum"]], F.lit(False))))
     if "const" in schema:
-        conds.append(_equals(v, schema["const"]))
+        rules.append(("const", _equals(v, schema["const"])))
     s = F.try_variant_get(v, "$", "string")
     if "minLength" in schema:
-        conds.append((_vtype(v) != "STRING") | (F.length(s) >= schema["minLength"]))
+        rules.append(("minLength", (_vtype(v) != "STRING") | (F.length(s) >= schema["minLength"])))
     if "maxLength" in schema:
-        conds.append((_vtype(v) != "STRING") | (F.length(s) <= schema["maxLength"]))
+        rules.append(("maxLength", (_vtype(v) != "STRING") | (F.length(s) <= schema["maxLength"])))
     if "pattern" in schema:
-        conds.append((_vtype(v) != "STRING") | s.rlike(schema["pattern"]))
+        rules.append(("pattern", (_vtype(v) != "STRING") | s.rlike(schema["pattern"])))
     d = F.try_variant_get(v, "$", "double")
-    if "exclusiveMinimum" in schema:
-        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d > F.lit(float(schema["exclusiveMinimum"]))))
-    if "exclusiveMaximum" in schema:
-        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d < F.lit(float(schema["exclusiveMaximum"]))))
-    if "minimum" in schema:
-        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d >= F.lit(float(schema["minimum"]))))
-    if "maximum" in schema:
-        conds.append(d.isNull() | (_vtype(v) == "BOOLEAN") | (d <= F.lit(float(schema["maximum"]))))
+    for name, holds in (("exclusiveMinimum", lambda x: d > x), ("exclusiveMaximum", lambda x: d < x),
+                        ("minimum", lambda x: d >= x), ("maximum", lambda x: d <= x)):
+        if name in schema:
+            rules.append((name, d.isNull() | (_vtype(v) == "BOOLEAN") | holds(F.lit(float(schema[name])))))
     arr = F.try_variant_get(v, "$", "array<variant>")
     if "maxItems" in schema:
-        conds.append(arr.isNull() | (F.size(arr) <= schema["maxItems"]))
+        rules.append(("maxItems", arr.isNull() | (F.size(arr) <= schema["maxItems"])))
     if "minItems" in schema:
-        conds.append(arr.isNull() | (F.size(arr) >= schema["minItems"]))
+        rules.append(("minItems", arr.isNull() | (F.size(arr) >= schema["minItems"])))
+    return rules
+
+
+def _extra_keys(schema: dict, v: Column) -> Column:
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    return F.array_except(keys, F.array(*[F.lit(k) for k in (schema.get("properties") or {})]))
+
+
+def _has_object_rules(schema: dict) -> bool:
+    return isinstance(schema.get("properties"), dict) or "required" in schema or schema.get("additionalProperties") is False
+
+
+def compile_value(schema: dict, v: Column) -> Column:
+    """Validity of a present (non-SQL-NULL) variant value against ``schema``."""
+    conds = [holds for _, holds in _own_rules(schema, v)]
+    arr = F.try_variant_get(v, "$", "array<variant>")
     if isinstance(schema.get("items"), dict):
         item_schema = schema["items"]
         conds.append(arr.isNull() | F.forall(arr, lambda x: compile_value(item_schema, x)))
-    props = schema.get("properties")
-    is_obj = _is_object(v)
-    if isinstance(props, dict) or "required" in schema or schema.get("additionalProperties") is False:
+    if _has_object_rules(schema):
         obj_conds = []
         for k in schema.get("required", []):
             obj_conds.append(F.variant_get(v, _key_path(k), "variant").isNotNull())
-        for k, sub in (props or {}).items():
+        for k, sub in (schema.get("properties") or {}).items():
             child = F.try_variant_get(v, _key_path(k), "variant")
             obj_conds.append(child.isNull() | compile_value(sub, child))
         if schema.get("additionalProperties") is False:
-            keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-            obj_conds.append(F.size(F.array_except(keys, F.array(*[F.lit(k) for k in (props or {})]))) == 0)
-        conds.append(~is_obj | _all(obj_conds))
+            obj_conds.append(F.size(_extra_keys(schema, v)) == 0)
+        conds.append(~_is_object(v) | _all(obj_conds))
     return _all(conds)
 
 
+VIOLATIONS = "array<struct<path:string,rule:string>>"
+
+
+def _violation(path: Column, rule: str) -> Column:
+    return F.struct(path.alias("path"), F.lit(rule).alias("rule"))
+
+
+def _list(violations: list[Column]) -> Column:
+    return F.concat(*violations) if violations else F.array().cast(VIOLATIONS)
+
+
+def value_violations(schema: dict, v: Column, path: Column) -> Column:
+    """Every rule of ``schema`` that a present variant value breaks: ``array<struct<path, rule>>``.
+
+    ``path`` is ``$`` for the whole, ``$.key`` and ``$.key[0]`` for parts.  A missing required key
+    and a key too many are reported at their own path.  A value of the wrong type breaks ``type``;
+    its other rules speak of the right type and are not broken by it.
+    """
+    none = F.array().cast(VIOLATIONS)
+    out = [F.when(F.coalesce(holds, F.lit(False)), none).otherwise(F.array(_violation(path, rule)))
+           for rule, holds in _own_rules(schema, v)]
+    if isinstance(schema.get("items"), dict):
+        item_schema = schema["items"]
+        arr = F.try_variant_get(v, "$", "array<variant>")
+        each = F.transform(arr, lambda x, i: value_violations(
+            item_schema, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        out.append(F.coalesce(F.flatten(each), none))
+    if _has_object_rules(schema):
+        here = lambda k: F.concat(path, F.lit("."), k if isinstance(k, Column) else F.lit(k))
+        of_object = []
+        for k in schema.get("required", []):
+            of_object.append(F.when(F.variant_get(v, _key_path(k), "variant").isNull(), F.array(_violation(here(k), "required")))
+                             .otherwise(none))
+        for k, sub in (schema.get("properties") or {}).items():
+            child = F.try_variant_get(v, _key_path(k), "variant")
+            of_object.append(F.when(child.isNotNull(), value_violations(sub, child, here(k))).otherwise(none))
+        if schema.get("additionalProperties") is False:
+            of_object.append(F.coalesce(F.transform(F.array_sort(_extra_keys(schema, v)),
+                                                    lambda k: _violation(here(k), "additionalProperties")), none))
+        out.append(F.when(_is_object(v), _list(of_object)).otherwise(none))
+    return _list(out)
+
+
+def compile_violations(schema: dict, raw: Column) -> Column:
+    """The rules that the JSON text ``raw`` breaks (none: valid); a text that doesn't parse breaks ``json``."""
+    v = F.try_parse_json(raw)
+    return F.when(v.isNull(), F.array(_violation(F.lit("$"), "json"))).otherwise(value_violations(schema, v, F.lit("$")))
+
+
 def compile_schema(schema: dict, raw: Column) -> Column:
     """True iff the JSON text ``raw`` parses and satisfies ``schema`` (never NULL)."""
     v = F.try_parse_json(raw)

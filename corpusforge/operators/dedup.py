@@ -1,4 +1,4 @@
-"""Near-duplicate removal with keep-first semantics.
+"""Near-duplicate removal with keep-first semantics.
 
 Plan at scale
 -------------
@@ -14,7 +14,10 @@ Plan at scale
    is resolved in rounds: a node whose every bucket has it as the first still-alive member
    is kept; every other alive member of such a bucket is dropped.  Each round is a few
    aggregations/joins on the shrinking membership table and is checkpointed into the
-   shared checkpoint folder.
+   shared checkpoint folder.  What a few rounds leave (chains of near-duplicates) is split
+   into connected components, and those of a bounded size are walked through in one task each.
+   In verified mode (D10) the members of a bucket are compared with its kept lead alone, by
+   exact Jaccard; where that fails, with the next lead.  No bucket emits pairs.
 5. The input is filtered with one left-anti join against the dropped nodes.
 """
 
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusforge.functions.text import WHITESPACE_CLASS, word_tokens
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, written
 
 MERSENNE31 = (1 << 31) - 1
 
@@ -308,30 +311,95 @@ def collapse_equal(sigs: DataFrame, order_col: str) -> tuple[DataFrame, DataFram
 
 
 # D7 -------------------------------------------------------------------------------------
-def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+# Rounds before the components are looked at, and the largest component (membership rows, or shingles
+# where pairs are verified) that one task walks through.
+SHALLOW_ROUNDS = 3
+WHOLE_ROWS = 1_000_000
+WHOLE_SHINGLES = 10_000_000
+_BUCKET = ["band", "first"]
+
+
+def _walk_components(rows: DataFrame, kind: str, threshold: float | None = None) -> DataFrame:
+    """Dropped nodes of whole components: ``rows(component, node, buckets[, s])``, one row a node.
+
+    A task reads its components one after the other in the order of their nodes and keeps, of the
+    component it is in, the buckets that hold a kept node (and those nodes' shingle sets).
+    """
+    def run(batches):
+        component, closed, sets = None, {}, {}
+        for pdf in batches:
+            dropped = []
+            for row in pdf.itertuples(index=False):
+                if row.component != component:
+                    component, closed, sets = row.component, {}, {}
+                buckets = [(b["band"], b["first"]) for b in row.buckets]
+                leads = {lead for b in buckets for lead in closed.get(b, ())}
+                if threshold is None:
+                    hit = bool(leads)
+                else:
+                    own = np.asarray(row.s)
+                    hit = any(_similar(own, sets[lead], threshold) for lead in leads)
+                if hit:
+                    dropped.append(row.node)
+                    continue
+                for b in buckets:
+                    closed.setdefault(b, []).append(row.node)
+                if threshold is not None:
+                    sets[row.node] = own
+            yield pd.DataFrame({"node": dropped})
+
+    dealt = rows.repartition("component").sortWithinPartitions("component", "node")
+    return dealt.mapInPandas(run, f"node {kind}")
+
+
+def _similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Jaccard of two arrays of distinct values."""
+    shared = np.intersect1d(a, b, assume_unique=True).shape[0]
+    return shared / (a.shape[0] + b.shape[0] - shared) >= threshold
+
+
+def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000, *, sets: DataFrame | None = None,
+                       threshold: float = 0.9, trace: list | None = None) -> DataFrame:
     """Nodes dropped by keep-first over a clique-membership table ``(band, first, node)``.
 
-    A node is kept iff it has no earlier kept neighbour.  Terminates because the smallest
-    undecided node is always kept; raises instead of returning a partial answer.
+    A node is kept iff it has no earlier kept neighbour.  Without ``sets`` all members of a bucket
+    are neighbours; with ``sets(node, s, n)`` (distinct shingle hashes and their number) they also
+    need a Jaccard similarity of at least ``threshold``.
+
+    A round decides the nodes that come first in all their buckets and compares the other members of
+    those buckets with them alone.  What :data:`SHALLOW_ROUNDS` leave undecided is split into
+    connected components: those of a bounded size are walked through whole, one task each; the
+    rest has further rounds.  ``trace`` receives one entry a step.
     """
-    bucket = ["band", "first"]
-    alive = cut_lineage(members.select(*bucket, "node"))
+    kind = members.schema["node"].dataType.simpleString()
+    alive = written(members.select(*_BUCKET, "node"))
+    sets = None if sets is None else written(sets)
     dropped_parts: list[DataFrame] = []
-    rounds = 0
+    rounds, trace = 0, [] if trace is None else trace
     while not alive.isEmpty():
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"keep-first did not converge in {max_rounds} rounds")
-        first_alive = cut_lineage(alive.groupBy(*bucket).agg(F.min("node").alias("lead")))
-        tagged = alive.join(first_alive, bucket)
-        kept_now = (tagged.groupBy("node")
-                    .agg(F.bool_and(F.col("node") == F.col("lead")).alias("ok"))
-                    .filter("ok").select("node"))
-        dropped_now = cut_lineage(
-            tagged.join(kept_now.withColumnRenamed("node", "lead"), "lead", "left_semi")
-            .filter(F.col("node") != F.col("lead")).select("node").distinct())
+        if rounds % (SHALLOW_ROUNDS + 1) == 0:
+            trace.append("components")
+            dropped_now, alive = _decide_components(alive, kind, sets, threshold)
+            dropped_parts.append(dropped_now)
+            continue
+        trace.append("round")
+        # a bucket with one member left decides nothing: its node is done where it has no other
+        leads = written(alive.groupBy(*_BUCKET).agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n"))
+                            .filter("n > 1").drop("n"))
+        tagged = alive.join(leads, _BUCKET)
+        kept_now = written(tagged.groupBy("node").agg(F.bool_and(F.col("node") == F.col("lead")).alias("ok"))
+                               .filter("ok").select("node"))
+        follow = tagged.join(kept_now.withColumnRenamed("node", "lead"), "lead", "left_semi").filter("node <> lead")
+        if sets is None:
+            dropped_now = written(follow.select("node").distinct())
+        else:
+            dropped_now = written(_verified(follow.select("node", "lead").distinct(), sets, threshold)
+                                      .select("node").distinct())
         dropped_parts.append(dropped_now)
-        alive = cut_lineage(alive.join(kept_now, "node", "left_anti")
+        alive = written(tagged.select(*_BUCKET, "node").join(kept_now, "node", "left_anti")
                             .join(dropped_now, "node", "left_anti"))
     if not dropped_parts:
         return members.select("node").limit(0)
@@ -341,15 +409,61 @@ def keep_first_dropped(members: DataFrame, max_rounds: int = 10_000) -> DataFram
     return out
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(node, lead)`` whose shingle sets are similar: sizes first, then the sets."""
+    small = sets.select("node", "n")
+    sized = (pairs.join(small, "node").join(small.select(F.col("node").alias("lead"), F.col("n").alias("m")), "lead")
+             .where(F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m") - F.lit(1e-9)))
+    both = (sized.join(sets.select("node", "s"), "node")
+            .join(sets.select(F.col("node").alias("lead"), F.col("s").alias("t")), "lead")
+            .select("node", "lead", "n", "m", F.size(F.array_intersect("s", "t")).alias("i")))
+    return both.where(F.col("i") / (F.col("n") + F.col("m") - F.col("i")) >= F.lit(threshold)).select("node", "lead")
+
+
+def _decide_components(alive: DataFrame, kind: str, sets: DataFrame | None, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(dropped nodes, memberships still undecided)`` after walking through the bounded components."""
+    from corpusforge.operators.components import group_components
+    labelled = written(alive.join(group_components(alive, _BUCKET, "node"), "node"))
+    nodes = labelled.groupBy("component", "node").agg(F.collect_list(F.struct(*_BUCKET)).alias("buckets"))   # one node's
+    size, most = F.size("buckets"), WHOLE_ROWS
+    if sets is not None:
+        nodes = nodes.join(sets, "node")
+        size, most = F.col("n"), WHOLE_SHINGLES
+    nodes = written(nodes)
+    small = written(nodes.groupBy("component").agg(F.sum(size).alias("_rows")).where(F.col("_rows") <= most).select("component"))
+    dropped = written(_walk_components(nodes.join(small, "component"), kind, None if sets is None else threshold))
+    return dropped, written(labelled.join(small, "component", "left_anti").select(*_BUCKET, "node"))
+
+
+# D10 ------------------------------------------------------------------------------------
+def shingle_sets(df: DataFrame, order_col: str, text: Column, *, n_gram: int = 5, level: str = "word") -> DataFrame:
+    """``(node, s, n)``: 64-bit hashes of the whole text's distinct shingles (D2, D3), and how many."""
+    named = df.select(F.col(order_col).alias("node"), text.alias("_t"))
+    hashed = with_shingles(named, F.col("_t"), "_s", n_gram, level).select(
+        "node", F.array_sort(F.transform("_s", lambda x: F.xxhash64(x))).alias("s"))
+    return hashed.select("node", "s", F.size("s").alias("n"))
+
+
+def collapse_equal_sets(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(members that are first of their shingle set, nodes of the others)``.  Rows of one set share
+    every bucket and neighbour, so all but the first go whatever becomes of it."""
+    named = written(sets.select("node", F.xxhash64("s").alias("_h1"), F.xxhash64(F.lit("set"), "s").alias("_h2")))
+    lead = written(named.groupBy("_h1", "_h2").agg(F.min("node").alias("_lead"), F.max("node").alias("_last")).where("_lead < _last"))
+    equal = written(named.join(lead, ["_h1", "_h2"]).where("node <> _lead").select("node"))
+    return members.join(equal, "node", "left_anti"), equal
+
+
 def deduplicate(df: DataFrame, order_col: str, *, text: Column | None = None,
                 threshold: float = 0.9, num_perm: int = 128, n_gram: int = 5,
-                shingle_level: str = "word", seed: int = 1,
+                shingle_level: str = "word", seed: int = 1, verify: bool = False,
                 return_dropped: bool = False):
     """Keep-first MinHash-LSH near-duplicate removal.
 
     ``order_col`` stands for the position of the row in the input; it may be of any orderable
     type and must be non-null and unique (else this raises).  Rows with null or empty text are
-    kept and never indexed.
+    kept and never indexed.  With ``verify`` (D10) a row is dropped only for an earlier kept row
+    with a common bucket *and* a Jaccard similarity of at least ``threshold`` over the whole
+    shingle sets; only rows in buckets have their sets built.
     """
     ids = df.groupBy(order_col).agg(F.count(F.lit(1)).alias("n"))
     if not ids.filter((F.col("n") > 1) | F.col(order_col).isNull()).isEmpty():
@@ -358,8 +472,16 @@ def deduplicate(df: DataFrame, order_col: str, *, text: Column | None = None,
     bands, rows = lsh_params(threshold, num_perm)
     sigs = signatures(df, order_col, text, num_perm=num_perm, n_gram=n_gram,
                       level=shingle_level, seed=seed)
-    sigs, equal = collapse_equal(sigs, order_col)
-    dropped = keep_first_dropped(lsh_membership(sigs, order_col, bands, rows)).unionByName(equal)
+    if verify:
+        members = written(lsh_membership(sigs, order_col, bands, rows))
+        inside = members.select(F.col("node").alias(order_col)).distinct()
+        sets = written(shingle_sets(df.select(order_col, text.alias("_dt")).join(inside, order_col, "left_semi"), order_col,
+                                        F.col("_dt"), n_gram=n_gram, level=shingle_level))
+        members, equal = collapse_equal_sets(members, sets)
+        dropped = keep_first_dropped(members, sets=sets, threshold=threshold).unionByName(equal)
+    else:
+        sigs, equal = collapse_equal(sigs, order_col)
+        dropped = keep_first_dropped(lsh_membership(sigs, order_col, bands, rows)).unionByName(equal)
     kept = df.join(dropped.withColumnRenamed("node", order_col), order_col, "left_anti")
     return (kept, dropped) if return_dropped else kept
 

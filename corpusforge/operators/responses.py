@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from corpusforge.functions.schema import compile_schema
+from corpusforge.functions.schema import VIOLATIONS, compile_schema, compile_violations
 from corpusforge.functions.text import strip_ws
 
 
@@ -45,6 +45,32 @@ def validation_report(df: DataFrame, valid: Column) -> DataFrame:
                   F.count_if(~valid).alias("invalid"))
 
 
+def with_violations(df: DataFrame, generated_raw: Column | None, judgment_raw: Column | None,
+                    generation_schema: dict | None, judgment_schema: dict | None,
+                    out: str = "violations") -> tuple[DataFrame, Observation]:
+    """V3 row by row: ``df`` with the broken rules of both parts, ``array<struct<part, path, rule>>``
+    (none: valid), and an observation of ``total``, ``valid`` and ``invalid`` that the first action
+    on the result fills; no pass of its own is needed for the report."""
+    def of_part(part: str, raw: Column, schema: dict) -> Column:
+        own = F.when(raw.isNull(), F.array().cast(VIOLATIONS)).otherwise(compile_violations(schema, raw))
+        return F.transform(own, lambda x: F.struct(F.lit(part).alias("part"), x["path"].alias("path"), x["rule"].alias("rule")))
+    parts = [("generated", generated_raw, generation_schema), ("judgment", judgment_raw, judgment_schema)]
+    lists = [of_part(part, raw, schema) for part, raw, schema in parts if raw is not None and schema is not None]
+    found = F.concat(*lists) if lists else F.array().cast("array<struct<part:string,path:string,rule:string>>")
+    seen = Observation()
+    valid = F.size(out) == 0
+    return df.withColumn(out, found).observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(valid).alias("valid"),
+                                             F.count_if(~valid).alias("invalid")), seen
+
+
+def rule_counts(df: DataFrame, violations: str = "violations") -> DataFrame:
+    """``(part, path, rule, n_rows, n)``: rows that break a rule and how often; positions in arrays are ``[*]``."""
+    broken = df.select(F.monotonically_increasing_id().alias("_row"), F.explode(violations).alias("v"))
+    path = F.regexp_replace("v.path", r"\[\d+\]", "[*]")
+    per_row = broken.groupBy("_row", "v.part", path.alias("path"), "v.rule").agg(F.count(F.lit(1)).alias("n"))
+    return per_row.groupBy("part", "path", "rule").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("n"))
+
+
 # R2 -------------------------------------------------------------------------------------
 def k_valid_samples(responses: DataFrame, valid: Column, *, k: int, max_retries: int = 2,
                     request_col: str = "request_id", attempt_col: str = "attempt_no") -> DataFrame:

@@ -217,3 +217,14 @@ def stratified_split(rows: DataFrame, probs: DataFrame, labels: list[str], *, ro
 def split_report(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows per split."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_rates(df: DataFrame, probs: DataFrame, *, row_id: str, split_col: str = "split", threshold: float = 0.5) -> DataFrame:
+    """``(split, label, n_judged, n_positive, positive_rate)`` by split and label, by label (split NULL)
+    and by split (label NULL), in one pass of grouping sets over the judgments ``probs(row_id, label, p)``."""
+    y = F.when(F.col("p") >= threshold, 1).otherwise(0)
+    rows = df.select(F.col(row_id).alias("row_id"), F.col(split_col).alias("split")).join(
+        probs.select("row_id", "label", y.alias("y")), "row_id")
+    by = [F.col("split"), F.col("label")]
+    return rows.groupingSets([by, [F.col("label")], [F.col("split")]], *by).agg(
+        F.count(F.lit(1)).alias("n_judged"), F.sum("y").cast("bigint").alias("n_positive"), F.avg("y").alias("positive_rate"))

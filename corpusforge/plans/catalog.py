@@ -229,6 +229,20 @@ def q_dedup_keep_first(spark, sf_dir):
     return dd.deduplicate(docs, "doc_id").select("doc_id")
 
 
+# a threshold at which some pairs of a bucket are not similar enough
+VERIFIED = 0.7
+
+
+@register("dedup_verified", f"""WITH RECURSIVE {S.minhash_ctes('documents', 'doc_id', 'text').strip()},
+{S.lsh_member_ctes(VERIFIED).strip()},
+{S.verified_keep_first_ctes('documents', 'doc_id', 'text', VERIFIED).strip()}
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_vdropped)""")
+def q_dedup_verified(spark, sf_dir):
+    """Bucket members are dropped only where the whole shingle sets are similar."""
+    docs = tb.load(spark, sf_dir, "documents")
+    return dd.deduplicate(docs, "doc_id", threshold=VERIFIED, verify=True).select("doc_id")
+
+
 @register("dedup_stats", _DEDUP_SQL + """
 SELECT count(*) AS total, count(*) - (SELECT count(*) FROM mh_dropped) AS "unique",
        (SELECT count(*) FROM mh_dropped) AS duplicates FROM documents""")
@@ -238,6 +252,33 @@ def q_dedup_stats(spark, sf_dir):
     return dd.dedup_stats(docs, "doc_id", dropped)
 
 
+_NESTED_SQL = f"""WITH RECURSIVE {S.minhash_ctes('documents', 'doc_id', "text || ' ' || lang").strip()},
+{S.lsh_member_ctes().strip()},
+{S.keep_first_ctes().strip()}
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_dropped)"""
+
+
+@register("dedup_nested_text", _NESTED_SQL)
+def q_dedup_nested_text(spark, sf_dir):
+    """D1, ``generated.text``: rows without a text of their own."""
+    docs = tb.load(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", F.struct(F.concat_ws(" ", "text", "lang").alias("text"), "source").alias("generated"))
+    return dd.deduplicate(rows, "doc_id").select("doc_id")
+
+
+_WHOLE_ROW = """'{"doc_id":' || doc_id || ',"body":' || to_json(text) || ',"lang":' || to_json(lang) || '}'"""
+
+
+@register("dedup_whole_row", f"""WITH RECURSIVE {S.minhash_ctes('documents', 'doc_id', _WHOLE_ROW).strip()},
+{S.lsh_member_ctes().strip()},
+{S.keep_first_ctes().strip()}
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_dropped)""")
+def q_dedup_whole_row(spark, sf_dir):
+    """D1, rows without any text: the JSON of the whole row."""
+    docs = tb.load(spark, sf_dir, "documents")
+    return dd.deduplicate(docs.select("doc_id", F.col("text").alias("body"), "lang"), "doc_id").select("doc_id")
+
+
 # --- X: splits ----------------------------------------------------------------------------
 @register("split_random", f"""WITH rows_in AS (SELECT doc_id AS row_id FROM documents),
 {S.random_split_ctes('rows_in').strip()}
@@ -279,6 +320,16 @@ def q_split_report(spark, sf_dir):
     return sp.split_report(_stratified_docs(spark, sf_dir))
 
 
+@register("split_rates", _STRAT_SQL + """,
+pos AS (SELECT row_id, label, (p >= 0.5)::INTEGER AS y FROM probs)
+SELECT o.split, p.label, count(p.row_id) AS n_judged, sum(p.y)::BIGINT AS n_positive, round_even(avg(p.y), 9) AS positive_rate
+FROM ss_out o JOIN pos p ON p.row_id = o.row_id GROUP BY GROUPING SETS ((o.split, p.label), (p.label), (o.split))""")
+def q_split_rates(spark, sf_dir):
+    """Positive rates by split and label, by label and by split, in one pass."""
+    out = sp.split_rates(_stratified_docs(spark, sf_dir), tb.label_probs(spark, sf_dir), row_id="doc_id")
+    return out.withColumn("positive_rate", F.bround("positive_rate", 9))
+
+
 # --- A: aggregation of judge samples ------------------------------------------------------
 from corpusforge.operators import aggregate as ag  # noqa: E402
 
@@ -445,7 +496,7 @@ CALIB_KEYS = tb.LABELS + ["unlabelled"]   # the last key has no truth pairs -> i
 def _pairs(spark, sf_dir):
     probs = tb.label_probs(spark, sf_dir)
     return cb.pair_with_truth(probs.select("row_id", "label", "p"), tb.label_truth(spark, sf_dir),
-                              ["row_id", "label"])
+                              ["row_id", "label"], check="plan")
 
 
 @register("calib_pairs", f"WITH {PROBS} SELECT row_id, label, p, y FROM probs")
@@ -478,16 +529,24 @@ fit AS (SELECT label, i, max(mn) AS fx FROM (
 cal AS (SELECT idx.label, idx.x, fit.fx FROM idx JOIN fit ON idx.label = fit.label AND idx.i = fit.i)"""
 
 
-@register("calib_isotonic_apply", _ISO_SQL + """
+_ISO_APPLIED = _ISO_SQL + """
 SELECT probs.row_id, probs.label, round_even(cal.fx, 9) AS p_cal FROM probs JOIN cal
-    ON probs.label = cal.label AND probs.p = cal.x""")
-def q_calib_isotonic_apply(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    params = cb.fit(pairs, CALIB_KEYS, method="isotonic")
-    out = cb.apply(tb.label_probs(spark, sf_dir).select("row_id", "label", "p"), params, out="p_cal")
+    ON probs.label = cal.label AND probs.p = cal.x"""
+
+
+@register("calib_isotonic_apply", _ISO_APPLIED)
+def q_calib_isotonic_apply(spark, sf_dir, broadcast_knots=None):
+    params = cb.fit_segments(_pairs(spark, sf_dir), CALIB_KEYS, method="isotonic")
+    out = cb.apply(tb.label_probs(spark, sf_dir).select("row_id", "label", "p"), params, out="p_cal", broadcast_knots=broadcast_knots)
     return out.select("row_id", "label", F.bround("p_cal", 9).alias("p_cal"))
 
 
+@register("calib_range_apply", _ISO_APPLIED)
+def q_calib_range_apply(spark, sf_dir):
+    """K7 with knots beyond any broadcast: merged with the probabilities by range."""
+    return q_calib_isotonic_apply(spark, sf_dir, broadcast_knots=0)
+
+
 # level sets of the SQL fit; equal levels are one, as in the pooling
 _KNOTS_SQL = """ix AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY x) AS i,
               sum(sy) OVER (PARTITION BY label ORDER BY x) AS cs, sum(w) OVER (PARTITION BY label ORDER BY x) AS cw FROM pts),
@@ -531,7 +590,7 @@ platt AS (SELECT label, w, b FROM it WHERE k = 40)"""
 @register("calib_platt_fit", _PLATT_SQL + """
 SELECT label AS key, round_even(w, 4) AS coef, round_even(b, 4) AS intercept FROM platt""")
 def q_calib_platt_fit(spark, sf_dir):
-    params = cb.fit(_pairs(spark, sf_dir), tb.LABELS, method="platt")
+    params = cb.fit_segments(_pairs(spark, sf_dir), tb.LABELS, method="platt")
     return params.select("key", F.bround("coef", 4).alias("coef"), F.bround("intercept", 4).alias("intercept"))
 
 
@@ -539,7 +598,7 @@ def q_calib_platt_fit(spark, sf_dir):
 SELECT probs.row_id, probs.label, round_even(greatest(0.0, least(1.0, 1.0 / (1.0 + exp(-(w * p + b))))), 6) AS p_cal
 FROM probs JOIN platt ON probs.label = platt.label""")
 def q_calib_platt_apply(spark, sf_dir):
-    params = cb.fit(_pairs(spark, sf_dir), CALIB_KEYS, method="platt")
+    params = cb.fit_segments(_pairs(spark, sf_dir), CALIB_KEYS, method="platt")
     out = cb.apply(tb.label_probs(spark, sf_dir).select("row_id", "label", "p"), params, out="p_cal")
     return out.select("row_id", "label", F.bround("p_cal", 6).alias("p_cal"))
 
@@ -631,7 +690,7 @@ _PAIRS_SQL = f"""{SCORES},
 cands AS (SELECT * FROM scores WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.05),
 rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS r FROM cands),
 pairs AS (SELECT label, min(row_id) AS id_a, max(row_id) AS id_b FROM rk GROUP BY label, (r - 1) // 2 HAVING count(*) = 2),
-ans AS ({S.comparison_answers('pairs')}),
+ans AS ({S.recorded_comparisons('pairs')}),
 vd AS (SELECT label, id_a, id_b, preferred, coalesce(TRY_CAST(confidence_raw AS DOUBLE), 0.5) AS confidence, reason FROM ans)"""
 
 
@@ -641,7 +700,7 @@ def _scores(spark, sf_dir):
 
 def _verdicts(spark, sf_dir):
     pairs = pw.pair_rows(_scores(spark, sf_dir), TRIGGERS, **P2_OPTS)
-    return pw.verdicts(pairs, tb.comparison_answers(pairs.select("label", "id_a", "id_b")))
+    return pw.verdicts(pairs, tb.recorded_comparisons(spark, sf_dir)(pairs.select("label", "id_a", "id_b")))
 
 
 @register("pair_candidates", f"""WITH {SCORES} SELECT row_id, label, p FROM scores
@@ -986,6 +1045,43 @@ def q_validate_filter(spark, sf_dir):
     return g.filter(rs.row_valid(F.col("generated_raw"), None, GEN_SCHEMA, None)).select("doc_id")
 
 
+# the broken rules of every answer, stated one by one
+_VIOLATIONS_SQL = _GEN_SQL.rsplit("chk AS", 1)[0] + """
+tag AS (SELECT doc_id, i, (CASE WHEN doc_id % 8 = 6 THEN ['a', 'b', 'c', 'd', 'e'] ELSE [source, lang] END)[i + 1] AS t
+        FROM documents, range(0, 5) r(i)),
+vio AS (
+  SELECT doc_id, '$.text' AS path, 'type' AS rule FROM documents WHERE doc_id % 8 = 7
+  UNION ALL SELECT doc_id, '$.text', 'minLength' FROM documents WHERE doc_id % 8 <> 7 AND length(text) < 100
+  UNION ALL SELECT doc_id, '$.text', 'maxLength' FROM documents WHERE doc_id % 8 <> 7 AND length(text) > 3000
+  UNION ALL SELECT doc_id, '$.language', 'required' FROM documents WHERE doc_id % 8 = 3
+  UNION ALL SELECT doc_id, '$.language', 'type' FROM documents WHERE doc_id % 8 = 5
+  UNION ALL SELECT doc_id, '$.language', 'enum' FROM documents WHERE doc_id % 8 = 5 OR doc_id % 8 <> 3 AND lang NOT IN ('en', 'de', 'fr')
+  UNION ALL SELECT doc_id, '$.emoji_count', 'type' FROM documents WHERE doc_id % 8 = 2
+  UNION ALL SELECT doc_id, '$.emoji_count', 'maximum' FROM documents WHERE doc_id % 8 <> 2 AND n_chars % 25 > 20
+  UNION ALL SELECT doc_id, '$.hashtags', 'maxItems' FROM documents WHERE doc_id % 8 = 6
+  UNION ALL SELECT doc_id, '$.hashtags[' || i || ']', 'maxLength' FROM tag WHERE length(t) > 10
+  UNION ALL SELECT doc_id, '$.extra', 'additionalProperties' FROM documents WHERE doc_id % 8 = 4
+)"""
+
+
+def _violations(spark, sf_dir):
+    return rs.with_violations(generated_json(spark, sf_dir), F.col("generated_raw"), None, GEN_SCHEMA, None)[0]
+
+
+@register("validate_violations", f"WITH {_VIOLATIONS_SQL} SELECT doc_id, path, rule FROM vio")
+def q_validate_violations(spark, sf_dir):
+    """V3: every broken rule of every row."""
+    return _violations(spark, sf_dir).select("doc_id", F.explode("violations").alias("v")).select("doc_id", "v.path", "v.rule")
+
+
+@register("validate_rule_counts", f"""WITH {_VIOLATIONS_SQL}
+SELECT 'generated' AS part, regexp_replace(path, '\\[\\d+\\]', '[*]') AS path, rule, count(DISTINCT doc_id) AS n_rows, count(*) AS n
+FROM vio GROUP BY ALL""")
+def q_validate_rule_counts(spark, sf_dir):
+    """V3: rows and places by rule."""
+    return rs.rule_counts(_violations(spark, sf_dir))
+
+
 _RAW_EVENTS = """raw_ev AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN props
     WHEN 1 THEN 'Sure! Here it is: ' || props || ' Hope it helps.'
     WHEN 2 THEN E'```json\\n' || props || E'\\n```'
@@ -1106,6 +1202,26 @@ def q_jsonl_roundtrip(spark, sf_dir):
     return jl.read_jsonl(spark, path, "doc_id bigint, text string, lang string")
 
 
+@register("jsonl_quarantine", """SELECT CASE WHEN doc_id % 7 < 4 AND doc_id % 7 > 0 THEN 'bad' ELSE 'good' END AS kind,
+  CASE WHEN doc_id % 7 NOT IN (1, 2, 3) THEN doc_id END AS doc_id, CASE WHEN doc_id % 7 NOT IN (1, 2, 3) THEN lang END AS lang,
+  CASE WHEN doc_id % 7 NOT IN (1, 2, 3) THEN n_chars END AS n_chars,
+  CASE doc_id % 7 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'not an object' WHEN 3 THEN 'wrong type' END AS reason,
+  CASE doc_id % 7 WHEN 1 THEN '{"doc_id":' || doc_id || ',"lang":"' || lang WHEN 2 THEN '[' || doc_id || ']'
+       WHEN 3 THEN '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":"many"}' END AS line
+FROM documents""")
+def q_jsonl_quarantine(spark, sf_dir):
+    """S1, permissive: lines damaged by ``doc_id`` come back with their reason, the others as rows."""
+    k, head = F.col("doc_id") % 7, F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"lang":"'), F.col("lang"))
+    whole = F.concat(head, F.lit('","n_chars":'), F.col("n_chars").cast("string"), F.lit("}"))
+    line = (F.when(k == 1, head).when(k == 2, F.concat(F.lit("["), F.col("doc_id").cast("string"), F.lit("]")))
+            .when(k == 3, F.concat(head, F.lit('","n_chars":"many"}'))).otherwise(whole))
+    path = jl.scratch_path(spark, "damaged")
+    tb.load(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    good, bad = jl.read_quarantined(spark, path, "doc_id bigint, lang string, n_chars bigint", max_bad_share=0.5)
+    return good.select(F.lit("good").alias("kind"), "doc_id", "lang", "n_chars").unionByName(
+        bad.select(F.lit("bad").alias("kind"), "reason", "line"), allowMissingColumns=True)
+
+
 @register("splits_sink", _PROCESS_SQL + "\nSELECT o.split, count(*) AS n FROM ss_out o GROUP BY o.split")
 def q_splits_sink(spark, sf_dir):
     path = jl.scratch_path(spark, "splits")
@@ -1133,6 +1249,25 @@ def q_calib_params_roundtrip(spark, sf_dir):
                 F.bround("xy.y", 9).alias("y"), F.bround("coef", 4).alias("coef"), F.bround("intercept", 4).alias("intercept"))
 
 
+@register("calib_params_object", _PLATT_SQL + f""",
+pts AS (SELECT label, p AS x, sum(y) AS sy, count(*) AS w FROM probs GROUP BY label, p),
+{{ISO_KNOTS}}
+SELECT 'p-' || label AS key, 'platt' AS method, 0::BIGINT AS knot, NULL::DOUBLE AS x, NULL::DOUBLE AS y, round_even(w, 4) AS coef,
+       round_even(b, 4) AS intercept FROM platt
+UNION ALL
+SELECT label, 'isotonic', knot, x, round_even(y, 9), NULL, NULL FROM knots""".replace("{ISO_KNOTS}", _KNOTS_SQL))
+def q_calib_params_object(spark, sf_dir):
+    """S5 as one JSON object keyed by label, written and read back."""
+    pairs = _pairs(spark, sf_dir)
+    platt = cb.fit_segments(pairs, tb.LABELS, method="platt").withColumn("key", F.concat(F.lit("p-"), "key"))
+    path = jl.scratch_path(spark, "calibration-object")
+    cb.save_params_object(platt.unionByName(cb.fit_segments(pairs, tb.LABELS, method="isotonic")), path)
+    back = cb.load_params_object(spark, path)
+    return back.select("key", "method", "coef", "intercept", F.posexplode_outer(F.arrays_zip("x", "y")).alias("knot", "xy")) \
+        .select("key", "method", F.coalesce("knot", F.lit(0)).cast("bigint").alias("knot"), F.col("xy.x").alias("x"),
+                F.bround("xy.y", 9).alias("y"), F.bround("coef", 4).alias("coef"), F.bround("intercept", 4).alias("intercept"))
+
+
 @register("stream_clean", f"""WITH {NOISY} SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text,
     {S.emoji_density(S.clean_text('text', boilerplate=True))} AS emoji_density FROM noisy""")
 def q_stream_clean(spark, sf_dir):
@@ -1147,6 +1282,33 @@ def q_stream_clean(spark, sf_dir):
     return st.run_to_table(spark, staged, "stream-clean")
 
 
+@register("stream_process", _ISO_SQL.replace("WITH ", f"WITH {NOISY}, ", 1) + f""",
+cl AS (SELECT doc_id, {S.clean_text('text', boilerplate=True)} AS text FROM noisy WHERE doc_id IN (SELECT doc_id FROM labels)),
+ok AS (SELECT * FROM cl WHERE length(text) BETWEEN 40 AND 20000),
+cp AS (SELECT p.row_id, p.label, c.fx AS p FROM probs p JOIN cal c ON c.label = p.label AND c.x = p.p)
+SELECT 'processed' AS sink, ok.doc_id, md5(ok.text) AS text_md5, round_even({S.emoji_density('ok.text')}, 9) AS emoji_density,
+       round_even(q.p, 9) AS quality, round_even(t.p, 9) AS toxic
+FROM ok JOIN cp q ON q.row_id = ok.doc_id AND q.label = 'quality' JOIN cp t ON t.row_id = ok.doc_id AND t.label = 'toxic'
+UNION ALL
+SELECT 'rejected', n.doc_id, md5(n.text), NULL, round_even(q.p, 9), round_even(t.p, 9) FROM noisy n
+JOIN probs q ON q.row_id = n.doc_id AND q.label = 'quality' JOIN probs t ON t.row_id = n.doc_id AND t.label = 'toxic'
+WHERE n.doc_id NOT IN (SELECT doc_id FROM ok)""")
+def q_stream_process(spark, sf_dir):
+    """Clean, emoji, validate and calibrate on a stream; rejected rows in a sink of their own."""
+    probs = tb.label_probs(spark, sf_dir).groupBy(F.col("row_id").alias("doc_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "p"))).alias("probs"))
+    path = jl.scratch_path(spark, "stream-in")
+    _noisy(spark, sf_dir).select("doc_id", "text").join(probs, "doc_id").write.parquet(path)
+    stream = spark.readStream.schema("doc_id bigint, text string, probs map<string,double>").option("maxFilesPerTrigger", 4).parquet(path)
+    segments = cb.fit_segments(_pairs(spark, sf_dir), tb.LABELS, method="isotonic")
+    done, rejected = st.process_stream(spark, stream, params=lambda: segments, name="stream-process", row_id="doc_id",
+                                       clean={"boilerplate": True}, emoji={}, valid=F.length("text").between(40, 20000))
+    cols = lambda df, sink, density: df.select(
+        F.lit(sink).alias("sink"), "doc_id", F.md5("text").alias("text_md5"), F.bround(density, 9).alias("emoji_density"),
+        F.bround(F.col("probs")["quality"], 9).alias("quality"), F.bround(F.col("probs")["toxic"], 9).alias("toxic"))
+    return cols(done, "processed", F.col("emoji_density")).unionByName(cols(rejected, "rejected", F.lit(None).cast("double")))
+
+
 _JUDGE_SQL = f"""WITH RECURSIVE {JS},
 jd AS (SELECT row_id, judge_no, label, greatest(least(avg(prob), 1.0), 0.0) AS p FROM js GROUP BY ALL
        HAVING avg(prob) IS NOT NULL),
@@ -1154,7 +1316,7 @@ j0 AS (SELECT row_id, label, avg(p) AS p FROM jd GROUP BY ALL),
 cands AS (SELECT * FROM j0 WHERE label IN ({_TRIG_SQL}) AND abs(p - 0.5) <= 0.05),
 rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS r FROM cands),
 pairs AS (SELECT label, min(row_id) AS id_a, max(row_id) AS id_b FROM rk GROUP BY label, (r - 1) // 2 HAVING count(*) = 2),
-ans AS ({S.comparison_answers('pairs')}),
+ans AS ({S.recorded_comparisons('pairs')}),
 vd AS (SELECT label, id_a, id_b, preferred, coalesce(TRY_CAST(confidence_raw AS DOUBLE), 0.5) AS confidence FROM ans),
 ev AS (SELECT label, id_b AS ev, list_position([{_TRIG_SQL}], label) - 1 AS lp, id_a AS row_id,
               CASE WHEN preferred = 'A' THEN 0.15 * confidence ELSE -0.15 * confidence END AS d FROM vd WHERE preferred IN ('A', 'B')
@@ -1173,7 +1335,7 @@ FROM j0 s LEFT JOIN sq ON s.row_id = sq.row_id AND s.label = sq.key"""
 
 @register("judge_job", _JUDGE_SQL)
 def q_judge_job(spark, sf_dir):
-    out = jb.judge(_js(spark, sf_dir), judge_col="judge_no", trigger_labels=TRIGGERS, pairwise=P2_OPTS, answers_fn=tb.comparison_answers)
+    out = jb.judge(_js(spark, sf_dir), judge_col="judge_no", trigger_labels=TRIGGERS, pairwise=P2_OPTS, answers_fn=tb.recorded_comparisons(spark, sf_dir))
     return out.select("row_id", "label", F.bround("p", 9).alias("p"))
 
 
@@ -1266,36 +1428,50 @@ def q_calibrate_files(spark, sf_dir):
     return back.select("row_id", "label", F.bround("p", 9).alias("p"))
 
 
-@register("run_job", f"""WITH {_GENERATE_SQL},
-g AS (SELECT p.id, ok.text FROM p JOIN ok ON p.id = ok.id AND ok.rn = 1),
-s AS (SELECT id, 1.0 / (1 + length(text) % 7) AS quality, 1.0 / (1 + length(text) % 5) AS toxic FROM g),
+@register("run_job", f"""WITH RECURSIVE g0 AS (SELECT d.doc_id AS id, d.text, l.quality, l.toxic
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE length(d.text) >= 600),
+{S.minhash_ctes('g0', 'id', 'text').strip()},
+{S.lsh_member_ctes().strip()},
+{S.keep_first_ctes().strip()},
+g AS (SELECT * FROM g0 WHERE id NOT IN (SELECT node FROM mh_dropped)),
+p AS ({S.plan_sql(_cfg(), "SELECT doc_id AS id FROM labels")}),
 rows_in AS (SELECT id AS row_id, TRUE AS has_labels FROM g),
-probs AS (SELECT id AS row_id, 'quality' AS label, quality AS p FROM s UNION ALL SELECT id, 'toxic', toxic FROM s),
+probs AS (SELECT id AS row_id, 'quality' AS label, quality::DOUBLE AS p FROM g UNION ALL SELECT id, 'toxic', toxic::DOUBLE FROM g),
 {S.stratified_split_ctes('rows_in', 'probs').strip()}
-SELECT g.id AS row_id, o.split, json_object('text', g.text)::VARCHAR AS generated_raw, round_even(s.quality, 9) AS quality, round_even(s.toxic, 9) AS toxic
-FROM g JOIN s ON g.id = s.id JOIN ss_out o ON o.row_id = g.id""")
+SELECT g.id AS row_id, o.split, md5(json_object('text', g.text)::VARCHAR) AS generated_md5, g.quality::DOUBLE AS quality, g.toxic::DOUBLE AS toxic,
+       'recorded' AS model, 2::BIGINT AS num_samples, p.prompt_id, p.seed::VARCHAR AS seed, FALSE AS calibration_applied,
+       'isotonic' AS calibration_version
+FROM g JOIN ss_out o ON o.row_id = g.id JOIN p ON p.id = g.id""")
 def q_run_job(spark, sf_dir):
-    """Z5 over the conversations' recorded answers; the judge scores by text length (a fixed rule)."""
-    plan_df, recorded = _recorded_plan(spark, sf_dir)
-    attempts = "request_id bigint, variant string, variant_priority int, attempt_no int, raw string"
-    out = jb.run(plan_df.join(recorded.select("id"), "id", "left_semi"), GEN_TEMPLATE, _recorded_generator, _length_judge,
-                 generator_schema=attempts, judge_schema="request_id bigint, attempt_no int, label string, prob double",
-                 labels=tb.LABELS, stage_dir=jl.scratch_path(spark, "run"), num_samples=2, retry_limit=1, extra=recorded,
+    """Z5 over recorded answers: the documents are the generator's texts (those under 600 characters are
+    invalid), the two labels of the ``labels`` table the judge's scores, handed out twice."""
+    labels = tb.load(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
+    docs = tb.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.to_json(F.struct("text")).alias("answer"))
+    out = jb.run(pl.plan(labels.select("id"), _cfg()), GEN_TEMPLATE, _recorded_text, _recorded_labels,
+                 generator_schema="request_id bigint, variant string, variant_priority int, attempt_no int, raw string",
+                 judge_schema="request_id bigint, attempt_no int, label string, prob double",
+                 labels=tb.LABELS, stage_dir=jl.scratch_path(spark, "run"), num_samples=2, retry_limit=1,
+                 extra=docs, judge_extra=labels, judge_info={"model": "recorded", "provider": "table"},
                  valid_generated=F.length(F.get_json_object("raw", "$.text")) >= 600,
-                 process_opts={"clean": {"enabled": False}, "dedup": {"threshold": 0.99}})
-    return out.select("row_id", "split", "generated_raw", F.bround(F.col("judgment")["quality"], 9).alias("quality"),
-                      F.bround(F.col("judgment")["toxic"], 9).alias("toxic"))
+                 process_opts={"clean": {"enabled": False}, "dedup": {"threshold": 0.9},
+                               "mark": {"enabled": True, "method": "isotonic"}})
+    m = "judgment_meta"
+    return out.select("row_id", "split", F.md5("generated_raw").alias("generated_md5"), F.col("judgment")["quality"].alias("quality"),
+                      F.col("judgment")["toxic"].alias("toxic"), f"{m}.judge_meta.model", f"{m}.judge_meta.num_samples", f"{m}.prompt_id",
+                      F.col(f"{m}.seed").cast("string").alias("seed"), f"{m}.calibration_applied", f"{m}.calibration_version")
+
+
+def _recorded_text(pdf):
+    """Generator hook: the recorded text of every request."""
+    return pdf[["request_id", "answer"]].rename(columns={"answer": "raw"}).assign(variant="primary", variant_priority=0, attempt_no=1)[
+        ["request_id", "variant", "variant_priority", "attempt_no", "raw"]]
 
 
-def _length_judge(pdf):
-    """Judge hook: two equal samples a row, scores from the length of the text under the preamble."""
+def _recorded_labels(pdf):
+    """Judge hook: the recorded labels of every request, two samples."""
     import pandas as _pd
-    from corpusforge.operators.prompts import JUDGE_PREAMBLE
-    rows = []
-    for r in pdf.itertuples():
-        n = len(r.prompt) - len(JUDGE_PREAMBLE)
-        for attempt in (1, 2):
-            rows += [(r.request_id, attempt, "quality", 1 / (1 + n % 7)), (r.request_id, attempt, "toxic", 1 / (1 + n % 5))]
+    rows = [(r.request_id, attempt, label, float(getattr(r, label))) for r in pdf.itertuples() for attempt in (1, 2)
+            for label in ("quality", "toxic")]
     return _pd.DataFrame(rows, columns=["request_id", "attempt_no", "label", "prob"])
 
 

@@ -20,7 +20,8 @@ from corpusforge.session import cut_lineage
 def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: DataFrame | None = None,
             labels: list[str] | None = None, clean: dict | None = None, emoji: dict | None = None,
             validate: Column | None = None, dedup: dict | None = None, triage: dict | None = None,
-            calibrate: DataFrame | None = None, split: dict | None = None, attach: str | None = None) -> DataFrame:
+            calibrate: DataFrame | None = None, split: dict | None = None, attach: str | None = None,
+            mark: dict | None = None) -> DataFrame:
     """Z3 ``process``: clean -> emoji features -> validate -> dedup -> triage -> calibrate -> split.
 
     ``df`` has one row per example with unique ``order_col``; ``probs`` is the long-form
@@ -32,6 +33,10 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     surviving rows plus ``emoji_count`` (set where missing), ``emoji_density``, ``split`` and,
     under the name ``attach``, the map of their calibrated probabilities.
 
+    ``mark`` (``enabled, params_path, version, method``) records on every judgment whether it was
+    calibrated (K8): in the struct ``judgment_meta`` where the rows have one, else as columns of
+    their own.  It counts as applied only where ``calibrate`` was given.
+
     The texts are read for the signatures and once more for the output; everything between
     runs on narrow id tables.
     """
@@ -52,7 +57,7 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     dd = {} if dedup is None else dedup
     _, dropped = deduplicate(out, order_col, text=F.col(text_col), threshold=dd.get("threshold", 0.9),
                              num_perm=dd.get("num_perm", 128), n_gram=dd.get("n_gram", 5),
-                             shingle_level=dd.get("shingle_level", "word"), return_dropped=True)
+                             shingle_level=dd.get("shingle_level", "word"), verify=dd.get("verify", False), return_dropped=True)
     ids = (ok if validate is not None else df.select(order_col)).join(
         dropped.withColumnRenamed("node", order_col), order_col, "left_anti")
     if probs is not None:
@@ -89,6 +94,10 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
         own = probs.groupBy(F.col("row_id").alias(order_col)).agg(
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "p")))).alias(attach))
         out = out.drop(attach).join(own, order_col, "left")
+    if mark is not None:
+        applied, version = cb.calibration_mark(mark.get("enabled", False), mark.get("params_path"), calibrate is not None,
+                                               mark.get("version"), mark.get("method"))
+        out = cb.mark(out, applied, version, "judgment_meta" if "judgment_meta" in out.columns else None)
     return out
 
 
@@ -148,35 +157,71 @@ def judge(samples: DataFrame, *, scores_key: str = "label", aggregation: str = "
     return (shifted, audit_lists(v)) if with_audit else shifted
 
 
+def judgment_provenance(samples: DataFrame, gen: DataFrame, info: dict, aggregation: str, version: str | None = None) -> DataFrame:
+    """``(row_id, judgment_meta)`` per judged row.
+
+    ``judge_meta`` names the judge (``info``: model, temperature, seed, provider) and the samples that
+    were really used; prompt keys come from the row's metadata; nothing is marked as calibrated.
+    """
+    from corpusforge.operators.aggregate import enrich_judgment, judge_meta
+
+    meta = judge_meta(samples.where("prob is not null"), ["row_id"], "sample_no", model=info.get("model"),
+                      temperature=info.get("temperature", 0.0), seed=info.get("seed"), aggregation=aggregation)
+    prompt = gen.schema["metadata"].dataType["prompt"].dataType.fieldNames()
+    rows = meta.withColumn("judge_meta", F.col("judge_meta").withField("provider", F.lit(info.get("provider")).cast("string"))).join(
+        gen.select("row_id", F.col("metadata.prompt").alias("_prompt")), "row_id")
+    own = F.struct("judge_meta", F.lit(version).cast("string").alias("calibration_version"))
+    return rows.select("row_id", enrich_judgment(own, ["judge_meta", "calibration_version"], F.col("_prompt"), prompt).alias("judgment_meta"))
+
+
 def run(plan_df: DataFrame, template: str, generator_fn, judge_fn, *, generator_schema: str,
         judge_schema: str, labels: list[str], stage_dir: str | None = None, num_samples: int = 3,
         max_retries: int = 2, valid_generated: Column | None = None, valid_judgment: Column | None = None,
         aggregation: str = "mean", process_opts: dict | None = None, models: Column | None = None,
-        backup_judge_fn=None, extra: DataFrame | None = None, retry_limit: int = 3) -> DataFrame:
+        backup_judge_fn=None, extra: DataFrame | None = None, retry_limit: int = 3,
+        judge_info: dict | None = None, judge_extra: DataFrame | None = None) -> DataFrame:
     """Z5 ``run``: generate -> judge -> process, with the stage tables persisted.
 
     ``generator_fn``: pandas batch ``(request_id, system, user)`` -> rows of
     ``generator_schema`` (``request_id, variant_priority, attempt_no, raw`` at least).
     ``judge_fn``: pandas batch ``(request_id, prompt)`` -> rows of ``judge_schema``
     (``request_id, attempt_no, label, prob`` - one row per attempt and key, NULL prob =
-    key absent); ``backup_judge_fn`` judges the rows that got no valid sample.  The output keeps
-    the generated JSON, the judgment (calibrated probabilities by label) and the metadata.
-    With ``stage_dir`` the generated and judged tables are written as JSON lines and read
-    back, so a failed later stage restarts from them.
+    key absent); the columns of ``judge_extra(id, ...)`` travel along with the prompts;
+    ``backup_judge_fn`` judges the rows that got no valid sample.  The output keeps
+    the generated JSON, the judgment (calibrated probabilities by label), its provenance
+    ``judgment_meta`` (``judge_info`` names the judge) and the metadata.
+
+    With ``stage_dir`` the generated and judged tables are written as JSON lines and read back, each
+    with a manifest (:mod:`corpusforge.plans.stages`).  A later call with the same plan, template,
+    schemas, hooks and settings reads the stages that are complete: their hooks are not called again.
     """
     from corpusforge.operators.prompts import judge_prompt
     from corpusforge.operators.responses import call_model, extract_json, k_valid_samples
-    from corpusforge.sources.jsonl import read_jsonl, write_jsonl
+    from corpusforge.plans.stages import fingerprint, read_stage, table_digest, write_stage
 
-    gen = generate(plan_df, template, generator_fn, response_schema=generator_schema, valid=valid_generated, models=models,
-                   extra=extra, retry_limit=retry_limit)
-    gen = gen.select(F.col("request_id").alias("row_id"), extract_json(F.col("raw")).alias("generated_raw"),
-                     F.get_json_object(extract_json(F.col("raw")), "$.text").alias("text"), "metadata")
+    spark = plan_df.sparkSession
+    info, opts = judge_info or {}, process_opts or {}
+    marks = {"generated": "", "judged": ""}
     if stage_dir:
-        write_jsonl(gen, f"{stage_dir}/generated")
-        gen = read_jsonl(gen.sparkSession, f"{stage_dir}/generated", gen.schema)
-    else:
-        gen = cut_lineage(gen)
+        marks["generated"] = fingerprint(plan=table_digest(plan_df), extra=table_digest(extra), template=template, hook=generator_fn,
+                                         schema=generator_schema, valid=valid_generated, models=models, retry_limit=retry_limit)
+        marks["judged"] = fingerprint(generated=marks["generated"], extra=table_digest(judge_extra), hook=judge_fn, backup=backup_judge_fn,
+                                      schema=judge_schema, num_samples=num_samples, max_retries=max_retries,
+                                      valid=valid_judgment, aggregation=aggregation, info=info, method=(opts.get("mark") or {}).get("method"))
+
+    def stage(name: str, make):
+        if not stage_dir:
+            return cut_lineage(make())
+        done = read_stage(spark, stage_dir, name, marks[name])
+        return write_stage(make(), stage_dir, name, marks[name]) if done is None else done
+
+    def generated() -> DataFrame:
+        gen = generate(plan_df, template, generator_fn, response_schema=generator_schema, valid=valid_generated, models=models,
+                       extra=extra, retry_limit=retry_limit)
+        return gen.select(F.col("request_id").alias("row_id"), extract_json(F.col("raw")).alias("generated_raw"),
+                          F.get_json_object(extract_json(F.col("raw")), "$.text").alias("text"), "metadata")
+
+    gen = stage("generated", generated)
 
     def sampled(prompts: DataFrame, fn) -> DataFrame:
         answers = cut_lineage(call_model(prompts, fn, judge_schema))              # the one call
@@ -186,19 +231,22 @@ def run(plan_df: DataFrame, template: str, generator_fn, judge_fn, *, generator_
         return answers.join(kept, ["request_id", "attempt_no"]).select(
             F.col("request_id").alias("row_id"), "sample_no", "label", "prob")
 
-    prompts = gen.select(F.col("row_id").alias("request_id"), judge_prompt(gen.select("text"), None).alias("prompt"))
-    samples = sampled(prompts, judge_fn)
-    if backup_judge_fn is not None:
-        samples = cut_lineage(samples)
-        failed = prompts.join(samples.select(F.col("row_id").alias("request_id")).distinct(), "request_id", "left_anti")
-        samples = samples.unionByName(sampled(cut_lineage(failed), backup_judge_fn))
-    scores = judge(samples, aggregation=aggregation)
-    if stage_dir:
-        write_jsonl(scores, f"{stage_dir}/judged")
-        scores = read_jsonl(scores.sparkSession, f"{stage_dir}/judged", scores.schema)
-    else:
-        scores = cut_lineage(scores)
-    return process(gen, order_col="row_id", probs=scores, labels=labels, attach="judgment", **(process_opts or {}))
+    def judged() -> DataFrame:
+        prompts = gen.select(F.col("row_id").alias("request_id"), judge_prompt(gen.select("text"), None).alias("prompt"))
+        if judge_extra is not None:
+            prompts = prompts.join(judge_extra.withColumnRenamed("id", "request_id"), "request_id")
+        samples = cut_lineage(sampled(prompts, judge_fn))
+        if backup_judge_fn is not None:
+            failed = prompts.join(samples.select(F.col("row_id").alias("request_id")).distinct(), "request_id", "left_anti")
+            samples = cut_lineage(samples.unionByName(sampled(cut_lineage(failed), backup_judge_fn)))
+        scores = judge(samples, aggregation=aggregation)
+        meta = judgment_provenance(samples, gen, info, aggregation, (opts.get("mark") or {}).get("method"))
+        return scores.join(meta, "row_id", "left")
+
+    whole = stage("judged", judged)
+    scores = whole.drop("judgment_meta")
+    meta = whole.groupBy("row_id").agg(F.first("judgment_meta").alias("judgment_meta"))        # one row's labels
+    return process(gen.join(meta, "row_id", "left"), order_col="row_id", probs=scores, labels=labels, attach="judgment", **opts)
 
 
 def calibrate_files(spark, predictions_path: str, truth_path: str, labels: list[str], *,

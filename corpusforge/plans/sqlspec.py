@@ -163,6 +163,27 @@ def keep_first_ctes(prefix: str = "mh") -> str:
 {prefix}_dropped AS (SELECT unnest(dropped) AS node FROM {prefix}_final)"""
 
 
+def verified_keep_first_ctes(src: str, id_col: str, text_expr: str, threshold: float = 0.9, prefix: str = "mh") -> str:
+    """CTE ``{prefix}_vdropped(node)``: keep-first over pairs that share a bucket and whose whole
+    shingle sets are similar (no rounds: all pairs of a bucket, then a walk in order)."""
+    sets = shingles_cte(f"{prefix}_vs", src, id_col, text_expr, where="t IS NOT NULL AND length(t) > 0").strip()
+    return f"""
+{sets},
+{prefix}_vp AS (SELECT DISTINCT a.node AS a, b.node AS b FROM {prefix}_mem a JOIN {prefix}_mem b
+                ON a.band = b.band AND a.first = b.first AND a.node < b.node),
+{prefix}_vi AS (SELECT a, b, len(list_intersect(x.s, y.s)) AS i, len(x.s) AS n, len(y.s) AS m
+                FROM {prefix}_vp JOIN {prefix}_vs x ON x.id = a JOIN {prefix}_vs y ON y.id = b),
+{prefix}_ve AS (SELECT b AS node, list(a) AS earlier, row_number() OVER (ORDER BY b) AS rn FROM {prefix}_vi
+                WHERE i::DOUBLE / (n + m - i) >= {threshold!r}::DOUBLE GROUP BY b),
+{prefix}_vwalk AS (
+  SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped
+  UNION ALL
+  SELECT w.rn + 1, CASE WHEN len(list_filter(e.earlier, lambda x: NOT list_contains(w.dropped, x))) > 0
+                        THEN list_append(w.dropped, e.node) ELSE w.dropped END
+  FROM {prefix}_vwalk w JOIN {prefix}_ve e ON e.rn = w.rn + 1),
+{prefix}_vdropped AS (SELECT unnest(dropped) AS node FROM (SELECT dropped FROM {prefix}_vwalk ORDER BY rn DESC LIMIT 1))"""
+
+
 # labels / splits -------------------------------------------------------------------------
 def label_probs() -> str:
     parts = " UNION ALL ".join(
@@ -274,13 +295,12 @@ def judgment_scores() -> str:
             f"FROM ({label_probs()}) UNION ALL SELECT row_id, label, p FROM ({label_probs()})")
 
 
-def comparison_answers(pairs_cte: str) -> str:
-    key = ["id_a", "id_b", "label"]
-    u = lambda tag: unit_sql(*key, "'" + tag + "'")
-    return f"""SELECT label, id_a, id_b,
-    CASE WHEN {u('pref')} < 0.45 THEN 'A' WHEN {u('pref')} < 0.9 THEN 'B' ELSE 'tie' END AS preferred,
-    CASE WHEN {u('conf')} < 0.1 THEN 'unsure' ELSE '0.' || lpad(CAST(floor({u('c2')} * 100)::BIGINT AS VARCHAR), 2, '0') END AS confidence_raw,
-    'pair ' || CAST(id_a AS VARCHAR) || '-' || CAST(id_b AS VARCHAR) AS reason FROM {pairs_cte}"""
+def recorded_comparisons(pairs_cte: str) -> str:
+    own = lambda x: f"CASE WHEN p.label = 'toxic' THEN {x}.toxic ELSE {x}.quality END"
+    return f"""SELECT label, id_a, id_b, CASE WHEN ya > yb THEN 'A' WHEN ya < yb THEN 'B' ELSE 'tie' END AS preferred,
+    CASE WHEN ya = yb THEN 'unsure' ELSE '1.0' END AS confidence_raw, 'labelled ' || ya || ' and ' || yb AS reason
+    FROM (SELECT p.label, p.id_a, p.id_b, {own('a')} AS ya, {own('b')} AS yb FROM {pairs_cte} p
+          JOIN labels a ON a.doc_id = p.id_a JOIN labels b ON b.doc_id = p.id_b)"""
 
 
 # generation plan ---------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,3 +87,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and return the re-read frame."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read again.
+
+    Like :func:`cut_lineage`, but the planner starts from the table's true size: a checkpoint keeps
+    the estimates of the plan behind it, which grow with every round of a loop of joins.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

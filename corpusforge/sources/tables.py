@@ -132,14 +132,20 @@ def judgment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overall.unionByName(probs)
 
 
-def comparison_answers(pairs: DataFrame) -> DataFrame:
-    """Deterministic stand-in for the comparison model's answers on a pairs table:
-    preferred A (45%), B (45%) or tie; confidence text "0.NN" or "unsure" (10%)."""
-    key = [F.col("id_a"), F.col("id_b"), F.col("label")]
-    u = unit(*key, F.lit("pref"))
-    conf = F.when(unit(*key, F.lit("conf")) < 0.1, F.lit("unsure")).otherwise(
-        F.concat(F.lit("0."), F.lpad(F.floor(unit(*key, F.lit("c2")) * 100).cast("string"), 2, "0")))
-    return pairs.select("label", "id_a", "id_b",
-                        F.when(u < 0.45, "A").when(u < 0.9, "B").otherwise("tie").alias("preferred"),
-                        conf.alias("confidence_raw"),
-                        F.concat(F.lit("pair "), F.col("id_a").cast("string"), F.lit("-"), F.col("id_b").cast("string")).alias("reason"))
+def recorded_comparisons(spark: SparkSession, sf_dir: str):
+    """The ``labels`` table as the answers of a comparison: ``pairs -> (label, id_a, id_b, preferred,
+    confidence_raw, reason)``.  Of a pair the row with the higher label is preferred ("overall" goes by
+    quality), with confidence 1; equal ones tie, with the confidence "unsure"."""
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+
+    def side(x: str) -> DataFrame:
+        return labels.select(F.col("doc_id").alias(f"id_{x}"), F.struct("quality", "toxic").alias(x))
+
+    def answers(pairs: DataFrame) -> DataFrame:
+        own = lambda x: F.when(F.col("label") == "toxic", F.col(f"{x}.toxic")).otherwise(F.col(f"{x}.quality"))
+        both = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
+        return both.select("label", "id_a", "id_b",
+                           F.when(own("a") > own("b"), "A").when(own("a") < own("b"), "B").otherwise("tie").alias("preferred"),
+                           F.when(own("a") == own("b"), "unsure").otherwise("1.0").alias("confidence_raw"),
+                           F.concat(F.lit("labelled "), own("a").cast("string"), F.lit(" and "), own("b").cast("string")).alias("reason"))
+    return answers

@@ -128,3 +128,120 @@ def test_ids_must_be_unique_and_may_be_text(spark):
     for wrong in (rows + [("x1", "another text")], rows + [(None, "z")]):
         with pytest.raises(ValueError):
             dd.deduplicate(spark.createDataFrame(wrong, "id string, text string"), "id")
+
+
+def _chain(n):
+    return [(i % 2, i, j) for i in range(n) for j in (i, i + 1)]
+
+
+def test_long_chain_needs_few_rounds(spark):
+    """A chain of 5,000 near-copies: every second one stays."""
+    mem = spark.createDataFrame(_chain(5000), "band int, first bigint, node bigint")
+    steps = []
+    got = {r[0] for r in dd.keep_first_dropped(mem, trace=steps).collect()}
+    assert got == set(range(1, 5001, 2))
+    assert len(steps) < 20 and steps.count("components") == 1
+
+
+def test_components_above_the_size_are_decided_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(dd, "WHOLE_ROWS", 10)
+    rows = _chain(12) + [(b, f + 100, n + 100) for b, f, n in _chain(3)]
+    steps = []
+    got = {r[0] for r in dd.keep_first_dropped(spark.createDataFrame(rows, "band int, first bigint, node bigint"), trace=steps).collect()}
+    assert got == {1, 3, 5, 7, 9, 11, 101, 103} and steps.count("round") > 3
+
+
+def test_group_components(spark):
+    from corpusforge.operators.components import group_components
+    rng = random.Random(8)
+    rows = [(g, n) for g in range(60) for n in rng.sample(range(120), rng.choice([1, 2, 3]))]
+    rows += [(1000 + i, 500 + x) for i, x in enumerate(rng.sample(range(200), 200))] + [(1001 + i, 500 + x) for i, x in enumerate(range(200))]
+    parent = {n: n for _, n in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    by = {}
+    for g, n in rows:
+        a, b = find(by.setdefault(g, n)), find(n)
+        parent[max(a, b)] = min(a, b)
+    got = dict(map(tuple, group_components(spark.createDataFrame(rows, "g int, n int"), ["g"], "n").collect()))
+    assert got == {n: find(n) for n in parent}
+
+
+def _words(rng, n, vocabulary=400):
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+def _sets(texts, n=5):
+    out = {}
+    for i, t in texts:
+        w = t.split()
+        out[i] = {tuple(w[j:j + n]) for j in range(max(1, len(w) - n + 1))}
+    return out
+
+
+def _verified_brute(spark, df, texts, threshold):
+    b, r = dd.lsh_params(threshold, 128)
+    mem = dd.lsh_membership(dd.signatures(df, "id", F.col("text")), "id", b, r).collect()
+    buckets = {}
+    for m in mem:
+        buckets.setdefault((m["band"], m["first"]), set()).add(m["node"])
+    near = {}
+    for group in buckets.values():
+        for x in group:
+            near.setdefault(x, set()).update(group - {x})
+    sets, kept = _sets(texts), []
+    for i, _ in sorted(texts):
+        similar = [j for j in kept if j in near.get(i, ()) and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= threshold]
+        if not similar:
+            kept.append(i)
+    return kept, sum(len(g) * (len(g) - 1) // 2 for g in buckets.values())
+
+
+@pytest.mark.parametrize("walk", [True, False])
+def test_verified_mode_matches_the_rule(spark, monkeypatch, walk):
+    """Groups of versions of one text, edited more and more: buckets hold pairs below the threshold."""
+    monkeypatch.setattr(dd, "SHALLOW_ROUNDS", 1 if walk else 100)
+    rng = random.Random(11)
+    texts, i = [], 0
+    for _ in range(12):
+        base = _words(rng, 90)
+        for v in range(9):
+            w = list(base)
+            for _ in range(v):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            texts.append((i, " ".join(w)))
+            i += 1
+    texts += [(i, texts[3][1]), (i + 1, texts[40][1]), (i + 2, "!!!"), (i + 3, "??"), (i + 4, "a b"), (i + 5, "a b")]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(texts + [(900, None), (901, "")], "id bigint, text string")
+    as_words = [(k, t if t[0] not in "!?" else "") for k, t in texts]
+    want, pairs = _verified_brute(spark, df, as_words, 0.6)
+    got = sorted(r[0] for r in dd.deduplicate(df, "id", threshold=0.6, verify=True).select("id").collect())
+    assert got == want + [900, 901]
+    loose = {r[0] for r in dd.deduplicate(df, "id", threshold=0.6).select("id").collect()}
+    assert loose < set(got), "some bucket members are not similar enough"
+
+
+def test_verified_hot_bucket_stays_linear(spark, monkeypatch):
+    """A third of the rows are near-copies of one text: one comparison a row, none between the copies."""
+    rng = random.Random(12)
+    base = _words(rng, 200)
+    rows = []
+    for i in range(150):
+        rows.append((i, " ".join(base[:-1] + [f"y{i}"])))
+    rows += [(1000 + i, " ".join(_words(rng, 60, 10 ** 6))) for i in range(300)]
+    compared = []
+    whole = dd._verified
+
+    def counting(pairs, sets, threshold):
+        compared.append(pairs.count())
+        return whole(pairs, sets, threshold)
+    monkeypatch.setattr(dd, "_verified", counting)
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    kept = {r[0] for r in dd.deduplicate(df, "id", verify=True).select("id").collect()}
+    want, pairs = _verified_brute(spark, df, rows, 0.9)
+    assert sorted(kept) == want and len(want) < 310
+    assert sum(compared) <= 5 * 150 < pairs / 10

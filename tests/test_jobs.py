@@ -119,3 +119,111 @@ def test_calibrate_files_rejects_unpaired_ids(spark, tmp_path):
     (tmp_path / "t.jsonl").write_text('{"id": 1, "label": true}')
     with pytest.raises(ValueError):
         jobs.calibrate_files(spark, str(tmp_path / "p.jsonl"), str(tmp_path / "t.jsonl"), ["a"])
+
+
+def _counting_hooks(spark):
+    seen = {k: spark.sparkContext.accumulator(0) for k in ("generate", "judge")}
+    gen_calls, judge_calls = seen["generate"], seen["judge"]
+
+    def gen_fn(pdf):
+        import pandas as pd
+        gen_calls.add(len(pdf))
+        return pd.DataFrame([(r, 0, 1, '{"text": "words number %d and some more words"}' % r) for r in pdf["request_id"]],
+                            columns=["request_id", "variant_priority", "attempt_no", "raw"])
+
+    def judge_fn(pdf):
+        import pandas as pd
+        judge_calls.add(len(pdf))
+        return pd.DataFrame([(r, a, k, (r % 10) / 10 if r != 7 else None) for r in pdf["request_id"] for a in (1, 2) for k in ("quality", "toxic")],
+                            columns=["request_id", "attempt_no", "label", "prob"])
+    return seen, gen_fn, judge_fn
+
+
+def _run(spark, hooks, stage_dir, n=20, template="For {role}", **more):
+    _, gen_fn, judge_fn = hooks
+    return jobs.run(pl.plan(spark.range(n), pl.read_config(CFG)), template, gen_fn, judge_fn, num_samples=2, stage_dir=stage_dir,
+                    generator_schema="request_id bigint, variant_priority int, attempt_no int, raw string",
+                    judge_schema="request_id bigint, attempt_no int, label string, prob double", labels=["quality", "toxic"],
+                    judge_info={"model": "m1", "temperature": 0.3, "seed": 9, "provider": "p"},
+                    **{"process_opts": {"dedup": {"threshold": 0.99}}, **more})
+
+
+def test_run_resumes_behind_the_last_complete_stage(spark, tmp_path, monkeypatch):
+    hooks = _counting_hooks(spark)
+    calls = lambda: (hooks[0]["generate"].value, hooks[0]["judge"].value)
+    stage = str(tmp_path / "s")
+    with monkeypatch.context() as m:                      # the job dies after judging
+        m.setattr(jobs, "process", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            _run(spark, hooks, stage)
+    assert calls() == (20, 20)
+    rows = _run(spark, hooks, stage).collect()
+    assert calls() == (20, 20) and len(rows) == 20
+    with monkeypatch.context() as m:                      # the judged table was not committed
+        from corpusforge.plans import stages
+        whole = stages.write_jsonl
+        m.setattr(stages, "write_jsonl", lambda df, path, **k: 1 / 0 if path.endswith("judged") else whole(df, path, **k))
+        with pytest.raises(ZeroDivisionError):
+            _run(spark, hooks, stage, valid_judgment=F.col("prob") >= 0)
+    assert calls() == (20, 40)
+    assert len(_run(spark, hooks, stage, valid_judgment=F.col("prob") >= 0).collect()) == 20
+    assert calls() == (20, 60)
+    _run(spark, hooks, stage, template="Other for {role}").collect()
+    assert calls() == (40, 80)                            # another template: nothing fits
+    _run(spark, hooks, stage, n=21, template="Other for {role}").collect()
+    assert calls() == (61, 101)
+
+
+def test_run_records_provenance_and_marks(spark):
+    hooks = _counting_hooks(spark)
+    opts = {"dedup": {"threshold": 0.99}, "mark": {"enabled": True, "method": "isotonic"}}
+    rows = {r["row_id"]: r for r in _run(spark, hooks, None, process_opts=opts).collect()}
+    assert rows[7]["judgment_meta"] is None and rows[7]["judgment"] is None
+    meta = rows[3]["judgment_meta"]
+    assert meta["judge_meta"].asDict() == {"model": "m1", "temperature": 0.3, "num_samples": 2, "seed": 9, "aggregation": "mean", "provider": "p"}
+    assert meta["prompt_id"] == rows[3]["metadata"]["prompt"]["prompt_id"] and meta["style_id"] == rows[3]["metadata"]["prompt"]["style_id"]
+    assert meta["calibration_applied"] is False and meta["calibration_version"] == "isotonic"
+    from corpusforge.operators import calibrate as cb
+    params = spark.createDataFrame([("quality", "platt", 1.0, 0.0)], "key string, method string, coef double, intercept double") \
+        .selectExpr("key", "method", "cast(null as double) x", "cast(null as double) y", "cast(null as double) x1", "cast(null as double) y1",
+                    "coef", "intercept")
+    assert params.columns == cb.SEGMENTS
+    opts["calibrate"], opts["mark"] = params, {"enabled": True, "params_path": "params/v7.json"}
+    meta = {r["row_id"]: r for r in _run(spark, hooks, None, process_opts=opts).collect()}[3]["judgment_meta"]
+    assert meta["calibration_applied"] is True and meta["calibration_version"] == "v7"
+    rows = spark.createDataFrame([(i, f"text number {i} of its own") for i in range(5)], "id bigint, text string")
+    out = jobs.process(rows, order_col="id", mark={"enabled": False}).collect()
+    assert all(r["calibration_applied"] is False for r in out)
+
+
+def test_quarantine_parts_good_rows_from_bad_lines(spark, tmp_path):
+    from corpusforge.sources.jsonl import read_quarantined
+    (tmp_path / "a.jsonl").write_text('{"id": 1, "name": "x"}\n\n{"id": 2\n  \n[1]\n"text"\n{"id": "seven"}\n{"name": "no id"}\n')
+    (tmp_path / "b.jsonl").write_text('{"id": 5, "more": true}\n{}\nnull\n')
+    good, bad = read_quarantined(spark, str(tmp_path), "id bigint, name string")
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([(1, "x"), (None, "no id"), (5, None), (None, None)], key=str)
+    got = sorted((r["file"].rsplit("/", 1)[1], r["line"], r["reason"]) for r in bad.collect())
+    assert got == sorted([("a.jsonl", '{"id": 2', "not JSON"), ("a.jsonl", "[1]", "not an object"), ("a.jsonl", '"text"', "not an object"),
+                          ("a.jsonl", '{"id": "seven"}', "wrong type"), ("b.jsonl", "null", "not an object")])
+    with pytest.raises(ValueError, match="5 of 9 lines"):
+        read_quarantined(spark, str(tmp_path), "id bigint, name string", max_bad_share=0.5)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "c.jsonl").write_text("")
+    good, bad = read_quarantined(spark, str(tmp_path / "empty"), "id bigint")
+    assert good.count() == bad.count() == 0
+
+
+def test_stream_equals_batch_and_rejects_apart(spark, tmp_path):
+    from corpusforge.operators import calibrate as cb
+    from corpusforge.streaming import rowwise as st
+    rows = [(i, f"  text   {i} " + "long " * (i % 5), {"a": i / 40, "b": 1 - i / 40}) for i in range(40)]
+    schema = "row_id bigint, text string, probs map<string,double>"
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    fitted = cb.fit_segments(spark.createDataFrame([("a", i / 40, int(i > 20)) for i in range(40)], "label string, p double, y int"), ["a"])
+    reads = []
+    done, rejected = st.process_stream(spark, stream, params=lambda: (reads.append(1), fitted)[1], name="t", valid=F.length("text") > 12)
+    got = {r["row_id"]: r for r in done.collect()}
+    assert len(reads) == 5 and set(got) | {r["row_id"] for r in rejected.collect()} == set(range(40))
+    assert got[9]["text"] == "text 9 long long long long" and got[9]["probs"] == {"a": 0.0, "b": 1 - 9 / 40}
+    assert all(r["text"].startswith("  text") for r in rejected.collect()) and rejected.count() == 40 - len(got)

@@ -82,3 +82,33 @@ def test_all_judges_failed_raises(spark):
     assert ag.successful_judges(j, "row_id", "judge_no", ok_col="ok", on_all_failed="drop").count() == 1
     with pytest.raises(ValueError):
         ag.successful_judges(j, "row_id", "judge_no", ok_col="ok")
+
+
+def test_violations_agree_with_validity_and_name_the_place(spark):
+    from pyspark.sql import functions as F
+    from corpusforge.functions.schema import compile_schema, compile_violations
+    from corpusforge.operators import responses as rs
+    schema = {"type": "object", "required": ["a", "b"], "additionalProperties": False, "properties": {
+        "a": {"type": "integer", "minimum": 1, "maximum": 5}, "b": {"type": "string", "minLength": 2, "pattern": "^x"},
+        "c": {"type": "array", "maxItems": 2, "items": {"type": "object", "required": ["k"], "properties": {"k": {"enum": [1, "two"]}}}}}}
+    cases = {
+        '{"a": 2, "b": "xy"}': [],
+        '{"a": 2, "b": "xy", "c": []}': [],
+        '{"b": "y"}': [("$.a", "required"), ("$.b", "minLength"), ("$.b", "pattern")],
+        '{"a": 9, "b": "xyz", "d": 1, "e": null}': [("$.a", "maximum"), ("$.d", "additionalProperties"), ("$.e", "additionalProperties")],
+        '{"a": true, "b": null}': [("$.a", "type"), ("$.b", "type")],
+        '{"a": 1, "b": "xx", "c": [{"k": 1}, {"k": 3}, {}]}': [("$.c", "maxItems"), ("$.c[1].k", "enum"), ("$.c[2].k", "required")],
+        '{"a": 1, "b": "xx", "c": [1, {"k": "two"}]}': [("$.c[0]", "type")],
+        '[1]': [("$", "type")],
+        'nonsense': [("$", "json")],
+    }
+    df = spark.createDataFrame([(r,) for r in cases], "raw string")
+    got = df.select("raw", compile_violations(schema, F.col("raw")).alias("v"), compile_schema(schema, F.col("raw")).alias("ok")).collect()
+    for r in got:
+        assert sorted((x["path"], x["rule"]) for x in r["v"]) == sorted(cases[r["raw"]]), r["raw"]
+        assert r["ok"] == (not cases[r["raw"]])
+    rows, seen = rs.with_violations(df.withColumn("j", F.lit(None).cast("string")), F.col("raw"), F.col("j"), schema, schema)
+    counts = {(r["path"], r["rule"]): (r["n_rows"], r["n"]) for r in rs.rule_counts(rows).collect()}
+    assert counts[("$.c[*].k", "enum")] == (1, 1) and counts[("$.a", "type")] == (1, 1)
+    rows.collect()
+    assert seen.get == {"total": len(cases), "valid": 2, "invalid": len(cases) - 2}

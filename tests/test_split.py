@@ -75,3 +75,18 @@ def test_split_of_text_ids(spark):
     df = spark.createDataFrame([(f"r{i}",) for i in range(4)], "row_id string")
     probs = spark.createDataFrame([(f"r{i}", "a", 0.9) for i in range(4)], "row_id string, label string, p double")
     assert {r["split"] for r in sp.stratified_split(df, probs, ["a"]).collect()} == {"train"}
+
+
+def test_rates_by_grouping_sets(spark):
+    rows = spark.createDataFrame([(i, "train" if i % 4 else "test") for i in range(40)], "id bigint, split string")
+    probs = spark.createDataFrame([(i, k, ((i * 7) % 10) / 10) for i in range(40) for k in ("a", "b") if k == "a" or i % 2],
+                                  "row_id bigint, label string, p double")
+    got = {(r["split"], r["label"]): (r["n_judged"], r["n_positive"]) for r in sp.split_rates(rows, probs, row_id="id").collect()}
+    want = {}
+    for i in range(40):
+        for k in ("a", "b"):
+            if k == "a" or i % 2:
+                for key in (("train" if i % 4 else "test", k), (None, k), ("train" if i % 4 else "test", None)):
+                    n, p = want.get(key, (0, 0))
+                    want[key] = (n + 1, p + (((i * 7) % 10) / 10 >= 0.5))
+    assert got == want
