@@ -14,7 +14,8 @@ so a task's memory is bounded; every block of the stated query set meets every s
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
 vectors of different lengths never meet; rows that repeat a vec_id are candidates of their own
 but never of a query with that vec_id, which is asked once (its least vector); ties go to the
-smaller id; an empty table gives no rows.
+smaller id; components beyond 2^62 count as 2^62 and scores beyond the range of a long as its ends (in
+the order too); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,47 +31,60 @@ from pyspark.sql.window import Window
 from corpusforge.llm.common import materialise
 
 SCALE = 64
+_FAR = 2.0 ** 62                    # components beyond count as this
+_MOST = 2 ** 63 - 1                 # scores beyond the range of a long count as its ends
 
 
 def quantise(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``(vec_id, v)`` with ``floor(scale * x)`` per component as int; unusable vectors are left out."""
+    """``(vec_id, v)`` with ``floor(scale * x)`` per component as long; unusable vectors are left out."""
     x = F.col("embedding")
     ok = x.isNotNull() & (F.size(x) > 0) & F.col("vec_id").isNotNull() & F.forall(
         x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     return embeddings.where(F.coalesce(ok, F.lit(False))).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e.cast("double")).cast("int")).alias("v"))
+        F.transform(x, lambda e: F.floor(F.greatest(F.lit(-_FAR), F.least(F.lit(_FAR), F.lit(float(scale)) * e.cast("double"))))
+                    .cast("long")).alias("v"))
+
 
 
 def _pack(df: DataFrame, key: str) -> DataFrame:
-    """One row a block: ids and the vectors as one int32 matrix."""
+    """One row a block: ids and the vectors as one matrix, of int32 where all components fit."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "dim": [len(pdf["v"].iloc[0])],
-                             "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
-                             "m": [np.stack(pdf["v"].to_numpy()).astype(np.int32).tobytes()]})
+        m = np.stack(pdf["v"].to_numpy()).astype(np.int64)
+        if -2 ** 31 <= m.min() and m.max() < 2 ** 31:
+            m = m.astype(np.int32)
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "dim": [m.shape[1]],
+                             "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "m": [m.tobytes()]})
     return df.groupBy(key, "dim").applyInPandas(
         lambda pdf: run(pdf.drop(columns="dim")), f"{key} int, dim int, ids binary, m binary")
 
 
+def _matrix(ids: bytes, m: bytes, dim: int) -> np.ndarray:
+    """The matrix that :func:`_pack` packed for ``ids``."""
+    return np.frombuffer(m, np.int32 if len(m) * 2 == len(ids) * dim else np.int64).reshape(-1, dim)
+
+
 def search_shard(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, probe: int = 8):
     """Top ``k`` of one shard for every query: arrays ``(query_id, vec_id, score)``."""
-    lo, hi = c.min(0).astype(np.int64), c.max(0).astype(np.int64)
-    largest = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * c.shape[1]
-    # sums of integer products are exact in a float type up to its mantissa, else use integers
-    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 53 else np.int64
+    largest = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0)) * c.shape[1]
+    # sums of integer products are exact in a float type up to its mantissa, else use integers, and
+    # Python's beyond 64 bits
+    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 53 else np.int64 if largest < 2 ** 61 else object
+    whole = object if kind is object else np.int64
+    lo, hi = c.min(0).astype(whole), c.max(0).astype(whole)
     postings = np.ascontiguousarray(c.T.astype(kind))
     first = np.linspace(0, len(cid) - 1, num=min(len(cid), 16 * (k + 1))).astype(int)
     out: list[tuple] = []
     for i in range(len(qid)):
-        w = q[i].astype(np.int64)
+        w = q[i].astype(whole)
         low, high = np.minimum(w * lo, w * hi), np.maximum(w * lo, w * hi)
         alive = np.flatnonzero(cid != qid[i])
         some = first[cid[first] != qid[i]]
         theta = None                                  # a score that k candidates reach
         if len(some) >= k:
             s = w.astype(kind) @ postings[:, some]
-            theta = int(np.partition(s, -k)[-k])
+            theta = min(_MOST, int(np.partition(s, -k)[-k]))
         order = np.argsort(high - low, kind="stable")  # least bound first
         lift = np.cumsum((high - low)[order])
         cut = 0 if theta is None else int(np.searchsorted(lift, theta - int(low.sum()), side="left"))
@@ -80,14 +94,14 @@ def search_shard(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
             todo = rest[step:]
             if len(score) > k:                        # k candidates are sure of their lower bound
                 sure = int(np.partition(score, -k)[-k]) + int(low[todo].sum())
-                theta = sure if theta is None else max(theta, sure)
+                theta = min(_MOST, sure if theta is None else max(theta, sure))
             if theta is not None:                     # who can still reach the k-th score
-                keep = score + int(high[todo].sum()) >= theta
+                keep = np.asarray(score + int(high[todo].sum()) >= theta, bool)
                 alive, score = alive[keep], score[keep]
             d = todo[:probe]
             if len(d):
                 score = score + w[d].astype(kind) @ postings[d][:, alive]
-        s = score.astype(np.int64)
+        s = (np.array([max(-_MOST, min(_MOST, int(x))) for x in score], np.int64) if kind is object else score.astype(np.int64))
         top = np.lexsort((cid[alive], -s))[:k]
         out.append((np.full(len(top), qid[i], np.int64), cid[alive[top]], s[top]))
     if not out:
@@ -115,8 +129,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             for r in pdf.itertuples():
-                a = search_shard(np.frombuffer(r.qids, np.int64), np.frombuffer(r.qm, np.int32).reshape(-1, r.dim),
-                                 np.frombuffer(r.ids, np.int64), np.frombuffer(r.m, np.int32).reshape(-1, r.dim), k)
+                a = search_shard(np.frombuffer(r.qids, np.int64), _matrix(r.qids, r.qm, r.dim),
+                                 np.frombuffer(r.ids, np.int64), _matrix(r.ids, r.m, r.dim), k)
                 yield pd.DataFrame({"query_id": a[0], "vec_id": a[1], "score": a[2]})
 
     tasks = min(4096, shards * blocks)

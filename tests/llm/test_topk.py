@@ -44,3 +44,18 @@ def test_large_values_stay_exact():
     q, cand, s = tk.search_shard(np.array([3]), c[3:4], np.arange(200), c, 5)
     exact = sorted((-int((c[3].astype(object) * c[j].astype(object)).sum()), j) for j in range(200) if j != 3)[:5]
     assert [(-int(a), int(b)) for a, b in zip(s, cand)] == exact
+
+
+@pytest.mark.parametrize("large", [1e9, 3e17, 3.4028234663852886e38])
+def test_finite_components_of_any_size(spark, large):
+    rng = random.Random(4)
+    rows = [(i, [float(np.float32(rng.choice([large, -large, 1.5, -0.25, 0.0, large / 3]))) for _ in range(4)], 0) for i in range(60)]
+    vectors = tk.quantise(_table(spark, rows))
+    got = sorted(tuple(r) for r in tk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 7, 16, 2).collect())
+    far = 2 ** 62
+    usable = {i: [max(-far, min(far, math.floor(64 * x))) for x in v] for i, v, _ in rows}
+    want = []
+    for q in (0, 20, 40):
+        score = {c: max(-tk._MOST, min(tk._MOST, sum(a * b for a, b in zip(usable[q], v)))) for c, v in usable.items() if c != q}
+        want += [(q, rank, c, score[c]) for rank, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:7], 1)]
+    assert got == sorted(want)
