@@ -184,7 +184,7 @@ def q_word_tokens(spark, sf_dir):
 @register("shingles_word", f"""WITH {S.shingles_cte('sw', 'documents', 'doc_id', 'text').strip()}
 SELECT id AS doc_id, unnest(s) AS shingle FROM sw""")
 def q_shingles_word(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     return dd.with_shingles(docs, F.col("text"), "s", 5).select("doc_id", F.explode_outer("s").alias("shingle"))
 
 
@@ -192,7 +192,7 @@ def q_shingles_word(spark, sf_dir):
 SELECT id AS doc_id, len(s) AS n_shingles, list_min(s) AS first_shingle, list_max(s) AS last_shingle,
        md5(array_to_string(list_sort(s), '|')) AS shingles_md5 FROM sc""")
 def q_shingles_char(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     return dd.with_shingles(docs, F.col("text"), "s", 5, "char").select(
         "doc_id", F.size("s").cast("bigint").alias("n_shingles"), F.array_min("s").alias("first_shingle"),
         F.array_max("s").alias("last_shingle"), F.md5(F.array_join(F.array_sort("s"), "|")).alias("shingles_md5"))
@@ -201,7 +201,7 @@ def q_shingles_char(spark, sf_dir):
 @register("minhash_signature", f"""WITH {S.minhash_ctes('documents', 'doc_id', 'text').strip()}
 SELECT id AS doc_id, perm::BIGINT AS perm, mh AS minhash FROM mh_sig""")
 def q_minhash_signature(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     sig = dd.signatures(docs, "doc_id", F.col("text"))
     return sig.select("doc_id", F.posexplode_outer("sig").alias("perm", "minhash")).select(
         "doc_id", F.col("perm").cast("bigint").alias("perm"), "minhash")
@@ -211,7 +211,7 @@ def q_minhash_signature(spark, sf_dir):
 {S.lsh_member_ctes().strip()}
 SELECT band::BIGINT AS band, first, node FROM mh_mem""")
 def q_lsh_buckets(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     b, r = dd.lsh_params(0.9, 128)
     mem = dd.lsh_membership(dd.signatures(docs, "doc_id", F.col("text")), "doc_id", b, r)
     return mem.select(F.col("band").cast("bigint").alias("band"), "first", "node")
@@ -225,7 +225,7 @@ _DEDUP_SQL = f"""WITH RECURSIVE {S.minhash_ctes('documents', 'doc_id', 'text').s
 @register("dedup_keep_first", _DEDUP_SQL + """
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_dropped)""")
 def q_dedup_keep_first(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     return dd.deduplicate(docs, "doc_id").select("doc_id")
 
 
@@ -239,7 +239,7 @@ VERIFIED = 0.7
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_vdropped)""")
 def q_dedup_verified(spark, sf_dir):
     """Bucket members are dropped only where the whole shingle sets are similar."""
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     return dd.deduplicate(docs, "doc_id", threshold=VERIFIED, verify=True).select("doc_id")
 
 
@@ -247,7 +247,7 @@ def q_dedup_verified(spark, sf_dir):
 SELECT count(*) AS total, count(*) - (SELECT count(*) FROM mh_dropped) AS "unique",
        (SELECT count(*) FROM mh_dropped) AS duplicates FROM documents""")
 def q_dedup_stats(spark, sf_dir):
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     _, dropped = dd.deduplicate(docs, "doc_id", return_dropped=True)
     return dd.dedup_stats(docs, "doc_id", dropped)
 
@@ -261,7 +261,7 @@ SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_dropped)""
 @register("dedup_nested_text", _NESTED_SQL)
 def q_dedup_nested_text(spark, sf_dir):
     """D1, ``generated.text``: rows without a text of their own."""
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     rows = docs.select("doc_id", F.struct(F.concat_ws(" ", "text", "lang").alias("text"), "source").alias("generated"))
     return dd.deduplicate(rows, "doc_id").select("doc_id")
 
@@ -275,7 +275,7 @@ _WHOLE_ROW = """'{"doc_id":' || doc_id || ',"body":' || to_json(text) || ',"lang
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT node FROM mh_dropped)""")
 def q_dedup_whole_row(spark, sf_dir):
     """D1, rows without any text: the JSON of the whole row."""
-    docs = tb.load(spark, sf_dir, "documents")
+    docs = tb.documents(spark, sf_dir)
     return dd.deduplicate(docs.select("doc_id", F.col("text").alias("body"), "lang"), "doc_id").select("doc_id")
 
 

@@ -167,13 +167,14 @@ def verified_keep_first_ctes(src: str, id_col: str, text_expr: str, threshold: f
     """CTE ``{prefix}_vdropped(node)``: keep-first over pairs that share a bucket and whose whole
     shingle sets are similar (no rounds: all pairs of a bucket, then a walk in order)."""
     sets = shingles_cte(f"{prefix}_vs", src, id_col, text_expr, where="t IS NOT NULL AND length(t) > 0").strip()
+    sets = sets.replace(f"{prefix}_vs AS (SELECT", f"{prefix}_vs AS MATERIALIZED (SELECT")
     return f"""
 {sets},
-{prefix}_vp AS (SELECT DISTINCT a.node AS a, b.node AS b FROM {prefix}_mem a JOIN {prefix}_mem b
+{prefix}_vp AS MATERIALIZED (SELECT DISTINCT a.node AS a, b.node AS b FROM {prefix}_mem a JOIN {prefix}_mem b
                 ON a.band = b.band AND a.first = b.first AND a.node < b.node),
-{prefix}_vi AS (SELECT a, b, len(list_intersect(x.s, y.s)) AS i, len(x.s) AS n, len(y.s) AS m
+{prefix}_vi AS MATERIALIZED (SELECT a, b, len(list_intersect(x.s, y.s)) AS i, len(x.s) AS n, len(y.s) AS m
                 FROM {prefix}_vp JOIN {prefix}_vs x ON x.id = a JOIN {prefix}_vs y ON y.id = b),
-{prefix}_ve AS (SELECT b AS node, list(a) AS earlier, row_number() OVER (ORDER BY b) AS rn FROM {prefix}_vi
+{prefix}_ve AS MATERIALIZED (SELECT b AS node, list(a) AS earlier, row_number() OVER (ORDER BY b) AS rn FROM {prefix}_vi
                 WHERE i::DOUBLE / (n + m - i) >= {threshold!r}::DOUBLE GROUP BY b),
 {prefix}_vwalk AS (
   SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped

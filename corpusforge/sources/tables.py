@@ -41,10 +41,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents``, spread over the cores where it has fewer files than there are cores: for
+    queries with much work a row."""
+    from corpusforge.operators.dedup import spread
+    return spread(load(spark, sf_dir, "documents"), "doc_id")
+
+
 def noisy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with the fixed noise added: ``(doc_id, text, lang, source)``."""
-    from corpusforge.operators.dedup import spread
-    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
+    docs = documents(spark, sf_dir)
     k = (F.col("doc_id") % len(NOISE_PREFIXES) + 1).cast("int")
     pre = F.element_at(F.array(*[F.lit(x) for x in NOISE_PREFIXES]), k)
     suf = F.element_at(F.array(*[F.lit(x) for x in NOISE_SUFFIXES]), k)
