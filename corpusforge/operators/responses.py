@@ -99,7 +99,8 @@ def first_valid_with_backup(responses: DataFrame, valid: Column, *, retry_limit:
 
 # R4 -------------------------------------------------------------------------------------
 def apply_failure_policy(requests: DataFrame, chosen: DataFrame, on: str, policy: str = "drop") -> DataFrame:
-    """``drop``: failed requests vanish; ``null``: kept with NULL answer; ``fail``: raise."""
+    """``drop``: failed requests vanish; ``null``: kept with NULL answer; ``fail``: look first and raise;
+    ``fail_in_plan``: no look first, the join itself raises when it meets a failed request."""
     if policy == "drop":
         return requests.join(chosen, on)
     if policy == "null":
@@ -108,6 +109,12 @@ def apply_failure_policy(requests: DataFrame, chosen: DataFrame, on: str, policy
         if not requests.join(chosen, on, "left_anti").isEmpty():
             raise RuntimeError("generation failed for at least one request")
         return requests.join(chosen, on)
+    if policy == "fail_in_plan":
+        answers = [c for c in chosen.columns if c != on]
+        both = requests.join(chosen.select(on, F.struct(F.lit(0).alias("_"), *answers).alias("_answer")), on, "left")
+        lost = F.when(F.col("_answer").isNull(), F.raise_error(F.lit("generation failed for at least one request")).cast("int")).otherwise(0)
+        # the answers depend on the check, so no plan can leave it out
+        return both.select(*requests.columns, *[F.when(lost == 0, F.col(f"_answer.`{c}`")).alias(c) for c in answers])
     raise ValueError(f"unknown failure policy {policy!r}")
 
 

@@ -35,8 +35,10 @@ def hard_labels(probs: DataFrame, labels: list[str], *, id_col: str = "row_id",
 
 
 # T4 -------------------------------------------------------------------------------------
-def detect_labels(probs: DataFrame, id_col: str = "row_id") -> list[str]:
-    """Label keys of the first row (smallest id) - the original auto-detection."""
+def detect_labels(probs: DataFrame, id_col: str = "row_id", every: bool = False) -> list[str]:
+    """Label keys of the first row (smallest id) - the original auto-detection - or of all rows (``every``)."""
+    if every:                                             # as many rows as labels
+        return sorted(r[0] for r in probs.where("label is not null").select("label").distinct().collect())
     first = probs.agg(F.min(id_col)).first()[0]
     if first is None:
         return []

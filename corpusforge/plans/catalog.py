@@ -677,6 +677,14 @@ def q_triage_detect_labels(spark, sf_dir):
     return probs.filter(F.col("label").isin(labels)).select("label").distinct()
 
 
+@register("triage_distinct_labels", f"""WITH {PROBS}
+SELECT label, count(*) AS n FROM probs WHERE NOT (label = 'toxic' AND row_id < 100) GROUP BY label""")
+def q_triage_distinct_labels(spark, sf_dir):
+    """T4 over all rows: the first ones lack a label that later ones have."""
+    probs = tb.label_probs(spark, sf_dir).where("not (label = 'toxic' and row_id < 100)")
+    return probs.filter(F.col("label").isin(tr.detect_labels(probs, every=True))).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- P: pairwise resolution -----------------------------------------------------------------
 from corpusforge.operators import pairwise as pw  # noqa: E402
 

@@ -41,14 +41,14 @@ def get_spark(master: str | None = None, app: str = "corpusforge",
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()                          # applications that have the package
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``corpusforge`` importable by the Python workers (Arrow UDFs, mapInPandas pickle
     module-level functions by reference): zip the package once and ``addPyFile`` it."""
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     import shutil

@@ -218,3 +218,9 @@ def test_asof_backward(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     want = {i: max((t for kk, t in right if kk == k and x is not None and t <= x), default=None) for i, k, x in left}
     assert got == want
+
+
+def test_labels_of_all_rows(spark):
+    probs = spark.createDataFrame([(1, "a", 0.1), (2, "b", 0.2), (3, None, 0.5)], "row_id bigint, label string, p double")
+    assert tr.detect_labels(probs) == ["a"] and tr.detect_labels(probs, every=True) == ["a", "b"]
+    assert tr.detect_labels(probs.limit(0), every=True) == []

@@ -112,3 +112,13 @@ def test_violations_agree_with_validity_and_name_the_place(spark):
     assert counts[("$.c[*].k", "enum")] == (1, 1) and counts[("$.a", "type")] == (1, 1)
     rows.collect()
     assert seen.get == {"total": len(cases), "valid": 2, "invalid": len(cases) - 2}
+
+
+def test_failure_raised_by_the_plan(spark):
+    from corpusforge.operators import responses as rs
+    req = spark.createDataFrame([(1,), (2,)], "request_id bigint")
+    chosen = spark.createDataFrame([(1, "a"), (2, None)], "request_id bigint, raw string")
+    got = rs.apply_failure_policy(req, chosen, "request_id", "fail_in_plan").collect()
+    assert sorted((r["request_id"], r["raw"]) for r in got) == [(1, "a"), (2, None)]
+    with pytest.raises(Exception, match="generation failed"):
+        rs.apply_failure_policy(req, chosen.where("request_id = 1"), "request_id", "fail_in_plan").select("raw").collect()
