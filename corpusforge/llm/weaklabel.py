@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions.hashing import hash48
 from corpusforge.llm.common import materialise
 
-LABELLERS = ("symbols", "capitals", "separators", "repeats", "variety", "shouting", "plain", "flow", "letters")
+LABELLERS = ("symbols", "capitals", "separators", "repeats", "variety", "shouting", "plain", "flow", "letters", "again")
 FEATURE_BITS = 12
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -35,17 +35,37 @@ _ODD = np.zeros(256, bool)
 _ODD[[ord(c) for c in "#$%&*<>=@\\^_{}|~+"]] = True
 
 
+def block_variety(items: list, size: int) -> float:
+    """Share of distinct items within consecutive blocks of ``size``, over all blocks."""
+    return sum(len(set(items[i:i + size])) for i in range(0, len(items), size)) / max(1, len(items))
+
+
+def seen_before(words: list[str], run: int = 5) -> float:
+    """Share of the runs of five words that occurred before in the text."""
+    if len(words) <= run:
+        return 0.0
+    number: dict[str, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint64, len(words))
+    n = len(words) - run + 1
+    key = np.zeros(n, np.uint64)
+    for i in range(run):
+        key = (key ^ (ids[i:i + n] + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return 1 - len(np.unique(key)) / n
+
+
 def votes(text: str) -> list[int]:
     """One vote a labeller, in the order of :data:`LABELLERS`.
 
-    The first six know one kind of junk each and otherwise abstain; the last three judge the
-    text as a whole and may vote either way.
+    The first six and the last know one kind of junk each and otherwise abstain; the others judge
+    the text as a whole and may vote either way.  Variety and flow are means over all blocks of a
+    text and ``again`` looks at the whole of it, so no measure depends on the length as such.
     """
     raw = np.frombuffer(text.encode(), np.uint8)
     n = len(raw)
     words = text.split()
     if not words:
-        return [-1, -1, -1, -1, -1, -1, 0, -1, 0]
+        return [-1, -1, -1, -1, -1, -1, 0, -1, 0, -1]
     count = np.bincount(raw, minlength=256)
     lower, upper, odd = int(count[_LOWER].sum()), int(count[_UPPER].sum()), int(count[_ODD].sum())
     letters, m = lower + upper + int(count[128:].sum()), len(words)
@@ -54,7 +74,7 @@ def votes(text: str) -> list[int]:
     lone = sum(1 for w in words if not w[-1].isalnum() and not w[0].isalnum())
     plain = sum(1 for w in words if w.rstrip(".,;:?!\"')").isalpha() and (w.islower() or w[1:].islower() or len(w) == 1)
                 and not w.endswith("!!"))
-    flow = len(set(pairs)) / max(1, min(len(pairs), 400))
+    flow = block_variety(pairs, 400)
 
     def bad(x: bool) -> int:
         return 0 if x else -1
@@ -66,16 +86,18 @@ def votes(text: str) -> list[int]:
         bad(m >= 3 and upper > 0.5 * (lower + upper)),
         bad(lone > 0.15 * m),
         bad(m >= 8 and same > 0.3 * m),
-        bad(m >= 30 and len(set(words)) < 0.25 * min(m, 200)),
+        bad(m >= 30 and block_variety(words, 200) < 0.25),
         bad(int(count[33]) > 0.3 * m),
         either(plain < 0.6 * m, plain > 0.85 * m),
         either(m >= 12 and flow < 0.4, m >= 12 and flow > 0.6),
         either(letters < 0.55 * n, letters > 0.7 * n),
+        bad(m >= 30 and seen_before(words) > 0.5),
     ]
 
 
 def features(text: str, bits: int = FEATURE_BITS) -> np.ndarray:
-    """Hashed feature vector: square roots of the shares of byte pairs and repetition events."""
+    """Hashed feature vector: square roots of the shares of byte pairs and repetition events, of the
+    whole text at any length."""
     size = 1 << bits
     raw = np.frombuffer(text.encode(), np.uint8).astype(np.uint32)
     if len(raw) < 2:
@@ -87,7 +109,8 @@ def features(text: str, bits: int = FEATURE_BITS) -> np.ndarray:
         same = sum(map(str.__eq__, words[1:], words[:-1])) / (len(words) - 1)
         x[size - 1 - int(round(15 * same))] += same
         x[0] += same
-        x[1] += len(set(words)) / len(words) if len(words) < 200 else 0.5
+        x[1] += block_variety(words, 200)
+        x[2] += seen_before(words)
     return np.sqrt(x)
 
 

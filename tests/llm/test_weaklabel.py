@@ -48,3 +48,17 @@ def test_votes_and_features_of_odd_texts():
         assert len(wl.votes(t)) == len(wl.LABELLERS) and set(wl.votes(t)) <= {-1, 0, 1}
         x = wl.features(t)
         assert x.shape == (1 << wl.FEATURE_BITS,) and np.isfinite(x).all()
+
+
+def test_long_repetition_differs_from_its_passage():
+    """A passage repeated 50 times gets other votes and features; a text of 50 passages doesn't."""
+    rng = random.Random(8)
+    passage = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)) + ". "
+    one = passage()
+    again, many = one * 50, "".join(passage() for _ in range(50))
+    at = wl.LABELLERS.index("again")
+    assert wl.votes(one)[at] == wl.votes(many)[at] == -1 and wl.votes(again)[at] == 0
+    assert abs(wl.features(again) - wl.features(one)).max() > 0.5 > 0.1 > abs(wl.features(many) - wl.features(one)).max()
+    assert wl.seen_before(one.split()) == 0 and abs(wl.seen_before(again.split()) - 0.98) < 0.005
+    few = ("one two three four " * 500).split()
+    assert abs(wl.block_variety(few, 200) - 0.02) < 1e-9 and wl.block_variety([], 200) == 0
