@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -167,6 +168,60 @@ def merge_components(comp: DataFrame, links: DataFrame) -> DataFrame:
     return base.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
 
 
+PIVOT_ROUNDS, PAIRS_A_PLACE, STALE_ROUNDS = 4, 8, 2
+
+
+def pivot_rounds(places: DataFrame, comp: DataFrame, refine: Callable[[int, DataFrame], DataFrame],
+                 choose: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame], rounds: int = PIVOT_ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Merge components by one pivot a key and round, until few pairs are left to test.
+
+    ``places(key, node)`` are the candidates' keys, ``comp(node, component)`` the components so far.
+    The pairs that a join of the places would make between components are counted beforehand from
+    the counts of (key, component).  While there are more than ``PAIRS_A_PLACE`` a place, the nodes
+    of a key are parted by ``refine``: ``(node, sub, rank)`` of round r for the given nodes, ``sub``
+    being a value that similar nodes are likely to agree in.  The least ``rank`` of a part is its
+    pivot (ties by a hash of round and node, so that neighbouring keys agree on theirs), and every
+    node of another component is tested against one of its parts' pivots: ``choose`` reduces
+    ``(a, b, w)`` (pivot, node, keys shared) to one pivot a node, ``verify`` keeps those that link.  A round is linear in the places.  The rounds end early where ``STALE_ROUNDS`` in
+    succession merge less than a fiftieth of the components that are left; what then remains goes to
+    the caller.
+
+    Returns ``(key, node, c)`` for the keys with nodes of several components, the components, and
+    the pairs ``(a, b)`` tested here, or None.
+    """
+    tested, before, stale = None, None, 0
+    for r in range(rounds + 1):
+        cur = materialise(places.join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
+        mixed = materialise(cur.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.sum("n").alias("t"), F.sum(F.col("n").cast("double") * F.col("n")).alias("q"), F.count("*").alias("k")).where("k > 1"))
+        pairs, size = mixed.agg(F.sum((F.col("t").cast("double") * F.col("t") - F.col("q")) / 2), F.sum("t")).head()
+        open_ = materialise(cur.join(mixed.select("key"), "key"))
+        discard(cur), discard(mixed)
+        if r == rounds or (pairs or 0) <= PAIRS_A_PLACE * (size or 0):
+            return open_, comp, tested
+        left = open_.agg(F.count_distinct("c")).head()[0]
+        stale = stale + 1 if before is not None and left > 0.98 * before else 0
+        if stale == STALE_ROUNDS:
+            return open_, comp, tested
+        before = left
+        parts = materialise(open_.join(refine(r, open_.select("node").distinct()), "node"))
+        pivot = materialise(parts.groupBy("key", "sub").agg(
+            F.min(F.struct("rank", F.xxhash64(F.lit(r), "node"), "node", "c")).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+            .where("lo < hi").select("key", "sub", F.col("p.node").alias("a"), F.col("p.c").alias("ca")))
+        met = parts.withColumnRenamed("node", "b").join(pivot, ["key", "sub"]).where("c != ca").groupBy("a", "b").agg(
+            F.count("*").alias("w"))
+        chosen = materialise(choose(met).select("a", "b"))
+        discard(open_), discard(parts), discard(pivot)
+        tested = chosen if tested is None else tested.unionByName(chosen)
+        comp = materialise(merge_components(comp, verify(chosen)))
+
+
+def size_part(n: Column, r: int, percent: int) -> Column:
+    """Number of the range of sizes that holds ``n``: twice as wide as sizes of linked sets can differ,
+    its ends moved from round to round."""
+    return F.floor(F.log(n) / (2 * math.log(100 / percent)) + (r * 0.618034) % 1).cast("long")
+
+
 def _are_stars(links: DataFrame) -> bool:
     """Whether every ``u`` hangs on one ``v`` that hangs on nothing itself; ``v < u`` throughout."""
     ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
