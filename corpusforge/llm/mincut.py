@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -26,10 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_QUOTED_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_QUOTES = re.compile(r"\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)", re.S)
 _ATTR = re.compile(r"""([a-zA-Z_:@][-\w:.@]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -40,6 +40,7 @@ _BLOCK = frozenset("address article aside blockquote body caption center dd deta
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
                    "nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 _CLOSES_P = _BLOCK - frozenset("body head html caption td th tr tbody thead tfoot option optgroup legend".split())
+_P_SCOPE = frozenset("p table td th caption".split())
 _CLOSED_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
               "tr": ("tr", ("table",)), "td": ("td th", ("table", "tr")), "th": ("td th", ("table", "tr")),
               "option": ("option", ("select",))}
@@ -57,11 +58,17 @@ _BAD_ROLES = frozenset("navigation banner contentinfo complementary search form
 
 
 class _Element:
-    __slots__ = ("tag", "number", "bad", "good", "link", "comment", "soft", "holds_main")
+    """An open element.  ``holder``: the nearest block element, itself included; ``near_p``: likewise the
+    nearest paragraph or table part; ``bad``: likewise the nearest boilerplate region, a chain by ``bad_up``."""
+    __slots__ = ("tag", "number", "up", "holder", "near_p", "bad", "bad_up", "good", "link", "comment", "soft", "holds_main", "hard")
 
     def __init__(self, tag: str, number: int, up: "_Element | None"):
-        self.tag, self.number = tag, number
-        self.bad: list[_Element] = up.bad if up else []
+        self.tag, self.number, self.up = tag, number, up
+        self.holder: _Element = self if up is None or tag in _BLOCK else up.holder
+        self.near_p: _Element | None = self if tag in _P_SCOPE else up.near_p if up else None
+        self.bad: _Element | None = up.bad if up else None
+        self.bad_up: _Element | None = None
+        self.hard: bool | None = None
         self.good = up.good if up else 0
         self.link = (up.link if up else False) or tag == "a"
         self.comment = self.soft = self.holds_main = False
@@ -75,7 +82,7 @@ class _Block:
         self.tag, self.parent, self.bad, self.good = tag, parent, bad, good
 
 
-def _cues(e: _Element, attrs: str, stack: list[_Element]) -> bool:
+def _cues(e: _Element, attrs: str) -> bool:
     """Mark the element's region; True if its content is never shown."""
     bad = e.tag in _REGION
     if e.tag in _CONTENT_TAGS:
@@ -101,13 +108,60 @@ def _cues(e: _Element, attrs: str, stack: list[_Element]) -> bool:
             elif words & _GOOD_WORDS:
                 e.good += 1
     if bad:
-        e.bad = e.bad + [e]
+        e.bad_up, e.bad = e.bad, e
     if (e.tag in _CONTENT_TAGS or e.tag == "h1") and not bad:
-        for x in stack:
+        x = e.up
+        while x is not None and not x.holds_main:           # what is above a marked element is marked
             x.holds_main = True
+            x = x.up
     return False
 
 
+def _is_hard(x: _Element | None) -> bool:
+    """Whether a region around is boilerplate whatever it holds; kept at the elements, once a page is read."""
+    chain = []
+    while x is not None and x.hard is None:
+        chain.append(x)
+        x = x.bad_up
+    hard = x.hard if x is not None else False
+    for x in reversed(chain):
+        hard = x.hard = hard or not (x.soft and x.holds_main) or x.comment
+    return hard
+
+
+class _Tags:
+    """The markup of a page from left to right, each character read a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.end = page, page.rfind(">") + 1     # no tag ends behind the last >
+        self.starts: list[int] = []                         # quoted spans behind the last tag whose quotes don't close
+        self.ends: list[int] = []
+        self.since = self.upto = -1
+
+    def next(self, at: int) -> re.Match | None:
+        m = _MARKUP.search(self.page, at, self.end) if at < self.end else None
+        if m is None or not m[2] or not ('"' in m[0] or "'" in m[0]):
+            return m
+        begin = m.end(2)
+        if self._fails(begin):
+            return m
+        quoted = _QUOTED_TAG.match(self.page, m.start(), self.end)
+        if quoted is None:
+            spans = [q.span() for q in _QUOTES.finditer(self.page, begin, self.end)]
+            self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+            self.since, self.upto = begin, self.end
+            if spans and spans[-1][1] == self.end:          # the last one may never close
+                self.upto = spans[-1][0]
+        return quoted or m
+
+    def _fails(self, at: int) -> bool:
+        """Whether a scan from ``at`` meets the last failed one outside quotes, and so fails too."""
+        if not self.since <= at < self.upto:
+            return False
+        i = bisect_right(self.starts, at) - 1
+        return i < 0 or at >= self.ends[i] or at == self.starts[i]
+
+
 def read_blocks(page: str) -> list[_Block]:
     """Text blocks of a page in order, with the cues of the elements around them."""
     blocks: list[_Block] = []
@@ -122,40 +176,50 @@ def read_blocks(page: str) -> list[_Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                holder = next(x for x in reversed(stack) if x.tag in _BLOCK or not x.tag)
-                up = stack[stack.index(holder) - 1] if holder.tag else holder
-                blocks.append(_Block(text, min(linked, len(text)), holder.tag, up.number, holder.bad, holder.good))
+                holder = stack[-1].holder
+                blocks.append(_Block(text, min(linked, len(text)), holder.tag, (holder.up or holder).number, holder.bad,
+                                     holder.good))
         pieces, linked = [], 0
 
-    def close(upto: int) -> None:
-        for x in stack[upto:]:
-            opened[x.tag] -= 1
-        del stack[upto:]
-
-    while at < n:
-        m = _MARKUP.search(page, at)
-        text = page[at:m.start()] if m else page[at:]
+    def add(text: str) -> None:
+        nonlocal linked
         if text:
             if "&" in text:
                 text = _html.unescape(text)
             pieces.append(text)
             if stack[-1].link:
                 linked += len(text.strip())
-        if not m:
+
+    def close(tag: str) -> None:
+        while True:
+            x = stack.pop()
+            opened[x.tag] -= 1
+            if x.tag == tag:
+                return
+
+    tags = _Tags(page)
+    while at < n:
+        m = tags.next(at)
+        if not m:                                           # no tag follows; comments and CDATA may
+            for part in page[at:].split("<!--", 1)[0].split("<![CDATA["):
+                add(part)
             break
+        add(page[at:m.start()])
         at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = n                                      # never closed
             continue
-        if m[1] or m[4]:                                    # an end tag
+        if m[1]:                                            # an end tag
             if tag in _BLOCK:
                 flush()
             if tag == "br":
                 pieces.append(" ")
             elif opened.get(tag, 0):
-                close(max(i for i, x in enumerate(stack) if x.tag == tag))
+                close(tag)
             continue
-        attrs = m[3] if m[2] else m[6]
+        attrs = m[3]
         if tag in _BLOCK:
             flush()
         if tag == "br":
@@ -169,26 +233,23 @@ def read_blocks(page: str) -> list[_Block]:
                 at = end.end() if end else n
             continue
         if tag in _CLOSES_P and opened.get("p", 0):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in ("table", "td", "th", "caption"):
-                    break
+            if stack[-1].near_p is not None and stack[-1].near_p.tag == "p":
+                close("p")
         elif tag in _CLOSED_BY:
             like, stop = _CLOSED_BY[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in like.split():
-                    close(i)
+            like = [x for x in like.split() if opened.get(x, 0)]
+            for x in reversed(stack) if like else ():
+                if x.tag in like:
+                    close(x.tag)
                     break
-                if stack[i].tag in stop:
+                if x.tag in stop:
                     break
         elif tag == "body" and opened.get("head", 0):
-            close(max(i for i, x in enumerate(stack) if x.tag == "head"))
+            close("head")
         number += 1
         e = _Element(tag, number, stack[-1])
-        if _cues(e, attrs, stack):                          # never shown: jump behind its end tag
-            at = _behind(page, at, tag)
+        if _cues(e, attrs):                          # never shown: jump behind its end tag
+            at = _behind(page, at, tags.end, tag)
             continue
         if not attrs.endswith("/") or tag in _BLOCK:
             stack.append(e)
@@ -197,9 +258,9 @@ def read_blocks(page: str) -> list[_Block]:
     return blocks
 
 
-def _behind(page: str, at: int, tag: str) -> int:
+def _behind(page: str, at: int, end: int, tag: str) -> int:
     depth = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at, end):
         depth += -1 if m[1] else 1
         if not depth:
             return m.end()
@@ -209,7 +270,7 @@ def _behind(page: str, at: int, tag: str) -> int:
 def score(b: _Block) -> int:
     """Content minus boilerplate evidence of one block, in units of the smoothness arcs."""
     s = -3
-    if any(not (x.soft and x.holds_main) or x.comment for x in b.bad):
+    if _is_hard(b.bad):
         s -= 24
     s += 9 * min(b.good, 2)
     words = b.text.count(" ") + 1
@@ -233,10 +294,10 @@ def smoothness(blocks: list[_Block]) -> list[tuple[int, int, int]]:
     """Arcs ``(i, j, capacity)``: page neighbours, and neighbours among the blocks of one container."""
     arcs, last = [], {}
     for i, b in enumerate(blocks):
-        region = b.bad[-1].number if b.bad else 0
+        region = b.bad.number if b.bad else 0
         if i:
             a = blocks[i - 1]
-            if region == (a.bad[-1].number if a.bad else 0):
+            if region == (a.bad.number if a.bad else 0):
                 arcs.append((i - 1, i, 3 if a.parent == b.parent else 1))
         j = last.get((b.parent, region))
         if j is not None and j != i - 1:

@@ -60,3 +60,22 @@ def test_query_columns_nulls_and_clashes(spark):
     assert sorted((str(r["page_id"]), r["n_chars"]) for r in rows) == [("1", n), ("1", n), ("2", 0), ("None", 0)]
     assert all(r["n_chars"] == len(r["text"]) for r in rows)
     assert mc.extract(df.limit(0)).count() == 0
+
+
+def test_long_broken_pages_take_linear_time():
+    """One megabyte of every pattern; each took minutes to hours where tags or parents were searched anew."""
+    import time
+    for x in ("<a ", "<div>", "<nav>", '<a "> "', "<p><b>", "<div hidden ", "<!x ", "<a 'x>", "<div>x", "<nav>x", "<table><td><p>",
+              "<span>x<h1>"):
+        begin = time.monotonic()
+        mc.read_blocks(x * (1_000_000 // len(x)))
+        assert time.monotonic() - begin < 10, x
+
+
+def test_broken_markup():
+    text = lambda page: [b.text for b in mc.read_blocks(page)]
+    assert text("<p>one <b title='a > b'>two</b> <!-- never closed <p>three") == ["one two"]
+    assert text('<p>one</p><p title="a>two') == ["one", "two"]             # the quote never closes
+    assert text("<p>one</p> two <a href=x") == ["one", "two <a href=x"]
+    assert text("<div>one<p>two<div>three</div>four") == ["one", "two", "three", "four"]
+    assert text("<p>x<![CDATA[y") == ["xy"]
