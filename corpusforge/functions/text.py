@@ -37,11 +37,15 @@ EMOJI_RANGES = [(0x1F300, 0x1F6FF), (0x1F900, 0x1F9FF), (0x1FA70, 0x1FAFF), (0x2
 # A word token is one or more of: letter, number, underscore (Python's Unicode ``\w``).
 WORD_TOKEN = r"[\p{L}\p{N}_]+"
 EMOJI_CLASS = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in EMOJI_RANGES) + "]"
+# The same class, written so that printable ASCII, most of any text, is turned down by the first test.
+_WS = r"[[^!-~]&&" + WHITESPACE_CLASS + "]"
+# Runs of whitespace that are not one blank already.
+_WS_RUN = f"(?:[{_WS}&&[^ ]]{_WS}*| {_WS}+)"
 # Python's str.splitlines() boundaries.
 LINE_BREAK = r"\r\n|[\n\r\x{B}\x{C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 # ``\b`` after "#hiring" spelled without look-around so that Java and RE2 agree.
 _BOILERPLATE_RE = r"(?iu)^(thanks for reading.*|#hiring([^\p{L}\p{N}_].*)?)$"
-_BOILERPLATE_RE_SINGLE = r"(?isu)^(thanks for reading|#hiring([^\p{L}\p{N}_]|$))"
+_BOILERPLATE_RE_SINGLE = r"(?isu)^(thanks for reading|#hiring([^\p{L}\p{N}_]|$)).*"
 
 
 def _c(x) -> Column:
@@ -64,7 +68,12 @@ def nfkc(col) -> Column:
 # C2 -------------------------------------------------------------------------------------
 def collapse_whitespace(col) -> Column:
     """Runs of Unicode whitespace -> one blank, then strip."""
-    return F.trim(F.regexp_replace(_c(col), WHITESPACE_CLASS + "+", " "))
+    return F.trim(blank_runs(_c(col)))
+
+
+def blank_runs(c: Column) -> Column:
+    """Runs of Unicode whitespace -> one blank; single blanks are not written again."""
+    return F.regexp_replace(c, _WS_RUN, " ")
 
 
 def strip_ws(col) -> Column:
@@ -82,13 +91,13 @@ def repair_mojibake(col) -> Column:
 
 # C4 -------------------------------------------------------------------------------------
 def remove_zero_width(col) -> Column:
-    return F.translate(_c(col), ZERO_WIDTH_CHARS, "")
+    return F.regexp_replace(_c(col), f"[{ZERO_WIDTH_CHARS}]", "")
 
 
 # C5 -------------------------------------------------------------------------------------
 def normalize_quotes(col, keep_apostrophes: bool = False) -> Column:
     chars = QUOTE_CHARS.replace("'", "") if keep_apostrophes else QUOTE_CHARS
-    return F.translate(_c(col), chars, '"' * len(chars))
+    return F.regexp_replace(_c(col), f"[{chars}]", '"')
 
 
 # C6 -------------------------------------------------------------------------------------
@@ -100,7 +109,7 @@ def remove_boilerplate(col, single_line: bool = False) -> Column:
     """
     c = _c(col)
     if single_line:
-        return F.when(c.rlike(_BOILERPLATE_RE_SINGLE), F.lit("")).otherwise(c)
+        return F.regexp_replace(c, _BOILERPLATE_RE_SINGLE, "")     # names the (costly) text once
     lines = F.split(c, LINE_BREAK)
     kept = F.filter(lines, lambda line: ~strip_ws(line).rlike(_BOILERPLATE_RE))
     return strip_ws(F.array_join(kept, "\n"))
@@ -129,7 +138,8 @@ def clean_text(col, unicode_normalize: bool = False, boilerplate: bool = False,
 
 # E1-E3 ----------------------------------------------------------------------------------
 def emoji_count(col) -> Column:
-    return F.regexp_count(_c(col), F.lit(EMOJI_CLASS))
+    # characters below the first range are turned down by one test
+    return F.regexp_count(_c(col), F.lit(f"[[\\x{{{min(EMOJI_RANGES, key=min)[0]:X}}}-\\x{{10FFFF}}]&&{EMOJI_CLASS}]"))
 
 
 def word_count(col) -> Column:

@@ -14,7 +14,7 @@ from corpusforge.operators import calibrate as cb
 from corpusforge.operators import triage as tr
 from corpusforge.operators.dedup import deduplicate
 from corpusforge.operators.split import random_split, stratified_split
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, written
 
 
 def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: DataFrame | None = None,
@@ -37,8 +37,8 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
     calibrated (K8): in the struct ``judgment_meta`` where the rows have one, else as columns of
     their own.  It counts as applied only where ``calibrate`` was given.
 
-    The texts are read for the signatures and once more for the output; everything between
-    runs on narrow id tables.
+    The cleaned rows are written once and read for the signatures and for the output; everything
+    between runs on narrow id tables.
     """
     clean = {} if clean is None else clean
     out = df
@@ -51,14 +51,17 @@ def process(df: DataFrame, *, order_col: str, text_col: str = "text", probs: Dat
         n = emoji_count(F.col(text_col)).cast("int")
         out = out.withColumn("emoji_count", F.coalesce(F.col("emoji_count").cast("int"), n) if "emoji_count" in df.columns else n)
         out = out.withColumn("emoji_density", emoji_density(F.col(text_col), emoji.get("normalization", "per_word")))
-    if validate is not None:                      # evaluated once; later steps use the ids
-        ok = cut_lineage(out.filter(validate).select(order_col))
-        out = out.join(ok, order_col, "left_semi")
+    if validate is not None:
+        out = out.withColumn("_valid", validate)
+    if out is not df:                             # worked out once, behind any spread of the rows: a filter would go before it
+        out = cut_lineage(out) if "void" in out.schema.simpleString() else written(out)
+    if validate is not None:
+        out = out.where("_valid").drop("_valid")
     dd = {} if dedup is None else dedup
     _, dropped = deduplicate(out, order_col, text=F.col(text_col), threshold=dd.get("threshold", 0.9),
                              num_perm=dd.get("num_perm", 128), n_gram=dd.get("n_gram", 5),
                              shingle_level=dd.get("shingle_level", "word"), verify=dd.get("verify", False), return_dropped=True)
-    ids = (ok if validate is not None else df.select(order_col)).join(
+    ids = out.select(order_col).join(
         dropped.withColumnRenamed("node", order_col), order_col, "left_anti")
     if probs is not None:
         ids = cut_lineage(ids)

@@ -227,3 +227,37 @@ def test_stream_equals_batch_and_rejects_apart(spark, tmp_path):
     assert len(reads) == 5 and set(got) | {r["row_id"] for r in rejected.collect()} == set(range(40))
     assert got[9]["text"] == "text 9 long long long long" and got[9]["probs"] == {"a": 0.0, "b": 1 - 9 / 40}
     assert all(r["text"].startswith("  text") for r in rejected.collect()) and rejected.count() == 40 - len(got)
+
+
+def test_process_works_out_the_cleaned_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return text
+    counted = F.udf(count, "string").asNondeterministic()
+    rows = [(i, f"row {i} of a text with words of its own number {i * i}") for i in range(20)] + [(20, "short")]
+    df = spark.createDataFrame(rows, "id bigint, text string").withColumn("text", counted("text"))
+    out = jobs.process(df, order_col="id", validate=F.length("text") > 10, emoji={})
+    assert sorted(r[0] for r in out.select("id").collect()) == list(range(20))
+    assert seen.value == len(rows)
+
+
+def test_stream_checks_every_row_once(spark, tmp_path):
+    from corpusforge.streaming import rowwise as st
+    seen = spark.sparkContext.accumulator(0)
+
+    def long_enough(text):
+        seen.add(1)
+        return len(text) > 4
+    rows = [(i, "some words" if i % 3 else "no", {"a": 0.25}) for i in range(12)]
+    ddl = "id bigint, text string, probs map<string,double>"
+    spark.createDataFrame(rows, ddl).repartition(4).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 2).parquet(f"{tmp_path}/in")
+    params = spark.createDataFrame([("a", "platt", 2.0, -1.0)], "key string, method string, coef double, intercept double")
+    params = params.selectExpr("key", "method", "null :: double x", "null :: double y", "null :: double x1", "null :: double y1", "coef", "intercept")
+    valid = F.udf(long_enough, "boolean").asNondeterministic()("text")
+    done, rejected = st.process_stream(spark, stream, params=lambda: params, name="once", row_id="id", emoji={}, valid=valid)
+    assert sorted(r[0] for r in done.select("id").collect()) == [i for i in range(12) if i % 3]
+    assert sorted(r[0] for r in rejected.select("id").collect()) == [0, 3, 6, 9]
+    assert seen.value == len(rows)
