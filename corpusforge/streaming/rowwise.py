@@ -65,10 +65,19 @@ def process_stream(spark: SparkSession, stream: DataFrame, *, params: Callable[[
         batch.write.mode("overwrite").parquet(f"{out}/{kind}/batch={number}")
 
     def handle(batch: DataFrame, number: int) -> None:
-        staged = row_stages(batch.withColumn("_raw", F.struct("*")), text_col=text_col, clean=clean, emoji=emoji)
-        kept = staged.where(F.coalesce(valid, F.lit(False))) if valid is not None else staged
+        # a few files' rows over all cores, cleaned once: the sinks and the calibration read the kept rows
+        dealt = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
+        staged = row_stages(dealt.withColumn("_raw", F.struct("*")), text_col=text_col, clean=clean, emoji=emoji)
+        staged = staged.withColumn("_ok", F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))).persist()
+        try:
+            write(staged, number)
+        finally:
+            staged.unpersist()
+
+    def write(staged: DataFrame, number: int) -> None:
+        kept = staged.where("_ok").drop("_ok")
         if valid is not None:
-            sink(staged.where(~F.coalesce(valid, F.lit(False))).select("_raw.*"), "rejected", number)
+            sink(staged.where("not _ok").select("_raw.*"), "rejected", number)
         long = kept.select(row_id, F.explode(probs_col).alias("label", "p"))
         calibrated = apply(long, params()).groupBy(row_id).agg(
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "p")))).alias("_calibrated"))       # one row's labels
