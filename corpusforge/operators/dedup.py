@@ -3,7 +3,7 @@
 Plan at scale
 -------------
 1. Word tokens are a JVM regex projection on each row (narrow).
-2. Signatures are computed by ``mapInPandas`` on Arrow batches: token hashes, rolling
+2. Signatures are computed by ``mapInArrow`` on Arrow batches: token hashes, rolling
    shingle hashes and 128 multiply-shift hashes, all vectorised NumPy (narrow, no shuffle).
 3. LSH: every row emits ``b`` band keys; a single aggregation on ``(band, key)`` finds the
    buckets with two or more members (partial aggregation makes hot buckets cheap).
@@ -24,15 +24,18 @@ Plan at scale
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusforge.functions.text import WHITESPACE_CLASS, word_tokens
+from corpusforge.functions.text import blank_runs, word_tokens
 from corpusforge.session import cut_lineage, written
 
 MERSENNE31 = (1 << 31) - 1
@@ -52,7 +55,7 @@ def dedup_text(df: DataFrame) -> Column:
 # D2 / D3 --------------------------------------------------------------------------------
 # The shingle builders take an *already projected* token array / normalised text column.
 # Both are referenced more than once below, so Catalyst keeps the (expensive) regex in
-# its own projection instead of inlining it into the per-element lambda.
+# its own projection instead of inlining it.
 def word_shingles_from_tokens(w: Column, n: int = 5) -> Column:
     """Distinct word n-grams of a token array (one shingle of all tokens if shorter)."""
     n = max(1, int(n))
@@ -60,18 +63,18 @@ def word_shingles_from_tokens(w: Column, n: int = 5) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
 
 
-def char_shingles_from_chars(chars: Column, n: int = 5) -> Column:
-    """Distinct character n-grams of a code-point array (array slicing is O(n) per shingle,
-    unlike code-point ``substring`` on long strings)."""
+def char_shingles(norm: Column, n: int = 5) -> Column:
+    """Distinct character n-grams of a normalised text (the whole text if it has fewer code points).
+
+    One regex pass: a look-ahead takes n code points at every place, the match goes on by one."""
     n = max(1, int(n))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(chars) - n + 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), "")))
+    return F.when(norm.isNull() | (F.length(norm) < n), F.array(norm)).otherwise(
+        F.array_distinct(F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{n}}}))."), 1)))
 
 
 def char_normalize(text) -> Column:
     """Lower-case and collapse whitespace runs to one blank (no strip)."""
-    return F.regexp_replace(F.lower(text if isinstance(text, Column) else F.col(text)),
-                            WHITESPACE_CLASS + "+", " ")
+    return blank_runs(F.lower(text if isinstance(text, Column) else F.col(text)))
 
 
 def with_shingles(df: DataFrame, text: Column, out: str = "shingles", n: int = 5,
@@ -83,8 +86,8 @@ def with_shingles(df: DataFrame, text: Column, out: str = "shingles", n: int = 5
     (shingle sets are never empty, so ``explode_outer`` gives the same rows).
     """
     if level == "char":
-        staged = df.withColumn("_chars", F.regexp_extract_all(char_normalize(text), F.lit("(?s)."), 0))
-        return staged.withColumn(out, char_shingles_from_chars(F.col("_chars"), n)).drop("_chars")
+        staged = df.withColumn("_norm", char_normalize(text))
+        return staged.withColumn(out, char_shingles(F.col("_norm"), n)).drop("_norm")
     staged = df.withColumn("_tok", word_tokens(text))
     return staged.withColumn(out, word_shingles_from_tokens(F.col("_tok"), n)).drop("_tok")
 
@@ -104,18 +107,19 @@ def char_tokens(text) -> Column:
     return F.regexp_extract_all(char_normalize(text), F.lit("(?s)."), 0)
 
 
-def hash_tokens(tokens: np.ndarray, level: str = "word") -> np.ndarray:
-    """Token hash of an object array of strings: md5-derived 31 bits (word) or the code
-    point + 1 (char).  Each distinct token is hashed once (pandas factorize)."""
-    if tokens.shape[0] == 0:
+def hash_tokens(tokens: pa.Array, level: str = "word") -> np.ndarray:
+    """Token hash of an Arrow array of strings: md5-derived 31 bits (word) or the code
+    point + 1 (char).  Each distinct token is hashed once; only those become Python strings."""
+    if len(tokens) == 0:
         return np.empty(0, dtype=np.int64)
-    codes, uniq = pd.factorize(tokens)
+    named = tokens.dictionary_encode()
+    uniq = named.dictionary.to_pylist()
     if level == "char":
         vals = np.fromiter((ord(c) + 1 for c in uniq), dtype=np.int64, count=len(uniq))
     else:
         vals = np.fromiter((int.from_bytes(hashlib.md5(t.encode("utf-8")).digest()[:4], "big") % MERSENNE31
                             for t in uniq), dtype=np.int64, count=len(uniq))
-    return vals[codes]
+    return vals[named.indices.to_numpy(zero_copy_only=False)]
 
 
 @lru_cache(maxsize=None)
@@ -179,27 +183,27 @@ def _minhash_block(x: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarr
     return out.astype(np.int64)
 
 
-def _signature_batch(xs: pd.Series, a: np.ndarray, b: np.ndarray, n: int, level: str,
-                     row_budget: int = 1 << 18) -> pd.Series:
-    """Signatures of a batch of token lists (NULL list -> NULL signature)."""
-    rows = len(xs)
-    out = np.empty((rows, a.shape[0]), dtype=np.int64)
-    missing = xs.isna().to_numpy()
-    lens = np.fromiter((0 if m else len(v) for v, m in zip(xs, missing)), dtype=np.int64, count=rows)
+def _signature_batches(batch: pa.RecordBatch, a: np.ndarray, b: np.ndarray, n: int, level: str,
+                       token_budget: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Signatures of a batch ``(id, token list)``, in pieces of at most ``token_budget`` tokens (or one text);
+    rows with a NULL list are left out.  The tokens stay in their Arrow buffers."""
+    lens = np.asarray(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(lens)
     lo = 0
-    while lo < rows:
-        hi, total = lo, 0
-        while hi < rows and (hi == lo or total + lens[hi] <= row_budget):
-            total += lens[hi]
-            hi += 1
-        parts = [np.asarray(xs.iat[i], dtype=object) for i in range(lo, hi) if lens[i] > 0]
-        tok = hash_tokens(np.concatenate(parts) if parts else np.empty(0, dtype=object), level)
-        x, starts = shingle_ids(tok, lens[lo:hi], n)
-        out[lo:hi] = _minhash_block(x, starts, a, b)
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + token_budget, side="right")))
+        part = batch.slice(lo, hi - lo)
+        part = part.filter(part.column(1).is_valid())
+        if part.num_rows:
+            own = part.column(1)
+            sizes = np.asarray(pc.list_value_length(own).to_numpy(zero_copy_only=False), dtype=np.int64)
+            x, starts = shingle_ids(hash_tokens(own.flatten(), level), sizes, n)
+            sig = _minhash_block(x, starts, a, b)
+            rows = np.arange(sig.shape[0] + 1, dtype=np.int32) * a.shape[0]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(rows, sig.reshape(-1))],
+                                             names=[batch.schema.names[0], "sig"])
         lo = hi
-    res = pd.Series(list(out), dtype=object)
-    res[missing] = None
-    return res
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -251,7 +255,7 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
                 n_gram: int = 5, level: str = "word", seed: int = 1) -> DataFrame:
     """``(order_col, sig)`` for rows with non-empty text (empty text is never indexed).
 
-    Tokens are a codegen'd JVM projection; ``mapInPandas`` consumes that projection's rows
+    Tokens are a codegen'd JVM projection; ``mapInArrow`` consumes that projection's rows
     as they are (a pandas UDF would pull the whole text expression into its own, slower
     input evaluation), and it drops the rows without text, so no filter on the text
     expression is pushed down and evaluated twice.
@@ -266,15 +270,10 @@ def signatures(df: DataFrame, order_col: str, text: Column, *, num_perm: int = 1
     staged = idx.select(order_col, F.when(F.length("_t") > 0, toks).alias("_tok"))
 
     def run(batches):
-        for pdf in batches:
-            keep = pdf["_tok"].notna().to_numpy()
-            if not keep.any():
-                continue
-            sub = pdf[keep]
-            sig = _signature_batch(sub["_tok"].reset_index(drop=True), a, b, n, level)
-            yield pd.DataFrame({order_col: sub[order_col].to_numpy(), "sig": sig})
+        for batch in batches:
+            yield from _signature_batches(batch, a, b, n, level)
 
-    return staged.mapInPandas(run, f"{order_col} {kind}, sig array<bigint>")
+    return staged.mapInArrow(run, f"`{order_col}` {kind}, sig array<bigint>")
 
 
 def lsh_membership(sigs: DataFrame, order_col: str, bands: int, rows: int) -> DataFrame:
@@ -440,7 +439,7 @@ def shingle_sets(df: DataFrame, order_col: str, text: Column, *, n_gram: int = 5
     """``(node, s, n)``: 64-bit hashes of the whole text's distinct shingles (D2, D3), and how many."""
     named = df.select(F.col(order_col).alias("node"), text.alias("_t"))
     hashed = with_shingles(named, F.col("_t"), "_s", n_gram, level).select(
-        "node", F.array_sort(F.transform("_s", lambda x: F.xxhash64(x))).alias("s"))
+        "node", F.sort_array(F.transform("_s", lambda x: F.xxhash64(x))).alias("s"))
     return hashed.select("node", "s", F.size("s").alias("n"))
 
 

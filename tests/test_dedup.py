@@ -245,3 +245,32 @@ def test_verified_hot_bucket_stays_linear(spark, monkeypatch):
     want, pairs = _verified_brute(spark, df, rows, 0.9)
     assert sorted(kept) == want and len(want) < 310
     assert sum(compared) <= 5 * 150 < pairs / 10
+
+
+def test_char_shingles_are_taken_without_a_lambda_an_element(spark):
+    rows = [(0, "ab\U0001F680cdab\U0001F680cd"), (1, "abc"), (2, ""), (3, None), (4, "A \t B　c")]
+    df = spark.createDataFrame(rows, "id bigint, t string")
+    made = dd.with_shingles(df, F.col("t"), "s", 5, "char")
+    got = {r["id"]: r["s"] for r in made.collect()}
+    assert got == {0: ["ab\U0001F680cd", "b\U0001F680cda", "\U0001F680cdab", "cdab\U0001F680", "dab\U0001F680c"], 1: ["abc"], 2: [""],
+                   3: [None], 4: ["a b c"]}
+    from corpusforge.plans.catalog import QUERIES
+    for out in (made, QUERIES["shingles_char"](spark, "/root/testdata/sf0.001")):
+        assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signature_batches_stay_in_arrow_and_within_the_budget(spark):
+    import pyarrow as pa
+    texts = [["a", "b", "c", "d", "e", "f"], None, ["x"], [], ["b"] * 9, ["a", "b", "c", "d", "e", "f"]]
+    batch = pa.record_batch([pa.array(range(6), pa.int64()), pa.array(texts, pa.list_(pa.string()))], names=["id", "_tok"])
+    a, b = (np.array(p, dtype=np.uint64) for p in dd.minhash_params(4, 1))
+    pieces = list(dd._signature_batches(batch, a, b, 5, "word", token_budget=7))
+    assert [p.column(0).to_pylist() for p in pieces] == [[0, 2, 3], [4], [5]]     # the text of nine tokens is a piece of its own
+    whole = [r for p in dd._signature_batches(batch, a, b, 5, "word") for r in p.to_pylist()]
+    assert [r for p in pieces for r in p.to_pylist()] == whole
+    for r in whole:
+        hashes = dd.hash_tokens(pa.array(texts[r["id"]], pa.string())).tolist()
+        want = [min((((int(ai) * v + int(bi)) & ((1 << 64) - 1)) >> 32) for v in _py_shingle_hash(hashes, 5)) for ai, bi in zip(a, b)]
+        assert r["sig"] == want
+    df = spark.createDataFrame([(1, "a text")], "id bigint, t string")
+    assert "MapInArrow" in dd.signatures(df, "id", F.col("t"))._jdf.queryExecution().optimizedPlan().toString()
