@@ -95,7 +95,7 @@ def test_labels_rules_and_edge_cases(spark):
     assert len(got) == len(rows)
     assert all(r.kept == (r.doc_id is None or (r.doc_id != 200 and r.n_symbols == 0)) for r in got)
     out, rules = dl.judge(docs, labels.limit(0))
-    assert rules == [] and out.where("kept <> not base_failed").isEmpty()
+    assert rules == [] and out.where("kept <> (not base_failed)").isEmpty()
     out, rules = dl.judge(docs.limit(0), labels)
     assert rules == [] and out.isEmpty()
 
