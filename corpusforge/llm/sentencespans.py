@@ -12,9 +12,10 @@ words).  The runs are joined globally by hash: the first occurrence is the one w
 (doc_id, text hash, position), and every sentence that lies in a run which is not its hash's
 first occurrence is removed.  A repeated passage thus stays in one place only.
 
-Shuffled are only the run hashes with their places.  A hash that a third of all documents
-share is pre-aggregated to its first place, and the places are joined back by a join whose
-large side adaptive execution can split.
+Shuffled are only the run hashes with their places.  The halves of the hashes are counted first;
+only runs whose half comes more than once go on, with their whole hash.  A hash that a third of
+all documents share is pre-aggregated to its first place, and the places are joined back by a
+join whose large side adaptive execution can split.
 
 Defined cases: null text stays null; texts without a run (too short) stay as they are; rows
 equal in doc_id and text are one document that occurs once; null ids come first; an empty
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -34,10 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from corpusforge.llm.common import materialise
+from corpusforge.llm.common import discard, materialise
 
 SPAN, MIN_WORDS, MAX_WORDS = 3, 12, 16
 _BREAK = re.compile(r"\n\s*|(?<=[.!?…])\s+|(?<=[。！？｡])(?![。！？｡」』）”’])\s*|(?<=[。！？｡][」』）”’])(?![」』）”’])\s*")
+# the same breaks where no ideographic full stop is: a set of first characters is searched faster
+_PLAIN_BREAK = re.compile(r"[.!?…\n](?:(?<=\n)|\s)\s*")
+_FULL_STOP = re.compile("[。！？｡]")
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\ua000-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _SPACELESS = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(rf"(?:(?!\s)[{_UNSPACED}]|[^\s{_UNSPACED}]+)\s*")
@@ -63,21 +68,30 @@ def _cuts(words: list[bytes]) -> list[int]:
 def sentences(text: str) -> tuple[list[int], list[bytes], list[int]]:
     """End offset, matching key (lower-cased words) and word count of every sentence."""
     ends, keys, counts, begin = [], [], [], 0
-    word = _PLAIN_WORD if text.isascii() or not _SPACELESS.search(text) else _WORD
-    for stop in [m.end() for m in _BREAK.finditer(text)] + [len(text)]:
-        words = text[begin:stop].split() if word is _PLAIN_WORD else [w.rstrip() for w in _WORD.findall(text[begin:stop])]
+    ascii_ = text.isascii()
+    word = _PLAIN_WORD if ascii_ or not _SPACELESS.search(text) else _WORD
+    breaks = _PLAIN_BREAK if ascii_ or not _FULL_STOP.search(text) else _BREAK
+    for stop in [*[m.end() for m in breaks.finditer(text)], len(text)]:
+        part = text[begin:stop]
+        words = part.split() if word is _PLAIN_WORD else [w.rstrip() for w in _WORD.findall(part)]
         if not words:
             continue
-        low = " ".join(words).lower().encode()
+        line = " ".join(words)
+        low = line.lower().encode()
         if len(words) <= MAX_WORDS:
             keys.append(low)
             counts.append(len(words))
         else:
-            at = [begin + m.end() for m in word.finditer(text[begin:stop].lstrip())]
-            shift = len(text[begin:stop]) - len(text[begin:stop].lstrip())
+            own = part.lstrip()
+            shift = begin + len(part) - len(own)
+            # ends of the words with the white space behind them; single spaces need no search
+            if word is _PLAIN_WORD and len(own.rstrip()) == len(line):
+                at = [n + i for i, n in enumerate(accumulate(map(len, words)), shift + 1)]
+            else:
+                at = [shift + m.end() for m in word.finditer(own)]
             words = low.split(b" ")
             cuts = _cuts(words)
-            ends += [at[c - 1] + shift for c in cuts]
+            ends += [at[c - 1] for c in cuts]
             for i, j in zip([0, *cuts], [*cuts, len(words)]):
                 keys.append(b" ".join(words[i:j]))
                 counts.append(j - i)
@@ -91,44 +105,62 @@ def spans(counts: list[int]) -> list[tuple[int, int]]:
     n, out = len(counts), set()
     if n < SPAN:
         return []
-    total = np.concatenate([[0], np.cumsum(counts)])
-    first = np.arange(n)
-    last = np.maximum(np.searchsorted(total, total[:-1] + MIN_WORDS, side="left") - 1, first + SPAN - 1)
-    out.update((int(i), int(j)) for i, j in zip(first, last) if j < n)
-    last = np.arange(n)
-    begin = np.minimum(np.searchsorted(total, total[1:] - MIN_WORDS, side="right") - 1, last - SPAN + 1)
-    out.update((int(i), int(j)) for i, j in zip(begin, last) if i >= 0 and total[j + 1] >= MIN_WORDS)
+    total = [0, *accumulate(counts)]
+    last = SPAN - 1
+    for first in range(n - SPAN + 1):
+        last = max(last, first + SPAN - 1)
+        while last < n and total[last + 1] - total[first] < MIN_WORDS:
+            last += 1
+        if last == n:
+            break
+        out.add((first, last))
+    first = 0
+    for last in range(SPAN - 1, n):
+        if total[last + 1] >= MIN_WORDS:
+            while first < last - SPAN + 1 and total[last + 1] - total[first + 1] >= MIN_WORDS:
+                first += 1
+            out.add((first, last))
     return sorted(out)
 
 
 def span_table(docs: DataFrame) -> DataFrame:
-    """``(h, doc_id, th, a, b)``: hash and place of every run; ``th`` tells texts of one id apart."""
+    """``(h, g, doc_id, th, a, b)``: halves of the hash and place of every run; ``th`` tells texts of
+    one id apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, rows, firsts, lasts = [], [], [], []
-            for row, text in enumerate(batch.column(2)):
+            hashes, sizes, firsts, lasts = [], [], [], []
+            for text in batch.column(2):
                 _, keys, counts = sentences(text.as_py() or "")
-                for a, b in spans(counts):
-                    hashes.append(xxhash.xxh3_128_digest(b"\n".join(keys[a:b + 1])))
-                    rows.append(row), firsts.append(a), lasts.append(b)
-            at = pa.array(rows, pa.int64())
+                runs = spans(counts)
+                hashes += [xxhash.xxh3_128_digest(b"\n".join(keys[a:b + 1])) for a, b in runs]
+                sizes.append(len(runs))
+                firsts += [a for a, _ in runs]
+                lasts += [b for _, b in runs]
+            half = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.binary()), batch.column(0).take(at), batch.column(1).take(at),
-                 pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], names=["h", "doc_id", "th", "a", "b"])
+                [pa.array(half[:, 0]), pa.array(half[:, 1]), batch.column(0).take(at), batch.column(1).take(at),
+                 pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], names=["h", "g", "doc_id", "th", "a", "b"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-            .where("text is not null").mapInArrow(run, "h binary, doc_id long, th long, a int, b int"))
+            .where("text is not null").mapInArrow(run, "h long, g long, doc_id long, th long, a int, b int"))
 
 
 def repeated_places(places: DataFrame) -> DataFrame:
     """``(doc_id, th, runs)``: the runs of every document that are not their hash's first place."""
+    # half a hash is counted in a narrow shuffle; the few runs it leaves are compared by the whole hash
+    multi = materialise(places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    some = materialise(places.join(multi.hint("shuffle_hash"), "h"))
+    discard(multi)
     place = F.struct("doc_id", "th", "a")
     # pre-aggregated, unique per hash, and a written table: a hot hash's places can then be split
-    firsts = materialise(places.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("other"))
-                         .where("first < other").select("h", "first"))
-    later = places.join(firsts, "h").where(place > F.col("first")).select("doc_id", "th", "a", "b")
+    firsts = materialise(some.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("other"))
+                         .where("first < other").select("h", "g", "first"))
+    later = some.join(firsts, ["h", "g"]).where(place > F.col("first")).select("doc_id", "th", "a", "b")
     # one document's own runs: bounded by its text
-    return later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+    out = materialise(later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs")))
+    discard(some), discard(firsts)
+    return out
 
 
 def remove(docs: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -168,4 +200,6 @@ def remove(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 def dedup_spans(docs: DataFrame) -> DataFrame:
     """Remove from ``docs(doc_id, text, ...)`` every sentence of a repeated run but its first place."""
     places = materialise(span_table(docs))
-    return remove(docs, materialise(repeated_places(places)))
+    repeated = repeated_places(places)
+    discard(places)
+    return remove(docs, repeated)

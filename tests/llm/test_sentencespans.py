@@ -116,3 +116,40 @@ def test_breaks_and_pieces_give_the_text_back():
         ends, keys, counts = ss.sentences(text)
         assert len(ends) == len(keys) == len(counts) and ends == sorted(set(ends))
         assert not text.strip() or not text[ends[-1]:].strip()
+
+
+def _slow_sentences(text):
+    """Sentences by the full pattern and the search for every word (the rule as first written)."""
+    ends, keys, counts, begin = [], [], [], 0
+    word = ss._WORD if ss._SPACELESS.search(text) else ss._PLAIN_WORD
+    for stop in [m.end() for m in ss._BREAK.finditer(text)] + [len(text)]:
+        own = text[begin:stop].lstrip()
+        found = list(word.finditer(own))
+        if not found:
+            continue
+        words = " ".join(m[0].rstrip() for m in found).lower().encode().split(b" ")
+        cuts = ss._cuts(words) if len(words) > ss.MAX_WORDS else []
+        ends += [stop - len(own) + found[c - 1].end() for c in cuts] + [stop]
+        for i, j in zip([0, *cuts], [*cuts, len(words)]):
+            keys.append(b" ".join(words[i:j])), counts.append(j - i)
+        begin = stop
+    return ends, keys, counts
+
+
+def test_quick_breaks_and_word_ends_are_those_of_the_rule():
+    rng = random.Random(12)
+    signs = ["a", "bc", "D", "İ", ".", "!", "…", " ", " ", "\n", "\t", "\u00a0", "。", "」", "！", "日", "ไ", "x.y", "\r"]
+    for _ in range(3000):
+        some = rng.sample(signs, rng.randint(3, len(signs)))
+        text = "".join(rng.choice(some) for _ in range(rng.choice((6, 24, 90))))
+        assert ss.sentences(text) == _slow_sentences(text), text
+    for gap in ([" "], [" ", "  ", "\t"]):
+        text = "  " + "".join("".join(rng.choice("abİ") for _ in range(3)) + rng.choice(gap) for _ in range(80)) + "\n"
+        assert ss.sentences(text) == _slow_sentences(text)
+
+
+def test_runs_equal_in_half_a_hash_stay_apart(spark):
+    places = spark.createDataFrame([(1, 7, 1, 5, 0, 2), (1, 8, 2, 5, 0, 2), (1, 8, 3, 5, 4, 6), (2, 1, 4, 5, 0, 2), (2, 1, 4, 5, 0, 2)],
+                                   "h long, g long, doc_id long, th long, a int, b int")
+    got = [(r["doc_id"], [tuple(x) for x in r["runs"]]) for r in ss.repeated_places(places).collect()]
+    assert got == [(3, [(4, 6)])]
