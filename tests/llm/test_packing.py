@@ -66,3 +66,17 @@ def test_words_remembered_before_a_reset_stay_right(tokenizer, monkeypatch):
     texts = ["one two three four", "five six seven!! Eight", "one, TWO; nine ten eleven twelve"]
     for t in texts + texts:
         assert e([t])[0] == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
+
+
+def test_memory_of_a_worker_is_bounded_by_size(spark, tokenizer, monkeypatch):
+    e = pk.Encoder(pk.tokenizer_path())
+    long = ["x" * 90_000, "abc" * 5000 + "!", "short words, too"]
+    for t, ids in zip(long, e(long)):
+        assert ids == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
+    assert max(map(len, [*e.words, *e.parts])) <= pk._LONGEST      # a word is not kept whatever its length
+    monkeypatch.setattr(pk, "_AT_ONCE", 7)
+    e = pk.Encoder(pk.tokenizer_path())
+    monkeypatch.setattr(pk, "_MEMORY", 500)
+    for i in range(0, 5000, 100):                                   # neither words nor stems grow beyond the bound
+        e([f"w{j:x}{'abcdefghij'[j % 10]}" + "".join(chr(97 + int(c)) for c in str(j)) for j in range(i, i + 100)])
+        assert len(e.words) <= 500 and len(e.parts) <= 500 + 2
