@@ -80,3 +80,21 @@ def test_memory_of_a_worker_is_bounded_by_size(spark, tokenizer, monkeypatch):
     for i in range(0, 5000, 100):                                   # neither words nor stems grow beyond the bound
         e([f"w{j:x}{'abcdefghij'[j % 10]}" + "".join(chr(97 + int(c)) for c in str(j)) for j in range(i, i + 100)])
         assert len(e.words) <= 500 and len(e.parts) <= 500 + 2
+
+
+def test_common_stems_outlive_the_memory_limit(tokenizer, monkeypatch):
+    monkeypatch.setattr(pk, "_MEMORY", 50)
+    e = pk.Encoder(pk.tokenizer_path())
+    asked, ask = [], e._ask
+    monkeypatch.setattr(e, "_ask", lambda stem: asked.append(stem) or ask(stem))
+    new = ["".join("abcdefghij"[int(c)] for c in str(1000 + i)) for i in range(600)]
+    for i in range(0, 600, 20):
+        text = " ".join(["Always", "always,", *new[i:i + 20]])
+        assert e([text])[0] == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    assert asked.count("always") == 1 and len(e.parts) + len(e.older) <= 200
+
+
+def test_capitals_beside_added_tokens(tokenizer):
+    e = pk.Encoder(pk.tokenizer_path())
+    for t in ["<|ENDOFTEXT|> HI", "<|endoftext|> HI", "HI <|EndOfText|>x It'S", "X" * 70 + "! Yes"]:
+        assert e([t])[0] == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
