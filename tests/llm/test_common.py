@@ -37,3 +37,48 @@ def test_merged_components(spark):
     assert got == components({n for x in first + more for n in x}, first + more)
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert {r["node"]: r["component"] for r in merge_components(comp, none).collect()} == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10}
+
+
+def test_pivot_rounds_name_the_places_of_open_keys_only(spark, monkeypatch):
+    """Keys of one component leave, merged components take their new name, lone nodes too."""
+    from corpusforge.llm import common
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(common, "PAIRS_A_PLACE", 0)
+    group = lambda n: n // 10  # noqa: E731  nodes link when they are of one ten
+    place = [(k, n) for k, nodes in {1: (1, 2, 3), 2: (11, 12, 21, 22), 3: (1, 11, 31, 32, 33), 4: (31, 34), 5: (3, 35, 36)}.items() for n in nodes]
+    comp = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (35, 35), (36, 35)], "node bigint, component bigint")
+    asked = []
+
+    def refine(r, nodes):
+        asked.append({x["node"] for x in nodes.collect()})
+        return nodes.select("node", F.lit(0).alias("sub"), ((F.col("node") * (7 + 4 * r)) % 13).alias("rank"))
+
+    def choose(met):
+        return met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+
+    open_, got, tested = common.pivot_rounds(spark.createDataFrame(place, "key bigint, node bigint"), comp, refine, choose,
+                                             lambda pairs: pairs.where("a div 10 = b div 10"), rounds=3)
+    got = {x["node"]: x["component"] for x in got.collect()}
+    assert all(got[n] <= n and group(got[n]) == group(n) for n in got) and got[3] == 1 and got[36] == got[35]
+    assert asked[0] == {n for k, n in place if k > 1} and asked[-1] <= asked[0] and 34 not in asked[-1]
+    left = {(x["key"], x["node"]): x["c"] for x in open_.collect()}
+    assert left == {(k, n): got.get(n, n) for k, n in place if k in {x for x, _ in left}} and 1 not in {k for k, _ in left}
+    for k in {k for k, _ in place}:
+        named = {got.get(n, n) for x, n in place if x == k}
+        assert (len(named) > 1) == (k in {x for x, _ in left})
+    assert {(x["a"], x["b"]) for x in tested.where("a div 10 = b div 10").collect()}
+
+
+def test_pivot_rounds_join_the_places_once(spark, monkeypatch):
+    """The places meet the components once, not once a round."""
+    from corpusforge.llm import common
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(common, "PAIRS_A_PLACE", -1)
+    monkeypatch.setattr(common, "STALE_ROUNDS", 99)
+    plans, write = [], common.materialise
+    monkeypatch.setattr(common, "materialise", lambda df: plans.append(df._jdf.queryExecution().analyzed().toString()) or write(df))
+    places = spark.createDataFrame([(i % 3, i) for i in range(12)], "key bigint, node bigint").withColumn("key", F.expr("key + 1000003"))
+    common.pivot_rounds(places, spark.createDataFrame([(1, 0), (0, 0)], "node bigint, component bigint"),
+                        lambda r, nodes: nodes.select("node", F.lit(0).alias("sub"), "node", F.lit(0).alias("rank")).select("node", "sub", "rank"),
+                        lambda met: met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), lambda pairs: pairs.where("false"), rounds=3)
+    assert sum("1000003" in p for p in plans) == 1
