@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusforge.llm import jaccardjoin as jj
 from corpusforge.llm.shingles import word_hashes, word_shingles
@@ -67,3 +68,36 @@ def test_word_hashes():
     assert len(a) == 4 and a[0] == b[0] != a[1] and a[1] != b[1]      # only ASCII space and case count
     assert (word_hashes("x y " * 50_000)[:2] == word_hashes("x y")).all()
     assert len(word_shingles("a b a b a b", 3)) == 2 and len(word_shingles("a b", 3)) == 1
+
+
+def test_pivot_rounds_leave_few_pairs_of_near_copies(spark, monkeypatch):
+    """Groups of near copies whose prefixes a famous text shares: most copies meet a pivot of their own
+    group, so the pair round tests fewer pairs than there are copies, not the square of a group."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 7)))
+    rows, fame = [], []
+    for _ in range(4):
+        base = [word() for _ in range(260)]
+        for _ in range(60):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = word()
+            rows.append((len(rows), " ".join(words)))
+        fame += base
+    rows += [(1000 + i, " ".join([*fame, word(), word()])) for i in range(3)]
+    seen, verify = [], jj._verify
+    monkeypatch.setattr(jj, "_verify", lambda pairs, *a: seen.append(pairs.count()) or verify(pairs, *a))
+    got = {r["doc_id"]: r["component_id"] for r in jj.link_components(docs_of(spark, rows), 3, 90).collect()}
+    sets = {i: _set(t, 3) for i, t in rows}
+    want = components(list(sets), [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])])
+    assert got == want and seen[-1] < len(rows), seen
+
+
+def test_only_named_texts_are_fetched(spark):
+    docs = docs_of(spark, [(i, f"text number {i}") for i in range(2000)] + [(None, "of no id"), (5, None)])
+    base = docs.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
+    named = base.where("_d % 100 = 5 or _d is null")
+    got = jj._texts_of(docs, named).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} >= {(i, f"text number {i}") for i in range(5, 2000, 100)} | {(None, "of no id"), (5, None)}
+    assert len(got) < 40
+    assert jj._texts_of(docs, named.limit(0)).count() == 0
