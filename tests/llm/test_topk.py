@@ -59,3 +59,48 @@ def test_finite_components_of_any_size(spark, large):
         score = {c: max(-tk._MOST, min(tk._MOST, sum(a * b for a, b in zip(usable[q], v)))) for c, v in usable.items() if c != q}
         want += [(q, rank, c, score[c]) for rank, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:7], 1)]
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("shape", ["even", "skewed", "ties"])
+def test_blocks_of_queries_against_brute_force(shape):
+    # skewed: most terms cannot lift a candidate, so they are probed; ties: more than k candidates reach the k-th score
+    rng = np.random.default_rng(5)
+    scale = 100 * 0.5 ** np.arange(24) + 1 if shape == "skewed" else 30
+    c = np.rint(rng.normal(0, 1, (2400, 24)) * scale).astype(np.int64)
+    if shape == "ties":
+        c = c[rng.integers(0, 3, len(c))]
+    ids, qid = rng.permutation(len(c)), rng.permutation(len(c))[:40]
+    q = c[np.argsort(ids)[qid]]                                                  # the queries are candidates
+    want = [(i, int(ids[j]), int(s[j])) for i, s in zip(qid, q @ c.T)
+            for j in [x for x in np.lexsort((ids, -s)) if ids[x] != i][:7]]
+    assert [tuple(map(int, x)) for x in zip(*tk.search_shard(qid, q, ids, c, 7))] == want
+    held, floor = [np.empty(0, np.int64)] * 3, np.full(len(qid), tk._NONE)
+    for at in range(0, len(c), 600):                                             # thresholds go from shard to shard
+        new = tk._search(qid, q, tk.Shard(ids[at:at + 600], c[at:at + 600]), floor, 7)
+        *held, rank = tk.best(*(np.concatenate(x) for x in zip(held, new)), 7)
+        floor[held[0][rank == 6]] = held[2][rank == 6]
+    assert [(int(qid[i]), int(v), int(s)) for i, v, s in zip(*held)] == want
+
+
+def test_scores_below_the_range_of_a_long_tie():
+    far = np.array([[-2 ** 62, -2 ** 62], [-2 ** 61, 0], [-2 ** 62, 0]])       # the first has the least product
+    _, found, score = tk.search_shard(np.array([9]), np.array([[2 ** 62, 2 ** 62]]), np.arange(3), far, 2)
+    assert found.tolist() == [0, 1] and score.tolist() == [-tk._MOST] * 2
+
+
+def test_blocks_are_neither_broadcast_nor_multiplied(spark):
+    # the planner takes a packed block for a row of some bytes: it sent all blocks times all shards through the driver
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(64)], 0) for i in range(2000)]
+    vectors = tk.quantise(_table(spark, rows))
+    out = tk.top_k(vectors, vectors.where("vec_id % 4 = 0"), 3, 50, 10)           # 40 shards, 50 blocks
+    assert out.count() == 500 * 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+
+
+@pytest.mark.parametrize("n,m", [(51_282, 2_564), (615_384, 30_770), (15_000_000, 750_000), (10 ** 9, 5 * 10 ** 7)])
+def test_tasks_are_few_and_rows_of_a_query_bounded(n, m):
+    shards, blocks = -(-n // 16_384), -(-m // 512)
+    left, right = tk._parts(shards, blocks, n * m)
+    assert left <= min(shards, tk.SHARD_PARTS) and right <= min(blocks, tk.BLOCK_PARTS) and min(24, shards * blocks) <= left * right <= 4096 + 512
