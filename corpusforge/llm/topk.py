@@ -10,12 +10,12 @@ exact integers.  The queries of a block share one order of the terms, so the ess
 all of them are one matrix product.
 
 Shards hold at most ``shard_rows`` candidates (fewer of long vectors) and query blocks at most
-``block_rows`` queries; every block of the stated query set meets every shard.  Shards are dealt to
-at most 16 parts and blocks to at most 512, each packed and shuffled once; a task is one pair of
-parts.  It reads its shards one after another, and the k-th score that a query has reached in them is
-its threshold in the next.  So what is shuffled follows the vectors and not their pairs, a
-task's memory is bounded, and nothing but counts reaches the driver: the parts meet in a Cartesian
-product that is asked for by a hint, for the planner takes blocks for small rows and would broadcast them.
+``block_rows`` queries; every block of the stated query set meets every shard.  Shards and queries
+are dealt to a few parts, each packed and shuffled once; a task is one part of either.  It reads its
+shards one after another, and the k-th score that a query has reached in them is its threshold in
+the next.  So what is shuffled follows the vectors and not their pairs, a task's memory is bounded,
+and nothing but counts reaches the driver: the parts meet in a Cartesian product that is asked for
+by a hint, for the planner takes packed vectors for small rows and would broadcast them.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
 vectors of different lengths never meet; rows that repeat a vec_id are candidates of their own
@@ -41,9 +41,9 @@ SCALE = 64
 _FAR = 2.0 ** 62                    # components beyond count as this
 _MOST = 2 ** 63 - 1                 # scores beyond the range of a long count as its ends
 _NONE = -2 ** 63                    # threshold of a query that has not met k candidates
-SHARD_PARTS, BLOCK_PARTS = 16, 512
-TASK_PAIRS = 2 ** 27                # scores that make a task of its own worth while
-SHARD_CELLS = 2 ** 22               # components of a shard
+SHARD_PARTS, TASKS = 8, 4096        # at most; every part of the shards returns k rows a query
+TASK_PAIRS = 2 ** 29                # scores that make a task of its own worth while
+CELLS = 2 ** 22                     # components of a shard, or of a part of the queries
 
 
 def quantise(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -239,11 +239,10 @@ def _search_each(qid: np.ndarray, q: np.ndarray, shard: Shard, floor: np.ndarray
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _parts(shards: int, blocks: int, pairs: int) -> tuple[int, int]:
-    """Numbers of parts that shards and blocks are dealt to: tasks by the work, and few rows of any query."""
-    tasks = min(4096, max(32, pairs // TASK_PAIRS))
-    right = min(blocks, BLOCK_PARTS, tasks)
-    return min(shards, SHARD_PARTS, -(-tasks // right)), right
+def _parts(shards: int, blocks: int, pairs: int, cells: int) -> tuple[int, int]:
+    """Numbers of parts that the shards and the queries are dealt to, for so many pairs and queries' components."""
+    left = min(shards, SHARD_PARTS)
+    return left, min(blocks, max(-(-min(TASKS, max(32, pairs // TASK_PAIRS)) // left), -(-cells // CELLS)))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 16_384,
@@ -251,44 +250,40 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
     """``(query_id, rank, vec_id, score)`` for integer vectors ``(vec_id, v)``."""
     vec = materialise(vectors.withColumn("dim", F.size("v")))
     qry = materialise(queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")))
-    n, cells = vec.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).head()
-    m = qry.count()
-    shards, blocks = max(1, -(-n // shard_rows), -(-cells // SHARD_CELLS)), max(1, -(-m // block_rows))
-    left, right = _parts(shards, blocks, n * m)
+    (n, n_cells), (m, m_cells) = (x.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).head() for x in (vec, qry))
+    shards, blocks = max(1, -(-n // shard_rows), -(-n_cells // CELLS)), max(1, -(-m // block_rows))
+    left, right = _parts(shards, blocks, n * m, m_cells)
 
     def place(df: DataFrame, name: str, parts: int) -> DataFrame:
         # by position in the written table: even whatever the ids are; the result does not depend on it
         return df.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int"))
 
     c = materialise(_pack(place(vec, "shard", shards), "shard"))
-    q = materialise(_pack(place(qry, "block", blocks), "block"))
+    q = materialise(_pack(place(qry, "part", right), "part"))
     discard(vec), discard(qry)
-    # every part of the stated query set's blocks against every part of the shards
+    # every part of the stated query set against every part of the shards
     c = c.repartitionById(left, F.pmod("shard", F.lit(left)))
-    q = q.repartitionById(right, F.pmod("block", F.lit(right))).withColumnsRenamed({"dim": "qdim", "ids": "qids", "m": "qm"})
+    q = q.repartitionById(right, F.col("part")).withColumnsRenamed({"dim": "qdim", "ids": "qids", "m": "qm"})
     met = c.join(q.hint("shuffle_replicate_nl"), F.col("dim") == F.col("qdim")).select(
-        "shard", "block", "dim", "ids", "m", "qids", "qm")
+        "part", "dim", "ids", "m", "qids", "qm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, shard, held = None, None, {}
+        held = {}                                     # best of the task's queries, by the vectors' length
         for batch in batches:
-            numbers = [batch.column(i).to_pylist() for i in range(3)]
-            for i, (s, b, dim) in enumerate(zip(*numbers)):
-                ids, mat, qids, qmat = (batch.column(j)[i].as_buffer() for j in range(3, 7))
-                if (s, dim) != last:
-                    last, shard = (s, dim), Shard(np.frombuffer(ids, np.int64), _matrix(ids, mat, dim))
-                qid = np.frombuffer(qids, np.int64)
-                if (b, dim) not in held:
-                    held[b, dim] = qid.copy(), np.full(len(qid), _NONE), *(np.empty(0, np.int64) for _ in range(3))
-                own, floor, *old = held[b, dim]
-                new = _search(qid, _matrix(qids, qmat, dim), shard, floor, k)
-                if len(new[0]):
-                    *top, rank = best(*(np.concatenate(x) for x in zip(old, new)), k)
-                    full = rank == k - 1
-                    floor[top[0][full]] = top[2][full]
-                    held[b, dim] = own, floor, *top
-        for own, _, at, found, score in held.values():
-            yield pa.RecordBatch.from_arrays([pa.array(own[at]), pa.array(found), pa.array(score)],
+            for i, key in enumerate(zip(*(batch.column(j).to_pylist() for j in range(2)))):
+                ids, m, qids, qm = (batch.column(j)[i].as_buffer() for j in range(2, 6))
+                qid, q = np.frombuffer(qids, np.int64), _matrix(qids, qm, key[1])
+                shard = Shard(np.frombuffer(ids, np.int64), _matrix(ids, m, key[1]))
+                own, floor, *top = held.get(key) or (qid.copy(), np.full(len(qid), _NONE), *[np.empty(0, np.int64)] * 3)
+                for at in range(0, len(qid), block_rows):
+                    to = slice(at, at + block_rows)
+                    new = _search(qid[to], q[to], shard, floor[to], k)
+                    top = [np.concatenate(x) for x in zip(top, (new[0] + at, *new[1:]))]
+                *top, rank = best(*top, k)
+                floor[top[0][rank == k - 1]] = top[2][rank == k - 1]
+                held[key] = own, floor, *top
+        for own, _, at, vec_id, score in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(own[at]), pa.array(vec_id), pa.array(score)],
                                              names=["query_id", "vec_id", "score"])
 
     found = met.mapInArrow(run, "query_id long, vec_id long, score long")

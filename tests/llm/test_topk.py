@@ -102,5 +102,6 @@ def test_blocks_are_neither_broadcast_nor_multiplied(spark):
 @pytest.mark.parametrize("n,m", [(51_282, 2_564), (615_384, 30_770), (15_000_000, 750_000), (10 ** 9, 5 * 10 ** 7)])
 def test_tasks_are_few_and_rows_of_a_query_bounded(n, m):
     shards, blocks = -(-n // 16_384), -(-m // 512)
-    left, right = tk._parts(shards, blocks, n * m)
-    assert left <= min(shards, tk.SHARD_PARTS) and right <= min(blocks, tk.BLOCK_PARTS) and min(24, shards * blocks) <= left * right <= 4096 + 512
+    left, right = tk._parts(shards, blocks, n * m, 64 * m)
+    assert left <= min(shards, tk.SHARD_PARTS) and right <= blocks and 24 <= left * right <= tk.TASKS + 64 * m * left / tk.CELLS
+    assert 64 * m / right <= tk.CELLS
